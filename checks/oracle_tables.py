@@ -259,15 +259,19 @@ TABLES: dict[str, str] = {
 def with_tables(select: str) -> str:
     """The query preceded by the definitions it needs, in order."""
     needed: set[str] = set()
+    ordered: list[str] = []
 
     def visit(sql: str) -> None:
-        for word in set(re.findall(r"[a-z_][a-z_0-9]*", sql)):
+        for word in dict.fromkeys(re.findall(r"[a-z_][a-z_0-9]*", sql)):
             if word in TABLES and word not in needed:
                 needed.add(word)
                 visit(TABLES[word])
+                ordered.append(word)
 
     visit(select)
     if not needed:
         return select
-    parts = [f"{n} AS MATERIALIZED ({sql})" for n, sql in TABLES.items() if n in needed]
-    return "WITH " + ",\n".join(parts) + "\n" + select.strip()
+    # definitions may have been added in any order; names are visited before their users
+    parts = [f"{n} AS MATERIALIZED ({TABLES[n]})" for n in ordered]
+    head, body = "WITH " + ",\n".join(parts), select.strip()
+    return f"{head},\n{body[5:]}" if body.startswith("WITH ") else f"{head}\n{body}"

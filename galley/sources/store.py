@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 class TableStore:
@@ -53,24 +52,20 @@ class TableStore:
         numbers = [int(m.getPath().getParent().getName().split("=")[1]) for m in marks or []]
         return max(numbers, default=None)
 
-    def replace_partition(
-        self, layer: str, name: str, df: DataFrame, column: str, value: str
-    ) -> DataFrame:
-        """Write one partition (a run, a load date); writing it again replaces it."""
-        (
-            df.withColumn(column, F.lit(value))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(self.path(layer, name))
-        )
-        return self.read_all(layer, name)
+    def write_partition(self, layer: str, name: str, df: DataFrame, column: str, value: str) -> None:
+        """Write one partition (a run, a date, a batch); writing it again replaces it.
+
+        The partition's folder is overwritten as such, so that a rerun without rows leaves
+        none behind.
+        """
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        leaf = f"{self.path(layer, name)}/{column}={escape.escapePathName(value)}"
+        df.write.mode("overwrite").parquet(leaf)
 
     def write_load(self, entity: str, df: DataFrame, load_date: str) -> str:
         """Typed Parquet of one entity and load date."""
-        leaf = f"{self.path('typed', entity)}/load_date={load_date}"
-        df.write.mode("overwrite").parquet(leaf)
-        return leaf
+        self.write_partition("typed", entity, df, "load_date", load_date)
+        return f"{self.path('typed', entity)}/load_date={load_date}"
 
     def read_all(self, layer: str, name: str) -> DataFrame:
         """All partitions, unioned by column name; a column absent from one is NULL there."""
