@@ -29,6 +29,7 @@ FACTS = ["fact_orders", "fact_order_items", "fact_deliveries"]
 AUDITED = [
     *STAGED,
     *FACTS,
+    "order_sales",
     "dim_customer",
     "dim_product",
     "dim_store",

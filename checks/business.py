@@ -121,7 +121,7 @@ def quantiles(spark, sf):
 )
 def mix(spark, sf):
     return ask.channel_mix(
-        *lake(spark, sf).many("fact_orders", "fact_order_items", "dim_customer", "dim_channel")
+        *lake(spark, sf).many("order_sales", "dim_customer", "dim_channel")
     )
 
 

@@ -18,7 +18,7 @@ from checks.feed_source import (
 )
 from checks.lake import lake
 from checks.registry import query, register
-from galley.functions import remap
+from galley.functions import remap, utc_literal
 from galley.operators.joins import remap_from
 from galley.operators.pages import latest_version, matching, page
 from galley.plans import feed as plan
@@ -128,7 +128,7 @@ def chunks(spark, sf):
     per_chunk = plan.in_chunks(records(spark, sf), start, end).groupBy("chunk_start").agg(
         F.count("*").alias("_records")
     )
-    planned = spark.range(1).select(F.inline(plan.interval_plan(F.lit(start), F.lit(end))))
+    planned = spark.range(1).select(F.inline(plan.interval_plan(utc_literal(start), utc_literal(end))))
     return planned.join(per_chunk, "chunk_start", "left").select(
         "chunk_start", "chunk_end", F.coalesce("_records", F.lit(0)).alias("records")
     )

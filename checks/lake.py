@@ -88,6 +88,7 @@ class Lake:
             ],
             "fact_order_items": ["int_order_items", "dim_product", "dim_store", "dim_channel"],
             "fact_deliveries": ["int_deliveries", "dim_store"],
+            "order_sales": ["fact_orders", "fact_order_items"],
         }
         return getattr(marts, name)(*[self.any(n) for n in inputs[name]])
 

@@ -78,7 +78,7 @@ VIEW_INPUTS = {
     "rpt_order_summary": (marts.rpt_order_summary, ["fact_orders", "fact_order_items"]),
     "vw_sales_performance": (
         views.vw_sales_performance,
-        ["fact_orders", "fact_order_items", "dim_date", "dim_store", "dim_channel"],
+        ["order_sales", "dim_date", "dim_store", "dim_channel"],
     ),
     "vw_delivery_performance": (
         views.vw_delivery_performance,
@@ -90,7 +90,7 @@ VIEW_INPUTS = {
     ),
     "vw_customer_summary": (
         views.vw_customer_summary,
-        ["fact_orders", "fact_order_items", "dim_customer"],
+        ["order_sales", "dim_customer"],
     ),
 }
 

@@ -18,7 +18,7 @@ from galley.functions.text import (
     json_field,
     remap,
 )
-from galley.functions.times import iso_utc, minutes_between, parse_utc
+from galley.functions.times import iso_utc, minutes_between, parse_utc, utc_literal
 
 __all__ = [
     "MONEY",
@@ -39,6 +39,7 @@ __all__ = [
     "month_of",
     "parse_utc",
     "remap",
+    "utc_literal",
     "whole",
     "year_of",
 ]

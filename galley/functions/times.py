@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def utc_literal(when: dt.datetime) -> Column:
+    """A zone-less literal; a plain datetime literal would depend on the local zone."""
+    return F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def parse_utc(text: Column) -> Column:
     """ISO-8601 text, with or without an offset, as zone-less UTC; NULL when malformed.
 

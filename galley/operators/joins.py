@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 2_000_000
-SALTS = 64
+NULL_KEY_SALTS = 1 << 20
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -38,49 +38,48 @@ def lookup(
     ``on`` maps left key names to right key names. The right keys are not in the result,
     and the other column names of the two sides must differ.
 
-    A right side known to be small is broadcast. Otherwise both sides are shuffled, and
-    the keys that hold more than ``hot_rows`` rows on the left are spread over
-    ``SALTS`` tasks; only the right rows of those keys are repeated. Rows with a NULL key
-    match nothing and are spread too. ``hot_from`` names a cheaper frame to count the
-    keys on, such as the stored table ``left`` was derived from.
+    A right side known to be small is broadcast. Otherwise both sides are shuffled, and a
+    key with more than ``hot_rows`` rows on the left is spread over as many salts as it
+    takes to get back to that size; only the right rows of such keys are repeated. Rows
+    with a NULL key match nothing and are spread as well. ``hot_from`` names a cheaper
+    frame to count the keys on, such as the stored table ``left`` was derived from.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     many = HOT_ROWS if hot_rows is None else hot_rows
     right = right.withColumnsRenamed({r: f"_right_{l}" for l, r in pairs.items()})
-    conditions = [F.col(l) == F.col(f"_right_{l}") for l in pairs]
-    extra = [residual] if residual is not None else []
     inner_names = [f"_right_{l}" for l in pairs]
+    conditions = [F.col(l) == F.col(f"_right_{l}") for l in pairs]
+    if residual is not None:
+        conditions.append(residual)
 
     if planned_bytes(right) <= limit:
-        joined = left.join(F.broadcast(right), _all(conditions + extra), how)
-        return joined.drop(*inner_names)
+        return left.join(F.broadcast(right), _all(conditions), how).drop(*inner_names)
 
     # at most rows / hot_rows keys, so this side is small by construction
     hot = F.broadcast(
         (left if hot_from is None else hot_from)
         .groupBy(*pairs)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > many)
-        .select(*[F.col(l).alias(f"_hot_{l}") for l in pairs], F.lit(True).alias("_hot"))
+        .agg(F.ceil(F.count("*") / many).alias("_salts"))
+        .where(F.col("_salts") > 1)
+        .select(*[F.col(l).alias(f"_hot_{l}") for l in pairs], "_salts")
     )
     hot_names = [f"_hot_{l}" for l in pairs]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALTS)).cast("int")
     no_key = reduce(lambda a, b: a | b, [F.col(l).isNull() for l in pairs])
+    row = F.xxhash64(*[F.col(c) for c in left.columns])
+    salts = F.when(no_key, NULL_KEY_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
     salted = (
         left.join(hot, _all([F.col(l) == F.col(f"_hot_{l}") for l in pairs]), "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0))
-        .drop(*hot_names, "_hot")
-    )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
+        .withColumn("_salt", F.pmod(row, salts))
+        .drop(*hot_names, "_salts")
     )
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)
     repeated = (
         right.join(hot, _all([F.col(f"_right_{l}") == F.col(f"_hot_{l}") for l in pairs]), "left")
-        .withColumn("_right_salt", F.explode(salts))
-        .drop(*hot_names, "_hot")
+        .withColumn("_right_salt", F.explode(every_salt))
+        .drop(*hot_names, "_salts")
     )
-    met = _all([*conditions, F.col("_salt") == F.col("_right_salt"), *extra])
+    met = _all([*conditions, F.col("_salt") == F.col("_right_salt")])
     return salted.join(repeated, met, how).drop(*inner_names, "_salt", "_right_salt")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from galley.functions import utc_literal
+
 
 def matching(
     df: DataFrame,
@@ -20,9 +22,9 @@ def matching(
 ) -> DataFrame:
     """Apply the filters that were given; an empty value is no filter."""
     if updated_after:
-        df = df.where(F.col("updated_at") > F.lit(updated_after))
+        df = df.where(F.col("updated_at") > utc_literal(updated_after))
     if updated_before:
-        df = df.where(F.col("updated_at") <= F.lit(updated_before))
+        df = df.where(F.col("updated_at") <= utc_literal(updated_before))
     wanted = {
         "brand": brand,
         "store_id": store_id,
@@ -36,8 +38,9 @@ def matching(
 
 
 def _after(updated_at: dt.datetime, delivery_id: str) -> Column:
-    later = F.col("updated_at") > F.lit(updated_at)
-    return later | ((F.col("updated_at") == F.lit(updated_at)) & (F.col("delivery_id") > delivery_id))
+    at = utc_literal(updated_at)
+    later = F.col("updated_at") > at
+    return later | ((F.col("updated_at") == at) & (F.col("delivery_id") > delivery_id))
 
 
 def page(

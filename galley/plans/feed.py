@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galley.functions import iso_utc, minutes_between
+from galley.functions import iso_utc, minutes_between, utc_literal
 from galley.operators.latest import latest_per_key
 from galley.operators.pages import matching
 from galley.operators.upsert import upsert
@@ -236,7 +236,7 @@ def violations(records: DataFrame, brands: Sequence[str], now: dt.datetime) -> D
         "negative_delivery_fee": F.col("delivery_fee") < 0,
         "negative_distance": F.col("distance_km") < 0,
         "unknown_brand": ~F.col("brand").isin(*brands) | F.col("brand").isNull(),
-        "future_updated_at": F.col("updated_at") > F.lit(now),
+        "future_updated_at": F.col("updated_at") > utc_literal(now),
     }
     broken = F.array_compact(F.array(*[F.when(fails, F.lit(name)) for name, fails in rules.items()]))
     return records.select(F.explode(broken).alias("rule"), "delivery_id", "order_id", "updated_at")
@@ -266,9 +266,9 @@ def in_chunks(
 
     The chunk follows from the update time by arithmetic; nothing is joined.
     """
-    begin = start - dt.timedelta(minutes=rewind_minutes)
-    kept = records.where((F.col("updated_at") >= F.lit(begin)) & (F.col("updated_at") < F.lit(end)))
-    passed = F.floor(F.timestamp_diff("SECOND", F.lit(begin), F.col("updated_at")) / (60 * chunk_minutes))
-    return kept.withColumn(
-        "chunk_start", F.timestamp_add("MINUTE", (passed * chunk_minutes).cast("int"), F.lit(begin))
-    )
+    begin = utc_literal(start - dt.timedelta(minutes=rewind_minutes))
+    updated = F.col("updated_at")
+    kept = records.where((updated >= begin) & (updated < utc_literal(end)))
+    passed = F.floor(F.timestamp_diff("SECOND", begin, updated) / (60 * chunk_minutes))
+    minutes = (passed * chunk_minutes).cast("int")
+    return kept.withColumn("chunk_start", F.timestamp_add("MINUTE", minutes, begin))

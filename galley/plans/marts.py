@@ -88,9 +88,10 @@ def dim_store(stores: DataFrame, previous: DataFrame | None, load_date: dt.date)
     return next_versions(previous, stores, load_date, "store_id", STORE_TRACKED, "store_sk")
 
 
-def _with_store(facts: DataFrame, stores: DataFrame) -> DataFrame:
+def _with_store(facts: DataFrame, stores: DataFrame, source: DataFrame) -> DataFrame:
+    """Key of the store version valid on the day of the fact."""
     versions = stores.select("store_id", "store_sk", "effective_from", "effective_to")
-    found = lookup(facts, versions, ["store_id"], residual=covers("date_sk"))
+    found = lookup(facts, versions, ["store_id"], residual=covers("date_sk"), hot_from=source)
     return found.drop("effective_from", "effective_to")
 
 
@@ -103,11 +104,15 @@ def fact_orders(
     promos: DataFrame,
 ) -> DataFrame:
     facts = orders.withColumn("date_sk", F.col("order_timestamp").cast("date"))
-    facts = lookup(facts, customers.select("customer_id", "customer_sk"), ["customer_id"])
-    facts = _with_store(facts, stores)
-    facts = lookup(facts, channels, ["channel"])
-    facts = lookup(facts, payment_methods, ["payment_method"])
-    facts = lookup(facts, promos.select("promo_code", "promo_sk"), ["promo_code"])
+    keys = {
+        "customer_id": customers.select("customer_id", "customer_sk"),
+        "channel": channels,
+        "payment_method": payment_methods,
+        "promo_code": promos.select("promo_code", "promo_sk"),
+    }
+    for key, dimension in keys.items():
+        facts = lookup(facts, dimension, [key], hot_from=orders)
+    facts = _with_store(facts, stores, orders)
     return facts.select(
         "order_id",
         "customer_sk",
@@ -139,9 +144,10 @@ def fact_order_items(
     items: DataFrame, products: DataFrame, stores: DataFrame, channels: DataFrame
 ) -> DataFrame:
     facts = items.withColumn("date_sk", F.col("order_timestamp").cast("date"))
-    facts = lookup(facts, products.select("product_id", "product_sk"), ["product_id"])
-    facts = _with_store(facts, stores)
-    facts = lookup(facts, channels, ["channel"])
+    goods = products.select("product_id", "product_sk")
+    facts = lookup(facts, goods, ["product_id"], hot_from=items)
+    facts = lookup(facts, channels, ["channel"], hot_from=items)
+    facts = _with_store(facts, stores, items)
     return facts.select(
         "order_id",
         "product_id",
@@ -162,7 +168,7 @@ def fact_order_items(
 
 def fact_deliveries(deliveries: DataFrame, stores: DataFrame) -> DataFrame:
     facts = deliveries.withColumn("date_sk", F.col("order_timestamp").cast("date"))
-    return _with_store(facts, stores).select(
+    return _with_store(facts, stores, deliveries).select(
         "order_id",
         "store_sk",
         "date_sk",
@@ -195,3 +201,28 @@ def rpt_order_summary(orders: DataFrame, items: DataFrame) -> DataFrame:
         F.coalesce("_lines", F.lit(0)).alias("items_per_order"),
         "order_revenue",
     )
+
+
+def order_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Order facts with their items and revenue, the base of all sales reports.
+
+    Stored once, it saves every report from joining the two fact tables again.
+    ``fact_orders`` holds an order once, so the totals of its lines are joined straight to
+    it. An order without an id has no totals.
+    """
+    totals = line_totals(items).withColumnRenamed("order_id", "_order")
+    lines = F.when(F.col("order_id").isNotNull(), F.coalesce("_lines", F.lit(0)))
+    return orders.join(totals, F.col("order_id") == F.col("_order"), "left").select(
+        "order_id",
+        "date_sk",
+        "order_timestamp",
+        "customer_sk",
+        "store_sk",
+        "channel_sk",
+        "promo_sk",
+        "promo_flag",
+        "new_vs_returning_customer_flag",
+        "customer_type",
+        lines.alias("items_per_order"),
+        "order_revenue",
+    )

@@ -12,7 +12,6 @@ from galley.functions import exact_ratio
 from galley.operators.joins import lookup
 from galley.operators.latest import latest_per_key
 from galley.operators.numbering import dense_number
-from galley.plans.views import orders_with_revenue
 
 
 def _money(column: str) -> Column:
@@ -115,19 +114,17 @@ def spend_quantiles(
     )
 
 
-def channel_mix(
-    orders: DataFrame, items: DataFrame, customers: DataFrame, channels: DataFrame
-) -> DataFrame:
+def channel_mix(sales: DataFrame, customers: DataFrame, channels: DataFrame) -> DataFrame:
     """Orders and revenue per customer and channel."""
-    known = orders.where(F.col("customer_sk").isNotNull() & F.col("channel_sk").isNotNull())
-    summed = orders_with_revenue(known, items).groupBy("customer_sk", "channel_sk").agg(
+    known = sales.where(F.col("customer_sk").isNotNull() & F.col("channel_sk").isNotNull())
+    summed = known.groupBy("customer_sk", "channel_sk").agg(
         F.count("order_id").alias("order_count"),
         F.sum("order_revenue").cast("double").alias("revenue"),
     )
-    named = lookup(summed, channels, ["channel_sk"], "inner")
-    return lookup(named, customers.select("customer_sk", "customer_id"), ["customer_sk"], "inner").select(
-        "customer_id", "channel", "order_count", "revenue"
-    )
+    named = lookup(summed, channels, ["channel_sk"], "inner", hot_from=sales)
+    # a row per channel is left of every customer, so no key is hot here
+    ids = customers.select("customer_sk", "customer_id")
+    return named.join(ids, "customer_sk").select("customer_id", "channel", "order_count", "revenue")
 
 
 def best_products(products: DataFrame, limit: int = 10) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from galley.functions import blank_to_null
 from galley.operators.joins import full_compare, lookup
 from galley.plans.quality import AuditRun
-from galley.plans.views import orders_with_revenue
 
 NO_PROMO = "NO_PROMO"
 UNKNOWN = "UNKNOWN"
@@ -75,17 +74,17 @@ def reconciliation(tables: Mapping[str, DataFrame], run: AuditRun) -> DataFrame:
         F.sum("subtotal_ngn").alias("revenue"),
         F.count_if(blank_to_null(F.col("promo_code")).isNotNull()).alias("promo_orders"),
     )
-    sold = orders_with_revenue(t["fact_orders"], t["fact_order_items"]).groupBy(
-        "store_sk", "channel_sk", "promo_sk"
-    ).agg(
+    sold = t["order_sales"].groupBy("store_sk", "channel_sk", "promo_sk").agg(
         F.count("*").alias("orders"),
         F.sum("order_revenue").alias("revenue"),
         F.sum("promo_flag").alias("promo_orders"),
     )
     stores = t["dim_store"].select("store_sk", "store_id")
-    sold = lookup(sold, stores, ["store_sk"])
-    sold = lookup(sold, t["dim_channel"], ["channel_sk"])
-    sold = lookup(sold, t["dim_promo"].select("promo_sk", "promo_code"), ["promo_sk"])
+    counted = t["order_sales"]
+    sold = lookup(sold, stores, ["store_sk"], hot_from=counted)
+    sold = lookup(sold, t["dim_channel"], ["channel_sk"], hot_from=counted)
+    promos = t["dim_promo"].select("promo_sk", "promo_code")
+    sold = lookup(sold, promos, ["promo_sk"], hot_from=counted)
     sold = sold.withColumn("promo_key", F.coalesce("promo_code", F.lit(NO_PROMO)))
 
     def lines(name: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Facts are summed by their surrogate keys first and named afterwards, so only the summed
 rows meet the dimensions. A surrogate key has one name, and on one day a store has one
-version, so no second grouping is needed. ``fact_orders`` holds an order once; counting
-orders therefore needs no distinct.
+version, so no second grouping is needed. ``sales`` is ``marts.order_sales``, which holds
+an order once; counting orders therefore needs no distinct.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from galley.functions import exact_ratio
 from galley.operators.joins import lookup
-from galley.plans.marts import line_totals
 
 
 def _resolved(facts: DataFrame, *keys: str) -> DataFrame:
@@ -23,17 +22,6 @@ def _resolved(facts: DataFrame, *keys: str) -> DataFrame:
     return facts.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
 
-def orders_with_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Order facts with ``items_per_order`` and ``order_revenue``.
-
-    An order without an id has no summary row.
-    """
-    totals = line_totals(items).withColumnRenamed("order_id", "_order")
-    joined = orders.join(totals, F.col("order_id") == F.col("_order"), "left")
-    lines = F.when(F.col("order_id").isNotNull(), F.coalesce("_lines", F.lit(0)))
-    return joined.withColumn("items_per_order", lines).drop("_order", "_lines")
-
-
 def _named_store(summed: DataFrame, stores: DataFrame) -> DataFrame:
     names = stores.select("store_sk", "store_id", F.col("clean_city").alias("city"))
     return lookup(summed, names, ["store_sk"], "inner")
@@ -44,13 +32,12 @@ def _named_day(summed: DataFrame, dates: DataFrame, *parts: str) -> DataFrame:
 
 
 def vw_sales_performance(
-    orders: DataFrame, items: DataFrame, dates: DataFrame, stores: DataFrame, channels: DataFrame
+    sales: DataFrame, dates: DataFrame, stores: DataFrame, channels: DataFrame
 ) -> DataFrame:
     """Sales per day, store and channel. Orders with an unresolved key are left out."""
     keys = ["date_sk", "store_sk", "channel_sk"]
-    sales = orders_with_revenue(_resolved(orders, *keys), items)
     customer = F.col("new_vs_returning_customer_flag")
-    summed = sales.groupBy(*keys).agg(
+    summed = _resolved(sales, *keys).groupBy(*keys).agg(
         F.count("order_id").alias("order_count"),
         F.sum("order_revenue").alias("_revenue"),
         F.sum("items_per_order").alias("total_items"),
@@ -125,7 +112,7 @@ def vw_product_performance(
     goods = products.select(
         "product_sk", "product_id", F.col("unified_category").alias("category")
     )
-    return lookup(named, goods, ["product_sk"], "inner").select(
+    return lookup(named, goods, ["product_sk"], "inner", hot_from=items).select(
         "full_date",
         "year",
         "month",
@@ -139,12 +126,9 @@ def vw_product_performance(
     )
 
 
-def vw_customer_summary(
-    orders: DataFrame, items: DataFrame, customers: DataFrame
-) -> DataFrame:
+def vw_customer_summary(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Lifetime totals per customer. The type is the alphabetically last one."""
-    sales = orders_with_revenue(_resolved(orders, "customer_sk"), items)
-    totals = sales.groupBy("customer_sk").agg(
+    totals = _resolved(sales, "customer_sk").groupBy("customer_sk").agg(
         F.count("order_id").alias("lifetime_order_count"),
         F.sum("order_revenue").cast("double").alias("lifetime_revenue"),
         F.min("order_timestamp").alias("first_order_at"),
