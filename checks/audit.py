@@ -192,6 +192,18 @@ TABLES["recon"] = f"""
 # queries -----------------------------------------------------------------------------
 
 
+def _stored_results(spark, sf):
+    return lake(spark, sf).audited("data_quality_results", lambda: audit(spark, sf).results())
+
+
+def _stored_exceptions(spark, sf):
+    return lake(spark, sf).audited("data_quality_exceptions", lambda: audit(spark, sf).exceptions())
+
+
+def _stored_recon(spark, sf):
+    return lake(spark, sf).audited("reconciliation", lambda: reconciliation(tables(spark, sf), RUN))
+
+
 @query("dq1_41_results", "SELECT * FROM dq_results")
 def results(spark, sf):
     return audit(spark, sf).results().drop("checked_at")
@@ -205,7 +217,8 @@ def exceptions(spark, sf):
 register(
     "exc2_rulebook",
     lambda spark, sf: rulebook(spark).join(
-        exceptions(spark, sf).groupBy("severity").agg(F.count("*").alias("exception_count")), "severity"
+        _stored_exceptions(spark, sf).groupBy("severity").agg(F.count("*").alias("exception_count")),
+        "severity",
     ),
     "SELECT severity, handling_action, handling_notes, exception_count FROM (VALUES "
     + ", ".join("(" + ", ".join(_quoted(v) for v in row) + ")" for row in RULEBOOK)
@@ -214,16 +227,34 @@ register(
 )
 
 
+def _history(spark, sf, name, rows, runs):
+    """A history in which some run was written twice."""
+    store = lake(spark, sf).store
+    for run in runs:
+        store.write_partition("audit", name, rows.drop("run_id"), "run_id", run)
+    return store.read_all("audit", name)
+
+
 @query(
     "exc3_history",
     "SELECT * REPLACE ('first' AS run_id) FROM dq_results UNION ALL SELECT * REPLACE ('second' AS run_id) FROM dq_results",
 )
 def history(spark, sf):
-    """Two runs, one of them written twice."""
-    store, found = lake(spark, sf).store, results(spark, sf).drop("run_id")
-    for run in ("first", "second", "second"):
-        store.write_partition("audit", "data_quality_results_history", found, "run_id", run)
-    return store.read_all("audit", "data_quality_results_history")
+    rows = _stored_results(spark, sf).drop("checked_at")
+    return _history(spark, sf, "data_quality_results_history", rows, ("first", "second", "second"))
+
+
+@query(
+    "exc3_exception_history",
+    "SELECT * REPLACE ('2001:a' AS run_id) FROM dq_exceptions",
+)
+def exception_history(spark, sf):
+    """A run whose rerun finds nothing keeps no rows."""
+    rows = _stored_exceptions(spark, sf).drop("detected_at")
+    store = lake(spark, sf).store
+    for run, found in (("2001:a", rows), ("2001:b", rows), ("2001:b", rows.where("false"))):
+        store.write_partition("audit", "exceptions_history", found.drop("run_id"), "run_id", run)
+    return store.read_all("audit", "exceptions_history")
 
 
 @query(
@@ -231,7 +262,7 @@ def history(spark, sf):
     "SELECT check_name, severity, source_table, count(*) AS exception_count FROM dq_exceptions GROUP BY ALL",
 )
 def summary(spark, sf):
-    found = exception_summary(audit(spark, sf).exceptions())
+    found = exception_summary(_stored_exceptions(spark, sf))
     return found.drop("first_detected_at", "last_detected_at")
 
 
@@ -258,10 +289,12 @@ def _layer(name):
     ),
 )
 def run_summary(spark, sf):
-    checked, here = audit(spark, sf), tables(spark, sf)
-    counted = {_layer(n): here[n] for n in _COUNTED}
+    here = tables(spark, sf)
     return monitoring.run_summary(
-        counted, checked.results(), reconciliation(here, RUN), checked.exceptions()
+        {_layer(n): here[n] for n in _COUNTED},
+        _stored_results(spark, sf),
+        _stored_recon(spark, sf),
+        _stored_exceptions(spark, sf),
     )
 
 
@@ -273,12 +306,11 @@ def run_summary(spark, sf):
        WHERE severity = 'ERROR' GROUP BY check_name""",
 )
 def gate(spark, sf):
-    checked = audit(spark, sf)
+    details = {}
     try:
         assert_audit_passed(
-            checked.results(), reconciliation(tables(spark, sf), RUN), checked.exceptions()
+            _stored_results(spark, sf), _stored_recon(spark, sf), _stored_exceptions(spark, sf)
         )
-        details = {}
     except AuditFailed as failure:
         details = failure.details
     rows = [("quality_checks", name, 1) for name in details.get("quality_checks", [])]
@@ -294,10 +326,8 @@ def recon(spark, sf):
 
 @query("rec15_history", "SELECT * REPLACE ('one' AS run_id) FROM recon UNION ALL SELECT * REPLACE ('two' AS run_id) FROM recon")
 def recon_history(spark, sf):
-    store, found = lake(spark, sf).store, recon(spark, sf).drop("run_id")
-    for run in ("one", "two", "one"):
-        store.write_partition("audit", "reconciliation_history", found, "run_id", run)
-    return store.read_all("audit", "reconciliation_history")
+    rows = _stored_recon(spark, sf).drop("reconciled_at")
+    return _history(spark, sf, "reconciliation_history", rows, ("one", "two", "one"))
 
 
 # profiles ----------------------------------------------------------------------------

@@ -95,6 +95,12 @@ class Lake:
     def any(self, name: str) -> DataFrame:
         return self.staged(name) if name.startswith("int_") else self.mart(name)
 
+    # audit ---------------------------------------------------------------------------
+
+    def audited(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """An audit table, stored for the reports and gates that read it."""
+        return self._stored("audit", name, build)
+
     def many(self, *names: str) -> list[DataFrame]:
         return [self.any(n) for n in names]
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galley.functions import blank_to_null
+from galley.operators.durable import pin
 from galley.operators.joins import full_compare, lookup
 from galley.plans.quality import AuditRun
 
@@ -64,15 +65,17 @@ def _by_key(
 def reconciliation(tables: Mapping[str, DataFrame], run: AuditRun) -> DataFrame:
     """Compare staged sources with facts: totals, and by store, channel, product and promo.
 
-    Each table is summed once by all the keys it is compared on; the comparisons then
-    roll those sums up, so no table is read once per metric.
+    Each table is summed once by all the keys it is compared on, and the sums are pinned;
+    the comparisons roll them up, so no table is read once per metric.
     """
     t = tables
     promo = F.coalesce(blank_to_null(F.col("promo_code")), F.lit(NO_PROMO))
-    placed = t["int_orders"].groupBy("store_id", "channel", promo.alias("promo_key")).agg(
-        F.count("*").alias("orders"),
-        F.sum("subtotal_ngn").alias("revenue"),
-        F.count_if(blank_to_null(F.col("promo_code")).isNotNull()).alias("promo_orders"),
+    placed = pin(
+        t["int_orders"].groupBy("store_id", "channel", promo.alias("promo_key")).agg(
+            F.count("*").alias("orders"),
+            F.sum("subtotal_ngn").alias("revenue"),
+            F.count_if(blank_to_null(F.col("promo_code")).isNotNull()).alias("promo_orders"),
+        )
     )
     sold = t["order_sales"].groupBy("store_sk", "channel_sk", "promo_sk").agg(
         F.count("*").alias("orders"),
@@ -85,16 +88,20 @@ def reconciliation(tables: Mapping[str, DataFrame], run: AuditRun) -> DataFrame:
     sold = lookup(sold, t["dim_channel"], ["channel_sk"], hot_from=counted)
     promos = t["dim_promo"].select("promo_sk", "promo_code")
     sold = lookup(sold, promos, ["promo_sk"], hot_from=counted)
-    sold = sold.withColumn("promo_key", F.coalesce("promo_code", F.lit(NO_PROMO)))
+    sold = pin(sold.withColumn("promo_key", F.coalesce("promo_code", F.lit(NO_PROMO))))
 
     def lines(name: str) -> DataFrame:
-        return t[name].groupBy("product_id").agg(
-            F.count("*").alias("lines"), F.sum("product_revenue").alias("revenue")
+        return pin(
+            t[name].groupBy("product_id").agg(
+                F.count("*").alias("lines"), F.sum("product_revenue").alias("revenue")
+            )
         )
 
     def drops(name: str, key: str) -> DataFrame:
-        return t[name].groupBy(key).agg(
-            F.count("*").alias("deliveries"), F.sum("delivery_sla_met_flag").alias("met")
+        return pin(
+            t[name].groupBy(key).agg(
+                F.count("*").alias("deliveries"), F.sum("delivery_sla_met_flag").alias("met")
+            )
         )
 
     items, item_facts = lines("int_order_items"), lines("fact_order_items")

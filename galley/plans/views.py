@@ -128,11 +128,19 @@ def vw_product_performance(
 
 def vw_customer_summary(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Lifetime totals per customer. The type is the alphabetically last one."""
-    totals = _resolved(sales, "customer_sk").groupBy("customer_sk").agg(
-        F.count("order_id").alias("lifetime_order_count"),
-        F.sum("order_revenue").cast("double").alias("lifetime_revenue"),
-        F.min("order_timestamp").alias("first_order_at"),
-        F.max("order_timestamp").alias("most_recent_order_at"),
+    # by type first: the text maximum is then taken over two rows per customer at most,
+    # and the pass over all orders stays a hash aggregation
+    by_type = _resolved(sales, "customer_sk").groupBy("customer_sk", "customer_type").agg(
+        F.count("order_id").alias("_orders"),
+        F.sum("order_revenue").alias("_revenue"),
+        F.min("order_timestamp").alias("_first"),
+        F.max("order_timestamp").alias("_last"),
+    )
+    totals = by_type.groupBy("customer_sk").agg(
+        F.sum("_orders").alias("lifetime_order_count"),
+        F.sum("_revenue").cast("double").alias("lifetime_revenue"),
+        F.min("_first").alias("first_order_at"),
+        F.max("_last").alias("most_recent_order_at"),
         F.max("customer_type").alias("latest_customer_type"),
     )
     named = customers.select(F.col("customer_sk").alias("_sk"), "customer_id")
