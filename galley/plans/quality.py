@@ -1,6 +1,6 @@
 """Data-quality results and row-level exceptions.
 
-Rules are data: a predicate per check. Each table is tagged once with what the rules
+Rules are data: a SQL predicate per check. Each table is tagged once with what the rules
 need from other tables, and all its rules are evaluated in that one pass; results count
 the rows that fail, exceptions list them.
 """
@@ -12,16 +12,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from galley.functions import blank_to_null, join_all, join_any
 from galley.operators.joins import mark_known
 from galley.plans.quality_texts import CHECKS, RULEBOOK
 from galley.sources.contracts import CHANNELS, DELIVERED_CHANNELS
 
-Rules = Mapping[str, Column]
+Rules = Mapping[str, str]
 
 
 @dataclass(frozen=True)
@@ -39,86 +38,79 @@ def manual_run(execution_date: dt.date, **options) -> AuditRun:
     return AuditRun(f"manual-{execution_date}", execution_date, execution_date, **options)
 
 
-def _any_null(*columns: str) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+def _listed(values: Sequence[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-# rules per table ---------------------------------------------------------------------
+# rules per table: SQL predicates that hold for the rows at fault -----------------------
 
 
 def order_rules(run: AuditRun) -> Rules:
     """Over orders tagged by ``tag_orders``."""
-    day = F.col("order_timestamp").cast("date")
-    today = F.lit(run.today)
-    off = F.col("subtotal_ngn") - F.col("discount_ngn") + F.col("tax_ngn") + F.col("delivery_fee_ngn")
+    day = "CAST(order_timestamp AS DATE)"
     return {
-        "orphan_order_customer": ~F.col("_has_customer"),
-        "orphan_order_store": ~F.col("_has_store"),
-        "null_critical_order_fields": _any_null(
-            "order_id", "customer_id", "store_id", "order_timestamp"
+        "orphan_order_customer": "NOT _has_customer",
+        "orphan_order_store": "NOT _has_store",
+        "null_critical_order_fields": (
+            "order_id IS NULL OR customer_id IS NULL OR store_id IS NULL OR order_timestamp IS NULL"
         ),
-        "negative_order_amount": (F.col("subtotal_ngn") < 0) | (F.col("total_amount_ngn") < 0),
-        "invalid_channel": ~F.col("channel").isin(*CHANNELS) | F.col("channel").isNull(),
-        "missing_delivery_for_delivery_order": F.col("channel").isin(*DELIVERED_CHANNELS)
-        & ~F.col("_has_delivery"),
-        "invalid_order_timestamp": day.isNull()
-        | (day < F.lit(run.earliest_order))
-        | (day > F.date_add(today, 1)),
-        "discount_exceeds_subtotal": F.col("discount_ngn") > F.col("subtotal_ngn"),
-        "order_total_formula_mismatch": F.abs(off - F.col("total_amount_ngn")) > F.lit("0.05").cast("decimal(4,2)"),
-        "order_items_count_mismatch": F.col("_lines") != F.col("items_count"),
-        "order_quantity_total_mismatch": F.col("_units") != F.col("qty_total"),
-        "promo_with_zero_discount": blank_to_null(F.col("promo_code")).isNotNull()
-        & (F.col("discount_ngn") == 0),
-        "late_arriving_order_records": (F.col("_loaded_at").cast("date") > F.date_add(day, 1))
-        & (day >= F.date_sub(today, run.late_window_days)),
-        "order_item_subtotal_mismatch": F.abs(F.col("_line_revenue") - F.col("subtotal_ngn"))
-        > F.lit("0.01").cast("decimal(4,2)"),
-    }
-
-
-def item_rules() -> Rules:
-    return {
-        "orphan_item_order": ~F.col("_has_order"),
-        "orphan_item_product": ~F.col("_has_product"),
-        "negative_item_revenue": (F.col("product_revenue") < 0) | (F.col("quantity") <= 0),
-    }
-
-
-def delivery_rules() -> Rules:
-    return {
-        "orphan_delivery_order": ~F.col("_has_order"),
-        "invalid_delivery_sla_flag": ~F.col("delivery_sla_met_flag").isin(0, 1)
-        | F.col("delivery_sla_met_flag").isNull(),
-        "invalid_delivery_time": _any_null("promised_delivery_minutes", "actual_delivery_minutes")
-        | (F.col("promised_delivery_minutes") <= 0)
-        | (F.col("actual_delivery_minutes") <= 0),
-    }
-
-
-def fact_order_rules() -> Rules:
-    return {
-        "missing_fact_store_mapping": F.col("store_sk").isNull(),
-        "fact_orders_null_foreign_key": _any_null(
-            "customer_sk", "store_sk", "channel_sk", "payment_method_sk", "promo_sk", "date_sk"
+        "negative_order_amount": "subtotal_ngn < 0 OR total_amount_ngn < 0",
+        "invalid_channel": f"channel IS NULL OR channel NOT IN ({_listed(CHANNELS)})",
+        "missing_delivery_for_delivery_order": (
+            f"channel IN ({_listed(DELIVERED_CHANNELS)}) AND NOT _has_delivery"
         ),
-    }
-
-
-def fact_item_rules() -> Rules:
-    return {
-        "missing_fact_product_mapping": F.col("product_sk").isNull(),
-        "fact_order_items_null_foreign_key": _any_null(
-            "product_sk", "store_sk", "channel_sk", "date_sk"
+        "invalid_order_timestamp": (
+            f"order_timestamp IS NULL OR {day} < DATE '{run.earliest_order}'"
+            f" OR {day} > date_add(DATE '{run.today}', 1)"
+        ),
+        "discount_exceeds_subtotal": "discount_ngn > subtotal_ngn",
+        "order_total_formula_mismatch": (
+            "abs(subtotal_ngn - discount_ngn + tax_ngn + delivery_fee_ngn - total_amount_ngn) > 0.05"
         ),
+        "order_items_count_mismatch": "_lines <> items_count",
+        "order_quantity_total_mismatch": "_units <> qty_total",
+        "promo_with_zero_discount": "promo_code <> '' AND discount_ngn = 0",
+        "late_arriving_order_records": (
+            f"CAST(_loaded_at AS DATE) > date_add({day}, 1)"
+            f" AND {day} >= date_sub(DATE '{run.today}', {run.late_window_days})"
+        ),
+        "order_item_subtotal_mismatch": "abs(_line_revenue - subtotal_ngn) > 0.01",
     }
 
 
-def fact_delivery_rules() -> Rules:
-    return {
-        "fact_deliveries_null_foreign_key": _any_null("store_sk", "date_sk"),
-    }
-
+ITEM_RULES: Rules = {
+    "orphan_item_order": "NOT _has_order",
+    "orphan_item_product": "NOT _has_product",
+    "negative_item_revenue": "product_revenue < 0 OR quantity <= 0",
+}
+
+DELIVERY_RULES: Rules = {
+    "orphan_delivery_order": "NOT _has_order",
+    "invalid_delivery_sla_flag": "delivery_sla_met_flag IS NULL OR delivery_sla_met_flag NOT IN (0, 1)",
+    "invalid_delivery_time": (
+        "promised_delivery_minutes IS NULL OR promised_delivery_minutes <= 0"
+        " OR actual_delivery_minutes IS NULL OR actual_delivery_minutes <= 0"
+    ),
+}
+
+FACT_ORDER_RULES: Rules = {
+    "missing_fact_store_mapping": "store_sk IS NULL",
+    "fact_orders_null_foreign_key": (
+        "customer_sk IS NULL OR store_sk IS NULL OR channel_sk IS NULL"
+        " OR payment_method_sk IS NULL OR promo_sk IS NULL OR date_sk IS NULL"
+    ),
+}
+
+FACT_ITEM_RULES: Rules = {
+    "missing_fact_product_mapping": "product_sk IS NULL",
+    "fact_order_items_null_foreign_key": (
+        "product_sk IS NULL OR store_sk IS NULL OR channel_sk IS NULL OR date_sk IS NULL"
+    ),
+}
+
+FACT_DELIVERY_RULES: Rules = {
+    "fact_deliveries_null_foreign_key": "store_sk IS NULL OR date_sk IS NULL",
+}
 
 # Exceptions of these checks name no source file.
 _NO_LINEAGE = ("missing_fact_store_mapping", "missing_fact_product_mapping")
@@ -159,27 +151,26 @@ def tag_deliveries(deliveries: DataFrame, orders: DataFrame) -> DataFrame:
 # measuring ---------------------------------------------------------------------------
 
 
-def duplicate_count(df: DataFrame, key: Column, name: str) -> DataFrame:
+def duplicate_count(df: DataFrame, key: str, name: str) -> DataFrame:
     """Rows minus distinct keys, as one named row. Every NULL key counts.
 
     Rows are counted per key before the shuffle.
     """
-    per_key = df.groupBy(key.alias("_key")).agg(F.count("*").alias("_n"))
-    spare = F.col("_n") - F.when(F.col("_key").isNull(), 0).otherwise(1)
-    total = F.coalesce(F.sum(spare), F.lit(0)).cast("bigint")
-    return per_key.agg(total.alias("observed_value")).select(
-        F.lit(name).alias("check_name"), "observed_value"
+    per_key = df.groupBy(F.expr(key).alias("_key")).agg(F.count("*").alias("_n"))
+    spare = F.expr("coalesce(sum(_n - IF(_key IS NULL, 0, 1)), 0)")
+    return per_key.agg(spare.alias("observed_value")).selectExpr(
+        f"'{name}' AS check_name", "CAST(observed_value AS BIGINT) AS observed_value"
     )
 
 
 def failing_counts(df: DataFrame, rules: Rules, record_count: str | None = None) -> DataFrame:
     """One pass over ``df``: the number of failing rows per rule."""
-    counts = {name: F.count_if(fails) for name, fails in rules.items()}
+    counts = {name: f"count_if({fails})" for name, fails in rules.items()}
     if record_count:
-        counts[record_count] = F.count("*")
-    one_row = df.agg(*[count.alias(name) for name, count in counts.items()])
-    pairs = [F.struct(F.lit(n).alias("check_name"), F.col(n).alias("observed_value")) for n in counts]
-    return one_row.select(F.inline(F.array(*pairs)))
+        counts[record_count] = "count(*)"
+    one_row = df.agg(*[F.expr(f"{count} AS {name}") for name, count in counts.items()])
+    pairs = ", ".join(f"'{name}', {name}" for name in counts)
+    return one_row.selectExpr(f"stack({len(counts)}, {pairs}) AS (check_name, observed_value)")
 
 
 def daily_jumps(orders: DataFrame) -> DataFrame:
@@ -197,18 +188,20 @@ def daily_jumps(orders: DataFrame) -> DataFrame:
     )
 
 
-def failing_rows(df: DataFrame, rules: Rules, key: Column) -> DataFrame:
+def failing_rows(df: DataFrame, rules: Rules, key: str) -> DataFrame:
     """One row per failing row and rule."""
-    failed = F.array_compact(F.array(*[F.when(fails, F.lit(name)) for name, fails in rules.items()]))
-    rows = df.select(
-        F.explode(failed).alias("check_name"),
-        key.alias("record_key"),
-        F.col("_source_file").alias("source_file"),
-        F.col("_loaded_at").alias("loaded_at"),
-    )
-    named = ~F.col("check_name").isin(*_NO_LINEAGE)
-    return rows.withColumns(
-        {"source_file": F.when(named, F.col("source_file")), "loaded_at": F.when(named, F.col("loaded_at"))}
+    cases = ", ".join(f"IF({fails}, '{name}', NULL)" for name, fails in rules.items())
+    named = f"check_name NOT IN ({_listed(_NO_LINEAGE)})"
+    return df.selectExpr(
+        f"explode(array_compact(array({cases}))) AS check_name",
+        f"{key} AS record_key",
+        "_source_file",
+        "_loaded_at",
+    ).selectExpr(
+        "check_name",
+        "record_key",
+        f"IF({named}, _source_file, NULL) AS source_file",
+        f"IF({named}, _loaded_at, NULL) AS loaded_at",
     )
 
 
@@ -219,9 +212,9 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
         F.min("_source_file").alias("source_file"),
         F.max("_loaded_at").alias("loaded_at"),
     )
-    text = reduce(lambda a, b: join_all(a, F.lit("|"), b), [F.col(k) for k in keys])
-    return per_key.where(F.col("_n") > 1).select(
-        F.lit(name).alias("check_name"), text.alias("record_key"), "source_file", "loaded_at"
+    text = " || '|' || ".join(keys)
+    return per_key.where("_n > 1").selectExpr(
+        f"'{name}' AS check_name", f"{text} AS record_key", "source_file", "loaded_at"
     )
 
 
@@ -251,17 +244,15 @@ class QualityAudit:
     def deliveries(self) -> DataFrame:
         return tag_deliveries(self.t["int_deliveries"], self.t["int_orders"])
 
-    def _row_checks(self) -> list[tuple[DataFrame, Rules, Column, str | None]]:
-        line_key = join_all(F.col("order_id"), F.lit("|"), F.col("product_id"))
-        order_key = F.col("order_id")
-        t = self.t
+    def _row_checks(self) -> list[tuple[DataFrame, Rules, str, str | None]]:
+        t, line = self.t, "order_id || '|' || product_id"
         return [
-            (self.orders, order_rules(self.run), order_key, "orders_record_count"),
-            (self.items, item_rules(), line_key, "order_items_record_count"),
-            (self.deliveries, delivery_rules(), order_key, "deliveries_record_count"),
-            (t["fact_orders"], fact_order_rules(), order_key, None),
-            (t["fact_order_items"], fact_item_rules(), line_key, None),
-            (t["fact_deliveries"], fact_delivery_rules(), order_key, None),
+            (self.orders, order_rules(self.run), "order_id", "orders_record_count"),
+            (self.items, ITEM_RULES, line, "order_items_record_count"),
+            (self.deliveries, DELIVERY_RULES, "order_id", "deliveries_record_count"),
+            (t["fact_orders"], FACT_ORDER_RULES, "order_id", None),
+            (t["fact_order_items"], FACT_ITEM_RULES, line, None),
+            (t["fact_deliveries"], FACT_DELIVERY_RULES, "order_id", None),
         ]
 
     def observed(self) -> DataFrame:
@@ -270,18 +261,21 @@ class QualityAudit:
         parts = [failing_counts(df, rules, total) for df, rules, _, total in self._row_checks()]
         for name in ("customers", "stores", "products"):
             parts.append(failing_counts(t[f"int_{name}"], {}, f"{name}_record_count"))
-        pair = (F.col("order_id"), F.lit("|"), F.col("product_id"))
         keys = {
-            "duplicate_customer_id": (t["int_customers"], F.col("customer_id")),
-            "duplicate_store_id": (t["int_stores"], F.col("store_id")),
-            "duplicate_product_id": (t["int_products"], F.col("product_id")),
-            "duplicate_order_id": (t["int_orders"], F.col("order_id")),
+            "duplicate_customer_id": (t["int_customers"], "customer_id"),
+            "duplicate_store_id": (t["int_stores"], "store_id"),
+            "duplicate_product_id": (t["int_products"], "product_id"),
+            "duplicate_order_id": (t["int_orders"], "order_id"),
             # this key skips NULLs, the one of the fact grain does not
-            "duplicate_order_item_key": (t["int_order_items"], join_any(*pair)),
-            "duplicate_dim_customer_sk": (t["dim_customer"], F.col("customer_sk")),
-            "duplicate_dim_product_sk": (t["dim_product"], F.col("product_sk")),
-            "duplicate_dim_store_current_row": (t["dim_store"].where("is_current"), F.col("store_id")),
-            "duplicate_fact_order_item_grain": (t["fact_order_items"], join_all(*pair)),
+            "duplicate_order_item_key": (
+                t["int_order_items"], "concat_ws('', order_id, '|', product_id)"
+            ),
+            "duplicate_dim_customer_sk": (t["dim_customer"], "customer_sk"),
+            "duplicate_dim_product_sk": (t["dim_product"], "product_sk"),
+            "duplicate_dim_store_current_row": (t["dim_store"].where("is_current"), "store_id"),
+            "duplicate_fact_order_item_grain": (
+                t["fact_order_items"], "order_id || '|' || product_id"
+            ),
         }
         parts += [duplicate_count(df, key, name) for name, (df, key) in keys.items()]
         jumps = daily_jumps(t["int_orders"]).agg(F.count("*").alias("observed_value"))
@@ -296,13 +290,10 @@ class QualityAudit:
             [(c.name, c.severity, c.minimum) for c in CHECKS],
             "check_name string, severity string, expected_minimum int",
         )
-        low = F.col("check_name").like("%record_count")
-        observed, minimum = F.col("observed_value"), F.col("expected_minimum")
-        status = (
-            F.when(low & (observed < minimum), "FAIL")
-            .when(~low & (observed > minimum), F.when(F.col("severity") == "WARN", "WARN").otherwise("FAIL"))
-            .otherwise("PASS")
-        )
+        status = """CASE
+            WHEN check_name LIKE '%record_count' THEN IF(observed_value < expected_minimum, 'FAIL', 'PASS')
+            WHEN observed_value <= expected_minimum THEN 'PASS'
+            WHEN severity = 'WARN' THEN 'WARN' ELSE 'FAIL' END"""
         return self.observed().join(F.broadcast(known), "check_name").select(
             F.lit(self.run.run_id).alias("run_id"),
             F.lit(self.run.execution_date).alias("execution_date"),
@@ -311,7 +302,7 @@ class QualityAudit:
             "severity",
             "observed_value",
             "expected_minimum",
-            status.alias("status"),
+            F.expr(status).alias("status"),
         )
 
     def exceptions(self) -> DataFrame:

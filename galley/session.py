@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # call sites in error messages cost a stack walk per column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
