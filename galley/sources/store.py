@@ -21,7 +21,13 @@ class TableStore:
     def replace(
         self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Rebuild a table that does not read itself."""
+        """Rebuild a table that does not read itself.
+
+        With partitions, rows are first brought together by them, and Spark sizes the
+        tasks, so that no task writes a file to every partition.
+        """
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(layer, name))
         return self.read(layer, name)
 
