@@ -232,7 +232,7 @@ def _history(spark, sf, name, rows, runs):
     store = lake(spark, sf).store
     for run in runs:
         store.write_partition("audit", name, rows.drop("run_id"), "run_id", run)
-    return store.read_all("audit", name)
+    return store.read_all("audit", name, "run_id")
 
 
 @query(
@@ -254,7 +254,7 @@ def exception_history(spark, sf):
     store = lake(spark, sf).store
     for run, found in (("2001:a", rows), ("2001:b", rows), ("2001:b", rows.where("false"))):
         store.write_partition("audit", "exceptions_history", found.drop("run_id"), "run_id", run)
-    return store.read_all("audit", "exceptions_history")
+    return store.read_all("audit", "exceptions_history", "run_id")
 
 
 @query(

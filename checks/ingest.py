@@ -211,7 +211,7 @@ def appended(spark, sf):
     for run, snapshot in (("r1", 2), ("r2", 2), ("r1", 1)):
         rows = mapping.stores(spark, sf, snapshot).select("store_id")
         store.write_partition("audit", "stores_seen", rows, "run_id", run)
-    return store.read_all("audit", "stores_seen")
+    return store.read_all("audit", "stores_seen", "run_id")
 
 
 # drift -------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from galley.operators.together import together
 from galley.plans import marts, staging
 from galley.plans.quality import AuditRun, QualityAudit, assert_audit_passed, rulebook
 from galley.plans.reconcile import reconciliation
@@ -22,13 +23,18 @@ Tables = dict[str, DataFrame]
 
 
 def build_staging(store: TableStore, run: AuditRun) -> Tables:
-    """Stage all loads of every source."""
+    """Stage all loads of every source; lines come last, as they take over order columns."""
     batch = staging.run_batch_id("staging", run.execution_date)
-    staged: Tables = {}
-    for entity in ENTITIES:
-        name, raw = f"int_{entity}", store.read_loads(entity)
-        inputs = [raw, staged["int_orders"]] if entity == "order_items" else [raw]
-        staged[name] = store.replace("staging", name, getattr(staging, name)(*inputs, batch))
+
+    def stage(entity: str, *parents: DataFrame) -> DataFrame:
+        name = f"int_{entity}"
+        build = getattr(staging, name)
+        return store.replace("staging", name, build(store.read_loads(entity), *parents, batch))
+
+    staged = together(
+        {f"int_{e}": lambda e=e: stage(e) for e in ENTITIES if e != "order_items"}
+    )
+    staged["int_order_items"] = stage("order_items", staged["int_orders"])
     return staged
 
 
@@ -39,45 +45,56 @@ def build_marts(
 
     ``partition_facts`` lays the facts out by month, which is meant for large warehouses.
     """
-    built: Tables = {}
-    built["dim_store"] = store.advance(
-        "marts",
-        "dim_store",
-        marts.dim_store(t["int_stores"], store.latest("marts", "dim_store"), run.execution_date),
-    )
 
-    def keep(name: str, df: DataFrame) -> None:
-        built[name] = store.replace("marts", name, df)
-
-    def keep_fact(name: str, df: DataFrame) -> None:
-        if partition_facts:
-            month = F.trunc("date_sk", "month")
-            built[name] = store.replace("marts", name, df.withColumn("date_month", month), ["date_month"])
-        else:
-            keep(name, df)
-
-    for name in ("dim_date", "dim_channel", "dim_payment_method", "dim_promo"):
-        keep(name, getattr(marts, name)(t["int_orders"]))
-    keep("dim_customer", marts.dim_customer(t["int_customers"]))
-    keep("dim_product", marts.dim_product(t["int_products"]))
-    stores, channels = built["dim_store"], built["dim_channel"]
-    keep_fact(
-        "fact_orders",
-        marts.fact_orders(
-            t["int_orders"],
-            built["dim_customer"],
-            stores,
-            channels,
-            built["dim_payment_method"],
-            built["dim_promo"],
-        ),
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return store.replace("marts", name, df)
+
+    def keep_fact(name: str, df: DataFrame) -> DataFrame:
+        if not partition_facts:
+            return keep(name, df)
+        by_month = df.withColumn("date_month", F.trunc("date_sk", "month"))
+        return store.replace("marts", name, by_month, ["date_month"])
+
+    def stores() -> DataFrame:
+        before = store.latest("marts", "dim_store")
+        after = marts.dim_store(t["int_stores"], before, run.execution_date)
+        return store.advance("marts", "dim_store", after)
+
+    from_orders = ("dim_date", "dim_channel", "dim_payment_method", "dim_promo")
+    built = together(
+        {
+            "dim_store": stores,
+            "dim_customer": lambda: keep("dim_customer", marts.dim_customer(t["int_customers"])),
+            "dim_product": lambda: keep("dim_product", marts.dim_product(t["int_products"])),
+            **{n: lambda n=n: keep(n, getattr(marts, n)(t["int_orders"])) for n in from_orders},
+        }
     )
-    keep_fact(
-        "fact_order_items",
-        marts.fact_order_items(t["int_order_items"], built["dim_product"], stores, channels),
+    dims = built.copy()
+    places, channels = dims["dim_store"], dims["dim_channel"]
+    built |= together(
+        {
+            "fact_orders": lambda: keep_fact(
+                "fact_orders",
+                marts.fact_orders(
+                    t["int_orders"],
+                    dims["dim_customer"],
+                    places,
+                    channels,
+                    dims["dim_payment_method"],
+                    dims["dim_promo"],
+                ),
+            ),
+            "fact_order_items": lambda: keep_fact(
+                "fact_order_items",
+                marts.fact_order_items(t["int_order_items"], dims["dim_product"], places, channels),
+            ),
+            "fact_deliveries": lambda: keep_fact(
+                "fact_deliveries", marts.fact_deliveries(t["int_deliveries"], places)
+            ),
+        }
     )
-    keep_fact("fact_deliveries", marts.fact_deliveries(t["int_deliveries"], stores))
-    keep_fact("order_sales", marts.order_sales(built["fact_orders"], built["fact_order_items"]))
+    sales = marts.order_sales(built["fact_orders"], built["fact_order_items"])
+    built["order_sales"] = keep_fact("order_sales", sales)
     return built
 
 
@@ -85,17 +102,18 @@ def audit(store: TableStore, t: Mapping[str, DataFrame], run: AuditRun) -> Table
     """Store the audit tables of the run and its part of their histories."""
     checks = QualityAudit(t, run)
     found = {
-        "data_quality_results": checks.results(),
-        "data_quality_exceptions": checks.exceptions(),
-        "reconciliation_summary": reconciliation(t, run),
+        "data_quality_results": checks.results,
+        "data_quality_exceptions": checks.exceptions,
+        "reconciliation_summary": lambda: reconciliation(t, run),
     }
-    kept: Tables = {}
-    for name, df in found.items():
-        kept[name] = store.replace("audit", name, df)
-        rows = kept[name].drop("run_id")
-        store.write_partition("audit", f"{name}_history", rows, "run_id", run.run_id)
+
+    def keep(name: str) -> DataFrame:
+        kept = store.replace("audit", name, found[name]())
+        store.write_partition("audit", f"{name}_history", kept.drop("run_id"), "run_id", run.run_id)
+        return kept
+
     store.replace("audit", "data_quality_rulebook", rulebook(store.spark))
-    return kept
+    return together({name: lambda name=name: keep(name) for name in found})
 
 
 def process_drop(

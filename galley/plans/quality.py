@@ -151,15 +151,20 @@ def tag_deliveries(deliveries: DataFrame, orders: DataFrame) -> DataFrame:
 # measuring ---------------------------------------------------------------------------
 
 
-def duplicate_count(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows minus distinct keys, as one named row. Every NULL key counts.
+def key_counts(keyed: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows and duplicates per named key: ``name, row_total, duplicates``.
 
-    Rows are counted per key before the shuffle.
+    ``keyed`` maps a name to a table and a SQL key. All tables share one aggregation, in
+    which rows are counted per key before the shuffle. Duplicates are the rows minus the
+    distinct keys, so every row with a NULL key is one. An empty table has no row here.
     """
-    per_key = df.groupBy(F.expr(key).alias("_key")).agg(F.count("*").alias("_n"))
-    spare = F.expr("coalesce(sum(_n - IF(_key IS NULL, 0, 1)), 0)")
-    return per_key.agg(spare.alias("observed_value")).selectExpr(
-        f"'{name}' AS check_name", "CAST(observed_value AS BIGINT) AS observed_value"
+    keys = [
+        df.selectExpr(f"'{name}' AS name", f"CAST({key} AS STRING) AS key")
+        for name, (df, key) in keyed.items()
+    ]
+    per_key = reduce(DataFrame.union, keys).groupBy("name", "key").agg(F.count("*").alias("n"))
+    return per_key.groupBy("name").agg(
+        F.sum("n").alias("row_total"), F.expr("sum(n - IF(key IS NULL, 0, 1))").alias("duplicates")
     )
 
 
@@ -205,16 +210,29 @@ def failing_rows(df: DataFrame, rules: Rules, key: str) -> DataFrame:
     )
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """One row per key that occurs more than once."""
-    per_key = df.groupBy(*keys).agg(
-        F.count("*").alias("_n"),
+def duplicate_keys(keyed: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """One row per check and key that occurs more than once; keys have one or two columns."""
+    rows = [
+        df.selectExpr(
+            f"'{name}' AS check_name",
+            f"{keys[0]} AS key_1",
+            f"{keys[1] if len(keys) > 1 else 'CAST(NULL AS STRING)'} AS key_2",
+            f"{len(keys)} AS parts",
+            "_source_file",
+            "_loaded_at",
+        )
+        for name, (df, keys) in keyed.items()
+    ]
+    per_key = reduce(DataFrame.union, rows).groupBy("check_name", "key_1", "key_2", "parts").agg(
+        F.count("*").alias("n"),
         F.min("_source_file").alias("source_file"),
         F.max("_loaded_at").alias("loaded_at"),
     )
-    text = " || '|' || ".join(keys)
-    return per_key.where("_n > 1").selectExpr(
-        f"'{name}' AS check_name", f"{text} AS record_key", "source_file", "loaded_at"
+    return per_key.where("n > 1").selectExpr(
+        "check_name",
+        "IF(parts = 1, key_1, key_1 || '|' || key_2) AS record_key",
+        "source_file",
+        "loaded_at",
     )
 
 
@@ -256,28 +274,32 @@ class QualityAudit:
         ]
 
     def observed(self) -> DataFrame:
-        """``check_name, observed_value`` of every check."""
+        """``check_name, observed_value`` of the checks; tables without rows may be absent."""
         t = self.t
         parts = [failing_counts(df, rules, total) for df, rules, _, total in self._row_checks()]
-        for name in ("customers", "stores", "products"):
-            parts.append(failing_counts(t[f"int_{name}"], {}, f"{name}_record_count"))
-        keys = {
-            "duplicate_customer_id": (t["int_customers"], "customer_id"),
-            "duplicate_store_id": (t["int_stores"], "store_id"),
-            "duplicate_product_id": (t["int_products"], "product_id"),
-            "duplicate_order_id": (t["int_orders"], "order_id"),
-            # this key skips NULLs, the one of the fact grain does not
-            "duplicate_order_item_key": (
-                t["int_order_items"], "concat_ws('', order_id, '|', product_id)"
-            ),
-            "duplicate_dim_customer_sk": (t["dim_customer"], "customer_sk"),
-            "duplicate_dim_product_sk": (t["dim_product"], "product_sk"),
-            "duplicate_dim_store_current_row": (t["dim_store"].where("is_current"), "store_id"),
-            "duplicate_fact_order_item_grain": (
-                t["fact_order_items"], "order_id || '|' || product_id"
-            ),
-        }
-        parts += [duplicate_count(df, key, name) for name, (df, key) in keys.items()]
+        counted = key_counts(
+            {
+                "customer_id": (t["int_customers"], "customer_id"),
+                "store_id": (t["int_stores"], "store_id"),
+                "product_id": (t["int_products"], "product_id"),
+                "order_id": (t["int_orders"], "order_id"),
+                # this key skips NULLs, the one of the fact grain does not
+                "order_item_key": (t["int_order_items"], "concat_ws('', order_id, '|', product_id)"),
+                "dim_customer_sk": (t["dim_customer"], "customer_sk"),
+                "dim_product_sk": (t["dim_product"], "product_sk"),
+                "dim_store_current_row": (t["dim_store"].where("is_current"), "store_id"),
+                "fact_order_item_grain": (t["fact_order_items"], "order_id || '|' || product_id"),
+            }
+        )
+        parts.append(
+            counted.selectExpr(
+                "stack(2, 'duplicate_' || name, duplicates, "
+                "CASE name WHEN 'customer_id' THEN 'customers_record_count' "
+                "WHEN 'store_id' THEN 'stores_record_count' "
+                "WHEN 'product_id' THEN 'products_record_count' END, row_total) "
+                "AS (check_name, observed_value)"
+            )
+        )
         jumps = daily_jumps(t["int_orders"]).agg(F.count("*").alias("observed_value"))
         parts.append(
             jumps.select(F.lit("unusual_daily_order_volume_change").alias("check_name"), "observed_value")
@@ -294,7 +316,12 @@ class QualityAudit:
             WHEN check_name LIKE '%record_count' THEN IF(observed_value < expected_minimum, 'FAIL', 'PASS')
             WHEN observed_value <= expected_minimum THEN 'PASS'
             WHEN severity = 'WARN' THEN 'WARN' ELSE 'FAIL' END"""
-        return self.observed().join(F.broadcast(known), "check_name").select(
+        # the checks are 41 rows, and so is what was observed
+        seen = F.broadcast(self.observed().groupBy("check_name").agg(F.max("observed_value").alias("seen")))
+        found = known.join(seen, "check_name", "left").withColumn(
+            "observed_value", F.coalesce("seen", F.lit(0))
+        )
+        return found.select(
             F.lit(self.run.run_id).alias("run_id"),
             F.lit(self.run.execution_date).alias("execution_date"),
             F.current_timestamp().alias("checked_at"),
@@ -316,9 +343,13 @@ class QualityAudit:
         ]
         pair = ["order_id", "product_id"]
         parts += [
-            duplicate_keys(t["int_orders"], ["order_id"], "duplicate_order_id"),
-            duplicate_keys(t["int_order_items"], pair, "duplicate_order_item_key"),
-            duplicate_keys(t["fact_order_items"], pair, "duplicate_fact_order_item_grain"),
+            duplicate_keys(
+                {
+                    "duplicate_order_id": (t["int_orders"], ["order_id"]),
+                    "duplicate_order_item_key": (t["int_order_items"], pair),
+                    "duplicate_fact_order_item_grain": (t["fact_order_items"], pair),
+                }
+            ),
             daily_jumps(t["int_orders"]).select(
                 F.lit("unusual_daily_order_volume_change").alias("check_name"),
                 F.col("order_date").cast("string").alias("record_key"),

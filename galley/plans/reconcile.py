@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from galley.functions import blank_to_null
 from galley.operators.durable import pin
 from galley.operators.joins import full_compare, lookup
+from galley.operators.together import together
 from galley.plans.quality import AuditRun
 
 NO_PROMO = "NO_PROMO"
@@ -70,43 +71,48 @@ def reconciliation(tables: Mapping[str, DataFrame], run: AuditRun) -> DataFrame:
     """
     t = tables
     promo = F.coalesce(blank_to_null(F.col("promo_code")), F.lit(NO_PROMO))
-    placed = pin(
-        t["int_orders"].groupBy("store_id", "channel", promo.alias("promo_key")).agg(
+    stores = t["dim_store"].select("store_sk", "store_id")
+
+    def placed() -> DataFrame:
+        return t["int_orders"].groupBy("store_id", "channel", promo.alias("promo_key")).agg(
             F.count("*").alias("orders"),
             F.sum("subtotal_ngn").alias("revenue"),
             F.count_if(blank_to_null(F.col("promo_code")).isNotNull()).alias("promo_orders"),
         )
-    )
-    sold = t["order_sales"].groupBy("store_sk", "channel_sk", "promo_sk").agg(
-        F.count("*").alias("orders"),
-        F.sum("order_revenue").alias("revenue"),
-        F.sum("promo_flag").alias("promo_orders"),
-    )
-    stores = t["dim_store"].select("store_sk", "store_id")
-    counted = t["order_sales"]
-    sold = lookup(sold, stores, ["store_sk"], hot_from=counted)
-    sold = lookup(sold, t["dim_channel"], ["channel_sk"], hot_from=counted)
-    promos = t["dim_promo"].select("promo_sk", "promo_code")
-    sold = lookup(sold, promos, ["promo_sk"], hot_from=counted)
-    sold = pin(sold.withColumn("promo_key", F.coalesce("promo_code", F.lit(NO_PROMO))))
+
+    def sold() -> DataFrame:
+        sales = t["order_sales"]
+        summed = sales.groupBy("store_sk", "channel_sk", "promo_sk").agg(
+            F.count("*").alias("orders"),
+            F.sum("order_revenue").alias("revenue"),
+            F.sum("promo_flag").alias("promo_orders"),
+        )
+        promos = t["dim_promo"].select("promo_sk", "promo_code")
+        named = lookup(summed, stores, ["store_sk"], hot_from=sales)
+        named = lookup(named, t["dim_channel"], ["channel_sk"], hot_from=sales)
+        named = lookup(named, promos, ["promo_sk"], hot_from=sales)
+        return named.withColumn("promo_key", F.coalesce("promo_code", F.lit(NO_PROMO)))
 
     def lines(name: str) -> DataFrame:
-        return pin(
-            t[name].groupBy("product_id").agg(
-                F.count("*").alias("lines"), F.sum("product_revenue").alias("revenue")
-            )
+        return t[name].groupBy("product_id").agg(
+            F.count("*").alias("lines"), F.sum("product_revenue").alias("revenue")
         )
 
     def drops(name: str, key: str) -> DataFrame:
-        return pin(
-            t[name].groupBy(key).agg(
-                F.count("*").alias("deliveries"), F.sum("delivery_sla_met_flag").alias("met")
-            )
+        return t[name].groupBy(key).agg(
+            F.count("*").alias("deliveries"), F.sum("delivery_sla_met_flag").alias("met")
         )
 
-    items, item_facts = lines("int_order_items"), lines("fact_order_items")
-    sent = drops("int_deliveries", "store_id")
-    reported = lookup(drops("fact_deliveries", "store_sk"), stores, ["store_sk"])
+    sums = {
+        "placed": placed,
+        "sold": sold,
+        "items": lambda: lines("int_order_items"),
+        "item_facts": lambda: lines("fact_order_items"),
+        "sent": lambda: drops("int_deliveries", "store_id"),
+        "reported": lambda: lookup(drops("fact_deliveries", "store_sk"), stores, ["store_sk"]),
+    }
+    pinned = together({name: lambda build=build: pin(build()) for name, build in sums.items()})
+    placed, sold, items, item_facts, sent, reported = (pinned[name] for name in sums)
     order_metrics = {"orders_count": "orders", "order_subtotal_ngn": "revenue"}
     rows = [
         _overall(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 class TableStore:
@@ -73,20 +74,20 @@ class TableStore:
         self.write_partition("typed", entity, df, "load_date", load_date)
         return f"{self.path('typed', entity)}/load_date={load_date}"
 
-    def read_all(self, layer: str, name: str) -> DataFrame:
-        """All partitions, unioned by column name; a column absent from one is NULL there."""
-        reader = self.spark.read.option("mergeSchema", True)
-        # partition values such as run ids stay text
-        inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        before = self.spark.conf.get(inference)
-        self.spark.conf.set(inference, "false")
-        try:
-            return reader.parquet(self.path(layer, name))
-        finally:
-            self.spark.conf.set(inference, before)
+    def read_all(self, layer: str, name: str, column: str) -> DataFrame:
+        """All partitions, unioned by column name; a column absent from one is NULL there.
+
+        ``column`` is the partition column; its values are read as the text they are.
+        """
+        path = self.path(layer, name)
+        merged = self.spark.read.option("mergeSchema", True).parquet(path).schema
+        fields = [
+            T.StructField(f.name, T.StringType() if f.name == column else f.dataType) for f in merged
+        ]
+        return self.spark.read.schema(T.StructType(fields)).parquet(path)
 
     def read_loads(self, entity: str) -> DataFrame:
-        return self.read_all("typed", entity)
+        return self.read_all("typed", entity, "load_date")
 
     def exists(self, layer: str, name: str) -> bool:
         try:

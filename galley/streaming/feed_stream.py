@@ -49,7 +49,7 @@ def start_feed(
 
 
 def _changes(store: TableStore) -> DataFrame:
-    changes = store.read_all("feed", "changes")
+    changes = store.read_all("feed", "changes", "batch")
     snapshot = store.latest("feed", "snapshot")
     if snapshot is None:
         return changes

@@ -104,11 +104,19 @@ def test_line_and_delivery_rules(spark):
 def test_duplicates_count_null_keys_like_rows_minus_distinct(spark):
     df = spark.createDataFrame([("a", "f", LOADED), ("a", "e", LOADED), ("b", "f", LOADED), (None, "f", LOADED), (None, "f", LOADED)],
                                "k string, _source_file string, _loaded_at timestamp_ntz")
-    assert quality.duplicate_count(df, "k", "x").first()["observed_value"] == 3
-    found = {r["record_key"]: r["source_file"] for r in quality.duplicate_keys(df, ["k"], "x").collect()}
+    counts = quality.key_counts({"x": (df, "k"), "none": (df.where("false"), "k")}).collect()
+    assert [tuple(r) for r in counts] == [("x", 5, 3)]
+    found = {r["record_key"]: r["source_file"] for r in quality.duplicate_keys({"x": (df, ["k"])}).collect()}
     assert found == {"a": "e", None: "f"}
 
 
+def test_pairs_with_a_null_part_are_not_mixed_up(spark):
+    df = spark.createDataFrame([(None, "p"), (None, "q"), ("o", "p"), ("o", "p")], "order_id string, product_id string")
+    df = df.withColumn("_source_file", F.lit("f")).withColumn("_loaded_at", F.lit("2024-05-01"))
+    found = quality.duplicate_keys({"x": (df, ["order_id", "product_id"])}).collect()
+    assert [r["record_key"] for r in found] == ["o|p"]
+
+
 def test_volume_jumps_need_ten_orders_the_day_before(spark):
     days = [(1, 9), (2, 20), (3, 30), (4, 14), (6, 22)]
     rows = [(dt.datetime(2024, 1, d),) for d, n in days for _ in range(n)]
@@ -146,7 +154,7 @@ def test_history_replaces_a_run_even_by_nothing(spark, store):
     df = spark.createDataFrame([(1,), (2,)], "n int")
     for run, rows in (("manual__2024-05-01T00:00:00+00:00", df), ("b", df), ("b", df.where("n = 1")), ("b", df.where("false"))):
         store.write_partition("audit", "history", rows, "run_id", run)
-    kept = store.read_all("audit", "history").collect()
+    kept = store.read_all("audit", "history", "run_id").collect()
     assert sorted((r["run_id"], r["n"]) for r in kept) == [
         ("manual__2024-05-01T00:00:00+00:00", 1), ("manual__2024-05-01T00:00:00+00:00", 2),
     ]

@@ -71,7 +71,7 @@ def test_two_days_and_a_bad_drop(store, tmp_path):
     assert sales(store) == [
         (1, "S2", "Lagos", 1, 10.0, 10.0), (2, "S1", "Lagos", 2, 25.0, 12.5), (10, "S1", "Abuja", 1, 10.0, 10.0),
     ]
-    history = store.read_all("audit", "data_quality_results_history")
+    history = store.read_all("audit", "data_quality_results_history", "run_id")
     assert {r["run_id"]: r["count"] for r in history.groupBy("run_id").count().collect()} == {
         "scheduled__2024-05-03T00:00:00": 41, "scheduled__2024-05-09T00:00:00": 41,
     }

@@ -105,7 +105,7 @@ def test_large_files_are_hashed_and_landed_by_line(spark, store, tmp_path, monke
     (folder / "orders.json").write_text("\n".join(lines) + "\n")
     before = drops.drop_files(spark, f"file://{folder}").first()
     drops.land_drop(store, f"file://{folder}", "2024-05-01")
-    kept = store.read_all("landing", "lines").orderBy("path", "block", "line")
+    kept = store.read_all("landing", "lines", "ingestion_date").orderBy("path", "block", "line")
     assert [r["value"] for r in kept.collect()] == lines
     (folder / "orders.json").write_text("\n".join(lines[:-1] + ['{"order_id":"OX"}']) + "\n")
     assert drops.drop_files(spark, f"file://{folder}").first()["sha256"] != before["sha256"]
