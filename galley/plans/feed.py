@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,9 @@ from galley.sources.store import TableStore
 
 FIRST_WATERMARK = "2026-05-01T00:00:00Z"
 
+# States counted by the provider's summary.
+ENDED = ("delivered", "failed", "cancelled")
+
 
 def latest_records(records: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Newest record per delivery; replays and corrections fall together."""
@@ -103,7 +106,6 @@ def provider_summary(
     The maps have an entry per brand and per store; ``counts_by`` gives the same as rows.
     """
     latest = _latest_fields(records, updated_after, updated_before)
-    # a row per brand and store is all that is left for the totals and the maps
     groups = latest.groupBy("brand", "store_id").agg(
         F.sum("_n").alias("records"),
         F.count("delivery_id").alias("deliveries"),
@@ -111,28 +113,38 @@ def provider_summary(
         F.min("_first").alias("first"),
         F.max("_last").alias("last"),
         F.sum("delivery_fee").alias("fees"),
-        *[F.count_if(F.col("delivery_status") == s).alias(s) for s in ("delivered", "failed", "cancelled")],
+        *[F.expr(f"count_if(delivery_status = '{s}') AS {s}") for s in ENDED],
     )
-
-    def whole(column: str) -> Column:
-        return F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
-
-    totals = groups.agg(
-        whole("records").alias("source_record_count"),
-        whole("deliveries").alias("distinct_delivery_count"),
-        whole("delivered").alias("delivered_count"),
-        whole("failed").alias("failed_count"),
-        whole("cancelled").alias("cancelled_count"),
-        whole("fees").alias("total_delivery_fees"),
-        F.min("first").alias("minimum_updated_at"),
-        F.max("last").alias("maximum_updated_at"),
-        F.lit(1).alias("_one"),
+    # every group counts towards its brand, its store and the total
+    sums = ["records", "deliveries", "latest", "fees", *ENDED]
+    kinds = "struct('brand' AS kind, brand AS key), struct('store', store_id), struct('total', NULL)"
+    per_key = (
+        groups.selectExpr(f"inline(array({kinds}))", "first", "last", *sums)
+        .groupBy("kind", "key")
+        .agg(*[F.sum(c).alias(c) for c in sums], F.min("first").alias("first"), F.max("last").alias("last"))
     )
-    for column, name in (("brand", "delivery_count_by_brand"), ("store_id", "delivery_count_by_store")):
-        counts = groups.groupBy(column).agg(F.sum("latest").alias("count"))
-        one_map = counts_as_map(counts, column, "count", name).withColumn("_only", F.lit(1))
-        totals = totals.join(F.broadcast(one_map), F.col("_one") == F.col("_only")).drop("_only")
-    return totals.drop("_one")
+
+    def total(column: str) -> str:
+        return f"CAST(coalesce(max(IF(kind = 'total', {column}, NULL)), 0) AS BIGINT)"
+
+    def counts(kind: str) -> str:
+        # a map has no NULL key, so that group is left out
+        entry = f"IF(kind = '{kind}' AND key IS NOT NULL, struct(key, latest), NULL)"
+        return f"map_from_entries(array_sort(collect_list({entry})))"
+
+    columns = {
+        "source_record_count": total("records"),
+        "distinct_delivery_count": total("deliveries"),
+        "delivered_count": total("delivered"),
+        "failed_count": total("failed"),
+        "cancelled_count": total("cancelled"),
+        "total_delivery_fees": total("fees"),
+        "minimum_updated_at": "min(first)",
+        "maximum_updated_at": "max(last)",
+        "delivery_count_by_brand": counts("brand"),
+        "delivery_count_by_store": counts("store"),
+    }
+    return per_key.agg(*[F.expr(f"{sql} AS {name}") for name, sql in columns.items()])
 
 
 def counts_by(records: DataFrame, column: str) -> DataFrame:
@@ -140,56 +152,46 @@ def counts_by(records: DataFrame, column: str) -> DataFrame:
     return _latest_fields(records, None, None).groupBy(column).agg(F.count("*").alias("count"))
 
 
-def counts_as_map(counts: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Grouped counts as one map; a map has no NULL key, so that group is left out."""
-    entries = F.array_sort(F.collect_list(F.struct(F.col(key), F.col(value))))
-    return counts.where(F.col(key).isNotNull()).agg(F.map_from_entries(entries).alias(name))
-
-
 def reconcile_feed(table: DataFrame, summary: DataFrame) -> DataFrame:
     """Deliveries and fees of the table against the provider's totals.
 
     Having fewer deliveries than the provider fails; fees are reported.
     """
+
+    def values(df: DataFrame, side: str, count: str, fees: str) -> DataFrame:
+        return df.selectExpr(
+            f"'{side}' AS side",
+            f"stack(2, 'distinct_delivery_count', CAST({count} AS DOUBLE), "
+            f"'total_delivery_fees', CAST({fees} AS DOUBLE)) AS (metric, value)",
+        )
+
     here = table.agg(
-        F.count_distinct("delivery_id").cast("double").alias("_count"),
-        F.coalesce(F.sum("delivery_fee"), F.lit(0)).cast("double").alias("_fees"),
+        F.count_distinct("delivery_id").alias("n"),
+        F.coalesce(F.sum("delivery_fee"), F.lit(0)).alias("fees"),
     )
-    there = summary.select(
-        F.col("distinct_delivery_count").cast("double").alias("_their_count"),
-        F.col("total_delivery_fees").cast("double").alias("_their_fees"),
+    sides = values(here, "target", "n", "fees").union(
+        values(summary, "source", "distinct_delivery_count", "total_delivery_fees")
     )
-    both = here.withColumn("_one", F.lit(1)).join(there.withColumn("_only", F.lit(1)), F.expr("_one = _only"))
-    fails = F.col("_count") < F.col("_their_count")
-
-    def row(metric: str, source: str, target: str, status: Column):
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            F.col(source).alias("source_value"),
-            F.col(target).alias("target_value"),
-            status.alias("status"),
-        )
-
-    return both.select(
-        F.inline(
-            F.array(
-                row("distinct_delivery_count", "_their_count", "_count", F.when(fails, "FAIL").otherwise("PASS")),
-                row(
-                    "total_delivery_fees",
-                    "_their_fees",
-                    "_fees",
-                    F.when(F.col("_fees") == F.col("_their_fees"), "PASS").otherwise("DIFFERS"),
-                ),
-            )
-        )
+    compared = sides.groupBy("metric").agg(
+        F.expr("max(IF(side = 'source', value, NULL)) AS source_value"),
+        F.expr("max(IF(side = 'target', value, NULL)) AS target_value"),
     )
+    status = """CASE
+        WHEN metric = 'distinct_delivery_count' THEN IF(target_value < source_value, 'FAIL', 'PASS')
+        WHEN target_value = source_value THEN 'PASS' ELSE 'DIFFERS' END"""
+    return compared.withColumn("status", F.expr(status))
 
 
 class FeedReconciliationFailed(RuntimeError):
     pass
 
 
-def ingest_pages(store: TableStore, pages_path: str, name: str) -> str:
+def ingest_pages(
+    store: TableStore,
+    pages_path: str,
+    name: str,
+    reconcile: Callable[[DataFrame, DataFrame], DataFrame] = reconcile_feed,
+) -> str:
     """Load all landed pages, reconcile, and only then move the watermark.
 
     The watermark is the newest update time seen, so records changed while the job ran
@@ -203,7 +205,7 @@ def ingest_pages(store: TableStore, pages_path: str, name: str) -> str:
     table = store.advance(
         "feed", "deliveries", apply_records(empty_table(records) if before is None else before, records)
     )
-    check = reconcile_feed(table, provider_summary(records, _naive_utc(watermark)))
+    check = reconcile(table, provider_summary(records, _naive_utc(watermark)))
     failed = check.where("status = 'FAIL'").collect()  # at most two rows
     if failed:
         raise FeedReconciliationFailed(str([r.asDict() for r in failed]))

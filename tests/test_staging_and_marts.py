@@ -61,6 +61,12 @@ def test_later_load_wins_and_null_ids_fall_together(staged):
     assert {r["order_id"]: r["promo_flag"] for r in staged.collect()}["o1"] == 0
 
 
+def test_orders_of_a_customer_never_meet_in_one_window(staged):
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
+    assert windows and all("windowspecdefinition(_key" in line for line in windows)
+
+
 def test_calendar_parts(staged):
     row = staged.where("order_id = 'o5'").first()  # Sunday 3 March 2024
     parts = [row[c] for c in ("order_year", "order_month", "order_week", "order_day_of_week", "order_hour")]
