@@ -117,9 +117,9 @@ def provider_summary(
     )
     # every group counts towards its brand, its store and the total
     sums = ["records", "deliveries", "latest", "fees", *ENDED]
-    kinds = "struct('brand' AS kind, brand AS key), struct('store', store_id), struct('total', NULL)"
+    kinds = "stack(3, 'brand', brand, 'store', store_id, 'total', NULL) AS (kind, key)"
     per_key = (
-        groups.selectExpr(f"inline(array({kinds}))", "first", "last", *sums)
+        groups.selectExpr(kinds, "first", "last", *sums)
         .groupBy("kind", "key")
         .agg(*[F.sum(c).alias(c) for c in sums], F.min("first").alias("first"), F.max("last").alias("last"))
     )
