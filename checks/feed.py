@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -31,9 +32,7 @@ NOW = dt.datetime(2024, 1, 29)
 
 def _own_store(spark, sf, name) -> TableStore:
     """A store of its own for a query that keeps state, so every run starts empty."""
-    root = lake(spark, sf).store.root
-    _own_store.count = getattr(_own_store, "count", 0) + 1
-    return TableStore(spark, f"{root}/{name}_{_own_store.count}")
+    return TableStore(spark, f"{lake(spark, sf).store.root}/{name}_{uuid.uuid4().hex}")
 
 
 register("src5_feed_records", records, "SELECT * FROM feed_records")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from checks import mapping
 from checks.feed import _own_store
@@ -14,7 +13,6 @@ from galley.plans import staging
 from galley.sources import convert, drops
 from galley.sources.contracts import CONTRACTS, ENTITIES
 from galley.sources.entity_json import (
-    accepted_schema,
     drift,
     null_counts,
     observe_schema,

@@ -10,8 +10,6 @@ from checks.lake import lake
 from checks.registry import register
 from galley.plans import marts, views
 
-_LOAD_TIME = {"_batch_id"}
-
 
 def money_out(df: DataFrame) -> DataFrame:
     """Decimal money as double, the form reports hand out."""
