@@ -6,7 +6,7 @@ installed there.
 
 from pyspark import cloudpickle
 
-from galley.llm import common, language
+from galley.llm import common, language, pii
 
-for _module in (common, language):
+for _module in (common, language, pii):
     cloudpickle.register_pickle_by_value(_module)

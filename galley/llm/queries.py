@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import language
+from galley.llm import language, pii
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,21 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), ["doc_id"])
+    counts = [
+        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 QUERIES = {
+    "op2_pii": op2_pii,
     "op4_language": op4_language,
 }
