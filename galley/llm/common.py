@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,12 +82,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def batches(rows: Iterable[pa.RecordBatch], names: list[str]):
-    """The named columns of each batch that has rows."""
-    for batch in rows:
-        if batch.num_rows:
-            yield tuple(batch.column(name) for name in names)
+def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with about ``limit`` bytes of text each, a row at least.
 
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    What a task holds at a time is then bounded by its longest text.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes.astype(np.int64)) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
+        for start, stop in zip(cuts, cuts[1:], strict=False):
+            if stop > start:
+                yield batch.slice(start, stop - start)
+
+
+def schema_of(df: DataFrame, names: Iterable[str]) -> str:
+    """DDL of some columns of ``df``."""
+    return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)

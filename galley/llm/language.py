@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.common import as_text, distinct_words, stored, white_space_words
+from galley.llm.common import as_text, distinct_words, slices, stored, white_space_words
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -53,24 +53,23 @@ def sampled(labelled: DataFrame, key: Column, settings: Settings) -> DataFrame:
 
 
 def _word_counts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[tuple[str, str]] = Counter()
-    for batch in rows:
-        texts, langs = as_text(batch.column("text")), batch.column("lang").to_pylist()
-        offsets, words = white_space_words(texts)
+    for batch in slices(rows, "text"):
+        langs = batch.column("lang").to_pylist()
+        offsets, words = white_space_words(as_text(batch.column("text")))
         numbers, names = distinct_words(words)
         parts = [LETTERS.findall(name.lower()) for name in names]
-        by_lang = defaultdict(lambda: np.zeros(len(names), np.int64))
+        by_lang: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(names), np.int64))
         for k, lang in enumerate(langs):
             np.add.at(by_lang[lang], numbers[offsets[k] : offsets[k + 1]], 1)
         for lang, found in by_lang.items():
+            counts: Counter[str] = Counter()
             for k in np.flatnonzero(found):
                 for word in parts[k]:
-                    counts[lang, word] += int(found[k])
-    if counts:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in counts]), pa.array([k[1] for k in counts]), pa.array(list(counts.values()), pa.int64())],
-            names=["lang", "word", "n"],
-        )
+                    counts[word] += int(found[k])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                names=["lang", "word", "n"],
+            )
 
 
 def gram_hashes(words: list[str], longest: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -103,28 +102,21 @@ def gram_hashes(words: list[str], longest: int) -> tuple[np.ndarray, list[np.nda
 
 def _gram_counts(longest: int):
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[tuple[str, int, int]] = Counter()
-        for batch in rows:
+        for batch in slices(rows, "word", 1 << 19):
             langs, words = np.array(batch.column("lang").to_pylist(), object), batch.column("word").to_pylist()
             owner, grams, _ = gram_hashes(words, longest)
             for n, hashes in enumerate(grams, 1):
-                there = hashes != 0
-                for lang in set(langs):
-                    mine = there & (langs[owner] == lang)
-                    values, counts = np.unique(hashes[mine], return_counts=True)
-                    for value, c in zip(values.tolist(), counts.tolist(), strict=True):
-                        seen[lang, n, value] += c
-        if seen:
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in keys]),
-                    pa.array([k[1] for k in keys], pa.int32()),
-                    pa.array(np.array([k[2] for k in keys], np.uint64).view(np.int64)),
-                    pa.array(list(seen.values()), pa.int64()),
-                ],
-                names=["lang", "length", "gram", "n"],
-            )
+                for lang in sorted(set(langs)):
+                    values, counts = np.unique(hashes[(hashes != 0) & (langs[owner] == lang)], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([lang] * len(values), pa.string()),
+                            pa.array([n] * len(values), pa.int32()),
+                            pa.array(values.view(np.int64)),
+                            pa.array(counts),
+                        ],
+                        names=["lang", "length", "gram", "n"],
+                    )
 
     return count
 
@@ -242,14 +234,14 @@ def _scores(model: Model, texts: pa.Array, memo: dict[str, int], rows: list[np.n
     return out[:, :-1], out[:, -1]
 
 
-def predictor(model: Model, remembered: int = 400_000):
+def predictor(model: Model, remembered: int = 250_000):
     """A function for ``mapInArrow`` over (row fields…, text) that adds lang_pred and score."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
         rows: list[np.ndarray] = []
         names = np.array([*model.languages, UNDETERMINED], object)
-        for batch in batches:
+        for batch in slices(batches, "__llm_text"):
             kept = [n for n in batch.schema.names if n != "__llm_text"]
             if model.languages:
                 if len(memo) > remembered:
