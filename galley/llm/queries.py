@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import language, pii
+from galley.llm import language, packing, pii
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -35,7 +35,20 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        table(spark, sf_dir, "documents"), ["doc_id"], tokenizer_file("word_bpe_49k.json"), with_ids=False
+    )
+
+
 QUERIES = {
     "op2_pii": op2_pii,
     "op4_language": op4_language,
+    "op7_packing": op7_packing,
 }
