@@ -6,7 +6,7 @@ installed there.
 
 from pyspark import cloudpickle
 
-from galley.llm import common, language, packing, pii
+from galley.llm import common, graph, jaccard, language, packing, pii
 
-for _module in (common, language, packing, pii):
+for _module in (common, graph, jaccard, language, packing, pii):
     cloudpickle.register_pickle_by_value(_module)

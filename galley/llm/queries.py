@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import language, packing, pii
+from galley.llm import jaccard, language, packing, pii
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -47,8 +47,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), ["doc_id"]).drop("kept")
+
+
 QUERIES = {
     "op2_pii": op2_pii,
     "op4_language": op4_language,
     "op7_packing": op7_packing,
+    "op8_jaccard": op8_jaccard,
 }
