@@ -89,11 +89,12 @@ def in_set(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits.view(np.uint64)[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
-def maybe_in(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows whose ``column`` may be in the set; none that is."""
+def maybe_in(df: DataFrame, column: str, bits: np.ndarray, inside: bool = True) -> DataFrame:
+    """Rows whose ``column`` may be in the set, or those for which it surely is not."""
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(in_set(bits, batch.column(column).to_numpy(zero_copy_only=False))))
+            found = in_set(bits, batch.column(column).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(found == inside))
 
     return df.mapInArrow(chosen, df.schema)

@@ -385,3 +385,17 @@ def join(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "
         F.when(F.col("best").isNull(), F.col("__llm_id")).otherwise(F.col("best")["__llm_id"]).alias("component_id"),
         (F.col("best").isNull() | (F.col("best")[ROW] == F.col(ROW))).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` that ``join`` keeps, with all their columns.
+
+    Rows are written with their numbers first. Those that may be among the dropped ones go
+    through a join; all others pass without a shuffle of their texts.
+    """
+    rows = stored(numbered(docs, ROW), "jaccard-documents")
+    dropped = stored(join(rows, [ROW], doc_id, text, settings).filter(~F.col("kept")).select(ROW), "jaccard-dropped")
+    bits = bit_set(dropped)
+    doubtful = maybe_in(rows, ROW, bits).join(dropped, ROW, "left_anti")
+    sure = maybe_in(rows, ROW, bits, inside=False)
+    return sure.unionByName(doubtful).drop(ROW)
