@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import jaccard, language, packing, pii
+from galley.llm import forest, jaccard, language, neardup, packing, pii
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -51,9 +51,19 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), ["doc_id"]).drop("kept")
 
 
+def op3_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "embeddings"), ["vec_id"])
+
+
 QUERIES = {
     "op2_pii": op2_pii,
+    "op3_forest": op3_forest,
     "op4_language": op4_language,
     "op7_packing": op7_packing,
     "op8_jaccard": op8_jaccard,
+    "op9_neardup": op9_neardup,
 }
