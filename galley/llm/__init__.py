@@ -6,7 +6,7 @@ installed there.
 
 from pyspark import cloudpickle
 
-from galley.llm import common, forest, graph, jaccard, language, neardup, packing, pii, vectors
+from galley.llm import common, forest, graph, jaccard, language, neardup, packing, pii, vectors, warc
 
-for _module in (common, forest, graph, jaccard, language, neardup, packing, pii, vectors):
+for _module in (common, forest, graph, jaccard, language, neardup, packing, pii, vectors, warc):
     cloudpickle.register_pickle_by_value(_module)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import forest, jaccard, language, neardup, packing, pii
+from galley.llm import forest, jaccard, language, neardup, packing, pii, warc
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -59,10 +59,36 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "embeddings"), ["vec_id"])
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(table(spark, sf_dir, "pages"))
+    return records.select(
+        "page_id",
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        "refers_to",
+    )
+
+
+#: ``sha1`` and byte lengths of DuckDB are those of UTF-8, as in the archives.
+ORACLES["op5_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS bytes FROM pages
+), b AS (
+  SELECT payload, max(page_id) AS best FROM p WHERE bytes >= 1000 GROUP BY payload
+)
+SELECT page_id, bytes AS payload_bytes, sha1(p.payload) AS payload_digest,
+       CASE WHEN best IS NOT NULL AND page_id IS DISTINCT FROM best THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN best IS NOT NULL AND page_id IS DISTINCT FROM best THEN best END AS refers_to
+FROM p LEFT JOIN b ON p.payload = b.payload
+"""
+
+
 QUERIES = {
     "op2_pii": op2_pii,
     "op3_forest": op3_forest,
     "op4_language": op4_language,
+    "op5_warc": op5_warc,
     "op7_packing": op7_packing,
     "op8_jaccard": op8_jaccard,
     "op9_neardup": op9_neardup,
