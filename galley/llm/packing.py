@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -40,6 +41,10 @@ from galley.llm.common import (
     white_space_words,
 )
 
+#: Letters that lower-case to one letter and have no other normal form (a-z and Latin-1).
+PLAIN = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+WORD_END = "</w>"
+
 Pattern = tuple[int, ...]
 Plan = dict[Pattern, int]
 
@@ -65,9 +70,17 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer_json: str, remembered: int = 400_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        # plain words need no normalizing or splitting: the model and its byte alphabet do
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[k for piece, k in vocabulary.items() if piece.endswith(WORD_END)]] = True
         self.remembered = remembered
         self.clear()
 
@@ -78,23 +91,30 @@ class WordEncoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, words: list[str]) -> None:
-        size, parts, at, total = len(self.memo), [], [], len(self.ids)
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for k, (word, one) in enumerate(zip(words, found, strict=True)):
-            ids = one.ids
-            self.memo[word] = size + k
-            at.append((total, len(ids)))
-            total += len(ids)
-            parts.extend(ids)
-        at = np.array(at, np.int64).reshape(-1, 2)
-        self.starts = np.concatenate((self.starts, at[:, 0]))
-        self.lengths = np.concatenate((self.lengths, at[:, 1]))
-        self.ids = np.concatenate((self.ids, np.array(parts, np.uint32)))
+        plain = [w for w in words if PLAIN.fullmatch(w)]
+        others = [w for w in words if not PLAIN.fullmatch(w)]
+        lines = [" ".join(plain[k : k + 256]).lower() for k in range(0, len(plain), 256)]
+        found = self.plain.encode_batch_fast(lines, add_special_tokens=False)
+        ids = [np.array(one.ids, np.uint32) for one in found]
+        ends = np.flatnonzero(self.last[np.concatenate(ids)]) + 1 if ids else np.zeros(0, np.int64)
+        if len(ends) != len(plain):
+            raise ValueError("the vocabulary has no single word end per word")
+        lengths = np.diff(ends, prepend=0)
+        if others:
+            rest = [one.ids for one in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+            ids.append(np.array([k for one in rest for k in one], np.uint32))
+            lengths = np.concatenate((lengths, [len(one) for one in rest])).astype(np.int64)
+        self.memo.update(zip(plain + others, range(len(self.memo), len(self.memo) + len(words)), strict=True))
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
+        self.ids = np.concatenate((self.ids, *ids))
 
     @staticmethod
     def _parts(word: str) -> tuple[str, str]:
+        if word[-1] not in ".,":
+            return word, ""
         stem = word.rstrip(".,")
-        return (stem, word[len(stem) :]) if stem and stem[-1].isalpha() else (word, "")
+        return (stem, word[len(stem) :]) if stem and PLAIN.fullmatch(stem[-1]) else (word, "")
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of texts into the ids, and the ids."""
