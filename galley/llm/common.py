@@ -43,7 +43,8 @@ def as_text(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """Texts as one array with 64-bit offsets, null as the empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    # a copy whose offsets begin at 0: ascii_lower misreads others
+    return pa.concat_arrays([pc.fill_null(column.cast(pa.large_string()), "")])
 
 
 def white_space_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
