@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import forest, jaccard, language, neardup, packing, pii, warc
+from galley.llm import forest, jaccard, language, neardup, packing, pii, unigram, url_lists, warc
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -84,11 +84,78 @@ FROM p LEFT JOIN b ON p.payload = b.payload
 """
 
 
+def capture_times(pages: DataFrame) -> DataFrame:
+    """Pages as captures: the id gives the minute of a year in which a page was fetched."""
+    minute = F.pmod(F.col("page_id") * 7919, F.lit(525_600))
+    return pages.select("page_id", "url", (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(mins=minute)).alias("fetched_at"))
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated list events that the pages imply: two of seven pages put an address on a list or take one off.
+
+    Ids decide all of it, so the lists grow with the pages and SQL can say the same.
+    """
+    n, host, path = F.col("page_id"), url_lists.host_of(F.col("url")), url_lists.path_of(F.col("url"))
+    minute = F.pmod(n * 104_729 + 17, F.lit(525_600))
+    return pages.filter((n % 7).isin(0, 1) & host.isNotNull()).select(
+        F.when(n % 3 == 0, "adult").when(n % 3 == 1, "malware").otherwise("spam").alias("list"),
+        F.when(n % 2 == 0, "domain").otherwise("prefix").alias("kind"),
+        F.when(n % 2 == 0, host).otherwise(F.concat(host, F.lit("/"), F.split(path, "/")[0])).alias("value"),
+        F.when(n % 7 == 0, "add").otherwise("remove").alias("action"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(mins=minute)).alias("at"),
+    )
+
+
+def op1_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_lists.evaluate(capture_times(pages), list_events(pages), ["page_id"])
+
+
+ORACLES["op1_url_lists"] = r"""
+WITH p AS (
+  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS authority,
+         trim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') AS path,
+         (page_id * 7919) % 525600 AS fetched
+  FROM pages
+), c AS (
+  SELECT page_id, fetched, path,
+         regexp_replace(regexp_replace(regexp_replace(authority, '^.*@', ''), ':[0-9]*$', ''), '\.$', '') AS host
+  FROM p
+), e AS (
+  SELECT CASE page_id % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'malware' ELSE 'spam' END AS list,
+         page_id % 2 AS prefix,
+         CASE WHEN page_id % 2 = 0 THEN host ELSE host || '/' || split_part(path, '/', 1) END AS value,
+         page_id % 7 = 0 AS adds, (page_id * 104729 + 17) % 525600 AS at
+  FROM c WHERE page_id % 7 IN (0, 1) AND host <> ''
+), latest AS (
+  SELECT c.page_id, e.list, e.prefix, e.value, max(e.at) AS at
+  FROM c JOIN e ON e.at <= c.fetched
+   AND CASE WHEN e.prefix = 0 THEN c.host = e.value OR ends_with(c.host, '.' || e.value)
+            ELSE c.path <> '' AND starts_with(c.host || '/' || c.path || '/', e.value || '/') END
+  WHERE c.host <> ''
+  GROUP BY ALL
+), active AS (
+  SELECT list, prefix, value, at FROM e GROUP BY ALL HAVING bool_and(adds)
+), hits AS (
+  SELECT page_id, count(*) AS n_entries, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+  FROM latest JOIN active USING (list, prefix, value, at) GROUP BY page_id
+)
+SELECT page_id, coalesce(n_entries, 0) AS n_entries, coalesce(lists, '') AS lists FROM c LEFT JOIN hits USING (page_id)
+"""
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = unigram.vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    return unigram.count_pieces(table(spark, sf_dir, "documents"), ["doc_id"], words)
+
+
 QUERIES = {
+    "op1_url_lists": op1_url_lists,
     "op2_pii": op2_pii,
     "op3_forest": op3_forest,
     "op4_language": op4_language,
     "op5_warc": op5_warc,
+    "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_jaccard": op8_jaccard,
     "op9_neardup": op9_neardup,
