@@ -125,20 +125,20 @@ WITH p AS (
   SELECT CASE page_id % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'malware' ELSE 'spam' END AS list,
          page_id % 2 AS prefix,
          CASE WHEN page_id % 2 = 0 THEN host ELSE host || '/' || split_part(path, '/', 1) END AS value,
-         page_id % 7 = 0 AS adds, (page_id * 104729 + 17) % 525600 AS at
+         page_id % 7 = 0 AS adds, (page_id * 104729 + 17) % 525600 AS moment
   FROM c WHERE page_id % 7 IN (0, 1) AND host <> ''
 ), latest AS (
-  SELECT c.page_id, e.list, e.prefix, e.value, max(e.at) AS at
-  FROM c JOIN e ON e.at <= c.fetched
+  SELECT c.page_id, e.list, e.prefix, e.value, max(e.moment) AS moment
+  FROM c JOIN e ON e.moment <= c.fetched
    AND CASE WHEN e.prefix = 0 THEN c.host = e.value OR ends_with(c.host, '.' || e.value)
             ELSE c.path <> '' AND starts_with(c.host || '/' || c.path || '/', e.value || '/') END
   WHERE c.host <> ''
   GROUP BY ALL
 ), active AS (
-  SELECT list, prefix, value, at FROM e GROUP BY ALL HAVING bool_and(adds)
+  SELECT list, prefix, value, moment FROM e GROUP BY ALL HAVING bool_and(adds)
 ), hits AS (
   SELECT page_id, count(*) AS n_entries, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
-  FROM latest JOIN active USING (list, prefix, value, at) GROUP BY page_id
+  FROM latest JOIN active USING (list, prefix, value, moment) GROUP BY page_id
 )
 SELECT page_id, coalesce(n_entries, 0) AS n_entries, coalesce(lists, '') AS lists FROM c LEFT JOIN hits USING (page_id)
 """
