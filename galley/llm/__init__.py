@@ -6,7 +6,7 @@ installed there.
 
 from pyspark import cloudpickle
 
-from galley.llm import common, forest, graph, jaccard, language, neardup, packing, pii, unigram, url_lists, vectors, warc
+from galley.llm import common, forest, graph, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, vectors, warc
 
-for _module in (common, forest, graph, jaccard, language, neardup, packing, pii, unigram, url_lists, vectors, warc):
+for _module in (common, forest, graph, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, vectors, warc):
     cloudpickle.register_pickle_by_value(_module)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import forest, jaccard, language, neardup, packing, pii, unigram, url_lists, warc
+from galley.llm import forest, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, warc
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -149,6 +149,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.count_pieces(table(spark, sf_dir, "documents"), ["doc_id"], words)
 
 
+def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = unigram.vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    encoded = lattice.encode(table(spark, sf_dir, "documents"), ["doc_id"], words)
+    return lattice.decode(encoded, words).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op1_url_lists": op1_url_lists,
     "op2_pii": op2_pii,
@@ -159,4 +167,5 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_jaccard": op8_jaccard,
     "op9_neardup": op9_neardup,
+    "op10_lattice": op10_lattice,
 }
