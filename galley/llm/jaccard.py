@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -35,9 +34,9 @@ from pyspark.sql import functions as F
 
 from galley.llm.common import (
     as_text,
-    distinct_words,
     mixed,
     numbered,
+    ranges,
     schema_of,
     slices,
     stored,
@@ -59,12 +58,23 @@ class Settings:
     rounds: int = 3
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words: sums of a scrambled number for each byte and its place."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    lengths = np.diff(offsets)
+    places = ranges(np.zeros(len(words), np.int64), lengths).astype(np.uint64)
+    values = mixed((places << np.uint64(8) | data) + np.uint64(1))
+    return mixed(np.add.reduceat(values, offsets[:-1] - offsets[0]) + lengths.astype(np.uint64))
+
+
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     offsets, flat = white_space_words(pc.ascii_lower(texts))
-    numbers, names = distinct_words(flat)
-    hashes = pd.util.hash_array(np.array(names, object), categorize=False) if names else np.zeros(0, np.uint64)
-    hashes = hashes[numbers]
+    coded = flat.dictionary_encode()
+    hashes = word_hashes(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
     factors = mixed(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
     size = len(hashes)
     rolled = np.zeros(max(size - words + 1, 0), np.uint64)
@@ -94,29 +104,39 @@ def node_of(tokens: np.ndarray) -> int:
 def _features(settings: Settings):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # of this task's documents; a copy elsewhere is harmless
-        for batch in slices(batches, "__llm_text"):
-            sizes, nodes, sets = [], [], []
+        for batch in slices(batches, "__llm_text", 2 << 20):
+            sizes, nodes, sets, bits = [], [], [], []
             for tokens in shingle_sets(as_text(batch.column("__llm_text")), settings.words):
                 node = node_of(tokens) if len(tokens) else None
                 sizes.append(len(tokens))
                 nodes.append(node)
-                sets.append(tokens.tobytes() if node is not None and node not in seen else None)
+                first = node is not None and node not in seen
+                sets.append(tokens.tobytes() if first else None)
+                bits.append(signature(tokens) if first else None)
                 seen.add(node)
             kept = [n for n in batch.schema.names if n != "__llm_text"]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in kept), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())],
-                names=[*kept, "__llm_n", "__llm_node", "__llm_set"],
+                [
+                    *(batch.column(n) for n in kept),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(nodes, pa.int64()),
+                    pa.array(bits, pa.binary()),
+                    pa.array(sets, pa.binary()),
+                ],
+                names=[*kept, "__llm_n", "__llm_node", "__llm_bits", "__llm_set"],
             )
 
     return features
 
 
-def _postings(settings: Settings, late: np.ndarray | None):
-    """Tokens of each set's prefix, those in ``late`` last in the order."""
+def _postings(settings: Settings, late: np.ndarray | None, only: np.ndarray | None):
+    """Tokens of each set's prefix, those in ``late`` last in the order; of all sets or ``only`` some."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens, nodes = [], []
+            if only is not None:
+                batch = batch.filter(pa.array(in_set(only, batch.column("node").to_numpy())))
             for node, data in zip(batch.column("node").to_pylist(), batch.column("tokens"), strict=True):
                 own = np.frombuffer(data.as_buffer(), np.uint64)
                 n = len(own)
@@ -198,9 +218,9 @@ def _runs(light: int):
     return runs
 
 
-def tiled(sets: DataFrame, settings: Settings, late: np.ndarray | None = None) -> DataFrame:
+def tiled(sets: DataFrame, settings: Settings, late: np.ndarray | None = None, only: np.ndarray | None = None) -> DataFrame:
     """Pairs of nodes (kind 0) that share a light token, and uses of common tokens (kind 1)."""
-    posted = sets.mapInArrow(_postings(settings, late), "token long, node long")
+    posted = sets.mapInArrow(_postings(settings, late, only), "token long, node long")
     ordered = posted.repartition("token").sortWithinPartitions("token", "node")
     return stored(ordered.mapInArrow(_runs(settings.light), "kind int, a long, b long"), "jaccard-runs")
 
@@ -225,15 +245,6 @@ def most_common(a: bytes, na: int, b: bytes, nb: int) -> int:
     return (na + nb - (x ^ y).bit_count()) // 2
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        own = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("tokens")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array([len(x) for x in own], pa.int64()), pa.array([signature(x) for x in own], pa.binary())],
-            names=["node", "n", "bits"],
-        )
-
-
 def _possible(percent: int):
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,25 +311,22 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
         F.col("__llm_node").alias("node"), F.col("__llm_set").alias("tokens")
     )
     runs = tiled(sets, settings)
-    active = bit_set(runs.select("b").unionByName(runs.filter("kind = 0").select(F.col("a").alias("b"))))
-    # each node once, and only nodes that have met another one
-    sets = stored(maybe_in(sets, "node", active).groupBy("node").agg(F.min("tokens").alias("tokens")), "jaccard-sets")
-    light, late = [runs.filter("kind = 0").select("a", "b")], np.zeros(0, np.int64)
+    light, late = [runs.filter("kind = 0").select("a", "b")], None
     heavy = runs.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"))
     left = heavy.select("node").distinct().count()
     for _ in range(settings.rounds - 1):
         if not left:
             break
         more = bit_set(heavy.select("token"))
-        late = more | late if len(late) else more
-        again = maybe_in(sets, "node", bit_set(heavy.select("node")))
-        runs = tiled(again, settings, late)
+        late = more if late is None else more | late
+        runs = tiled(sets, settings, late, bit_set(heavy.select("node")))
         light.append(runs.filter("kind = 0").select("a", "b"))
         heavy = runs.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"))
         before, left = left, heavy.select("node").distinct().count()
         if left > 0.9 * before:
             break
-    signed = stored(sets.mapInArrow(_signed, "node long, n long, bits binary"), "jaccard-signatures")
+    signed = features.filter(F.col("__llm_set").isNotNull()).groupBy(F.col("__llm_node").alias("node"))
+    signed = stored(signed.agg(F.first("__llm_n").alias("n"), F.first("__llm_bits").alias("bits")), "jaccard-signatures")
     pairs = light[0]
     for more in light[1:]:
         pairs = pairs.unionByName(more)
@@ -330,6 +338,10 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
         return _with_both(some, sets, ["tokens"]).mapInArrow(_linked(settings.percent), "a long, b long")
 
     pairs = stored(passing(pairs.distinct()), "jaccard-pairs")
+    # the arrays of nodes in some pair, each once
+    met = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(heavy.select(F.col("node").alias("a")))
+    sets = maybe_in(sets, "node", bit_set(met)).groupBy("node").agg(F.first("tokens").alias("tokens"))
+    sets = stored(sets, "jaccard-sets")
     # first one partner for each node: its smallest, or the pivot it shares most tokens with
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     if left:
@@ -368,7 +380,7 @@ def join(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "
     )
     head = schema_of(source, [c for c in source.columns if c != "__llm_text"])
     features = stored(
-        source.mapInArrow(_features(settings), f"{head}, __llm_n long, __llm_node long, __llm_set binary"), "jaccard-features"
+        source.mapInArrow(_features(settings), f"{head}, __llm_n long, __llm_node long, __llm_bits binary, __llm_set binary"), "jaccard-features"
     )
     roots = node_components(features, settings)
     first = F.min(F.struct(F.col("__llm_id").isNull().alias("no_id"), "__llm_id", ROW))
@@ -379,7 +391,7 @@ def join(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "
     nodes = stored(nodes, "jaccard-nodes")
     best = nodes.groupBy("root").agg(F.min("first").alias("best"))
     named = nodes.join(best, "root").select("__llm_node", "best")
-    return features.drop("__llm_set").join(named, "__llm_node", "left").select(
+    return features.drop("__llm_set", "__llm_bits").join(named, "__llm_node", "left").select(
         *(F.col(f"`{c}`") for c in keep),
         F.col("__llm_n").alias("n_shingles"),
         F.when(F.col("best").isNull(), F.col("__llm_id")).otherwise(F.col("best")["__llm_id"]).alias("component_id"),
