@@ -23,10 +23,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"), ["doc_id"])
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for k, kind in enumerate(pii.KINDS)
-    ]
+
+    def of_kind(k: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+
+    counts = [of_kind(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return found.select(
         "doc_id",
         *counts,
