@@ -69,7 +69,7 @@ class WordEncoder:
     by it too, and A-Z are lower-cased. Words are therefore encoded once per task.
     """
 
-    def __init__(self, tokenizer_json: str, remembered: int = 400_000):
+    def __init__(self, tokenizer_json: str, remembered: int = 300_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -94,14 +94,19 @@ class WordEncoder:
         plain = [w for w in words if PLAIN.fullmatch(w)]
         others = [w for w in words if not PLAIN.fullmatch(w)]
         lines = [" ".join(plain[k : k + 256]).lower() for k in range(0, len(plain), 256)]
-        found = self.plain.encode_batch_fast(lines, add_special_tokens=False)
-        ids = [np.array(one.ids, np.uint32) for one in found]
+        ids = []
+        for k in range(0, len(lines), 32):
+            found = self.plain.encode_batch_fast(lines[k : k + 32], add_special_tokens=False)
+            ids += [np.array(one.ids, np.uint32) for one in found]
         ends = np.flatnonzero(self.last[np.concatenate(ids)]) + 1 if ids else np.zeros(0, np.int64)
         if len(ends) != len(plain):
             raise ValueError("the vocabulary has no single word end per word")
         lengths = np.diff(ends, prepend=0)
         if others:
-            rest = [one.ids for one in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+            rest = []
+            for k in range(0, len(others), 4096):
+                found = self.tokenizer.encode_batch_fast(others[k : k + 4096], add_special_tokens=False)
+                rest += [one.ids for one in found]
             ids.append(np.array([k for one in rest for k in one], np.uint32))
             lengths = np.concatenate((lengths, [len(one) for one in rest])).astype(np.int64)
         self.memo.update(zip(plain + others, range(len(self.memo), len(self.memo) + len(words)), strict=True))
@@ -145,7 +150,7 @@ def _cut(tokenizer_json: str, settings: Settings, with_ids: bool):
         encoder, task = WordEncoder(tokenizer_json), TaskContext.get().partitionId()
         seen = np.zeros(settings.capacity + 1, np.int64)
         end = np.array([settings.end_token], "<u4")
-        for batch in slices(batches, "__llm_text"):
+        for batch in slices(batches, "__llm_text", 2 << 20):
             offsets, ids = encoder.encode(as_text(batch.column("__llm_text")))
             row, piece, start, length, crc, nth, pieces = [], [], [], [], [], [], []
             for k in range(batch.num_rows):
