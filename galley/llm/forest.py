@@ -122,9 +122,11 @@ def _searched(k: int, settings: Settings):
         out: dict[str, list] = {"ask": [], "query_id": [], "vec_id": [], "score": [], ROW: []}
         if len(index):
             forest = Forest(own, settings)
+            # a row gives at most an entry per tree, so these are over k rows, or all
+            enough = max(settings.share * len(index), (k + 1) * settings.trees)
             for at in range(0, len(queries), 512):
                 part = queries[at : at + 512]
-                for q, found in zip(part, forest.candidates(vectors[part], settings.share * len(index)), strict=True):
+                for q, found in zip(part, forest.candidates(vectors[part], enough), strict=True):
                     found = found[own_rows[found] != rows[q]]
                     best, scores = _best(own, order, vectors[q], found, k)
                     out["ask"] += [rows[q]] * len(best)
