@@ -64,13 +64,6 @@ def _contract_sql(entity):
 
 
 def _read(entity):
-    if entity == "products":
-        # read in the observed schema, then brought to the contract
-        def products(spark, sf):
-            rows = read_json(spark, _path(spark, sf, entity), arrays=False)
-            return typed(rows, CONTRACTS[entity])
-
-        return products
     return lambda spark, sf: read_entity(spark, _path(spark, sf, entity), entity, arrays=False)
 
 
@@ -131,7 +124,18 @@ def scan(spark, sf):
     )
 
 
-register("src7_hashed_files", lambda spark, sf: drops.drop_files(spark, drop_folder(spark, sf)))
+@query(
+    "src7_hashed_files",
+    """SELECT 'nation.json' AS file, sha256(string_agg(line, '' ORDER BY n_nationkey)) AS sha256,
+              CAST(sum(strlen(line)) AS BIGINT) AS size_bytes
+       FROM (SELECT n_nationkey, '{"key":' || n_nationkey || ',"name":"' || n_name || '"}' || chr(10) AS line FROM nation)""",
+)
+def hashed(spark, sf):
+    """Bytes whose text follows from a table: its rows in key order, a line each."""
+    folder = _own_store(spark, sf, "hashed").path("drop", "lines")
+    rows = spark.read.parquet(f"{sf}/nation.parquet").repartition(1).sortWithinPartitions("n_nationkey")
+    rows.select(F.concat(F.lit('{"key":'), "n_nationkey", F.lit(',"name":"'), "n_name", F.lit('"}'))).write.text(f"{folder}/nation.json")
+    return drops.drop_files(spark, folder)
 
 register("snk1_write_load", lambda spark, sf: _two_loads(spark, sf, "sink").read_loads("stores").select(
     "store_id", "load_date"
@@ -145,21 +149,30 @@ _LINES = "\nUNION ALL\n".join(
 
 @query("snk2_landed_files", _LINES)
 def landed_files(spark, sf):
-    """Records found again in the landed bytes, whose hash is that of the source files."""
+    """Records of the landed bytes; every copy has the hash its source file has."""
     store = _own_store(spark, sf, "landed")
     drops.land_drop(store, drop_folder(spark, sf), "2001-08-02")
-    text = drops.landed_text(store, "2001-08-02")
-    same = F.sha2(F.encode("text", "UTF-8"), 256) == F.col("sha256")
-    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n")))
-    return text.where(same).groupBy("file").agg(F.sum(breaks).cast("bigint").alias("records"))
+    copies = drops.landed_folder(store, "2001-08-02")
+    whole = drops.drop_files(spark, drop_folder(spark, sf)).join(drops.drop_files(spark, copies), ["file", "sha256", "size_bytes"])
+    lines = spark.read.option("recursiveFileLookup", True).text(copies)
+    name = F.regexp_extract("_metadata.file_path", r"/([^/]+\.json)/[^/]*$", 1)
+    return lines.groupBy(name.alias("file")).agg(F.count("*").alias("records")).join(whole.select("file"), "file", "left_semi")
 
 
-@query("snk4_landing_manifest", "SELECT DISTINCT file, 'success' AS status FROM (" + _LINES + ")")
+@query(
+    "snk4_landing_manifest",
+    "SELECT DISTINCT file, 'success' AS status, 'success' AS run_status, TRUE AS same_size FROM (" + _LINES + ")",
+)
 def landing_manifest(spark, sf):
+    """File, size, status and run status; sizes are those the source has."""
     store = _own_store(spark, sf, "manifest")
-    drops.land_drop(store, drop_folder(spark, sf), "2001-08-02")
-    path = f"{store.path('landing', '_manifest')}/ingestion_date=2001-08-02"
-    return spark.read.json(path).select("file", "status").distinct()
+    manifest = drops.land_drop(store, drop_folder(spark, sf), "2001-08-02")
+    sources = drops.listing(spark, drop_folder(spark, sf)).select("name", "length")
+    return (
+        manifest.join(sources, "name", "left")
+        .groupBy("file", "status", "run_status")
+        .agg(F.every(F.col("size_bytes").eqNullSafe(F.col("length"))).alias("same_size"))
+    )
 
 
 def _converted(spark, sf, name, **changed):
@@ -188,8 +201,48 @@ def conversion_manifest(spark, sf):
     short = as_json(spark, sf, "deliveries").drop("delivered_within_sla")
     goods = as_json(spark, sf, "order_items").withColumns({"product_name": F.lit("dish"), "category": F.lit("food")})
     store = _converted(spark, sf, "convert", deliveries=short, order_items=goods)
-    path = f"{store.path('typed', '_manifest')}/load_date=2001-08-02"
-    return spark.read.json(path).select("source", "status", "run_status")
+    return convert.conversion_manifest(store, "2001-08-02").select("source", "status", "run_status")
+
+
+def _spoilt_drop(spark, sf, name):
+    """A load, one with a bad line, a bad date and a fraction, and a clean one after it."""
+    store = _own_store(spark, sf, name)
+    paths = {e: _path(spark, sf, e) for e in ENTITIES}
+    spoilt = {e: f"{store.path('drop', e)}.json" for e in ("customers", "stores", "products")}
+    bad_line = as_json(spark, sf, "stores").select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    bad_line.unionByName(spark.createDataFrame([("{broken",)], "value string")).write.text(spoilt["stores"])
+    bad_date = F.when(F.col("signup_date") == F.col("first_day"), "31/12/2024").otherwise(F.col("signup_date").cast("string"))
+    customers = as_json(spark, sf, "customers")
+    first = customers.agg(F.min("signup_date").alias("first_day"))
+    customers.join(F.broadcast(first)).withColumn("signup_date", bad_date).drop("first_day").write.option("ignoreNullFields", False).json(spoilt["customers"])
+    cents = as_json(spark, sf, "products").withColumn("base_price_ngn", F.lit(12.5))
+    cents.write.option("ignoreNullFields", False).json(spoilt["products"])
+    for date, drop in (("2001-08-01", paths), ("2001-08-02", paths | spoilt), ("2001-08-03", paths)):
+        try:
+            convert.convert_drop(store, drop, date, "batch", arrays=False)
+        except convert.ConversionFailed:
+            pass
+    return store
+
+
+_SPOILT_SOURCES = [
+    (day, e, {"customers": "halted_schema_drift", "stores": "error"}.get(e, "success") if day == 2 else "success")
+    for day in (1, 2, 3)
+    for e in ("customers", "stores", "products", "orders", "order_items", "deliveries")
+]
+
+
+@query(
+    "snk5_spoilt_sources",
+    "SELECT '2001-08-0' || day AS load_date, source, status, CASE WHEN day = 2 AND source = 'stores' THEN 1 ELSE 0 END AS malformed_records, "
+    "day = 2 AND source = 'stores' AS has_error FROM (VALUES "
+    + ", ".join(f"({d}, '{e}', '{s}')" for d, e, s in _SPOILT_SOURCES)
+    + ") t(day, source, status)",
+)
+def spoilt_sources(spark, sf):
+    """A bad line is an error, a bad date halts, a fraction passes; the next clean load succeeds."""
+    rows = _spoilt_drop(spark, sf, "spoilt").read_all("typed", "manifest", "load_date")
+    return rows.select("load_date", "source", "status", "malformed_records", F.col("error").isNotNull().alias("has_error"))
 
 
 @query("snk6_replace_table", "SELECT store_id, city FROM src_stores_2")

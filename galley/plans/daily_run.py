@@ -131,8 +131,11 @@ def process_drop(
     if inspection.status != drops.READY:
         return inspection.status
     day = str(run.execution_date)
-    drops.land_drop(store, folder, day)
-    paths = {entity: f"{folder}/{entity}.json" for entity in ENTITIES}
+    landed = drops.by_file(drops.land_drop(store, folder, day))
+    if drops.fingerprint_of(landed) != inspection.fingerprint:
+        raise RuntimeError(f"{folder} changed while it was landed; the next run takes it up again")
+    copies = drops.landed_folder(store, day)
+    paths = {entity: f"{copies}/{entity}.json" for entity in ENTITIES}
     convert.convert_drop(store, paths, day, staging.run_batch_id("raw", day), arrays)
     tables = build_staging(store, run)
     tables |= build_marts(store, tables, run, partition_facts)

@@ -11,41 +11,58 @@ from pyspark.sql import types as T
 from galley.sources.contracts import CONTRACTS, TIMESTAMP_COLUMNS
 
 
+# Text of records that are no JSON objects; never part of a schema or contract.
+MALFORMED = "_malformed_record"
+
+
 def read_json(
     spark: SparkSession, path: str, schema: T.StructType | None = None, arrays: bool = True
 ) -> DataFrame:
     """JSON files of one entity, without columns taken from the path.
 
     ``arrays`` reads files holding one array of records; such a file is read by one task.
-    JSON-lines files (``arrays=False``) can be split.
+    JSON-lines files (``arrays=False``) can be split. A record that cannot be parsed is a
+    row of NULLs, with its text in ``MALFORMED`` where the schema asks for that.
     """
     reader = spark.read.option("multiLine", arrays).option("recursiveFileLookup", True)
+    reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
-def _as_text(contract: T.StructType) -> T.StructType:
-    """The contract as JSON can carry it: dates and times are text."""
-    return T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if _temporal(f.dataType) else f.dataType)
-            for f in contract.fields
-        ]
-    )
-
-
 def _temporal(kind: T.DataType) -> bool:
     return isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
 def read_entity(spark: SparkSession, path: str, entity: str, arrays: bool = True) -> DataFrame:
-    """JSON of one entity in its contract's columns and types."""
-    contract = CONTRACTS[entity]
-    return typed(read_json(spark, path, _as_text(contract), arrays), contract)
+    """JSON of one entity in its contract's columns and types.
+
+    Values are read as they are and then cast, so that a fraction is cut and not lost.
+    """
+    observed = observe_schema(spark, path, arrays)
+    breaking = [row for row in drift_rows(entity, CONTRACTS[entity], observed) if row[-1]]
+    if breaking:
+        raise ValueError(f"{path} breaks the contract of {entity}: {breaking}")
+    return typed(read_json(spark, path, observed, arrays), CONTRACTS[entity])
 
 
 def observe_schema(spark: SparkSession, path: str, arrays: bool = True) -> T.StructType:
     """Names and types found in the files, over all their records."""
-    return read_json(spark, path, arrays=arrays).schema
+    found = read_json(spark, path, arrays=arrays).schema
+    return T.StructType([f for f in found.fields if f.name != MALFORMED])
+
+
+def with_malformed(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+
+
+def date_columns(contract: T.StructType) -> list[str]:
+    return [f.name for f in contract.fields if isinstance(f.dataType, T.DateType)]
+
+
+def is_bad_date(column: str) -> Column:
+    """Whether text is there that is no date."""
+    text = F.col(f"`{column}`")
+    return text.isNotNull() & text.try_cast("date").isNull()
 
 
 def drift(
@@ -64,7 +81,8 @@ def drift_rows(
 ) -> list[tuple[str, str, str, str | None, str | None, bool]]:
     """Missing columns break a load, and so do type changes other than between numbers.
 
-    Text is what JSON holds for a date or time, so it is no change of one.
+    Text is what JSON holds for a date or time, so it is no change of one; that the text is
+    a date is seen when it is read.
     """
     found = {f.name: f.dataType for f in actual.fields}
     known = {f.name: f.dataType for f in expected.fields}

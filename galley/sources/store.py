@@ -1,16 +1,21 @@
-"""Parquet tables of the warehouse: one folder per layer and table."""
+"""Parquet tables of the warehouse: one folder per layer and table, versions below it."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
 class TableStore:
-    """Tables below one root folder on any Hadoop file system."""
+    """Tables below one root folder on any Hadoop file system.
+
+    A write adds a version, which counts once Spark has committed it (``_SUCCESS``). A
+    write that fails leaves the version before it in force, and no version is touched
+    while it is read: the one before the newest is kept for readers that have begun.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -19,60 +24,50 @@ class TableStore:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def replace(
-        self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()
-    ) -> DataFrame:
-        """Rebuild a table that does not read itself.
+    def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Write the next version of a table.
 
         With partitions, rows are first brought together by them, and Spark sizes the
         tasks, so that no task writes a file to every partition.
         """
         if partition_by:
             df = df.hint("rebalance", *partition_by)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(layer, name))
+        self._add_version(self.path(layer, name), df, partition_by)
         return self.read(layer, name)
 
-    def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
-
     def advance(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """Add the next version of a table that is derived from itself.
+        """``replace`` for a table that is derived from its version before."""
+        return self.replace(layer, name, df)
 
-        A version counts once Spark has committed it (``_SUCCESS``), so a failed write
-        leaves the previous one in force and no version is read while it is replaced.
-        """
-        number = (self._committed(layer, name) or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.path(layer, name)}/version={number}")
-        return self.latest(layer, name)
+    def read(self, layer: str, name: str) -> DataFrame:
+        """The newest version; an error if there is none."""
+        path = self.path(layer, name)
+        return self.spark.read.parquet(self._newest(path) or path)
 
     def latest(self, layer: str, name: str) -> DataFrame | None:
-        number = self._committed(layer, name)
-        if number is None:
-            return None
-        return self.spark.read.parquet(f"{self.path(layer, name)}/version={number}")
+        """The newest version, or None."""
+        return self.read(layer, name) if self.exists(layer, name) else None
 
-    def _committed(self, layer: str, name: str) -> int | None:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path(layer, name))
-        files = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        marks = files.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "version=*/_SUCCESS"))
-        numbers = [int(m.getPath().getParent().getName().split("=")[1]) for m in marks or []]
-        return max(numbers, default=None)
+    def exists(self, layer: str, name: str) -> bool:
+        """Whether a table, or any partition of one, has been written."""
+        folder = self.path(layer, name)
+        return self._newest(folder) is not None or bool(self._found(folder, "*=*/version=*/_SUCCESS"))
 
     def write_partition(self, layer: str, name: str, df: DataFrame, column: str, value: str) -> None:
         """Write one partition (a run, a date, a batch); writing it again replaces it.
 
-        The partition's folder is overwritten as such, so that a rerun without rows leaves
-        none behind.
+        A rerun without rows leaves none behind.
         """
+        self._add_version(self.leaf(layer, name, column, value), df)
+
+    def leaf(self, layer: str, name: str, column: str, value: str) -> str:
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        leaf = f"{self.path(layer, name)}/{column}={escape.escapePathName(value)}"
-        df.write.mode("overwrite").parquet(leaf)
+        return f"{self.path(layer, name)}/{column}={escape.escapePathName(value)}"
 
     def write_load(self, entity: str, df: DataFrame, load_date: str) -> str:
         """Typed Parquet of one entity and load date."""
         self.write_partition("typed", entity, df, "load_date", load_date)
-        return f"{self.path('typed', entity)}/load_date={load_date}"
+        return self._newest(self.leaf("typed", entity, "load_date", load_date))
 
     def read_all(self, layer: str, name: str, column: str) -> DataFrame:
         """All partitions, unioned by column name; a column absent from one is NULL there.
@@ -80,18 +75,76 @@ class TableStore:
         ``column`` is the partition column; its values are read as the text they are.
         """
         path = self.path(layer, name)
-        merged = self.spark.read.option("mergeSchema", True).parquet(path).schema
-        fields = [
-            T.StructField(f.name, T.StringType() if f.name == column else f.dataType) for f in merged
-        ]
-        return self.spark.read.schema(T.StructType(fields)).parquet(path)
+        newest: dict[str, int] = {}
+        for mark in self._found(path, f"{column}=*/version=*/_SUCCESS"):
+            leaf, _, version = mark.rsplit("/", 1)[0].rpartition("/version=")
+            newest[leaf] = max(newest.get(leaf, 0), int(version))
+        leaves = [f"{leaf}/version={n}" for leaf, n in sorted(newest.items())] or [path]
+        reader = self.spark.read.option("basePath", path)
+        merged = reader.option("mergeSchema", True).parquet(*leaves).schema
+        fields = [T.StructField(f.name, T.StringType() if f.name == column else f.dataType) for f in merged]
+        return reader.schema(T.StructType(fields)).parquet(*leaves).drop("version")
 
     def read_loads(self, entity: str) -> DataFrame:
         return self.read_all("typed", entity, "load_date")
 
-    def exists(self, layer: str, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(layer, name)).schema
-        except AnalysisException:
-            return False
-        return True
+    def pinned(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Write rows that must not be made twice, and read them back."""
+        path = f"{self.path(layer, '_' + name)}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def attempt(self, layer: str, name: str, df: DataFrame) -> str:
+        """Write rows aside: they do not count until ``keep_load`` moves them."""
+        path = f"{self.path(layer, '_attempts')}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return path
+
+    def keep_load(self, entity: str, attempt: str, load_date: str) -> str:
+        """Make an attempt the newest version of an entity's load."""
+        folder = self.leaf("typed", entity, "load_date", load_date)
+        files, number = self._files(folder), self._next(folder)
+        files.mkdirs(self._path(folder))
+        files.delete(self._path(f"{folder}/version={number}"), True)
+        if not files.rename(self._path(attempt), self._path(f"{folder}/version={number}")):
+            raise OSError(f"{attempt} could not be moved below {folder}")
+        self._forget(folder, number)
+        return f"{folder}/version={number}"
+
+    def discard(self, path: str) -> None:
+        self._files(path).delete(self._path(path), True)
+
+    # versions ------------------------------------------------------------------------
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, folder: str):
+        return self._path(folder).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _found(self, folder: str, pattern: str) -> list[str]:
+        jvm = self.spark._jvm
+        glob = jvm.org.apache.hadoop.fs.Path(self._path(folder), pattern)
+        return [s.getPath().toString() for s in self._files(folder).globStatus(glob) or []]
+
+    def _numbers(self, folder: str) -> list[int]:
+        marks = self._found(folder, "version=*/_SUCCESS")
+        return [int(m.rsplit("/", 2)[1].removeprefix("version=")) for m in marks]
+
+    def _next(self, folder: str) -> int:
+        return max(self._numbers(folder), default=0) + 1
+
+    def _newest(self, folder: str) -> str | None:
+        numbers = self._numbers(folder)
+        return f"{folder}/version={max(numbers)}" if numbers else None
+
+    def _add_version(self, folder: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        number = self._next(folder)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{folder}/version={number}")
+        self._forget(folder, number)
+
+    def _forget(self, folder: str, newest: int) -> None:
+        """Remove versions that no reader can still be at."""
+        for number in self._numbers(folder):
+            if number < newest - 1:
+                self.discard(f"{folder}/version={number}")

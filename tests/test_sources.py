@@ -4,6 +4,7 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from galley.sources import convert, drops
@@ -82,33 +83,48 @@ def test_missing_empty_and_incomplete_drops(spark, tmp_path):
     (folder / "notes.txt").write_text("x")
     assert drops.inspect_drop(spark, f"file://{folder}").status == drops.EMPTY
     (folder / "orders.json").write_text("[]")
-    with pytest.raises(FileNotFoundError, match="Missing required file"):
+    with pytest.raises(FileNotFoundError, match="it lacks customers.json"):
         drops.inspect_drop(spark, f"file://{folder}")
 
 
 def test_landed_files_keep_their_bytes(store, drop):
     url = f"file://{drop}"
-    drops.land_drop(store, url, "2024-05-01")
+    (drop / "stores.json").write_bytes(b"\xef\xbb\xbf[]\r\n\xff")
+    first = drops.land_drop(store, url, "2024-05-01")
     write_drop(drop, stores=[{**STORE, "city": "Abuja"}])
-    manifest = drops.land_drop(store, url, "2024-05-02")
-    assert {(r["file"], r["status"]) for r in manifest.collect()} == {(f, "success") for f in drops.REQUIRED_FILES}
-    texts = {d: {r["file"]: r["text"] for r in drops.landed_text(store, d).collect()} for d in ("2024-05-01", "2024-05-02")}
-    assert json.loads(texts["2024-05-01"]["stores.json"])[0]["city"] == " Lagos "
-    assert texts["2024-05-02"]["stores.json"] == (drop / "stores.json").read_text()
+    again = drops.land_drop(store, url, "2024-05-01")  # replaces the first
+    assert {(r["file"], r["status"], r["run_status"]) for r in again.collect()} == {(f, "success", "success") for f in drops.REQUIRED_FILES}
+    assert {r["landed_in"] for r in first.collect()} != {r["landed_in"] for r in again.collect()}
+    assert drops.landed_folder(store, "2024-05-01") == again.first()["landed_in"]
+    for r in again.collect():
+        data = (drop / r["name"]).read_bytes()
+        with open(r["object_path"].removeprefix("file:"), "rb") as kept:
+            assert kept.read() == data
+        assert (r["size_bytes"], r["sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
 
 
-def test_large_files_are_hashed_and_landed_by_line(spark, store, tmp_path, monkeypatch):
-    monkeypatch.setattr(drops, "WHOLE_FILE_BYTES", 100)
-    folder = tmp_path / "big"
-    folder.mkdir()
-    lines = [json.dumps({"order_id": f"O{i}"}) for i in range(500)]
-    (folder / "orders.json").write_text("\n".join(lines) + "\n")
-    before = drops.drop_files(spark, f"file://{folder}").first()
-    drops.land_drop(store, f"file://{folder}", "2024-05-01")
-    kept = store.read_all("landing", "lines", "ingestion_date").orderBy("path", "block", "line")
-    assert [r["value"] for r in kept.collect()] == lines
-    (folder / "orders.json").write_text("\n".join(lines[:-1] + ['{"order_id":"OX"}']) + "\n")
-    assert drops.drop_files(spark, f"file://{folder}").first()["sha256"] != before["sha256"]
+def test_files_are_streamed_in_blocks_whatever_their_size(spark, store, drop, monkeypatch):
+    monkeypatch.setattr(drops, "BLOCK_BYTES", 7)
+    small = {r["file"]: r["sha256"] for r in drops.drop_files(spark, f"file://{drop}").collect()}
+    assert small == {f: hashlib.sha256((drop / f).read_bytes()).hexdigest() for f in drops.REQUIRED_FILES}
+
+
+def test_swapped_values_change_a_drop(spark, store, tmp_path):
+    one = [{**STORE, "store_id": "S1", "city": "A"}, {**STORE, "store_id": "S2", "city": "B"}]
+    two = [{**STORE, "store_id": "S1", "city": "B"}, {**STORE, "store_id": "S2", "city": "A"}]
+    drop = write_drop(tmp_path / "drop", stores=one)
+    seen = drops.inspect_drop(spark, f"file://{drop}")
+    drops.mark_processed(store, seen, "2024-05-01", "run")
+    write_drop(drop, stores=two)
+    assert drops.inspect_drop(spark, f"file://{drop}", drops.last_fingerprint(store)).status == drops.READY
+
+
+def test_landing_reports_files_it_could_not_copy(store, drop):
+    blocked = store.path("landing", "files").removeprefix("file://")
+    files = drops.listing(store.spark, f"file://{drop}")
+    gone = files.withColumn("path", F.when(F.col("file") == "stores.json", "file:/none/stores.json").otherwise(F.col("path")))
+    found = {r["file"]: r["error"] for r in drops.streamed_files(gone, f"file://{blocked}").collect()}
+    assert found["stores.json"] and [f for f, e in found.items() if e] == ["stores.json"]
 
 
 # drift -------------------------------------------------------------------------------
@@ -186,6 +202,57 @@ def test_accepted_drift_becomes_the_contract_and_old_loads_read_null(store, tmp_
         convert.convert_drop(store, paths(drop), "2024-05-03", "b3")
 
 
+def test_a_malformed_line_fails_its_source_and_nothing_else(store, tmp_path):
+    drop = write_drop(tmp_path / "drop")
+    lines = lambda records: "\n".join(json.dumps(r) for r in records) + "\n"
+    for entity, records in RECORDS.items():
+        (drop / f"{entity}.json").write_text(lines(records))
+    convert.convert_drop(store, paths(drop), "2024-05-01", "b1", arrays=False)
+    (drop / "stores.json").write_text(lines([{**STORE, "store_id": "S9"}]) + "{broken\n")
+    with pytest.raises(convert.ConversionFailed) as failure:
+        convert.convert_drop(store, paths(drop), "2024-05-01", "b2", arrays=False)
+    assert failure.value.failures == [("stores", "error")]
+    row = convert.conversion_manifest(store, "2024-05-01").where("source = 'stores'").first()
+    assert (row["status"], row["malformed_records"], row["run_status"]) == ("error", 1, "partial_failure")
+    assert [r["store_id"] for r in store.read_loads("stores").collect()] == ["S1"]  # the load before is left
+    (drop / "stores.json").write_text(lines([{**STORE, "store_id": "S2"}]))
+    convert.convert_drop(store, paths(drop), "2024-05-02", "b3", arrays=False)
+    assert convert.load_contracts(store)["stores"] == CONTRACTS["stores"]
+
+
+def test_text_that_is_no_date_halts_its_source(store, tmp_path):
+    bad = [{**RECORDS["customers"][0], "signup_date": d} for d in ("2024-01-31", "31/12/2024", None)]
+    drop = write_drop(tmp_path / "drop", customers=bad)
+    with pytest.raises(convert.ConversionFailed) as failure:
+        convert.convert_drop(store, paths(drop), "2024-05-01", "b1")
+    assert failure.value.failures == [("customers", "halted_schema_drift")]
+    row = convert.conversion_manifest(store, "2024-05-01").where("source = 'customers'").first()
+    assert [(d["column"], d["expected"], d["actual"], d["breaking"]) for d in row["drift"]] == [("signup_date", "date", "string", True)]
+    assert not store.exists("typed", "customers")
+
+
+def test_a_fraction_is_cut_and_not_lost(spark, tmp_path):
+    drop = write_drop(tmp_path / "drop", products=[{**RECORDS["products"][0], "base_price_ngn": 12.5}])
+    assert read_entity(spark, paths(drop)["products"], "products").first()["base_price_ngn"] == 12
+
+
+def test_a_write_that_fails_leaves_the_table(spark, store):
+    store.replace("marts", "t", spark.range(3))
+    broken = spark.range(10).selectExpr("if(id = 7, raise_error('no'), id) AS id")
+    with pytest.raises(Exception, match="no"):
+        store.replace("marts", "t", broken)
+    assert store.read("marts", "t").count() == 3
+    for n in (4, 5, 6):
+        kept = store.read("marts", "t")
+        store.replace("marts", "t", spark.range(n))
+        assert kept.count() in (3, 4, 5)  # one who has begun to read goes on
+    assert len(store._numbers(store.path("marts", "t"))) == 2
+    store.write_partition("marts", "p", spark.range(2), "day", "a")
+    with pytest.raises(Exception, match="no"):
+        store.write_partition("marts", "p", broken, "day", "a")
+    assert store.read_all("marts", "p", "day").count() == 2
+
+
 def test_unknown_source_is_refused(store):
     with pytest.raises(ValueError):
         convert.convert_drop(store, {"menus": "x"}, "2024-05-01", "b")
