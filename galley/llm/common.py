@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,23 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"
 
 
+#: Rows that go to Python at once while something is stored. Texts and sets are a few kB
+#: each, and JVM and worker both hold a batch.
+BATCH_ROWS = "2000"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Smaller Arrow batches for the jobs run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -30,7 +48,8 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     partitions they were given when they were made.
     """
     path = shared_path(df.sparkSession, kind)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

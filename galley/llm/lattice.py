@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.common import as_text, distinct_words, ranges, schema_of, shared_path, slices
+from galley.llm.common import as_text, distinct_words, ranges, schema_of, shared_path, slices, small_batches
 from galley.llm.unigram import SPACE, Vocabulary
 
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -255,7 +255,8 @@ def encode(docs: DataFrame, keep: list[str], vocabulary: Vocabulary, text: str =
     folder = shared_path(spark, "lattice-dictionaries")
     folder = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
     packed = uses.join(found, "word").select("part", "word", "ids").mapInArrow(_packed, "part int, words binary, lengths binary, ids binary")
-    packed.repartition("part").write.partitionBy("part").parquet(folder)
+    with small_batches(spark):
+        packed.repartition("part").write.partitionBy("part").parquet(folder)
     head = ", ".join([schema_of(source, keep)] * bool(keep) + ["ids array<int>"])
     return source.mapInArrow(_encoded(folder, vocabulary), head)
 
