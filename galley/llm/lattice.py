@@ -111,56 +111,58 @@ def piece_table(spark, words: Vocabulary) -> DataFrame:
 
 
 def solved(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``word`` and its ``ids``; ``words`` has distinct words of bounded length."""
-    longest = max(map(len, vocabulary.pieces))
-    n = F.length("word")
-    parts = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), n),
-            lambda start: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), n - start + 1)),
-                lambda length: F.struct(
-                    (start + length - 1).alias("stop"), (start - 1).alias("start"), F.col("word").substr(start, length).alias("piece")
-                ),
-            ),
-        )
-    )
-    of_byte = F.array(*(F.lit(k) for k in byte_ids(vocabulary)))
-    in_bytes = F.transform(
-        F.sequence(F.lit(0), F.octet_length("piece") - 1),
-        lambda k: of_byte[F.conv(F.substring(F.hex("piece"), 2 * k + 1, F.lit(2)), 16, 10).cast("int")],
-    )
+    """``word`` and its ``ids``; ``words`` has distinct words of bounded length.
+
+    An edge is one number (end, start, piece), so that sorting edges is sorting numbers,
+    and its score. The piece of an unknown character is one past the vocabulary until the
+    path is known.
+    """
+    longest, unknown = max(map(len, vocabulary.pieces)), len(vocabulary.pieces)
+    starts = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    last = F.least(F.length("word"), F.col("start") + longest)
+    spans = starts.select("word", "start", F.explode(F.sequence(F.col("start") + 1, last)).alias("stop"))
+    spans = spans.withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("stop") - F.col("start")))
+    key = F.shiftleft(F.col("stop").cast("long"), 42) + F.shiftleft(F.col("start").cast("long"), 21)
     # the piece table is a tokenizer's vocabulary, whatever the corpus
     edges = (
-        words.select("word", F.explode(parts).alias("e"))
-        .select("word", "e.*")
-        .join(F.broadcast(pieces), "piece", "left")
+        spans.join(F.broadcast(pieces), "piece", "left")
         .filter(F.col("id").isNotNull() | (F.col("stop") - F.col("start") == 1))
         .select(
             "word",
-            F.struct(
-                "stop",
-                "start",
-                F.coalesce("piece_score", F.lit(vocabulary.unknown_score)).alias("score"),
-                F.when(F.col("id").isNull(), in_bytes).otherwise(F.array("id")).alias("ids"),
-            ).alias("edge"),
+            (key + F.coalesce("id", F.lit(unknown))).alias("key"),
+            F.coalesce("piece_score", F.lit(vocabulary.unknown_score)).alias("score"),
         )
     )
-    state = "array<struct<score:double,ids:array<int>>>"
-    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))).cast(state)
+    state = "array<struct<score:double,path:array<bigint>>>"
+    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<bigint>").alias("path"))).cast(state)
+    field = (1 << 21) - 1
 
     def step(found, edge):
-        before = found[edge["start"]]
+        stop = F.shiftright(edge["key"], 42).cast("int")
+        before = found[F.shiftright(edge["key"], 21).bitwiseAND(field).cast("int")]
         score = before["score"] + edge["score"]
-        path = F.array(F.struct(score.alias("score"), F.concat(before["ids"], edge["ids"]).alias("ids"))).cast(state)
+        path = F.array(F.struct(score.alias("score"), F.array_append(before["path"], edge["key"]).alias("path"))).cast(state)
         return (
-            F.when(F.size(found) <= edge["stop"], F.concat(found, path))
-            .when(score > found[edge["stop"]]["score"], F.concat(F.slice(found, F.lit(1), edge["stop"]), path))
+            F.when(F.size(found) <= stop, F.concat(found, path))
+            .when(score > found[stop]["score"], F.concat(F.slice(found, F.lit(1), stop), path))
             .otherwise(found)
         )
 
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    return grouped.select("word", F.aggregate("edges", begin, step, lambda found: F.element_at(found, -1)["ids"]).alias("ids"))
+    of_byte = F.array(*(F.lit(k) for k in byte_ids(vocabulary)))
+
+    def ids_of(edge):
+        piece = edge.bitwiseAND(field).cast("int")
+        start = F.shiftright(edge, 21).bitwiseAND(field).cast("int")
+        character = F.col("word").substr(start + 1, F.lit(1))
+        in_bytes = F.transform(
+            F.sequence(F.lit(0), F.octet_length(character) - 1),
+            lambda k: of_byte[F.conv(F.substring(F.hex(character), 2 * k + 1, F.lit(2)), 16, 10).cast("int")],
+        )
+        return F.when(piece == unknown, in_bytes).otherwise(F.array(piece))
+
+    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("key", "score"))).alias("edges"))
+    folded = grouped.select("word", F.aggregate("edges", begin, step, lambda found: F.element_at(found, -1)["path"]).alias("path"))
+    return folded.select("word", F.flatten(F.transform("path", ids_of)).alias("ids"))
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +253,8 @@ def encode(docs: DataFrame, keep: list[str], vocabulary: Vocabulary, text: str =
     source = docs.select(*keep, F.col(f"`{text}`").cast("string").alias("__llm_text"))
     # rows of a word stay together from here on: one shuffle serves lattice and join
     uses = source.select("__llm_text").mapInArrow(_words_by_part(settings.longest_word), "part int, word string").repartition("word")
-    found = solved(uses.select("word").distinct(), piece_table(spark, vocabulary), vocabulary)
+    distinct = uses.groupBy("word").agg(F.min("part").alias("part")).select("word")  # needs both columns, so the shuffle is shared
+    found = solved(distinct, piece_table(spark, vocabulary), vocabulary)
     folder = shared_path(spark, "lattice-dictionaries")
     folder = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
     packed = uses.join(found, "word").select("part", "word", "ids").mapInArrow(_packed, "part int, words binary, lengths binary, ids binary")
@@ -261,28 +264,32 @@ def encode(docs: DataFrame, keep: list[str], vocabulary: Vocabulary, text: str =
     return source.mapInArrow(_encoded(folder, vocabulary), head)
 
 
-def decoded(ids: list[int], pieces: tuple[str, ...], bytes_of: dict[int, int]) -> str:
-    """The text of ids."""
-    if any(k in bytes_of for k in ids):
+def decoded(ids: np.ndarray, pieces: np.ndarray, bytes_of: np.ndarray) -> str:
+    """The text of ids; ``bytes_of`` has the byte of each piece, or -1."""
+    found = bytes_of[ids]
+    if (found >= 0).any():
         out, run = [], bytearray()
-        for k in ids:
-            if k in bytes_of:
-                run.append(bytes_of[k])
+        for k, byte in zip(ids.tolist(), found.tolist(), strict=True):
+            if byte >= 0:
+                run.append(byte)
             else:
                 out += [run.decode("utf-8", "replace"), pieces[k]]
                 run = bytearray()
         text = "".join([*out, run.decode("utf-8", "replace")])
     else:
-        text = "".join([pieces[k] for k in ids])
+        text = "".join(pieces[ids].tolist())
     return text.replace(SPACE, " ")[1:]
 
 
 def _decoded(vocabulary: Vocabulary):
-    bytes_of = {k: b for b, k in enumerate(byte_ids(vocabulary))}
+    pieces, bytes_of = np.array(vocabulary.pieces, object), np.full(len(vocabulary.pieces), -1)
+    bytes_of[byte_ids(vocabulary)] = np.arange(256)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [decoded(ids or [], vocabulary.pieces, bytes_of) for ids in batch.column("ids").to_pylist()]
+            column = batch.column("ids")
+            flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+            texts = [decoded(flat[a:b], pieces, bytes_of) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return decode
