@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame
 def _plain(value):
     if isinstance(value, bool) or value is None:
         return value
-    if isinstance(value, (float, decimal.Decimal)):
-        value = float(value)
+    if isinstance(value, (int, decimal.Decimal)):  # exactly, whatever their scales
+        return f"{decimal.Decimal(value).normalize():f}"
+    if isinstance(value, float):  # sums of doubles depend on their order in the last digits
         return "nan" if math.isnan(value) else f"{value:.9g}"
-    if isinstance(value, int):
-        return f"{float(value):.9g}" if abs(value) < 2**53 else str(value)
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, dt.date):

@@ -21,7 +21,7 @@ from checks.lake import lake
 from checks.registry import query, register
 from galley.functions import remap, utc_literal
 from galley.operators.joins import remap_from
-from galley.operators.pages import latest_version, matching, page
+from galley.operators.pages import latest_version, matching, next_cursor, page
 from galley.plans import feed as plan
 from galley.sources.store import TableStore
 from galley.streaming.feed_stream import compact, current_state, start_feed
@@ -240,8 +240,7 @@ _PAGE = "SELECT * FROM feed_records WHERE updated_at > '2024-01-16' ORDER BY upd
 def second_page(spark, sf):
     """The page after the first hundred."""
     rest = matching(records(spark, sf), updated_after=CUT)
-    last = page(rest, 100).agg(F.max(F.struct("updated_at", "delivery_id")).alias("last")).first()[0]
-    return page(rest, 100, after=(last["updated_at"], last["delivery_id"]))
+    return page(rest, 100, after=next_cursor(page(rest, 100)))
 
 
 @query("srt4_latest_version", "SELECT * FROM feed_latest WHERE delivery_id = 'D7'")

@@ -114,12 +114,12 @@ def by_name(spark, sf):
 
 @query(
     "src6_table_scan",
-    "SELECT order_id, CAST(total_amount_ngn AS DOUBLE) AS total_amount_ngn FROM fact_orders WHERE date_sk >= DATE '2000-01-01'",
+    "SELECT order_id, CAST(total_amount_ngn AS DOUBLE) AS total_amount_ngn FROM fact_orders",
 )
 def scan(spark, sf):
     lake(spark, sf).mart("fact_orders")
     facts = lake(spark, sf).store.read("marts", "fact_orders")
-    return facts.where("date_sk >= DATE '2000-01-01'").select(
+    return facts.select(
         "order_id", F.col("total_amount_ngn").cast("double").alias("total_amount_ngn")
     )
 

@@ -311,12 +311,23 @@ def by_expression(spark, sf):
 
 @query(
     "agg11_daily_measures",
-    """SELECT full_date, store_id, channel, order_count, total_items, promo_order_count, new_customer_orders
-       FROM vw_sales_performance WHERE is_weekend""",
+    """SELECT full_date, store_id, channel, order_count, CAST(total_revenue AS DOUBLE) AS total_revenue, avg_order_value,
+              total_items, avg_items_per_order, promo_order_count, new_customer_orders, returning_customer_orders
+       FROM vw_sales_performance""",
 )
 def measures(spark, sf):
-    return view(spark, sf, "vw_sales_performance").where("is_weekend").select(
-        "full_date", "store_id", "channel", "order_count", "total_items", "promo_order_count", "new_customer_orders"
+    return view(spark, sf, "vw_sales_performance").select(
+        "full_date",
+        "store_id",
+        "channel",
+        "order_count",
+        "total_revenue",
+        "avg_order_value",
+        "total_items",
+        "avg_items_per_order",
+        "promo_order_count",
+        "new_customer_orders",
+        "returning_customer_orders",
     )
 
 

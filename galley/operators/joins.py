@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 2_000_000
 NULL_KEY_SALTS = 1 << 20
+LOOKUP_KINDS = ("left", "inner", "left_semi", "left_anti")
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -44,6 +45,8 @@ def lookup(
     with a NULL key match nothing and are spread as well. ``hot_from`` names a cheaper
     frame to count the keys on, such as the stored table ``left`` was derived from.
     """
+    if how not in LOOKUP_KINDS:
+        raise ValueError(f"a lookup is one of {LOOKUP_KINDS}, not {how}: others would repeat right rows per salt")
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     many = HOT_ROWS if hot_rows is None else hot_rows

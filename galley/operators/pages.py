@@ -37,22 +37,29 @@ def matching(
     return df
 
 
-def _after(updated_at: dt.datetime, delivery_id: str) -> Column:
-    at = utc_literal(updated_at)
-    later = F.col("updated_at") > at
-    return later | ((F.col("updated_at") == at) & (F.col("delivery_id") > delivery_id))
+Cursor = tuple[dt.datetime | None, str | None]
+
+
+def _after(updated_at: dt.datetime | None, delivery_id: str | None) -> Column:
+    """What follows a row in the order of pages, NULLs first."""
+    same = F.col("updated_at").isNull()
+    later = F.col("updated_at").isNotNull()
+    if updated_at is not None:
+        same, later = (F.col("updated_at") == utc_literal(updated_at)), (F.col("updated_at") > utc_literal(updated_at))
+    greater = F.col("delivery_id").isNotNull() if delivery_id is None else F.col("delivery_id") > delivery_id
+    return later | (same & greater)
 
 
 def page(
-    df: DataFrame, limit: int, after: tuple[dt.datetime, str] | None = None
+    df: DataFrame, limit: int, after: Cursor | None = None
 ) -> DataFrame:
     """One page in (``updated_at``, ``delivery_id``) order with ``has_more``.
 
-    The next page starts after the last row of this one, so no page has to skip over the
-    rows before it. ``df`` needs one row per (``updated_at``, ``delivery_id``).
+    The next page starts after ``next_cursor`` of this one, so no page has to skip over the
+    rows before it. Rows without a time or id come first. ``df`` needs one row per (``updated_at``, ``delivery_id``).
     """
     rest = df if after is None else df.where(_after(*after))
-    order = [F.col("updated_at").asc(), F.col("delivery_id").asc()]
+    order = [F.col("updated_at").asc_nulls_first(), F.col("delivery_id").asc_nulls_first()]
     # only limit + 1 rows are left here, so a global window is no bottleneck
     place = F.row_number().over(W.orderBy(*order))
     last = F.max("_place").over(W.partitionBy())
@@ -66,6 +73,13 @@ def page(
     )
 
 
+def next_cursor(one_page: DataFrame) -> Cursor | None:
+    """Where the page after a page starts; None after the last one, an empty one included."""
+    order = [F.col("updated_at").desc_nulls_last(), F.col("delivery_id").desc_nulls_last()]
+    last = one_page.orderBy(*order).select("updated_at", "delivery_id", "has_more").first()
+    return (last["updated_at"], last["delivery_id"]) if last is not None and last["has_more"] else None
+
+
 def latest_version(df: DataFrame, delivery_id: str, source_order: str | None = None) -> DataFrame:
     """The newest row of one delivery."""
     order = [F.col("updated_at").desc_nulls_last()]

@@ -209,7 +209,8 @@ def ingest_pages(
     failed = check.where("status = 'FAIL'").collect()  # at most two rows
     if failed:
         raise FeedReconciliationFailed(str([r.asDict() for r in failed]))
-    reached = records.agg(iso_utc(F.max("updated_at"))).first()[0]
+    # to the microsecond: a mark cut to seconds would make its newest record newer for ever
+    reached = records.agg(F.max("updated_at")).first()[0].isoformat() + "Z"
     write_watermark(store, name, reached)
     return reached
 

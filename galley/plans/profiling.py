@@ -101,14 +101,21 @@ def exact_duplicates(sources: Mapping[str, DataFrame]) -> DataFrame:
 def outside_opening_hours(orders: DataFrame, stores: DataFrame) -> DataFrame:
     """Orders placed before opening or after closing, per store.
 
-    A closing time before the opening time means the store closes after midnight.
+    A closing time before the opening time means the store closes after midnight. Times of
+    day are compared in seconds, both ends included; an order loaded again counts once.
     """
+    orders = latest_per_key(orders, ["order_id"])
     sites = latest_per_key(stores, ["store_id"])
-    opens, closes = (F.element_at(F.split("opening_hours", "-"), i) for i in (1, 2))
+
+    def second(i: int):
+        clock = F.split(F.trim(F.element_at(F.split("opening_hours", "-"), i)), ":")
+        return clock[0].cast("int") * 3600 + clock[1].cast("int") * 60
+
+    opens, closes = second(1), second(2)
     hours = sites.select("store_id", opens.alias("_opens"), closes.alias("_closes"))
     placed = orders.select("order_id", F.col("store_id").alias("store"), "order_ts")
     found = lookup(placed, hours, {"store": "store_id"}, "inner")
-    at = F.date_format("order_ts", "HH:mm")
+    at = F.hour("order_ts") * 3600 + F.minute("order_ts") * 60 + F.second("order_ts")
     after, before = at >= F.col("_opens"), at <= F.col("_closes")
     inside = F.when(F.col("_opens") <= F.col("_closes"), after & before).otherwise(after | before)
     return (
@@ -119,7 +126,8 @@ def outside_opening_hours(orders: DataFrame, stores: DataFrame) -> DataFrame:
 
 
 def price_differences(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines sold at another price than the current list price, as one row."""
+    """Lines sold at another price than the current list price, as one row; the latest of each line."""
+    items = latest_per_key(items, _PAIR)
     current = latest_per_key(products, ["product_id"])
     listed = current.select("product_id", F.col("base_price_ngn").cast("double").alias("_listed"))
     priced = lookup(items.select(*_PAIR, "unit_price_ngn"), listed, ["product_id"], "inner")
@@ -130,7 +138,12 @@ def price_differences(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def timing_agreement(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """Whether orders and deliveries state the same delivery minutes, as one row."""
+    """Whether orders and deliveries state the same delivery minutes, as one row.
+
+    The latest row of an order on either side; rows without an id have no counterpart.
+    """
+    orders = latest_per_key(orders.where("order_id IS NOT NULL"), ["order_id"])
+    deliveries = latest_per_key(deliveries.where("order_id IS NOT NULL"), ["order_id"])
     stated = deliveries.select(
         F.col("order_id").alias("_order"),
         F.col("promised_delivery_minutes").alias("_promised"),

@@ -48,12 +48,18 @@ def start_feed(
     )
 
 
-def _changes(store: TableStore) -> DataFrame:
-    changes = store.read_all("feed", "changes", "batch")
-    snapshot = store.latest("feed", "snapshot")
-    if snapshot is None:
-        return changes
-    return changes.unionByName(snapshot.withColumn("batch", F.lit(_SNAPSHOT)))
+def _changes(store: TableStore) -> tuple[DataFrame, DataFrame]:
+    """The changes no snapshot holds yet, with the snapshot; and the changes alone.
+
+    A snapshot names the last batch folded into it, so batches up to that are pruned and
+    the cost of a reading follows what is new and not the history.
+    """
+    changes, snapshot = store.read_all("feed", "changes", "batch"), store.latest("feed", "snapshot")
+    mark = None if snapshot is None else snapshot.select("folded").first()
+    if mark is None:
+        return changes, changes
+    newer = changes.where(F.col("batch") > mark["folded"])
+    return newer.unionByName(snapshot.drop("folded").withColumn("batch", F.lit(_SNAPSHOT))), newer
 
 
 def current_state(store: TableStore) -> DataFrame:
@@ -62,12 +68,20 @@ def current_state(store: TableStore) -> DataFrame:
     Status, fee and update time come from the newest record, the later batch on equal
     times; everything else from the batch a delivery was first seen in.
     """
+    return _state(_changes(store)[0])
+
+
+def _state(changes: DataFrame) -> DataFrame:
     first = F.min_by(F.struct(*_KEPT), F.col("batch")).alias("_kept")
     last = F.max_by(F.struct(*FEED_UPDATES), F.struct("updated_at", "batch")).alias("_latest")
-    state = _changes(store).groupBy("delivery_id").agg(first, last)
+    state = changes.groupBy("delivery_id").agg(first, last)
     return state.select("delivery_id", "_kept.*", "_latest.*").select(*FEED_TABLE_COLUMNS)
 
 
 def compact(store: TableStore) -> DataFrame:
-    """Fold the changes into a new snapshot. Folding the same changes again is harmless."""
-    return store.advance("feed", "snapshot", current_state(store))
+    """Fold the changes into a new snapshot, with the last batch in it; does nothing without new ones."""
+    everything, newer = _changes(store)
+    reached = newer.agg(F.max("batch")).first()[0]
+    if reached is not None:
+        store.advance("feed", "snapshot", _state(everything).withColumn("folded", F.lit(reached)))
+    return store.read("feed", "snapshot").drop("folded")
