@@ -277,32 +277,73 @@ def _with_both(pairs: DataFrame, of: DataFrame, columns: list[str]) -> DataFrame
     return pairs
 
 
-def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in runs of equal tokens, in blocks."""
-
-    def crossed(nodes: np.ndarray, roots: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(nodes), 512):
-            a, ra = nodes[at : at + 512, None], roots[at : at + 512, None]
-            ok = (ra != roots) & (a < nodes) & near_bands(a, nodes)
-            i, j = np.nonzero(ok)
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[at + i]), pa.array(nodes[j])], names=["a", "b"])
-
-    held: list[np.ndarray] = []
-    for batch in batches:
-        rows = np.column_stack([batch.column(k).to_numpy() for k in range(3)])
-        held.append(rows)
-        if held[0][0, 0] != rows[-1, 0]:
-            rows = np.concatenate(held)
-            cuts = [0, *(np.flatnonzero(np.diff(rows[:, 0])) + 1)]
+class Run:
+    """The nodes of one token with their components and bitmaps."""
+
+    def __init__(self, rows: pa.Table):
+        self.nodes, self.roots, self.n = (rows.column(c).to_numpy() for c in ("node", "root", "n"))
+        bits = rows.column("bits").to_pylist()
+        self.words = np.array([len(x) // 8 for x in bits])
+        self.place = np.zeros(len(bits), np.int64)
+        self.maps: dict[int, np.ndarray] = {}
+        for words in np.unique(self.words):
+            mine = np.flatnonzero(self.words == words)
+            self.place[mine] = np.arange(len(mine))
+            self.maps[words] = np.frombuffer(b"".join(bits[k] for k in mine), np.uint64).reshape(len(mine), words)
+
+    def _bits(self, rows: np.ndarray, words: int, own: int) -> np.ndarray:
+        """Bitmaps of rows that are ``own`` words wide, folded to ``words``."""
+        found = self.maps[own][self.place[rows]]
+        while own > words:
+            own //= 2
+            found = found[:, :own] | found[:, own:]
+        return found
+
+    def most_common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Upper bounds of the overlaps of pairs of rows, as ``most_common`` of two bitmaps."""
+        flips = np.zeros(len(i), np.int64)
+        wide = self.words[i], self.words[j]
+        for one, two in {*zip(*(w.tolist() for w in wide), strict=True)}:
+            mine = np.flatnonzero((wide[0] == one) & (wide[1] == two))
+            for at in range(0, len(mine), 1 << 15):
+                part, words = mine[at : at + (1 << 15)], min(one, two)
+                differ = self._bits(i[part], words, one) ^ self._bits(j[part], words, two)
+                flips[part] = np.bitwise_count(differ).sum(axis=1)
+        return (self.n[i] + self.n[j] - flips) // 2
+
+    def crossing(self, percent: int) -> Iterator[pa.RecordBatch]:
+        """Pairs of different components that may link, a block of rows at a time."""
+        for at in range(0, len(self.nodes), 256):
+            a, root = self.nodes[at : at + 256, None], self.roots[at : at + 256, None]
+            i, j = np.nonzero((root != self.roots) & (a < self.nodes) & near_bands(a, self.nodes))
+            i = i + at
+            most = self.most_common(i, j)
+            ok = 100 * most >= percent * (self.n[i] + self.n[j] - most)
+            if ok.any():
+                yield pa.RecordBatch.from_arrays([pa.array(self.nodes[i[ok]]), pa.array(self.nodes[j[ok]])], names=["a", "b"])
+
+
+def _crossing(percent: int):
+    """Possible pairs of different components in runs of equal tokens."""
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def runs(last: bool) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            cuts = [0, *(np.flatnonzero(np.diff(rows.column("token").to_numpy())) + 1), *[len(rows)] * last]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                yield from crossed(rows[a:b, 1], rows[a:b, 2])
-            held = [rows[cuts[-1] :]]
-    if held:
-        rows = np.concatenate(held)
-        cuts = [0, *(np.flatnonzero(np.diff(rows[:, 0])) + 1), len(rows)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield from crossed(rows[a:b, 1], rows[a:b, 2])
+                yield from Run(rows.slice(a, b - a)).crossing(percent)
+            held[:] = rows.slice(cuts[-1]).to_batches()
+
+        for batch in batches:
+            held.append(batch)
+            if held[0].column("token")[0].as_py() != batch.column("token")[-1].as_py():
+                yield from runs(False)
+        if held:
+            yield from runs(True)
+
+    return cross
 
 
 def node_components(features: DataFrame, settings: Settings) -> DataFrame:
@@ -356,9 +397,10 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
     if left:
         labelled = heavy.join(known, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
         mixed_ = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        runs = labelled.join(mixed_.select("token"), "token", "left_semi").repartition("token").sortWithinPartitions("token")
-        crossing = runs.select("token", "node", "root").mapInArrow(_crossing, "a long, b long").distinct()
-        rest = rest.unionByName(passing(crossing.join(first, ["a", "b"], "left_anti"))).distinct()
+        runs = labelled.join(mixed_.select("token"), "token", "left_semi").join(signed, "node")
+        runs = runs.select("token", "node", "root", "n", "bits").repartition("token").sortWithinPartitions("token")
+        crossing = runs.mapInArrow(_crossing(settings.percent), "a long, b long").distinct()
+        rest = rest.unionByName(crossing.join(first, ["a", "b"], "left_anti")).distinct()
     for side in ("a", "b"):
         rest = rest.join(known.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
     roots = [F.coalesce(f"root_{side}", side) for side in ("a", "b")]
