@@ -16,6 +16,7 @@ island and member.
 from __future__ import annotations
 
 import json
+import os
 import random
 import re
 import zlib
@@ -72,6 +73,8 @@ class WordEncoder:
     def __init__(self, tokenizer_json: str, remembered: int = 300_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        # a task has one core; threads of the library would each keep memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         # plain words need no normalizing or splitting: the model and its byte alphabet do
         self.plain = Tokenizer(self.tokenizer.model)
