@@ -63,7 +63,7 @@ def upserted(spark, sf):
 @query(
     "ups2_watermark",
     """SELECT 'before' AS step, '2026-05-01T00:00:00Z' AS watermark
-       UNION ALL SELECT 'after', strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') FROM events""",
+       UNION ALL SELECT 'after', rtrim(rtrim(strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%f'), '0'), '.') || 'Z' FROM events""",
 )
 def watermark(spark, sf):
     store = _own_store(spark, sf, "watermark")
@@ -94,7 +94,7 @@ def streamed(spark, sf):
 @query(
     "inc7_watermark_after_success",
     """SELECT 'failed run' AS run, '2023-12-01T00:00:00Z' AS watermark
-       UNION ALL SELECT 'good run', strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') FROM events""",
+       UNION ALL SELECT 'good run', rtrim(rtrim(strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%f'), '0'), '.') || 'Z' FROM events""",
 )
 def after_success(spark, sf):
     store = _own_store(spark, sf, "advance")

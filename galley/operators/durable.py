@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="galley-")
     context.setCheckpointDir(folder)

@@ -101,6 +101,7 @@ def build_marts(
 def audit(store: TableStore, t: Mapping[str, DataFrame], run: AuditRun) -> Tables:
     """Store the audit tables of the run and its part of their histories."""
     checks = QualityAudit(t, run)
+    checks.prepare()
     found = {
         "data_quality_results": checks.results,
         "data_quality_exceptions": checks.exceptions,

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from galley.operators.durable import pin
 from galley.operators.joins import mark_known
+from galley.operators.together import together
 from galley.plans.quality_texts import CHECKS, RULEBOOK
 from galley.sources.contracts import CHANNELS, DELIVERED_CHANNELS
 
@@ -151,33 +153,6 @@ def tag_deliveries(deliveries: DataFrame, orders: DataFrame) -> DataFrame:
 # measuring ---------------------------------------------------------------------------
 
 
-def key_counts(keyed: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Rows and duplicates per named key: ``name, row_total, duplicates``.
-
-    ``keyed`` maps a name to a table and a SQL key. All tables share one aggregation, in
-    which rows are counted per key before the shuffle. Duplicates are the rows minus the
-    distinct keys, so every row with a NULL key is one. An empty table has no row here.
-    """
-    keys = [
-        df.selectExpr(f"'{name}' AS name", f"CAST({key} AS STRING) AS key")
-        for name, (df, key) in keyed.items()
-    ]
-    per_key = reduce(DataFrame.union, keys).groupBy("name", "key").agg(F.count("*").alias("n"))
-    return per_key.groupBy("name").agg(
-        F.sum("n").alias("row_total"), F.expr("sum(n - IF(key IS NULL, 0, 1))").alias("duplicates")
-    )
-
-
-def failing_counts(df: DataFrame, rules: Rules, record_count: str | None = None) -> DataFrame:
-    """One pass over ``df``: the number of failing rows per rule."""
-    counts = {name: f"count_if({fails})" for name, fails in rules.items()}
-    if record_count:
-        counts[record_count] = "count(*)"
-    one_row = df.agg(*[F.expr(f"{count} AS {name}") for name, count in counts.items()])
-    pairs = ", ".join(f"'{name}', {name}" for name in counts)
-    return one_row.selectExpr(f"stack({len(counts)}, {pairs}) AS (check_name, observed_value)")
-
-
 def daily_jumps(orders: DataFrame) -> DataFrame:
     """Days whose order count moved by more than half against the day before.
 
@@ -210,30 +185,31 @@ def failing_rows(df: DataFrame, rules: Rules, key: str) -> DataFrame:
     )
 
 
-def duplicate_keys(keyed: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """One row per check and key that occurs more than once; keys have one or two columns."""
-    rows = [
-        df.selectExpr(
-            f"'{name}' AS check_name",
-            f"{keys[0]} AS key_1",
-            f"{keys[1] if len(keys) > 1 else 'CAST(NULL AS STRING)'} AS key_2",
-            f"{len(keys)} AS parts",
-            "_source_file",
-            "_loaded_at",
+def repeated_keys(keyed: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """One row per check and key that occurs more than once or has a NULL; keys have one or two columns.
+
+    All tables share one aggregation, in which rows are counted per key before the shuffle.
+    """
+    lineage = {"_source_file": "STRING", "_loaded_at": "TIMESTAMP_NTZ"}
+    rows = []
+    for name, (df, keys) in keyed.items():
+        known = [c if c in df.columns else f"CAST(NULL AS {kind}) AS {c}" for c, kind in lineage.items()]
+        second = f"CAST({keys[1]} AS STRING)" if len(keys) > 1 else "CAST(NULL AS STRING)"
+        first = f"CAST({keys[0]} AS STRING)"
+        rows.append(
+            df.selectExpr(f"'{name}' AS check_name", f"{first} AS key_1", f"{second} AS key_2", f"{len(keys)} AS parts", *known)
         )
-        for name, (df, keys) in keyed.items()
-    ]
     per_key = reduce(DataFrame.union, rows).groupBy("check_name", "key_1", "key_2", "parts").agg(
         F.count("*").alias("n"),
         F.min("_source_file").alias("source_file"),
         F.max("_loaded_at").alias("loaded_at"),
     )
-    return per_key.where("n > 1").selectExpr(
-        "check_name",
-        "IF(parts = 1, key_1, key_1 || '|' || key_2) AS record_key",
-        "source_file",
-        "loaded_at",
-    )
+    has_null = F.expr("key_1 IS NULL OR (parts = 2 AND key_2 IS NULL)")
+    return per_key.withColumn("has_null", has_null).where("n > 1 OR has_null")
+
+
+# rows minus distinct keys: a NULL key is a duplicate by itself, but among order items it is a value
+DUPLICATES = "sum(n - IF(has_null AND check_name <> 'duplicate_order_item_key', 0, 1))"
 
 
 # the audit ---------------------------------------------------------------------------
@@ -262,49 +238,61 @@ class QualityAudit:
     def deliveries(self) -> DataFrame:
         return tag_deliveries(self.t["int_deliveries"], self.t["int_orders"])
 
-    def _row_checks(self) -> list[tuple[DataFrame, Rules, str, str | None]]:
+    def _row_checks(self) -> list[tuple[DataFrame, Rules, str]]:
         t, line = self.t, "order_id || '|' || product_id"
         return [
-            (self.orders, order_rules(self.run), "order_id", "orders_record_count"),
-            (self.items, ITEM_RULES, line, "order_items_record_count"),
-            (self.deliveries, DELIVERY_RULES, "order_id", "deliveries_record_count"),
-            (t["fact_orders"], FACT_ORDER_RULES, "order_id", None),
-            (t["fact_order_items"], FACT_ITEM_RULES, line, None),
-            (t["fact_deliveries"], FACT_DELIVERY_RULES, "order_id", None),
+            (self.orders, order_rules(self.run), "order_id"),
+            (self.items, ITEM_RULES, line),
+            (self.deliveries, DELIVERY_RULES, "order_id"),
+            (t["fact_orders"], FACT_ORDER_RULES, "order_id"),
+            (t["fact_order_items"], FACT_ITEM_RULES, line),
+            (t["fact_deliveries"], FACT_DELIVERY_RULES, "order_id"),
         ]
 
+    @cached_property
+    def failing(self) -> DataFrame:
+        """Check, key and lineage of every failing row, written once for results and exceptions.
+
+        Tables are tagged for this alone, so each is read and joined once in an audit.
+        """
+        return pin(reduce(DataFrame.unionByName, [failing_rows(df, rules, key) for df, rules, key in self._row_checks()]))
+
+    @cached_property
+    def repeated(self) -> DataFrame:
+        """Keys that duplicate checks are about, written once."""
+        t, pair = self.t, ["order_id", "product_id"]
+        keyed = {
+            "duplicate_customer_id": (t["int_customers"], ["customer_id"]),
+            "duplicate_store_id": (t["int_stores"], ["store_id"]),
+            "duplicate_product_id": (t["int_products"], ["product_id"]),
+            "duplicate_order_id": (t["int_orders"], ["order_id"]),
+            "duplicate_order_item_key": (t["int_order_items"], pair),
+            "duplicate_dim_customer_sk": (t["dim_customer"], ["customer_sk"]),
+            "duplicate_dim_product_sk": (t["dim_product"], ["product_sk"]),
+            "duplicate_dim_store_current_row": (t["dim_store"].where("is_current"), ["store_id"]),
+            "duplicate_fact_order_item_grain": (t["fact_order_items"], pair),
+        }
+        return pin(repeated_keys(keyed))
+
+    def prepare(self) -> None:
+        """Make what results and exceptions share, before they are asked for side by side."""
+        together({"failing": lambda: self.failing, "repeated": lambda: self.repeated})
+
     def observed(self) -> DataFrame:
-        """``check_name, observed_value`` of the checks; tables without rows may be absent."""
+        """``check_name, observed_value`` of the checks; checks without a finding may be absent."""
         t = self.t
-        parts = [failing_counts(df, rules, total) for df, rules, _, total in self._row_checks()]
-        counted = key_counts(
-            {
-                "customer_id": (t["int_customers"], "customer_id"),
-                "store_id": (t["int_stores"], "store_id"),
-                "product_id": (t["int_products"], "product_id"),
-                "order_id": (t["int_orders"], "order_id"),
-                # this key skips NULLs, the one of the fact grain does not
-                "order_item_key": (t["int_order_items"], "concat_ws('', order_id, '|', product_id)"),
-                "dim_customer_sk": (t["dim_customer"], "customer_sk"),
-                "dim_product_sk": (t["dim_product"], "product_sk"),
-                "dim_store_current_row": (t["dim_store"].where("is_current"), "store_id"),
-                "fact_order_item_grain": (t["fact_order_items"], "order_id || '|' || product_id"),
-            }
-        )
-        parts.append(
-            counted.selectExpr(
-                "stack(2, 'duplicate_' || name, duplicates, "
-                "CASE name WHEN 'customer_id' THEN 'customers_record_count' "
-                "WHEN 'store_id' THEN 'stores_record_count' "
-                "WHEN 'product_id' THEN 'products_record_count' END, row_total) "
-                "AS (check_name, observed_value)"
+        totals = [
+            t[f"int_{entity}"].agg(F.count("*").alias("observed_value")).select(
+                F.lit(f"{entity}_record_count").alias("check_name"), "observed_value"
             )
+            for entity in ("customers", "stores", "products", "orders", "order_items", "deliveries")
+        ]
+        found = self.failing.groupBy("check_name").agg(F.count("*").alias("observed_value"))
+        repeated = self.repeated.groupBy("check_name").agg(F.expr(f"{DUPLICATES} AS observed_value"))
+        jumps = daily_jumps(t["int_orders"]).agg(F.count("*").alias("observed_value")).select(
+            F.lit("unusual_daily_order_volume_change").alias("check_name"), "observed_value"
         )
-        jumps = daily_jumps(t["int_orders"]).agg(F.count("*").alias("observed_value"))
-        parts.append(
-            jumps.select(F.lit("unusual_daily_order_volume_change").alias("check_name"), "observed_value")
-        )
-        return reduce(DataFrame.union, parts)
+        return reduce(DataFrame.unionByName, [*totals, found, repeated, jumps])
 
     def results(self) -> DataFrame:
         """One row per check with its status."""
@@ -336,19 +324,11 @@ class QualityAudit:
         """The rows behind the checks that can name them."""
         t = self.t
         listed = [c for c in CHECKS if c.issue]
-        with_rows = {c.name for c in listed}
+        named = ("duplicate_order_id", "duplicate_order_item_key", "duplicate_fact_order_item_grain")
         parts = [
-            failing_rows(df, {n: p for n, p in rules.items() if n in with_rows}, key)
-            for df, rules, key, _ in self._row_checks()
-        ]
-        pair = ["order_id", "product_id"]
-        parts += [
-            duplicate_keys(
-                {
-                    "duplicate_order_id": (t["int_orders"], ["order_id"]),
-                    "duplicate_order_item_key": (t["int_order_items"], pair),
-                    "duplicate_fact_order_item_grain": (t["fact_order_items"], pair),
-                }
+            self.failing,
+            self.repeated.where(F.col("check_name").isin(*named) & (F.col("n") > 1)).selectExpr(
+                "check_name", "IF(parts = 1, key_1, key_1 || '|' || key_2) AS record_key", "source_file", "loaded_at"
             ),
             daily_jumps(t["int_orders"]).select(
                 F.lit("unusual_daily_order_volume_change").alias("check_name"),
