@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 2_000_000
 NULL_KEY_SALTS = 1 << 20
+# compressed columns take so many times their size as rows
+EXPANSION = 4
 LOOKUP_KINDS = ("left", "inner", "left_semi", "left_anti")
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """Size of ``df`` as Catalyst knows it; for a stored table, that of its files."""
+    """Size of ``df`` in memory, from what Catalyst knows: of a stored table, its files times ``EXPANSION``."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    return EXPANSION * int(str(stats.sizeInBytes()))
 
 
 def _all(conditions: Sequence[Column]) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from galley.functions import exact_ratio
+from galley.operators.durable import pin
 from galley.plans.quality import exception_summary
 
 
@@ -36,7 +37,7 @@ def missing_store_days(sales: DataFrame, dates: DataFrame) -> DataFrame:
 
     Every store is paired with the days from its first sale to the end of the calendar.
     """
-    seen = sales.select("store_id", "full_date").distinct()
+    seen = pin(sales.select("store_id", "full_date").distinct())  # the view is made once
     last = dates.agg(F.max("full_date")).first()[0]
     expected = seen.groupBy("store_id").agg(F.min("full_date").alias("_first")).select(
         "store_id",

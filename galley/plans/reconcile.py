@@ -88,9 +88,9 @@ def reconciliation(tables: Mapping[str, DataFrame], run: AuditRun) -> DataFrame:
             F.sum("promo_flag").alias("promo_orders"),
         )
         promos = t["dim_promo"].select("promo_sk", "promo_code")
-        named = lookup(summed, stores, ["store_sk"], hot_from=sales)
-        named = lookup(named, t["dim_channel"], ["channel_sk"], hot_from=sales)
-        named = lookup(named, promos, ["promo_sk"], hot_from=sales)
+        named = lookup(summed, stores, ["store_sk"])
+        named = lookup(named, t["dim_channel"], ["channel_sk"])
+        named = lookup(named, promos, ["promo_sk"])
         return named.withColumn("promo_key", F.coalesce("promo_code", F.lit(NO_PROMO)))
 
     def lines(name: str) -> DataFrame:

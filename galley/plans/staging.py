@@ -18,6 +18,7 @@ from galley.functions import (
     whole,
     year_of,
 )
+from galley.operators.durable import pin
 from galley.operators.joins import lookup
 from galley.operators.latest import latest_per_key
 
@@ -78,8 +79,8 @@ def int_orders(raw: DataFrame, batch_id: str) -> DataFrame:
             "order_ts": F.col("order_ts").cast("timestamp_ntz"),
         }
     )
-    orders = latest_per_key(keyed, ["_key"])
-    # one row per _key on both sides, and the orders are already partitioned by it
+    # stored, so that the raw loads are read and shuffled once; both sides have a row per _key
+    orders = pin(latest_per_key(keyed, ["_key"]))
     flagged = orders.join(opening_orders(orders), "_key", "left")
     when = F.col("order_ts")
     is_first = F.col("_opens").isNotNull()

@@ -63,8 +63,8 @@ def test_later_load_wins_and_null_ids_fall_together(staged):
 
 def test_orders_of_a_customer_never_meet_in_one_window(staged):
     plan = staged._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
-    assert windows and all("windowspecdefinition(_key" in line for line in windows)
+    # the window over versions ran once, before the deduplicated orders were stored
+    assert "windowspecdefinition(" not in plan and "FileScan parquet" in plan
 
 
 def test_calendar_parts(staged):
