@@ -1,7 +1,7 @@
 """Exact Jaccard self-join of documents on word shingles.
 
-A document's set of shingle hashes has a band of sizes; only equal or neighbouring bands
-can link. Tiles are the documents that share a token among the first ones of a global
+A document's set of shingle hashes has a band of sizes; only bands that are close can
+link. Tiles are the documents that share a token among the first ones of a global
 order of tokens (a pair above the threshold always does). Inside a tile hashed bitmaps
 bound the overlap of two documents from above by their bit counts; what passes is decided
 by intersecting the sorted arrays.
@@ -11,8 +11,8 @@ order and only the documents that used them are tiled again, so common passages
 pairs. What stays common then are large groups of near copies: they are first linked to
 one pivot, and afterwards only pairs from different components are looked at.
 
-Shingles and sets are known by 64-bit hashes; that two of a billion sets have one hash has
-a chance of a few percent, that two shingles of a document do one of 10^-11.
+Shingles are known by 64-bit hashes, sets by 56 bits and their band: two shingles of a
+document share a hash with a chance of 10^-11, any two of 10^8 sets in one band with 0.1.
 
 Defined cases: a null text and a text without words have an empty set and link with
 nothing; rows with null ids take part, a component's id is its smallest non-null one; equal
@@ -45,9 +45,10 @@ from galley.llm.common import (
 from galley.llm.graph import bit_set, components, in_set, maybe_in
 
 ROW = "__llm_row"
-BAND_BITS = 6
-#: A little above 4/3, so that sizes at the threshold are at most one band apart.
-BAND_RATIO = 1.34
+BAND_BITS = 8
+#: A little above 4/3 to the power 1/4: sizes at the threshold are at most four bands apart.
+BAND_RATIO = 1.34**0.25
+BANDS_APART = 4
 
 
 @dataclass(frozen=True)
@@ -92,7 +93,7 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 
 def band(n: int) -> int:
-    return int(math.log(n) / math.log(BAND_RATIO))
+    return min(int(math.log(n) / math.log(BAND_RATIO)), (1 << BAND_BITS) - 1)
 
 
 def node_of(tokens: np.ndarray) -> int:
@@ -157,7 +158,7 @@ def _postings(settings: Settings, late: np.ndarray | None, only: np.ndarray | No
 
 def near_bands(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     mask = (1 << BAND_BITS) - 1
-    return np.abs((a & mask) - (b & mask)) <= 1
+    return np.abs((a & mask) - (b & mask)) <= BANDS_APART
 
 
 def _pairs_of(tokens: np.ndarray, nodes: np.ndarray, light: int) -> list[np.ndarray]:
