@@ -442,9 +442,10 @@ def missing_days(spark, sf):
     """SELECT full_date, order_count, CAST(revenue AS DOUBLE) AS total_revenue,
               order_count - lag(order_count) OVER d AS order_count_change,
               CAST(revenue - lag(revenue) OVER d AS DOUBLE) AS revenue_change,
-              CASE WHEN lag(revenue) OVER d <> 0 THEN round(CAST((revenue - lag(revenue) OVER d) * 100 AS DOUBLE) / CAST(lag(revenue) OVER d AS DOUBLE), 1) END AS revenue_change_pct
+              CASE WHEN lag(revenue) OVER d <> 0 THEN sign(units - lag(units) OVER d) * sign(lag(units) OVER d) * CAST((2000 * abs(units - lag(units) OVER d) + abs(lag(units) OVER d)) // (2 * abs(lag(units) OVER d)) AS DOUBLE) / 10 END AS revenue_change_pct
        FROM (SELECT full_date, CAST(sum(order_count) AS BIGINT) AS order_count,
-                    sum(CAST(total_revenue AS DECIMAL(28,4))) AS revenue
+                    sum(CAST(total_revenue AS DECIMAL(28,4))) AS revenue,
+                    CAST(sum(CAST(total_revenue AS DECIMAL(28,4))) * 10000 AS HUGEINT) AS units
              FROM vw_sales_performance GROUP BY full_date)
        WINDOW d AS (ORDER BY full_date)""",
 )

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 4)
 _WIDE = T.DecimalType(28, 4)
-_COUNT = T.DecimalType(20, 0)
 
 
 def money(amount: Column) -> Column:
@@ -24,6 +23,9 @@ def whole(amount: Column) -> Column:
 
 
 def exact_ratio(total: Column, count: Column, digits: int) -> Column:
-    """``total / count`` rounded half away from zero; NULL when ``count`` is 0."""
-    quotient = F.try_divide(total.cast(_WIDE), count.cast(_COUNT))
+    """``total / count`` rounded half away from zero; NULL when ``count`` is 0.
+
+    ``count`` may be an amount of money as well.
+    """
+    quotient = F.try_divide(total.cast(_WIDE), count.cast(_WIDE))
     return F.round(quotient, digits).cast("double")
