@@ -9,26 +9,22 @@ from galley.functions import parse_utc
 from galley.sources.contracts import FEED_PAGE, FEED_TIMES
 
 
-def land_pages(pages: DataFrame, root: str, provider: str, source: str, ingestion_date: str) -> str:
-    """Append response envelopes as JSON under provider, source and ingestion date."""
-    placed = pages.withColumns(
-        {
-            "provider": F.lit(provider),
-            "source": F.lit(source),
-            "ingestion_date": F.lit(ingestion_date),
-        }
-    )
-    (
-        placed.write.mode("append")
-        .option("ignoreNullFields", False)
-        .partitionBy("provider", "source", "ingestion_date")
-        .json(root)
-    )
+def land_pages(
+    pages: DataFrame, root: str, provider: str, source: str, ingestion_date: str, request: str = "0"
+) -> str:
+    """Keep the response envelopes of a request as JSON under provider, source and ingestion date.
+
+    Every request has a folder of its own, so landing one again replaces it.
+    """
+    escape = pages.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    parts = {"provider": provider, "source": source, "ingestion_date": ingestion_date, "request": request}
+    leaf = "/".join(f"{name}={escape.escapePathName(value)}" for name, value in parts.items())
+    pages.write.mode("overwrite").option("ignoreNullFields", False).json(f"{root}/{leaf}")
     return root
 
 
 def pages_glob(root: str, provider: str) -> str:
-    return f"{root}/provider={provider}/*/*/*.json"
+    return f"{root}/provider={provider}/*/*/*/*.json"
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
