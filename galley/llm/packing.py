@@ -168,12 +168,12 @@ def _cut(tokenizer_json: str, settings: Settings, with_ids: bool):
                     nth.append(seen[len(part)])
                     seen[len(part)] += 1
                     if with_ids:
-                        pieces.append(part)
+                        pieces.append(part.view(np.int32))
             kept = [n for n in batch.schema.names if n != "__llm_text"]
             columns = [batch.column(n).take(pa.array(row)) for n in kept]
             columns += [pa.array(piece, pa.int32())]
             columns += [pa.array(x, pa.int64()) for x in (start, length, crc)]
-            columns += [pa.array(pieces, pa.list_(pa.int64()))] * with_ids
+            columns += [pa.array(pieces, pa.list_(pa.int32()))] * with_ids
             columns += [pa.array([task] * len(row), pa.int32()), pa.array(nth, pa.int64())]
             names = [*kept, "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, "__llm_task", "__llm_nth"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -375,7 +375,7 @@ def pack(
     with open(tokenizer, encoding="utf-8") as file:
         definition = file.read()
     source = docs.select(*keep, F.col(text).cast("string").alias("__llm_text"))
-    names = "piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
+    names = "piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     head = ", ".join([schema_of(source, keep)] * bool(keep) + [names])
     pieces = stored(
         source.mapInArrow(_cut(definition, settings, with_ids), f"{head}, __llm_task int, __llm_nth long"), "packing-pieces"
