@@ -8,8 +8,8 @@ by intersecting the sorted arrays.
 
 Equal sets are one node. Tokens in more than ``light`` nodes are moved to the end of the
 order and only the documents that used them are tiled again, so common passages make no
-pairs. What stays common then are large groups of near copies: they are first linked to
-one pivot, and afterwards only pairs from different components are looked at.
+pairs. Nodes are first linked to one pivot each, and afterwards a tile only looks at pairs
+from different components; what it gives out are pairs that passed their bitmaps.
 
 Shingles are known by 64-bit hashes, sets by 56 bits and their band: two shingles of a
 document share a hash with a chance of 10^-11, any two of 10^8 sets in one band with 0.1.
@@ -162,7 +162,11 @@ def near_bands(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _pairs_of(tokens: np.ndarray, nodes: np.ndarray, light: int) -> list[np.ndarray]:
-    """Rows (0, node, node) of light runs and (1, token, node) of the others."""
+    """Rows (0, node, node), (1, token, node) and (2, token, node) of runs of equal tokens.
+
+    A light run gives its pairs with its first node (0) and, if it has more, its nodes (2);
+    any other run gives its nodes (1).
+    """
     if not len(tokens):
         return []
     new = np.ones(len(tokens), bool)
@@ -173,12 +177,15 @@ def _pairs_of(tokens: np.ndarray, nodes: np.ndarray, light: int) -> list[np.ndar
     out = []
     for length in np.unique(lengths[(lengths > 1) & (lengths <= light)]):
         here = starts[lengths == length]
-        i, j = np.triu_indices(length, 1)
-        a, b = nodes[here[:, None] + i].ravel(), nodes[here[:, None] + j].ravel()
+        b = nodes[here[:, None] + np.arange(1, length)].ravel()
+        a = np.repeat(nodes[here], length - 1)
         ok = near_bands(a, b)
         if ok.any():
             both = np.unique(np.stack((a[ok], b[ok]), 1), axis=0)
             out.append(np.column_stack((np.zeros(len(both), np.int64), both)))
+    several = np.repeat((lengths > 2) & (lengths <= light), lengths)
+    if several.any():
+        out.append(np.column_stack((np.full(several.sum(), 2), tokens[several], nodes[several])))
     heavy = np.repeat(lengths > light, lengths)
     if heavy.any():
         out.append(np.column_stack((np.ones(heavy.sum(), np.int64), tokens[heavy], nodes[heavy])))
@@ -220,7 +227,7 @@ def _runs(light: int):
 
 
 def tiled(sets: DataFrame, settings: Settings, late: np.ndarray | None = None, only: np.ndarray | None = None) -> DataFrame:
-    """Pairs of nodes (kind 0) that share a light token, and uses of common tokens (kind 1)."""
+    """Pairs of nodes (kind 0), uses of common (kind 1) and of light tokens (kind 2), as ``_pairs_of``."""
     posted = sets.mapInArrow(_postings(settings, late, only), "token long, node long")
     ordered = posted.repartition("token").sortWithinPartitions("token", "node")
     return stored(ordered.mapInArrow(_runs(settings.light), "kind int, a long, b long"), "jaccard-runs")
@@ -353,7 +360,7 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
         F.col("__llm_node").alias("node"), F.col("__llm_set").alias("tokens")
     )
     runs = tiled(sets, settings)
-    light, late = [runs.filter("kind = 0").select("a", "b")], None
+    light, late = [runs.filter("kind <> 1")], None
     heavy = runs.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"))
     left = heavy.select("node").distinct().count()
     for _ in range(settings.rounds - 1):
@@ -362,28 +369,30 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
         more = bit_set(heavy.select("token"))
         late = more if late is None else more | late
         runs = tiled(sets, settings, late, bit_set(heavy.select("node")))
-        light.append(runs.filter("kind = 0").select("a", "b"))
+        light.append(runs.filter("kind <> 1"))
         heavy = runs.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"))
         before, left = left, heavy.select("node").distinct().count()
         if left > 0.9 * before:
             break
     signed = features.filter(F.col("__llm_set").isNotNull()).groupBy(F.col("__llm_node").alias("node"))
     signed = stored(signed.agg(F.first("__llm_n").alias("n"), F.first("__llm_bits").alias("bits")), "jaccard-signatures")
-    pairs = light[0]
+    found = light[0]
     for more in light[1:]:
-        pairs = pairs.unionByName(more)
+        found = found.unionByName(more)
+    pairs = found.filter("kind = 0").select("a", "b")
+    uses = found.filter("kind = 2").select(F.col("a").alias("token"), F.col("b").alias("node")).unionByName(heavy)
 
     def passing(some: DataFrame) -> DataFrame:
         return _with_both(some, signed, ["bits", "n"]).mapInArrow(_possible(settings.percent), "a long, b long")
 
     def verified(some: DataFrame) -> DataFrame:
-        return _with_both(some, sets, ["tokens"]).mapInArrow(_linked(settings.percent), "a long, b long")
+        """Pairs (stored ones) that link; only the arrays of their nodes are moved, each once."""
+        nodes = bit_set(some.select("a").unionByName(some.select(F.col("b").alias("a"))))
+        arrays = maybe_in(sets, "node", nodes).groupBy("node").agg(F.first("tokens").alias("tokens"))
+        arrays = stored(arrays, "jaccard-sets")
+        return _with_both(some, arrays, ["tokens"]).mapInArrow(_linked(settings.percent), "a long, b long")
 
     pairs = stored(passing(pairs.distinct()), "jaccard-pairs")
-    # the arrays of nodes in some pair, each once
-    met = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(heavy.select(F.col("node").alias("a")))
-    sets = maybe_in(sets, "node", bit_set(met)).groupBy("node").agg(F.first("tokens").alias("tokens"))
-    sets = stored(sets, "jaccard-sets")
     # first one partner for each node: its smallest, or the pivot it shares most tokens with
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     if left:
@@ -391,14 +400,15 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
         shared = heavy.join(pivots, "token").filter("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
         star = shared.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("a"))
         first = first.unionByName(star.select("a", F.col("node").alias("b"))).distinct()
+    first = stored(first, "jaccard-first")
     links = stored(verified(first), "jaccard-links")
     known = stored(components(links), "jaccard-components")
     # then every other pair, where it could still join two components
     rest = pairs.join(first, ["a", "b"], "left_anti")
-    if left:
-        labelled = heavy.join(known, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
+    if not uses.isEmpty():
+        labelled = uses.join(known, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
         mixed_ = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        runs = labelled.join(mixed_.select("token"), "token", "left_semi").join(signed, "node")
+        runs = labelled.join(mixed_.select("token"), "token", "left_semi").distinct().join(signed, "node")
         runs = runs.select("token", "node", "root", "n", "bits").repartition("token").sortWithinPartitions("token")
         crossing = runs.mapInArrow(_crossing(settings.percent), "a long, b long").distinct()
         rest = rest.unionByName(crossing.join(first, ["a", "b"], "left_anti")).distinct()
