@@ -70,7 +70,7 @@ class WordEncoder:
     by it too, and A-Z are lower-cased. Words are therefore encoded once per task.
     """
 
-    def __init__(self, tokenizer_json: str, remembered: int = 300_000):
+    def __init__(self, tokenizer_json: str, remembered: int = 800_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         # a task has one core; threads of the library would each keep memory of their own
@@ -153,7 +153,7 @@ def _cut(tokenizer_json: str, settings: Settings, with_ids: bool):
         encoder, task = WordEncoder(tokenizer_json), TaskContext.get().partitionId()
         seen = np.zeros(settings.capacity + 1, np.int64)
         end = np.array([settings.end_token], "<u4")
-        for batch in slices(batches, "__llm_text", 2 << 20):
+        for batch in slices(batches, "__llm_text", 4 << 20):
             offsets, ids = encoder.encode(as_text(batch.column("__llm_text")))
             row, piece, start, length, crc, nth, pieces = [], [], [], [], [], [], []
             for k in range(batch.num_rows):
