@@ -183,9 +183,9 @@ def learned(candidates: DataFrame, settings: Settings) -> DataFrame:
         .agg(F.max("kind").alias("kind")),
         "pii-edges",
     )
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("instances"), F.count("kind").alias("seeds"))
-    # a pattern that has met no seed can never be believed, nor do its instances matter
-    useful = sizes.filter((F.col("seeds") > 0) & (F.col("instances") >= settings.least_instances))
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("instances"))
+    # patterns without a seed stay: instances believed in one round vouch for them in the next
+    useful = sizes.filter(F.col("instances") >= settings.least_instances)
     graph = stored(edges.join(useful, "pattern"), "pii-graph")
     unseen = graph.filter(F.col("kind").isNull()).drop("kind")
     seeds = (

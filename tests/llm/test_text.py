@@ -124,6 +124,18 @@ def test_contexts_find_what_no_pattern_does(spark):
     assert pii.find(rows.filter("false"), ["doc_id"]).isEmpty()
 
 
+def test_belief_reaches_patterns_without_a_seed(spark):
+    seeded = [f"please write to mail box u{k}@x.example.com today" for k in range(30)]
+    both = [f"please write to mail box acct{k}no today" for k in range(4)]
+    second = [f"the member badge shows acct{k}no here" for k in range(4)] + ["the member badge shows acct9no here"]
+    third = [f"lost near gate acct{k}no again" for k in range(2)]
+    texts = [*seeded, *both, *second, *third]
+    found = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.added] for r in pii.find(documents(spark, list(enumerate(texts))), ["doc_id"], settings=pii.Settings(confidence=0.6)).collect()}
+    for k, text in enumerate(texts):
+        at = text.find("acct")
+        assert found[k] == ([(0, at, text.index("no", at) + 2)] if at >= 0 else []), text
+
+
 def test_pii_query_digest(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     for r in QUERIES["op2_pii"](spark, SF_DIR).collect():
