@@ -6,6 +6,12 @@ rounds (a pattern by the share of its distinct instances that are believed, an i
 the patterns it occurs in), and instances of high-confidence patterns that no fixed rule
 found become spans of the pattern's kind.
 
+Instances of the graph are runs with a digit of ``SHORTEST_CANDIDATE`` characters or more
+and groups of digits parted by blanks, dots, slashes, hyphens or brackets; they are spans
+wherever they occur. Shorter runs and runs without a digit are too common elsewhere for
+that: they are spans in the slots of high-confidence patterns only, where the pattern still
+has its confidence with them among its instances, and vouch for no other pattern.
+
 Defined cases: a null text is empty; a text without finds has no spans; equal finds in
 copies count once as instances but give a span in each copy; rows with null or repeated
 ids are kept apart by an internal number; offsets are code points, ends exclusive.
@@ -15,14 +21,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galley.llm.common import as_text, numbered, stored
+from galley.llm.graph import BITS, bit_set
 
 # fixed values of the contract: kinds in order of output, and their patterns
 KINDS = ("email", "ip", "card", "phone")
@@ -35,8 +44,12 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
 RUN = re.compile(r"[\w.+@-]*")
 LEXICAL = re.compile(r"\w+|[^\w\s]")
+GROUPS = re.compile(r"(?<![\w.+@-])\(?[0-9]++(?:[\x20().\/-]{1,2}+[0-9]++)++(?![\w@])")
 RUN_CHARACTERS = frozenset(".+@-_")
 SHORTEST_CANDIDATE = 5
+#: Words of which ``contexts`` may see a part only, or whose window they may fill.
+LONG_WORD = 40
+REMEMBERED_WORDS = 1 << 18
 ROW = "__llm_row"
 
 SPAN = "struct<kind:int,start:int,stop:int>"
@@ -113,10 +126,20 @@ def contexts(text: str, start: int, stop: int) -> list[str]:
     return out
 
 
-def identifiers(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Runs of word characters with a digit that no base span touches."""
+def free(places: Iterator[tuple[int, int]], taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Those of ascending places that no base span touches."""
     blocked = sorted((a, b) for _, a, b in taken)
-    done = k = 0
+    k = 0
+    for start, stop in places:
+        while k < len(blocked) and blocked[k][1] <= start:
+            k += 1
+        if k == len(blocked) or blocked[k][0] >= stop:
+            yield start, stop
+
+
+def runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of word characters with a digit."""
+    done = 0
     for m in DIGITS.finditer(text):
         if m.start() < done:
             continue
@@ -126,12 +149,34 @@ def identifiers(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[
         done = stop = RUN.match(text, m.end()).end()
         while stop > start and text[stop - 1] in ".+@-":
             stop -= 1
-        while k < len(blocked) and blocked[k][1] <= start:
-            k += 1
-        if stop - start >= SHORTEST_CANDIDATE and (k == len(blocked) or blocked[k][0] >= stop):
+        if stop - start >= SHORTEST_CANDIDATE:
             yield start, stop
 
 
+def identifiers(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Runs with a digit and groups of digits that no base span touches.
+
+    A run inside a group is a place of its own, as a group may only be numbers in a row.
+    """
+    groups = (m.span() for m in GROUPS.finditer(text))
+    return sorted({*free(runs(text), taken), *free(groups, taken)})
+
+
+def fillers(text: str, taken: list[tuple[int, int, int]], opens) -> Iterator[tuple[int, int]]:
+    """Runs that are no ``identifiers``, after words for which ``opens`` holds."""
+    before, done = None, 0
+    for m in LEXICAL.finditer(text):
+        start = m.start()
+        if start >= done and before is not None and opens(before) and (run := RUN.match(text, start)).end() > start:
+            done = stop = run.end()
+            while stop > start and text[stop - 1] in ".+@-":
+                stop -= 1
+            value = text[start:stop]
+            if (len(value) < SHORTEST_CANDIDATE or not DIGITS.search(value)) and any(c.isalnum() for c in value):
+                yield start, stop
+        before = m[0]
+
+
 def instance(value: str) -> int:
     digest = hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest()
     return int.from_bytes(digest, "little", signed=True)
@@ -163,16 +208,92 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for k, a, b in places
                 ]
             )
-        kept = [n for n in batch.schema.names if n != "__llm_text"]
+        kept = batch.schema.names
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(n) for n in kept), pa.array(base, base_type), pa.array(candidates, candidate_type)],
             names=[*kept, "__llm_base", "__llm_candidates"],
         )
 
 
-def learned(candidates: DataFrame, settings: Settings) -> DataFrame:
+def crc(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+def place_of(x: int) -> int:
+    """``graph.places_of`` of one number, without an array for it."""
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF
+    return (x ^ (x >> 31)) >> (64 - BITS)
+
+
+def _standing(openers: np.ndarray, strong: np.ndarray):
+    """Fillers in slots of patterns that may be strong, a row for each pattern."""
+
+    first, whole = openers.tobytes(), strong.tobytes()
+
+    def has(bits: bytes, word: str) -> bool:
+        at = place_of(crc(word))
+        return bool(bits[at >> 3] >> (at & 7) & 1)
+
+    def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, bool] = {}
+
+        def opens(word: str) -> bool:
+            found = known.get(word)
+            if found is None:
+                if len(known) >= REMEMBERED_WORDS:
+                    known.clear()
+                found = len(word) >= LONG_WORD or has(first, DIGITS.sub("0", word.lower()))
+                known[word] = found
+            return found
+
+        for batch in batches:
+            rows = []
+            for row, text, base in zip(*(batch.column(c) for c in (ROW, "__llm_text", "__llm_base")), strict=True):
+                text = text.as_py() or ""
+                spans = [(s["kind"], s["start"], s["stop"]) for s in base.as_py()]
+                for a, b in free(fillers(text, spans, opens), spans):
+                    for pattern in contexts(text, a, b):
+                        if has(whole, pattern):
+                            rows.append((row.as_py(), instance(text[a:b]), pattern, a, b))
+            if rows:
+                types = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                    names=[ROW, "instance", "pattern", "start", "stop"],
+                )
+
+    return standing
+
+
+def standing_in(found: DataFrame, strong: DataFrame, settings: Settings) -> DataFrame:
+    """Fillers of slots of strong patterns that stay so with them: row, kind, start, stop."""
+    parts = F.split("pattern", " ")
+    # one of the first two parts is the word before the slot, as "_" is a word as well
+    openers = bit_set(strong.select(F.explode(F.array(parts[0], parts[1])).alias("w")).select(F.crc32(F.col("w").cast("binary"))))
+    patterns = bit_set(strong.select(F.crc32(F.col("pattern").cast("binary"))))
+    schema = f"{ROW} long, instance long, pattern string, start int, stop int"
+    slots = found.select(ROW, "__llm_text", "__llm_base").mapInArrow(_standing(openers, patterns), schema)
+    slots = stored(slots.join(strong.select("pattern").distinct(), "pattern", "left_semi"), "pii-slots")
+    more = slots.select("pattern", "instance").distinct().groupBy("pattern").agg(F.count("*").alias("fillers"))
+    smoothed = F.col("instances") + F.lit(settings.smoothing)
+    strong = strong.join(more, "pattern").withColumn("score", F.col("score") * smoothed / (smoothed + F.col("fillers")))
+    strong = strong.filter(F.col("score") >= settings.confidence)
+    return (
+        slots.join(strong.select("pattern", "kind", "score"), "pattern")
+        .groupBy(ROW, "start", "stop")
+        .agg(F.min_by("kind", F.struct(-F.col("score"), F.col("kind"))).alias("kind"))
+        .select(ROW, "kind", "start", "stop")
+    )
+
+
+def learned(candidates: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Instances without a fixed rule that patterns vouch for: ``instance``, ``kind``.
 
+    Also the patterns of high confidence: ``pattern``, ``kind``, ``instances``, ``score``.
+
     ``candidates`` has instance, kind (null: not a seed), patterns. Counts are of distinct
     instances, so copies of a document vouch for nothing.
     """
@@ -211,12 +332,13 @@ def learned(candidates: DataFrame, settings: Settings) -> DataFrame:
             .agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))))).alias("belief")),
             "pii-believed",
         )
-    strong = patterns.filter(F.col("score") >= settings.confidence)
-    return (
+    strong = stored(patterns.filter(F.col("score") >= settings.confidence), "pii-strong")
+    instances = (
         unseen.join(strong.select("pattern", "kind", "score"), "pattern")
         .groupBy("instance")
         .agg(F.min_by("kind", F.struct(-F.col("score"), F.col("kind"))).alias("kind"))
     )
+    return instances, strong
 
 
 def find(docs: DataFrame, keep: list[str], text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -225,16 +347,16 @@ def find(docs: DataFrame, keep: list[str], text: str = "text", settings: Setting
     Kinds are places in ``KINDS``.
     """
     source = numbered(docs.select(*keep, F.col(text).cast("string").alias("__llm_text")), ROW)
-    names = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__llm_text"]
+    names = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema]
     schema = ", ".join([*names, f"__llm_base array<{SPAN}>", f"__llm_candidates array<{CANDIDATE}>"])
     found = stored(source.mapInArrow(_found, schema), "pii-found")
     places = found.select(ROW, F.explode("__llm_candidates").alias("c")).select(ROW, "c.*")
-    new = learned(places, settings)
+    new, strong = learned(places, settings)
+    spans = places.filter(F.col("kind").isNull()).drop("kind").join(new, "instance").select(ROW, "kind", "start", "stop")
+    if not strong.isEmpty():
+        spans = spans.unionByName(standing_in(found, strong, settings))
     added = (
-        places.filter(F.col("kind").isNull())
-        .drop("kind")
-        .join(new, "instance")
-        .groupBy(ROW)
+        spans.groupBy(ROW)
         .agg(F.sort_array(F.collect_list(F.struct("kind", "start", "stop"))).alias("added"))
     )
     return (

@@ -136,6 +136,32 @@ def test_belief_reaches_patterns_without_a_seed(spark):
         assert found[k] == ([(0, at, text.index("no", at) + 2)] if at >= 0 else []), text
 
 
+def test_what_stands_in_a_slot_is_found_whatever_its_shape(spark):
+    texts = [f"please write to mail box u{k}@x.example.com today" for k in range(20)]
+    texts += [f"ring the office on +44 20 7946 {1000 + k} please" for k in range(20)]
+    texts += [f"charge the card 4111 1111 1111 1111 now {k}" for k in range(3)]
+    texts += [f"only the number is +1 800 555 {2000 + k} ok" for k in range(4)] + [f"only the number is {w} ok" for w in ("large", "small", "odd")]
+    hidden = [
+        ("please write to mail box jane.doe@intranet today", "jane.doe@intranet", 0),
+        ("please write to mail box jdoe today", "jdoe", 0),
+        ("ring the office on 020 7946 0958 please", "020 7946 0958", 3),
+        ("ring the office on (555) 123-4567 please", "(555) 123-4567", 3),
+        ("ring the office on 4112 please", "4112", 3),
+    ]
+    docs = documents(spark, list(enumerate([*texts, *(t for t, _, _ in hidden), "we saw jdoe and 4112 there"])))
+    found = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.added] for r in pii.find(docs, ["doc_id"]).collect()}
+    for k, (text, value, kind) in enumerate(hidden, len(texts)):
+        start = text.index(value)
+        assert (kind, start, start + len(value)) in found[k], (text, found[k])
+    assert all(not found[k] for k in range(len(texts))), found
+    assert found[len(texts) + len(hidden)] == []
+
+
+def test_digit_groups_take_linear_time():
+    assert pii.identifiers("1" * 400_000, []) == [(0, 400_000)]
+    assert len(pii.identifiers("1 " * 100_000, [])) == 1
+
+
 def test_pii_query_digest(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     for r in QUERIES["op2_pii"](spark, SF_DIR).collect():
