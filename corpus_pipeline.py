@@ -15,8 +15,13 @@ from galley.llm.queries import tokenizer_file
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a determined language; learn from those with a label."""
+    """Drop documents without a determined language; learn from those with a label.
+
+    Without any label no language is learned; then only texts without a letter are dropped.
+    """
     model = language.fit(docs, F.col("doc_id"))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]"))
     answers = language.identify(docs.withColumn("__llm_copy", F.col("text")), model, [*docs.columns], "__llm_copy")
     return answers.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from galley.llm import pii
-from tests.llm.test_text import brute_components, plain_spans
+from tests.llm.test_text import brute_components, documents, plain_spans
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -31,3 +31,9 @@ def test_every_stage_does_its_work(spark, tmp_path):
 
 def test_run_gives_rows(spark):
     assert not corpus_pipeline.run(spark, SF_DIR).isEmpty()
+
+
+def test_unlabelled_documents_pass_the_language_stage(spark):
+    docs = documents(spark, [(1, "the cat"), (2, None), (3, "12 !!"), (4, ""), (5, "12 é"), (6, "猫")])
+    kept = corpus_pipeline.known_language(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5, 6]
