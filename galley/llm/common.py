@@ -119,3 +119,27 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20)
 def schema_of(df: DataFrame, names: Iterable[str]) -> str:
     """DDL of some columns of ``df``."""
     return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+
+
+def map_rows(docs: DataFrame, keep: list[str], inputs: list, function, results: dict[str, str]) -> DataFrame:
+    """``docs.mapInArrow`` that carries the columns ``keep``, whatever their names.
+
+    ``function`` sees the columns ``inputs`` and, under reserved names, those carried; it
+    gives back the latter (`kept_names`) and ``results`` (names and types). Names carried that
+    clash with results are refused.
+    """
+    clashes = [c for c in keep if c.lower() in map(str.lower, results)]
+    if clashes:
+        raise ValueError(f"names of results: {clashes}")
+    source = docs.select(*(F.col(quoted(c)).alias(f"__keep_{k}") for k, c in enumerate(keep)), *inputs)
+    carried = [f"__keep_{k} {source.schema[k].dataType.simpleString()}" for k in range(len(keep))]
+    head = ", ".join([*carried, *(f"{name} {kind}" for name, kind in results.items())])
+    return source.mapInArrow(function, head).toDF(*keep, *results)
+
+
+def kept_names(batch: pa.RecordBatch) -> list[str]:
+    return [c for c in batch.schema.names if c.startswith("__keep_")]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

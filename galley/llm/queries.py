@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import forest, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, warc
+from galley.llm import forest, infill, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, warc
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -158,6 +158,47 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = infill.transform(table(spark, sf_dir, "documents"), ["doc_id"])
+    return written.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_infill"] = """
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || doc_id) AS digits
+  FROM documents
+), h AS (
+  SELECT *, len(units) AS n, ('0x' || digits[1:8])::UBIGINT AS h1, ('0x' || digits[9:16])::UBIGINT AS h2,
+         ('0x' || digits[17:24])::UBIGINT AS h3, ('0x' || digits[25:32])::UBIGINT AS h4
+  FROM u
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 QUERIES = {
     "op1_url_lists": op1_url_lists,
     "op2_pii": op2_pii,
@@ -169,4 +210,5 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_neardup": op9_neardup,
     "op10_lattice": op10_lattice,
+    "op11_infill": op11_infill,
 }
