@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import forest, infill, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, warc
+from galley.llm import alignment, forest, infill, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, warc
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -199,6 +199,12 @@ FROM p
 """
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as one, open(tokenizer_file("piece_bpe_32k.model"), "rb") as other:
+        told = alignment.agreement(table(spark, sf_dir, "documents"), ["doc_id"], one.read(), other.read())
+    return told.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_url_lists": op1_url_lists,
     "op2_pii": op2_pii,
@@ -211,4 +217,5 @@ QUERIES = {
     "op9_neardup": op9_neardup,
     "op10_lattice": op10_lattice,
     "op11_infill": op11_infill,
+    "op12_alignment": op12_alignment,
 }
