@@ -6,7 +6,7 @@ installed there.
 
 from pyspark import cloudpickle
 
-from galley.llm import alignment, common, forest, graph, infill, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, vectors, warc
+from galley.llm import alignment, common, forest, graph, infill, jaccard, language, lattice, neardup, packing, pii, repeats, unigram, url_lists, vectors, warc
 
-for _module in (alignment, common, forest, graph, infill, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, vectors, warc):
+for _module in (alignment, common, forest, graph, infill, jaccard, language, lattice, neardup, packing, pii, repeats, unigram, url_lists, vectors, warc):
     cloudpickle.register_pickle_by_value(_module)

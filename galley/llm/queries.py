@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import alignment, forest, infill, jaccard, language, lattice, neardup, packing, pii, unigram, url_lists, warc
+from galley.llm import alignment, forest, infill, jaccard, language, lattice, neardup, packing, pii, repeats, unigram, url_lists, warc
 from galley.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -205,6 +205,11 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_url_lists": op1_url_lists,
     "op2_pii": op2_pii,
@@ -218,4 +223,5 @@ QUERIES = {
     "op10_lattice": op10_lattice,
     "op11_infill": op11_infill,
     "op12_alignment": op12_alignment,
+    "op13_repeats": op13_repeats,
 }
