@@ -14,9 +14,10 @@ while merging. `align` gives ids and groups of every document; `agreement` count
 pair of ids, the documents that link it, and tells each document how its links stand among
 all.
 
-Texts are cut into parts that neither tokenizer joins over, and every task encodes a part it
-has met only once. Texts with characters whose class may depend on the version of Unicode are
-given to tokenizer A whole.
+Neither tokenizer joins over a space that has a character other than white space on one of
+its sides. Texts are cut there, and every task encodes a piece it has met only once. Pieces
+with characters whose class may depend on the version of Unicode are given to tokenizer A
+whole. Documents of a batch are aligned side by side, each at a shift of its own.
 
 Counts of pairs are kept apart by frequency: pairs of so many documents that at most
 ``frequent`` pairs are as frequent are looked up inside the tasks (a table of bounded size,
@@ -56,8 +57,10 @@ UNUSUAL = regex.compile("[^\t\n\r -\x7e\xa1-ɏ]")
 class Settings:
     #: pairs looked up inside the tasks, at most
     frequent: int = 200_000
-    #: parts a task remembers of each tokenizer
+    #: pieces of texts a task remembers
     remembered: int = 400_000
+    #: with fewer documents left than this, each of them is aligned by itself
+    few: int = 24
 
 
 @lru_cache(maxsize=100_000)
@@ -71,35 +74,110 @@ def settled(text: str) -> bool:
     return UNUSUAL.search(text) is None or all(map(_settled, set(UNUSUAL.findall(text))))
 
 
+#: Spaces that stand beside others, or at the start, or between other white space.
+INNER_SPACE = regex.compile("[\\s\u180e] [\\s\u180e]|  |^ ")
+
+
 class Remembered:
-    """Ids of parts, each encoded once."""
+    """Ids of pieces of texts by both tokenizers, each encoded once."""
 
-    def __init__(self, encode, remembered: int):
-        self.encode_parts, self.remembered = encode, remembered
+    def __init__(self, tokenizer_json: str, model: bytes, remembered: int):
+        self.one, self.other, self.remembered = ByteTokens(tokenizer_json), PieceTokens(model), remembered
         self.clear()
 
     def clear(self) -> None:
         self.memo: dict[str, int] = {}
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
-
-    def encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all parts one after another, and the number of ids of each."""
+        #: whether B's tokens spell the piece
+        self.spelled = np.zeros(0, bool)
+        self.starts = [np.zeros(0, np.int64)] * 2
+        self.lengths = [np.zeros(0, np.int64)] * 2
+        self.ids = [np.zeros(0, np.int32)] * 2
+
+    def _add(self, pieces: list[str], ids: list[np.ndarray], lengths: list[np.ndarray], spelled: np.ndarray) -> None:
+        self.memo.update(zip(pieces, range(len(self.memo), len(self.memo) + len(pieces)), strict=True))
+        for side in (0, 1):
+            starts = len(self.ids[side]) + np.cumsum(lengths[side]) - lengths[side]
+            self.starts[side] = np.concatenate((self.starts[side], starts))
+            self.lengths[side] = np.concatenate((self.lengths[side], lengths[side]))
+            self.ids[side] = np.concatenate((self.ids[side], ids[side]))
+        self.spelled = np.concatenate((self.spelled, spelled))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Words at once; words with full stops or commas from both; the rest piece by piece."""
+        words, ended, others = [], [], []
+        usual = UNUSUAL.search(" ".join(pieces)) is None
+        for p in pieces:
+            stem = p.rstrip(".,")
+            if not stem.isalpha() or not (usual or settled(stem)):
+                others.append(p)
+            elif stem == p:
+                words.append(p)
+            elif (stem[-1] + p[len(stem)]) not in self.other.bigrams:
+                ended.append((p, stem, p[len(stem) :]))
+            else:
+                others.append(p)
+        words += {stem for _, stem, _ in ended if stem not in self.memo}.difference(words)
+        for k in range(0, len(words), 20_000):
+            some = words[k : k + 20_000]
+            found = [self.one.words(some), self.other.words(some)]
+            self._add(some, *([f[n] for f in found] for n in (0, 1)), self._spelled(some, *found[1]))
+        if ended:
+            stems = np.fromiter((self.memo[stem] for _, stem, _ in ended), np.int64, len(ended))
+            tails = list({tail for _, _, tail in ended})
+            which = {tail: k for k, tail in enumerate(tails)}
+            tail = np.fromiter((which[t] for _, _, t in ended), np.int64, len(ended))
+            ids, lengths = [], []
+            for side, tokenizer in enumerate((self.one, self.other)):
+                more, sizes = tokenizer.encoded(tails)
+                both = np.concatenate((self.ids[side], more))
+                starts = np.stack((self.starts[side][stems], len(self.ids[side]) + (np.cumsum(sizes) - sizes)[tail]), axis=1)
+                counts = np.stack((self.lengths[side][stems], sizes[tail]), axis=1)
+                ids.append(both[ranges(starts.reshape(-1), counts.reshape(-1))])
+                lengths.append(counts.sum(axis=1))
+            names = [p for p, _, _ in ended]
+            self._add(names, ids, lengths, self._spelled(names, ids[1], lengths[1]))
+        for k in range(0, len(others), 20_000):
+            some = others[k : k + 20_000]
+            found = [self.one.encode(some), self.other.encode(some)]
+            self._add(some, *([f[n] for f in found] for n in (0, 1)), self._spelled(some, *found[1]))
+
+    def _spelled(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        sizes = np.add.reduceat(self.other.sizes[ids], np.cumsum(lengths) - lengths)
+        if self.other.spells(ids.tolist(), " ".join(pieces)) and sizes.tolist() == [len(p.encode()) + 1 for p in pieces]:
+            return np.ones(len(pieces), bool)
+        stops = np.cumsum(lengths).tolist()
+        return np.array([self.other.spells(ids[x:y].tolist(), p) for x, y, p in zip([0, *stops], stops, pieces, strict=False)], bool)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Which texts B's tokens spell; ids of these, one after another, and the number of each text, for A and B.
+
+        Texts that are empty or not spelled have no ids.
+        """
+        pieces, counts = [], np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            if text and SPACE not in text:
+                found = [text] if INNER_SPACE.search(text) else text.split(" ")
+                pieces += found
+                counts[k] = len(found)
         if len(self.memo) > self.remembered:
             self.clear()
-        memo = self.memo
-        fresh = [p for p in dict.fromkeys(parts) if p not in memo]
-        for k in range(0, len(fresh), 20_000):
-            some = fresh[k : k + 20_000]
-            ids, lengths = self.encode_parts(some)
-            memo.update(zip(some, range(len(memo), len(memo) + len(some)), strict=True))
-            self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
-            self.lengths = np.concatenate((self.lengths, lengths))
-            self.ids = np.concatenate((self.ids, ids))
-        numbers = np.fromiter(map(memo.__getitem__, parts), np.int64, len(parts))
-        lengths = self.lengths[numbers]
-        return self.ids[ranges(self.starts[numbers], lengths)], lengths
+        fresh = set(pieces).difference(self.memo)
+        if fresh:
+            self._learn(fresh)
+        numbers = np.fromiter(map(self.memo.__getitem__, pieces), np.int64, len(pieces))
+        ends = np.cumsum(counts)
+        wrong = np.concatenate(([0], np.cumsum(~self.spelled[numbers])))
+        good = (counts > 0) & (wrong[ends] == wrong[ends - counts])
+        numbers = numbers[ranges((ends - counts)[good], counts[good])]
+        counts = np.where(good, counts, 0)
+        ends = np.cumsum(counts)
+        ids, sizes = [], []
+        for side in (0, 1):
+            lengths = self.lengths[side][numbers]
+            ids.append(self.ids[side][ranges(self.starts[side][numbers], lengths)])
+            sums = np.concatenate(([0], np.cumsum(lengths)))
+            sizes.append(sums[ends] - sums[ends - counts])
+        return good, ids, sizes
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -112,7 +190,7 @@ def byte_alphabet() -> dict[int, str]:
 class ByteTokens:
     """Tokenizer A: byte-level BPE."""
 
-    def __init__(self, tokenizer_json: str, remembered: int):
+    def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         # a task has one core; threads of the library would each keep memory of their own
@@ -122,29 +200,38 @@ class ByteTokens:
         self.bare = Tokenizer(self.whole.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         alphabet = byte_alphabet()
-        self.alphabet = {chr(b): c for b, c in alphabet.items()}
-        self.table = str.maketrans(self.alphabet)
+        self.table = str.maketrans({chr(b): c for b, c in alphabet.items()})
         back = {c: b for b, c in alphabet.items()}
         vocabulary = self.whole.get_vocab(with_added_tokens=False)
         self.sizes = np.zeros(max(self.whole.get_vocab().values()) + 1, np.int64)
         for piece, k in vocabulary.items():
             self.sizes[k] = sum(c in back for c in piece)
         self.parts = regex.compile(PARTS_A)
-        self.remembered = Remembered(self._learn, remembered)
 
-    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Parts in the byte alphabet, which has no white space, many to a line."""
-        lines = []
-        for k in range(0, len(parts), 500):
-            lines.append(" ".join(parts_of.encode().decode("latin-1").translate(self.table) for parts_of in parts[k : k + 500]))
+    def _of_lines(self, lines: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lines of so many parts in the byte alphabet, which has no white space."""
         ids, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for k in range(0, len(lines), 16):
-            for n, one in enumerate(self.bare.encode_batch(lines[k : k + 16], add_special_tokens=False)):
+            found = self.bare.encode_batch(lines[k : k + 16], add_special_tokens=False)
+            for one, count in zip(found, counts[k : k + 16], strict=True):
                 ids.append(np.array(one.ids, np.int32))
-                count = min(500, len(parts) - 500 * (k + n))
                 lengths.append(np.bincount(np.array(one.word_ids, np.int64), minlength=count))
         return np.concatenate(ids), np.concatenate(lengths)
 
+    def _bytes(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.table)
+
+    def encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts, and the number of each."""
+        some = [parts[k : k + 500] for k in range(0, len(parts), 500)]
+        return self._of_lines([" ".join(map(self._bytes, s)) for s in some], [len(s) for s in some])
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, with a space before each."""
+        some = [words[k : k + 500] for k in range(0, len(words), 500)]
+        space = self.table[32]
+        return self._of_lines([self._bytes(" " + " ".join(s)).replace(space, " " + space) for s in some], [len(s) for s in some])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of space and text, for all texts one after another, and the number of each."""
         parts, counts, whole = [], np.zeros(len(texts), np.int64), []
@@ -155,7 +242,7 @@ class ByteTokens:
                 counts[k] = len(found)
             else:
                 whole.append(k)
-        ids, lengths = self.remembered.encode(parts)
+        ids, lengths = self.encoded(parts)
         sums = np.concatenate(([0], np.cumsum(lengths)))
         ends = np.cumsum(counts)
         sizes = sums[ends] - sums[ends - counts]
@@ -172,7 +259,7 @@ class ByteTokens:
 class PieceTokens:
     """Tokenizer B: BPE of pieces with bytes for unknown characters."""
 
-    def __init__(self, model: bytes, remembered: int):
+    def __init__(self, model: bytes):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_proto=model)
@@ -183,26 +270,25 @@ class PieceTokens:
         self.sizes = np.array([len(b) for b in bytes_of], np.int64)
         # characters that no longer piece holds are never joined with others
         joined = {c for k, n in enumerate(names) if len(n) > 1 and not self.model.is_byte(k) and not self.model.is_control(k) and not self.model.is_unknown(k) for c in n}
+        self.bigrams = {n[k : k + 2] for j, n in enumerate(names) if not self.model.is_byte(j) for k in range(len(n) - 1)}
         self.line = self.model.piece_to_id("<0x0A>")
         if "\n" in joined or any(n.find(SPACE, len(n) - len(n.lstrip(SPACE))) >= 0 for n in names):
             raise ValueError("the vocabulary joins over spaces or lines")
         alone = "".join(c for c in map(chr, range(1, 128)) if c != " " and c not in joined)
         alone = regex.escape(alone, special_only=False) if alone else "\n"
         self.parts = regex.compile(f"[{alone}]| *[^ {alone}]+| +")
-        self.remembered = Remembered(self._learn, remembered)
 
-    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Parts in one text, with lines between them: a line break is a token by itself."""
+    def encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts, and the number of each: they are one text, with lines between them: a line break is a token by itself."""
         ids = np.array(self.model.encode("\n" + "\n".join("" if p == "\n" else p for p in parts) + "\n"), np.int32)
         breaks = np.flatnonzero(ids == self.line)
         lengths = np.diff(breaks) - 1
         inner = np.ones(len(ids), bool)
         inner[: breaks[0]] = False
         inner[breaks] = False
-        if "\n" in parts:  # its own token stands for it
-            at = parts.index("\n")
-            lengths[at] = 1
-            inner[breaks[at]] = True
+        own = np.flatnonzero([p == "\n" for p in parts])  # the line break stands for itself
+        lengths[own] = 1
+        inner[breaks[own]] = True
         return ids[inner], lengths
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -212,11 +298,20 @@ class PieceTokens:
             found = self.parts.findall(" " + text)
             parts += found
             counts[k] = len(found)
-        ids, lengths = self.remembered.encode(parts)
+        ids, lengths = self.encoded(parts)
         sums = np.concatenate(([0], np.cumsum(lengths)))
         ends = np.cumsum(counts)
         return ids, sums[ends] - sums[ends - counts]
 
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, with a space before each."""
+        ids = np.array(self.model.encode("\n " + "\n ".join(words) + "\n"), np.int32)
+        breaks = np.flatnonzero(ids == self.line)
+        inner = np.ones(len(ids), bool)
+        inner[: breaks[0]] = False
+        inner[breaks] = False
+        return ids[inner], np.diff(breaks) - 1
+
     def spells(self, ids: list[int], text: str) -> bool:
         return b"".join(map(self.bytes_of.__getitem__, ids)) == b" " + text.encode()
 
@@ -261,21 +356,72 @@ def groups(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list
     return stretches, irregular, links
 
 
-def written(ids_a: list[str], ids_b: list[str], stretches, irregular) -> str:
-    """All groups in order as ``a1,a2|b1;a3|b2,b3``."""
-    out, rest = [], iter(irregular)
-    at = 0
-    upcoming = next(rest, None)
-    for i, j, length in [*stretches, (len(ids_a), len(ids_b), 0)]:
-        while upcoming is not None and upcoming[0] < i:
-            x, x_end, y, y_end = upcoming
-            out.append(",".join(ids_a[x:x_end]) + "|" + ",".join(ids_b[y:y_end]))
-            upcoming = next(rest, None)
-        if length:
-            out += map("|".join, zip(ids_a[i : i + length], ids_b[j : j + length], strict=True))
-        at = i + length
-    assert at == len(ids_a)
-    return ";".join(out)
+def side_by_side(
+    a: np.ndarray, b: np.ndarray, first_a: np.ndarray, last_a: np.ndarray, first_b: np.ndarray, last_b: np.ndarray, few: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`groups` of many documents, whose ends lie one after another: stretches, irregular groups and links as rows."""
+    i, j = first_a.copy(), first_b.copy()
+    stretches, irregular, links = [np.zeros((0, 3), np.int64)], [np.zeros((0, 4), np.int64)], [np.zeros((0, 2), np.int64)]
+    at_work = np.flatnonzero(first_a < last_a)
+    while len(at_work) >= few:
+        from_i, from_j = i[at_work], j[at_work]
+        probing, step = at_work, 1
+        while len(probing):
+            ahead = np.arange(step)
+            here_i, here_j = i[probing], j[probing]
+            room = last_a[probing] - here_i
+            left = a[np.minimum(here_i[:, None] + ahead, len(a) - 1)]
+            same = (left == b[np.minimum(here_j[:, None] + ahead, len(b) - 1)]) & (ahead < room[:, None])
+            taken = np.where(same.all(axis=1), step, same.argmin(axis=1))
+            i[probing] = here_i + taken
+            j[probing] = here_j + taken
+            probing = probing[(taken == step) & (room > step)]
+            step *= 2
+        length = i[at_work] - from_i
+        stretches.append(np.stack((from_i, from_j, length), axis=1)[length > 0])
+        at_work = at_work[i[at_work] < last_a[at_work]]
+        from_i, from_j = i[at_work], j[at_work]
+        merging = at_work
+        while len(merging):
+            here_i, here_j = i[merging], j[merging]
+            links.append(np.stack((here_i, here_j), axis=1))
+            p, q = a[here_i], b[here_j]
+            i[merging] = here_i + (p < q)
+            j[merging] = here_j + (p > q)
+            merging = merging[p != q]
+        i[at_work] += 1
+        j[at_work] += 1
+        irregular.append(np.stack((from_i, i[at_work], from_j, j[at_work]), axis=1))
+        at_work = at_work[i[at_work] < last_a[at_work]]
+    for k in at_work.tolist():
+        x, y = int(i[k]), int(j[k])
+        alone = groups(a[x : last_a[k]].tolist(), b[y : last_b[k]].tolist())
+        for out, found, base in zip((stretches, irregular, links), alone, ([x, y, 0], [x, x, y, y], [x, y]), strict=True):
+            if found:
+                out.append(np.array(found, np.int64) + base)
+    return np.concatenate(stretches), np.concatenate(irregular), np.concatenate(links)
+
+
+def in_order(ids_a: np.ndarray, ids_b: np.ndarray, stretches: np.ndarray, irregular: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all groups in order, A's before B's: numbers of the texts of `names`; and the ends of groups.
+
+    The second array counts, for each group, the tokens of A and B up to its end.
+    """
+    single = ranges(stretches[:, 0], stretches[:, 2]), ranges(stretches[:, 1], stretches[:, 2])
+    closes_a, closes_b = np.zeros(len(ids_a), bool), np.zeros(len(ids_b), bool)
+    closes_a[single[0]] = closes_b[single[1]] = True
+    closes_a[irregular[:, 1] - 1] = closes_b[irregular[:, 3] - 1] = True
+    upto_a, upto_b = np.flatnonzero(closes_a) + 1, np.flatnonzero(closes_b) + 1
+    group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+    out = np.zeros(len(ids_a) + len(ids_b), np.int64)
+    out[np.arange(len(ids_a)) + np.concatenate(([0], upto_b))[group_a]] = 2 * ids_a + closes_a
+    out[np.arange(len(ids_b)) + upto_a[group_b]] = 2 * (width + ids_b.astype(np.int64)) + closes_b
+    return out, upto_a
+
+
+def names(width_a: int, width_b: int) -> list[str]:
+    """Ids with what stands behind them: a comma inside a group, a bar after A's tokens, a semicolon after B's."""
+    return [f"{k}{mark}" for k in range(width_a) for mark in ",|"] + [f"{k}{mark}" for k in range(width_b) for mark in ",;"]
 
 
 RESULTS = {
@@ -291,51 +437,52 @@ RESULTS = {
 }
 
 
+def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
 def _aligned(tokenizer_json: str, model: bytes, settings: Settings, results: dict[str, str], digest: bool):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, other = ByteTokens(tokenizer_json, settings.remembered), PieceTokens(model, settings.remembered)
-        name_a, name_b = list(map(str, range(len(one.sizes)))), list(map(str, range(len(other.sizes))))
-        width = len(other.sizes)
-        for batch in slices(batches, "__llm_text", 1 << 20):
-            texts = as_text(batch.column("__llm_text")).to_pylist()
-            told = [text if SPACE not in text else "" for text in texts]
-            flat_a, sizes_a = one.encode(told)
-            flat_b, sizes_b = other.encode(told)
-            out = {name: [] for name in results}
-            at_a = np.concatenate(([0], np.cumsum(sizes_a)))
-            at_b = np.concatenate(([0], np.cumsum(sizes_b)))
-            for k, text in enumerate(told):
-                ids_a, ids_b = flat_a[at_a[k] : at_a[k + 1]], flat_b[at_b[k] : at_b[k + 1]]
-                list_a, list_b = ids_a.tolist(), ids_b.tolist()
-                size = len(text.encode()) + 1
-                ends_a, ends_b = np.cumsum(one.sizes[ids_a]), np.cumsum(other.sizes[ids_b])
-                if not text or ends_a[-1] != size or ends_b[-1] != size or not other.spells(list_b, text):
-                    row = {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "ids_a": [], "ids_b": [], "groups": "", "pairs": [], "times": []}
-                else:
-                    stretches, irregular, links = groups(ends_a.tolist(), ends_b.tolist())
-                    single = np.array(stretches, np.int64).reshape(-1, 3)
-                    linked = np.array(links, np.int64).reshape(-1, 2)
-                    link_a = np.concatenate((ranges(single[:, 0], single[:, 2]), linked[:, 0]))
-                    link_b = np.concatenate((ranges(single[:, 1], single[:, 2]), linked[:, 1]))
-                    pairs, times = np.unique(ids_a[link_a].astype(np.int64) * width + ids_b[link_b], return_counts=True)
-                    text_of = written([name_a[x] for x in list_a], [name_b[x] for x in list_b], stretches, irregular)
-                    row = {
-                        "n_a": len(list_a),
-                        "n_b": len(list_b),
-                        "n_groups": int(single[:, 2].sum()) + len(irregular),
-                        "n_links": len(link_a),
-                        "ids_a": ids_a,
-                        "ids_b": ids_b,
-                        "groups": hashlib.sha256(text_of.encode()).hexdigest() if digest else text_of,
-                        "pairs": pairs,
-                        "times": times,
-                    }
-                for name in results:
-                    out[name].append(row[name])
+        remembered = Remembered(tokenizer_json, model, settings.remembered)
+        bytes_a, bytes_b = remembered.one.sizes, remembered.other.sizes
+        texts_of = names(len(bytes_a), len(bytes_b))
+        width = len(bytes_b)
+        for batch in slices(batches, "__llm_text", 2 << 20):
+            good, (ids_a, ids_b), (sizes_a, sizes_b) = remembered.encode(as_text(batch.column("__llm_text")).to_pylist())
+            ends_a, ends_b = np.cumsum(bytes_a[ids_a]), np.cumsum(bytes_b[ids_b])
+            last_a, last_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+            if not np.array_equal(ends_a[last_a[good] - 1], ends_b[last_b[good] - 1]):
+                raise ValueError("the tokens of a text do not spell it")
+            stretches, irregular, links = side_by_side(ends_a, ends_b, last_a - sizes_a, last_a, last_b - sizes_b, last_b, settings.few)
+            order, upto_a = in_order(ids_a, ids_b, stretches, irregular, len(bytes_a))
+            n_groups = np.diff(np.searchsorted(upto_a, np.concatenate(([0], last_a)), "right"))
+            link_a = np.concatenate((ranges(stretches[:, 0], stretches[:, 2]), links[:, 0]))
+            link_b = np.concatenate((ranges(stretches[:, 1], stretches[:, 2]), links[:, 1]))
+            document = np.searchsorted(last_a, link_a, "right")
+            n_links = np.bincount(document, minlength=len(good))
+            columns = {
+                "n_a": pa.array(sizes_a),
+                "n_b": pa.array(sizes_b),
+                "n_groups": pa.array(n_groups, pa.int64()),
+                "n_links": pa.array(n_links, pa.int64()),
+            }
+            if "ids_a" in results:
+                columns |= {"ids_a": _lists(ids_a, sizes_a, pa.int32()), "ids_b": _lists(ids_b, sizes_b, pa.int32())}
+            if "groups" in results:
+                written = []
+                for k, stop in enumerate((last_a + last_b).tolist()):
+                    some = order[stop - sizes_a[k] - sizes_b[k] : stop].tolist()
+                    text = "".join(map(texts_of.__getitem__, some))[:-1]
+                    written.append(hashlib.sha256(text.encode()).hexdigest() if digest and good[k] else text)
+                columns["groups"] = pa.array(written, pa.string())
+            if "pairs" in results:
+                space = len(bytes_a) * width
+                coded, times = np.unique(document * space + ids_a[link_a].astype(np.int64) * width + ids_b[link_b], return_counts=True)
+                distinct = np.bincount(coded // space, minlength=len(good))
+                columns |= {"pairs": _lists(coded % space, distinct, pa.int64()), "times": _lists(times, distinct, pa.int32())}
             kept = kept_names(batch)
-            kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
-            columns = [pa.array(out[name], kinds[kind]) for name, kind in results.items()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], names=[*kept, *results])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(columns[c] for c in results)], names=[*kept, *results])
 
     return align
 

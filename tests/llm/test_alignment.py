@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 from functools import cache
 
+import numpy as np
 import pytest
 
 from galley.llm import alignment
@@ -92,7 +93,7 @@ def plain_version(texts):
 
 def texts():
     rng = random.Random(11)
-    bits = ["the", " ", "  ", "Ing", "é", "\n", "\n\n", "\t", "日本", "𝒳", "　", "\x1c", "\x0b", "\x85", " ", "​", "᠎", "'s", "'ll", "12", "3", ".", "...", "<s>", "<0x0A>", "<|endoftext|>", "ß", "Ǆ", "\x00", "\U0001fae0", "ꟃ", "²", "½", "-", "_", "]", "^", "\\"]
+    bits = ["the", " ", "  ", "Ing", "é", "\n", "\n\n", "\t", "日本", "𝒳", "　", "\x1c", "\x0b", "\x85", " ", "​", "᠎", "'s", "'ll", "12", "3", ".", "...", "<s>", "<0x0A>", "<|endoftext|>", "ß", "Ǆ", "\x00", "\U0001fae0", "ꟃ", "²", "½", "-", "_", "]", "^", "\\", "   ", " \n ", "\n \n", "a", "b"]
     some = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 50))) for _ in range(300)]
     long = " ".join(rng.choice(["thing", "ation", "word", "über", "qxz"]) + rng.choice(["", ".", ",", "\n"]) for _ in range(700))
     return [*some, None, "", " ", "\n", "a▁b", long, "x" * 2_000, "same text", "same text", "日" * 300]
@@ -105,7 +106,7 @@ COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
 def test_agreement_is_the_plain_version(spark, frequent):
     rows = list(enumerate(texts()))
     docs = spark.createDataFrame([(k, t, "clash", 9) for k, t in rows], "doc_id long, text string, pairs string, `a.b` int").repartition(5)
-    settings = alignment.Settings(frequent=frequent, remembered=500)
+    settings = alignment.Settings(frequent=frequent, remembered=500, few=2 if frequent else 50)
     with open(tokenizer_file("byte_bpe_50k.json")) as one, open(tokenizer_file("piece_bpe_32k.model"), "rb") as other:
         found = alignment.agreement(docs, ["doc_id", "pairs", "a.b"], one.read(), other.read(), settings=settings).collect()
     want = plain_version([t for _, t in rows])
@@ -123,6 +124,13 @@ def test_groups_of_any_ends():
         if rng.random() < 0.3:
             a = b
         stretches, irregular, links = alignment.groups(a, b)
+        n = np.arange(3)  # three documents of these ends side by side
+        many = alignment.side_by_side(
+            *(np.concatenate([np.array(e) + size * k for k in range(3)]) for e in (a, b)), n * len(a), (n + 1) * len(a), n * len(b), (n + 1) * len(b), 1
+        )
+        for alone, found, base in zip((stretches, irregular, links), many, ((len(a), len(b), 0), (len(a),) * 2 + (len(b),) * 2, (len(a), len(b))), strict=True):
+            want = {tuple(x + k * y for x, y in zip(row, base, strict=True)) for row in alone for k in range(3)}
+            assert set(map(tuple, found.tolist())) == want and len(found) == len(want)
         told = [(i + k, i + k + 1, j + k, j + k + 1) for i, j, n in stretches for k in range(n)] + irregular
         common = sorted(set(a) & set(b))
         assert sorted((a[x - 1], b[y - 1]) for _, x, _, y in told) == [(c, c) for c in common]
