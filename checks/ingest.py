@@ -55,8 +55,8 @@ def _contract_sql(entity):
     source = "src_stores_2" if entity == "stores" else f"src_{entity}"
     types = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
     columns = ", ".join(
-        # list prices of the test parts have cents; the contract holds whole numbers
-        f"CAST(trunc({f.name}) AS BIGINT) AS {f.name}" if f.name == "base_price_ngn"
+        # list prices of the test parts have cents, which a load keeps
+        f"CAST({f.name} AS DOUBLE) AS {f.name}" if f.name == "base_price_ngn"
         else f"CAST({f.name} AS {types[f.dataType.simpleString()]}) AS {f.name}"
         for f in CONTRACTS[entity].fields
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galley.sources.array_files import array_records
 from galley.sources.contracts import CONTRACTS, TIMESTAMP_COLUMNS
 
 
@@ -20,13 +21,17 @@ def read_json(
 ) -> DataFrame:
     """JSON files of one entity, without columns taken from the path.
 
-    ``arrays`` reads files holding one array of records; such a file is read by one task.
-    JSON-lines files (``arrays=False``) can be split. A record that cannot be parsed is a
-    row of NULLs, with its text in ``MALFORMED`` where the schema asks for that.
+    ``arrays`` reads files holding one array of records, otherwise they hold a record per
+    line; both are read by as many tasks as their bytes ask for. A record that cannot be
+    parsed is a row of NULLs, with its text in ``MALFORMED`` where the schema asks for that.
     """
-    reader = spark.read.option("multiLine", arrays).option("recursiveFileLookup", True)
-    reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+    reader = spark.read.option("recursiveFileLookup", True).option("columnNameOfCorruptRecord", MALFORMED)
+    if schema is not None:
+        reader = reader.schema(schema)
+    if not arrays:
+        return reader.json(path)
+    texts = getattr(array_records(spark, path)._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(reader._jreader.json(texts), spark)
 
 
 def _temporal(kind: T.DataType) -> bool:
@@ -34,15 +39,18 @@ def _temporal(kind: T.DataType) -> bool:
 
 
 def read_entity(spark: SparkSession, path: str, entity: str, arrays: bool = True) -> DataFrame:
-    """JSON of one entity in its contract's columns and types.
+    """JSON of one entity in its contract's columns, as a load would keep it.
 
-    Values are read as they are and then cast, so that a fraction is cut and not lost.
+    Numbers have the type found in the files where it is another than the contract's, so a
+    price with cents keeps them; new columns are left out.
     """
     observed = observe_schema(spark, path, arrays)
     breaking = [row for row in drift_rows(entity, CONTRACTS[entity], observed) if row[-1]]
     if breaking:
         raise ValueError(f"{path} breaks the contract of {entity}: {breaking}")
-    return typed(read_json(spark, path, observed, arrays), CONTRACTS[entity])
+    accepted = accepted_schema(CONTRACTS[entity], observed)
+    known = T.StructType([accepted[f.name] for f in CONTRACTS[entity].fields])
+    return typed(read_json(spark, path, observed, arrays), known)
 
 
 def observe_schema(spark: SparkSession, path: str, arrays: bool = True) -> T.StructType:

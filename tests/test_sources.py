@@ -231,9 +231,9 @@ def test_text_that_is_no_date_halts_its_source(store, tmp_path):
     assert not store.exists("typed", "customers")
 
 
-def test_a_fraction_is_cut_and_not_lost(spark, tmp_path):
+def test_a_fraction_is_kept(spark, tmp_path):
     drop = write_drop(tmp_path / "drop", products=[{**RECORDS["products"][0], "base_price_ngn": 12.5}])
-    assert read_entity(spark, paths(drop)["products"], "products").first()["base_price_ngn"] == 12
+    assert read_entity(spark, paths(drop)["products"], "products").first()["base_price_ngn"] == 12.5
 
 
 def test_a_write_that_fails_leaves_the_table(spark, store):
