@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from galley.functions import exact_ratio
-from galley.operators.durable import pin
 from galley.plans.quality import exception_summary
 
 
@@ -35,15 +34,15 @@ def freshness(tables: Mapping[str, DataFrame], run_date: dt.date, max_age_days:
 def missing_store_days(sales: DataFrame, dates: DataFrame) -> DataFrame:
     """Days without sales for stores that have sold before.
 
-    Every store is paired with the days from its first sale to the end of the calendar.
+    Only the gaps are made into days: those between two consecutive sale days of a store,
+    and the one from its last sale to the end of the calendar.
     """
-    seen = pin(sales.select("store_id", "full_date").distinct())  # the view is made once
     last = dates.agg(F.max("full_date")).first()[0]
-    expected = seen.groupBy("store_id").agg(F.min("full_date").alias("_first")).select(
-        "store_id",
-        F.explode(F.sequence(F.col("_first"), F.lit(last))).alias("full_date"),
-    )
-    return expected.join(seen, ["store_id", "full_date"], "left_anti")
+    seen = sales.select("store_id", "full_date").distinct()
+    following = F.lead("full_date").over(W.partitionBy("store_id").orderBy("full_date"))
+    start, stop = F.date_add("full_date", 1), F.date_sub("_next", 1)
+    gaps = seen.withColumn("_next", F.coalesce(following, F.date_add(F.lit(last), 1))).where(start <= stop)
+    return gaps.select("store_id", F.explode(F.sequence(start, stop)).alias("full_date"))
 
 
 def daily_variance(sales: DataFrame) -> DataFrame:
