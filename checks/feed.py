@@ -23,6 +23,7 @@ from galley.functions import remap, utc_literal
 from galley.operators.joins import remap_from
 from galley.operators.pages import latest_version, matching, next_cursor, page
 from galley.plans import feed as plan
+from galley.sources.contracts import FEED_TABLE_COLUMNS, FEED_UPDATES
 from galley.sources.store import TableStore
 from galley.streaming.feed_stream import compact, current_state, start_feed
 
@@ -57,7 +58,12 @@ def latest(spark, sf):
 
 @query("ups1_upsert", "SELECT * FROM feed_table")
 def upserted(spark, sf):
-    return loaded_twice(spark, sf)
+    """The records up to the cut, then all of them, into the bucketed table."""
+    everything = records(spark, sf)
+    table = plan.delivery_table(_own_store(spark, sf, "upsert"))
+    for some in (everything.where(f"updated_at < TIMESTAMP_NTZ '{mapping.FEED_CUT}'"), everything):
+        table.upsert(plan.latest_records(some).select(*FEED_TABLE_COLUMNS), FEED_UPDATES, version="updated_at")
+    return table.read()
 
 
 @query(

@@ -12,6 +12,7 @@ from galley.functions import iso_utc, minutes_between, utc_literal
 from galley.operators.latest import latest_per_key
 from galley.operators.pages import matching
 from galley.operators.upsert import upsert
+from galley.sources.buckets import BucketTable
 from galley.sources.contracts import FEED_TABLE_COLUMNS, FEED_UPDATES
 from galley.sources.feed_pages import flatten, read_pages
 from galley.sources.store import TableStore
@@ -37,6 +38,11 @@ def apply_records(table: DataFrame, records: DataFrame) -> DataFrame:
     return upsert(table, changes, "delivery_id", FEED_UPDATES, version="updated_at")
 
 
+def delivery_table(store: TableStore) -> BucketTable:
+    """The stored delivery table, of which a run rewrites the buckets it changes."""
+    return BucketTable(store, "feed", "deliveries", "delivery_id")
+
+
 def empty_table(records: DataFrame) -> DataFrame:
     return records.select(*FEED_TABLE_COLUMNS).limit(0)
 
@@ -201,11 +207,9 @@ def ingest_pages(
     records = flatten(read_pages(store.spark, pages_path))
     if newer_than(records, watermark).isEmpty():
         return watermark
-    before = store.latest("feed", "deliveries")
-    table = store.advance(
-        "feed", "deliveries", apply_records(empty_table(records) if before is None else before, records)
-    )
-    check = reconcile(table, provider_summary(records, _naive_utc(watermark)))
+    deliveries = delivery_table(store)
+    deliveries.upsert(latest_records(records).select(*FEED_TABLE_COLUMNS), FEED_UPDATES, version="updated_at")
+    check = reconcile(deliveries.read(), provider_summary(records, _naive_utc(watermark)))
     failed = check.where("status = 'FAIL'").collect()  # at most two rows
     if failed:
         raise FeedReconciliationFailed(str([r.asDict() for r in failed]))
