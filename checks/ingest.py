@@ -10,7 +10,7 @@ from checks.lake import lake
 from checks.registry import query, register
 from galley.functions import iso_utc
 from galley.plans import staging
-from galley.sources import convert, drops
+from galley.sources import convert, digests, drops
 from galley.sources.contracts import CONTRACTS, ENTITIES
 from galley.sources.entity_json import (
     drift,
@@ -379,12 +379,30 @@ def drop_states(spark, sf):
     return spark.createDataFrame(list(enumerate(seen, start=1)), "step int, status string")
 
 
-@query("inc2_table_fingerprint", "SELECT count(*) AS fingerprints FROM (SELECT 1 FROM src_orders LIMIT 1)")
+_DIGESTED = sorted(f.name for f in CONTRACTS["stores"].fields)
+_DIGEST_TEXT = " || ".join(f"coalesce('{c}=' || length({c}::VARCHAR) || ':' || {c}::VARCHAR || ';', '')" for c in sorted([*_DIGESTED, "seats"]))
+_LIMBS = ", ".join(f"sum(('0x' || substr(h, {8 * k + 1}, 8))::UBIGINT)::DECIMAL(38,0) AS limb{k}" for k in range(8))
+
+
+@query(
+    "inc2_table_fingerprint",
+    f"""SELECT count(*) AS n, {_LIMBS}, 1 AS loads_read, true AS same
+        FROM (SELECT sha256({_DIGEST_TEXT}) AS h FROM (
+            SELECT *, NULL::BIGINT AS seats FROM src_stores_1
+            UNION ALL SELECT *, length(store_name) AS seats FROM src_stores_2))""",
+)
 def fingerprints(spark, sf):
-    """The fingerprint of a table does not depend on how its rows are spread."""
-    orders = lake(spark, sf).typed("orders")
-    spread = drops.table_fingerprint(orders).union(drops.table_fingerprint(orders.repartition(5)))
-    return spread.agg(F.count_distinct("fingerprint").alias("fingerprints"))
+    """The digest of two loads, the first of which had been read before; the same as that of all rows in another order."""
+    store = _own_store(spark, sf, "digest")
+    store.write_load("stores", mapping.stores(spark, sf, 1), str(mapping.FIRST_LOAD))
+    digests.load_digests(store, "stores")
+    second = mapping.stores(spark, sf, 2).withColumn("seats", F.length("store_name").cast("bigint"))
+    store.write_load("stores", second, str(mapping.SECOND_LOAD))
+    kept, read = digests.load_digests(store, "stores")
+    total = digests.added(kept)
+    whole = digests.content_digest(store.read_loads("stores").drop("load_date").repartition(5)).first()
+    same = digests.fingerprint(whole) == digests.fingerprint(total.first())
+    return total.withColumns({"loads_read": F.lit(len(read)), "same": F.lit(same)})
 
 
 @query(

@@ -75,11 +75,7 @@ class TableStore:
         ``column`` is the partition column; its values are read as the text they are.
         """
         path = self.path(layer, name)
-        newest: dict[str, int] = {}
-        for mark in self._found(path, f"{column}=*/version=*/_SUCCESS"):
-            leaf, _, version = mark.rsplit("/", 1)[0].rpartition("/version=")
-            newest[leaf] = max(newest.get(leaf, 0), int(version))
-        leaves = [f"{leaf}/version={n}" for leaf, n in sorted(newest.items())] or [path]
+        leaves = self._leaves(path, column) or [path]
         reader = self.spark.read.option("basePath", path)
         merged = reader.option("mergeSchema", True).parquet(*leaves).schema
         fields = [T.StructField(f.name, T.StringType() if f.name == column else f.dataType) for f in merged]
@@ -88,6 +84,17 @@ class TableStore:
     def read_loads(self, entity: str) -> DataFrame:
         return self.read_all("typed", entity, "load_date")
 
+    def load_leaves(self, entity: str) -> list[str]:
+        """The folders of the newest version of each load of an entity."""
+        return self._leaves(self.path("typed", entity), "load_date")
+
+    def _leaves(self, path: str, column: str) -> list[str]:
+        newest: dict[str, int] = {}
+        for mark in self._found(path, f"{column}=*/version=*/_SUCCESS"):
+            leaf, _, version = mark.rsplit("/", 1)[0].rpartition("/version=")
+            newest[leaf] = max(newest.get(leaf, 0), int(version))
+        return [f"{leaf}/version={n}" for leaf, n in sorted(newest.items())]
+
     def pinned(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Write rows that must not be made twice, and read them back."""
         path = f"{self.path(layer, '_' + name)}/{uuid.uuid4().hex}"
