@@ -126,17 +126,22 @@ def scan(spark, sf):
 
 @query(
     "src7_hashed_files",
-    """SELECT 'nation.json' AS file, sha256(string_agg(line, '' ORDER BY n_nationkey)) AS sha256,
+    """SELECT 'range=' || (c_custkey // 500) || '.json' AS file, sha256(string_agg(line, '' ORDER BY c_custkey)) AS sha256,
               CAST(sum(strlen(line)) AS BIGINT) AS size_bytes
-       FROM (SELECT n_nationkey, '{"key":' || n_nationkey || ',"name":"' || n_name || '"}' || chr(10) AS line FROM nation)""",
+       FROM (SELECT c_custkey, '{"key":' || c_custkey || ',"name":"' || c_name || '"}' || chr(10) AS line FROM customer)
+       GROUP BY 1""",
 )
 def hashed(spark, sf):
-    """Bytes whose text follows from a table: its rows in key order, a line each."""
+    """Bytes whose text follows from a table: its rows in key order, a line each, a file per range of keys."""
     folder = _own_store(spark, sf, "hashed").path("drop", "lines")
-    rows = spark.read.parquet(f"{sf}/nation.parquet").repartition(1).sortWithinPartitions("n_nationkey")
-    rows.select(F.concat(F.lit('{"key":'), "n_nationkey", F.lit(',"name":"'), "n_name", F.lit('"}'))).write.text(f"{folder}/nation.json")
+    line = F.concat(F.lit('{"key":'), "c_custkey", F.lit(',"name":"'), "c_name", F.lit('"}'))
+    within = F.concat(F.floor(F.col("c_custkey") / 500).cast("string"), F.lit(".json"))
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(within.alias("range"), "c_custkey", line.alias("value"))
+    rows = rows.repartition("range").sortWithinPartitions("range", "c_custkey").drop("c_custkey")
+    rows.write.partitionBy("range").text(folder)
     return drops.drop_files(spark, folder)
 
+
 register("snk1_write_load", lambda spark, sf: _two_loads(spark, sf, "sink").read_loads("stores").select(
     "store_id", "load_date"
 ), f"SELECT store_id, '{mapping.FIRST_LOAD}' AS load_date FROM src_stores_1 UNION ALL SELECT store_id, '{mapping.SECOND_LOAD}' FROM src_stores_2")

@@ -464,13 +464,13 @@ def try_casts(spark, sf):
 
 @query(
     "fn8_date_series",
-    "SELECT store_id, CAST(unnest(generate_series(min(order_timestamp)::DATE, (min(order_timestamp) + INTERVAL 6 DAY)::DATE, INTERVAL 1 DAY)) AS DATE) AS day FROM int_orders GROUP BY 1",
+    "SELECT store_id, CAST(unnest(generate_series(min(order_timestamp)::DATE, max(order_timestamp)::DATE, INTERVAL 1 DAY)) AS DATE) AS day FROM int_orders GROUP BY 1",
 )
 def series(spark, sf):
-    first = F.min(F.col("order_timestamp").cast("date")).alias("first")
-    starts = _t(spark, sf, "int_orders").groupBy("store_id").agg(first)
-    week = F.sequence(F.col("first"), F.date_add("first", 6))
-    return starts.select("store_id", F.explode(week).alias("day"))
+    """Every day from a store's first order to its last."""
+    day = F.col("order_timestamp").cast("date")
+    spans = _t(spark, sf, "int_orders").groupBy("store_id").agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    return spans.select("store_id", F.explode(F.sequence("first", "last")).alias("day"))
 
 
 @query(

@@ -197,16 +197,28 @@ def ingest_pages(
     pages_path: str,
     name: str,
     reconcile: Callable[[DataFrame, DataFrame], DataFrame] = reconcile_feed,
+    brands: Sequence[str] | None = None,
+    now: dt.datetime | None = None,
 ) -> str:
     """Load all landed pages, reconcile, and only then move the watermark.
 
+    What is newer than the watermark is also kept in the columns of the deliveries source
+    and, where the known ``brands`` are given, held against the rules of `violations` (by
+    default as of the present time). Both are kept by the watermark that the run starts
+    from, so a run that is tried again replaces its own.
+
     The watermark is the newest update time seen, so records changed while the job ran
     are not skipped. Returns the watermark in force afterwards.
     """
     watermark = read_watermark(store, name)
     records = flatten(read_pages(store.spark, pages_path))
-    if newer_than(records, watermark).isEmpty():
+    fresh = newer_than(records, watermark)
+    if fresh.isEmpty():
         return watermark
+    store.write_partition("feed", "normalised", as_deliveries(fresh), "since", watermark)
+    if brands is not None:
+        now = now or dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        store.write_partition("feed", "violations", violations(fresh, brands, now), "since", watermark)
     deliveries = delivery_table(store)
     deliveries.upsert(latest_records(records).select(*FEED_TABLE_COLUMNS), FEED_UPDATES, version="updated_at")
     check = reconcile(deliveries.read(), provider_summary(records, _naive_utc(watermark)))

@@ -156,3 +156,27 @@ def test_times_paths_and_renames(spark):
     ).first()
     ten = dt.datetime(2026, 5, 1, 10)
     assert tuple(row) == (ten, ten, ten, None, "true", "fallback", "New")
+
+
+def test_a_run_keeps_violations_and_normalised_deliveries(store, pages):
+    path = f"file://{pages}"
+    found = flatten(read_pages(store.spark, path))
+    brands = [r[0] for r in found.select("brand").distinct().collect()]
+    now = dt.datetime(2026, 5, 2, 10, 3)
+    expected = sorted(map(tuple, feed.violations(found, brands[1:], now).collect()), key=str)
+
+    def failing(table, summary):
+        return feed.reconcile_feed(table.limit(0), summary)
+
+    for _ in range(2):  # a run that is tried again replaces its own rows
+        with pytest.raises(feed.FeedReconciliationFailed):
+            feed.ingest_pages(store, path, "riders", failing, brands[1:], now)
+    feed.ingest_pages(store, path, "riders", brands=brands[1:], now=now)
+    kept = store.read_all("feed", "violations", "since")
+    assert sorted((tuple(r)[:4] for r in kept.select("rule", "delivery_id", "order_id", "updated_at").collect()), key=str) == expected and expected
+    assert {r["since"] for r in kept.collect()} == {feed.FIRST_WATERMARK}
+    normalised = store.read_all("feed", "normalised", "since").drop("since")
+    assert sorted(map(str, normalised.collect())) == sorted(map(str, feed.as_deliveries(found).collect()))
+    write_page(pages, "p2", SECOND[:-1])
+    feed.ingest_pages(store, path, "riders", brands=brands, now=now)
+    assert store.read_all("feed", "normalised", "since").select("since").distinct().count() == 2
