@@ -214,6 +214,24 @@ def invalid(spark, sf):
     return plan.violations(records(spark, sf), mapping.BRANDS, NOW)
 
 
+@query(
+    "rec16_feed_differences",
+    """WITH l AS (SELECT delivery_id, CAST(substr(delivery_id, 2) AS BIGINT) AS n FROM feed_latest)
+       SELECT delivery_id, 'missing there' AS difference FROM l WHERE n % 10 = 0
+       UNION ALL SELECT delivery_id, 'differs' FROM l WHERE n % 10 <> 0 AND n % 11 = 0
+       UNION ALL SELECT 'X' || n, 'missing here' FROM l WHERE n % 7 = 0""",
+)
+def differing(spark, sf):
+    """A provider that lists some deliveries of its own, leaves some out and has other fees."""
+    table = plan.delivery_table(_own_store(spark, sf, "differences"))
+    ours = plan.latest_records(records(spark, sf))
+    table.upsert(ours.select(*FEED_TABLE_COLUMNS), FEED_UPDATES, version="updated_at")
+    n = F.substring("delivery_id", 2, 20).cast("bigint")
+    listed = ours.where(n % 10 != 0).withColumn("delivery_fee", F.when(n % 11 == 0, F.col("delivery_fee") + 1).otherwise(F.col("delivery_fee")))
+    own = ours.where(n % 7 == 0).withColumn("delivery_id", F.concat(F.lit("X"), n.cast("string")))
+    return table.differences(listed.unionByName(own), FEED_UPDATES)
+
+
 @query(
     "rec16_feed_reconciliation",
     """SELECT 'distinct_delivery_count' AS metric, CAST(count(*) AS DOUBLE) AS source_value,

@@ -188,6 +188,14 @@ def reconcile_feed(table: DataFrame, summary: DataFrame) -> DataFrame:
     return compared.withColumn("status", F.expr(status))
 
 
+def listed_totals(provider: DataFrame) -> DataFrame:
+    """The control totals of a provider's list of deliveries."""
+    return provider.agg(
+        F.count_distinct("delivery_id").alias("distinct_delivery_count"),
+        F.coalesce(F.sum("delivery_fee"), F.lit(0)).alias("total_delivery_fees"),
+    )
+
+
 class FeedReconciliationFailed(RuntimeError):
     pass
 
@@ -199,6 +207,7 @@ def ingest_pages(
     reconcile: Callable[[DataFrame, DataFrame], DataFrame] = reconcile_feed,
     brands: Sequence[str] | None = None,
     now: dt.datetime | None = None,
+    provider: DataFrame | None = None,
 ) -> str:
     """Load all landed pages, reconcile, and only then move the watermark.
 
@@ -207,6 +216,10 @@ def ingest_pages(
     default as of the present time). Both are kept by the watermark that the run starts
     from, so a run that is tried again replaces its own.
 
+    ``provider`` is the provider's own list of deliveries, one row each with status, fee and
+    update time. Where it is given, its totals are what the table is reconciled with, and
+    the deliveries on which both sides differ are kept, also of a run that fails.
+
     The watermark is the newest update time seen, so records changed while the job ran
     are not skipped. Returns the watermark in force afterwards.
     """
@@ -221,7 +234,13 @@ def ingest_pages(
         store.write_partition("feed", "violations", violations(fresh, brands, now), "since", watermark)
     deliveries = delivery_table(store)
     deliveries.upsert(latest_records(records).select(*FEED_TABLE_COLUMNS), FEED_UPDATES, version="updated_at")
-    check = reconcile(deliveries.read(), provider_summary(records, _naive_utc(watermark)))
+    if provider is None:
+        totals = provider_summary(records, _naive_utc(watermark))
+    else:
+        totals = listed_totals(provider)
+        differing = deliveries.differences(provider, FEED_UPDATES)
+        store.write_partition("feed", "differences", differing, "since", watermark)
+    check = reconcile(deliveries.read(), totals)
     failed = check.where("status = 'FAIL'").collect()  # at most two rows
     if failed:
         raise FeedReconciliationFailed(str([r.asDict() for r in failed]))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from galley.operators.durable import pin
 from galley.operators.upsert import upsert
+from galley.sources.digests import LIMBS, LIMBS_DDL, content_digest
 from galley.sources.store import TableStore
 
 _BUCKET = "_bucket"
@@ -47,10 +48,51 @@ class BucketTable:
         reader = self.store.spark.read.schema(self.schema)
         return reader.parquet(*folders) if folders else self.store.spark.createDataFrame([], self.schema)
 
-    def read(self) -> DataFrame | None:
-        """The table as of now, or None."""
+    def read(self, buckets: Collection[int] | None = None) -> DataFrame | None:
+        """The table as of now, or some of its buckets alone; None if there is none."""
         folders = self._manifest()
-        return self._read(sorted(folders.values())) if folders else None
+        chosen = [f for b, f in sorted(folders.items()) if buckets is None or b in buckets]
+        return self._read(chosen) if folders else None
+
+    def digests(self, columns: Sequence[str]) -> DataFrame:
+        """The content digest of some columns of each bucket, kept with its folder: only folders without one are read."""
+        name, wanted = f"{self.name}_digests", ",".join(columns)
+        folders = self._manifest()
+        kept = self.store.latest(self.layer, name)
+        if kept is None:
+            kept = self.store.spark.createDataFrame([], f"columns string, bucket int, folder string, n bigint, {LIMBS_DDL}")
+        kept = kept.where((F.col("columns") == wanted) & F.col("folder").isin([*folders.values()]))
+        known = {r["folder"] for r in kept.select("folder").collect()}  # one row per bucket
+        fresh = {b: f for b, f in folders.items() if f not in known}
+        if fresh:
+            rows = self._read(sorted(fresh.values())).withColumn(_BUCKET, self._bucket())
+            named = self.store.spark.createDataFrame([*fresh.items()], "bucket int, folder string")
+            found = content_digest(rows.select(_BUCKET, *columns), _BUCKET).withColumnRenamed(_BUCKET, "bucket")
+            found = found.join(named, "bucket").withColumn("columns", F.lit(wanted)).select(kept.columns)
+            kept = self.store.advance(self.layer, name, kept.unionByName(found).coalesce(1))
+        return kept.drop("columns", "folder")
+
+    def differences(self, theirs: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """``key, difference`` of every key that this table and another source do not agree on.
+
+        The other source has one row per key. Digests of the buckets are compared first;
+        only rows of buckets whose digests differ are read and joined.
+        """
+        compared = [self.key, *columns]
+        mine = self.digests(compared)
+        theirs = theirs.select(*compared).withColumn(_BUCKET, self._bucket())
+        other = content_digest(theirs, _BUCKET).withColumnRenamed(_BUCKET, "bucket")
+        agreed = mine.join(other, ["bucket", "n", *LIMBS], "left_semi")
+        every = mine.select("bucket").union(other.select("bucket")).distinct()
+        differing = {r["bucket"] for r in every.join(agreed, "bucket", "left_anti").collect()}  # numbers of buckets
+        left = self._read([]) if not differing else self.read(differing)
+        left = left.select(F.col(self.key).alias("_key"), *[F.col(c).alias(f"_own_{c}") for c in columns])
+        met = theirs.where(F.col(_BUCKET).isin([*differing])).join(left, F.col(self.key) == F.col("_key"), "full_outer")
+        differs = F.lit(False)
+        for c in columns:
+            differs = differs | ~F.col(c).eqNullSafe(F.col(f"_own_{c}"))
+        kind = F.when(F.col("_key").isNull(), "missing here").when(F.col(self.key).isNull(), "missing there").when(differs, "differs")
+        return met.select(F.coalesce(self.key, "_key").alias(self.key), kind.alias("difference")).where("difference IS NOT NULL")
 
     def upsert(self, changes: DataFrame, updates: Sequence[str], version: str | None = None) -> list[int]:
         """Apply `upsert` and return the buckets that were written.

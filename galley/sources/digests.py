@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from galley.sources.store import TableStore
 
 LIMBS = [f"limb{k}" for k in range(8)]
-_KEPT = "leaf string, n bigint, " + ", ".join(f"{limb} decimal(38,0)" for limb in LIMBS)
+LIMBS_DDL = ", ".join(f"{limb} decimal(38,0)" for limb in LIMBS)
+_KEPT = f"leaf string, n bigint, {LIMBS_DDL}"
 
 
 def row_text(columns: list[str]) -> Column:
@@ -30,15 +31,15 @@ def row_text(columns: list[str]) -> Column:
     return F.concat(F.lit(""), *[part(c) for c in sorted(columns) if not c.startswith("_")])
 
 
-def content_digest(df: DataFrame) -> DataFrame:
-    """``n`` and the sums ``limb0`` to ``limb7``, as one row."""
-    hashed = df.select(F.sha2(row_text(df.columns), 256).alias("h"))
+def content_digest(df: DataFrame, *by: str) -> DataFrame:
+    """``n`` and the sums ``limb0`` to ``limb7``, as one row, or one for each value of ``by``."""
+    hashed = df.select(*by, F.sha2(row_text([c for c in df.columns if c not in by]), 256).alias("h"))
 
     def limb(k: int) -> Column:
         return F.conv(F.substring("h", 8 * k + 1, 8), 16, 10).cast("decimal(20,0)")
 
     sums = [F.coalesce(F.sum(limb(k)), F.lit(0)).cast("decimal(38,0)").alias(name) for k, name in enumerate(LIMBS)]
-    return hashed.agg(F.count("*").alias("n"), *sums)
+    return hashed.groupBy(*by).agg(F.count("*").alias("n"), *sums)
 
 
 def added(digests: DataFrame) -> DataFrame:

@@ -64,3 +64,15 @@ def test_readers_keep_the_version_they_began_with(spark, table):
             begun = table.read()
     assert rows(begun) == [("k", 2, "x", FIRST)] and rows(table.read()) == [("k", 3, "x", FIRST)]
     assert len(table.store._found(table.folder, "attempt=*/_bucket=*")) == 2
+
+
+def test_only_buckets_with_other_digests_are_read(spark, table, monkeypatch):
+    first = [(f"k{k}", k, "x", FIRST) for k in range(100)]
+    table.upsert(spark.createDataFrame(first, COLUMNS), ["a", "at"], "at")
+    theirs = spark.createDataFrame([*first[:40], ("k40", -1, "x", FIRST), *first[41:99], ("new", 1, "x", FIRST)], COLUMNS)
+    read = []
+    plain = BucketTable.read
+    monkeypatch.setattr(BucketTable, "read", lambda self, buckets=None: (read.append(buckets), plain(self, buckets))[1])
+    assert rows(table.differences(theirs, ["a", "at"])) == [("k40", "differs"), ("k99", "missing there"), ("new", "missing here")]
+    assert 1 <= len(read[0]) <= 3
+    assert table.differences(spark.createDataFrame(first[::-1], COLUMNS), ["a", "at"]).isEmpty() and len(read) == 1

@@ -180,3 +180,17 @@ def test_a_run_keeps_violations_and_normalised_deliveries(store, pages):
     write_page(pages, "p2", SECOND[:-1])
     feed.ingest_pages(store, path, "riders", brands=brands, now=now)
     assert store.read_all("feed", "normalised", "since").select("since").distinct().count() == 2
+
+
+def test_a_delivery_more_at_the_provider_fails_and_is_named(store, pages):
+    path = f"file://{pages}"
+    listed = feed.latest_records(flatten(read_pages(store.spark, path))).select("delivery_id", "delivery_status", "delivery_fee", "updated_at")
+    more = listed.limit(1).withColumn("delivery_id", F.lit("lost"))
+    with pytest.raises(feed.FeedReconciliationFailed):
+        feed.ingest_pages(store, path, "riders", provider=listed.unionByName(more))
+    named = store.read_all("feed", "differences", "since").select("delivery_id", "difference").collect()
+    assert [tuple(r) for r in named] == [("lost", "missing here")]
+    assert feed.read_watermark(store, "riders") == feed.FIRST_WATERMARK
+    feed.ingest_pages(store, path, "riders", provider=listed)
+    assert store.read_all("feed", "differences", "since").isEmpty()
+    assert feed.read_watermark(store, "riders") != feed.FIRST_WATERMARK
