@@ -27,9 +27,12 @@ _BUCKET = "_bucket"
 
 
 class BucketTable:
-    """``buckets`` counts for a table that is begun; later it is what the manifest says."""
+    """``buckets`` counts for a table that is begun; later it is what the manifest says.
 
-    def __init__(self, store: TableStore, layer: str, name: str, key: str, buckets: int = 64):
+    A bucket should be some million rows: `resize` deals a table that has grown anew.
+    """
+
+    def __init__(self, store: TableStore, layer: str, name: str, key: str, buckets: int = 16):
         self.store, self.layer, self.name, self.key, self.buckets = store, layer, name, key, buckets
         self.folder = store.path(layer, f"{name}_buckets")
 
@@ -105,9 +108,12 @@ class BucketTable:
         if not before:
             self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in changes.drop(_BUCKET).schema])
         asked = {r[0] for r in changes.select(_BUCKET).distinct().collect()}  # numbers of buckets
-        there = self._read([before[b] for b in sorted(asked & set(before))])
-        changes = pin(self._effective(there, changes, updates, version))
-        touched = sorted(r[0] for r in changes.select(_BUCKET).distinct().collect())
+        met = [before[b] for b in sorted(asked & set(before))]
+        if met:
+            changes = pin(self._effective(self._read(met), changes, updates, version))
+            touched = sorted(r[0] for r in changes.select(_BUCKET).distinct().collect())
+        else:
+            touched = sorted(asked)
         if not touched:
             return []
         kept = self._read([before[b] for b in touched if b in before])
