@@ -1,25 +1,22 @@
 """Landed pages as a stream of changes to the delivery table.
 
-Each micro-batch appends its newest record per delivery to a change table, in a partition
-named after the batch, so that a repeated batch replaces what it wrote before. The table
-as of now is one aggregation over the changes; ``compact`` folds them into a snapshot.
-Late records must win over older state, so no event-time watermark drops any.
+Each micro-batch appends its newest record per delivery to a change log, which folds its
+batches into levels as they come in, so what a reading opens stays bounded however many
+batches there were. A repeated batch is taken in once. Late records must win over older
+state, so no event-time watermark drops any.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from galley.plans.feed import latest_records
+from galley.sources.change_log import ChangeLog
 from galley.sources.contracts import FEED_PAGE, FEED_TABLE_COLUMNS, FEED_UPDATES
 from galley.sources.feed_pages import flatten
 from galley.sources.store import TableStore
 
-_KEPT = [c for c in FEED_TABLE_COLUMNS if c not in FEED_UPDATES and c != "delivery_id"]
-_SNAPSHOT = ""  # sorts before every batch name
-
 
 def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     return (
@@ -27,61 +24,51 @@ def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     )
 
 
-def append_changes(store: TableStore, records: DataFrame, batch: int) -> None:
-    """Keep what a micro-batch changes."""
-    rows = latest_records(records).where(F.col("delivery_id").isNotNull())
-    store.write_partition(
-        "feed", "changes", rows.select(*FEED_TABLE_COLUMNS), "batch", f"{batch:012d}"
-    )
+def change_log(store: TableStore, fanout: int = 16) -> ChangeLog:
+    return ChangeLog(store, "feed", "changes", "delivery_id", FEED_UPDATES, "updated_at", fanout)
+
+
+def append_changes(store: TableStore, records: DataFrame, batch: int, source: str = "", fanout: int = 16) -> None:
+    """Keep what a micro-batch changes. ``source`` is the stream that numbers the batches."""
+    rows = latest_records(records).select(*FEED_TABLE_COLUMNS)
+    change_log(store, fanout).append(rows, source, batch)
 
 
 def start_feed(
-    store: TableStore, path: str, checkpoint: str, files_per_batch: int = 1000
+    store: TableStore, path: str, checkpoint: str, files_per_batch: int = 1000, fanout: int = 16
 ) -> StreamingQuery:
-    """Process everything landed since the last start, then stop."""
+    """Process everything landed since the last start, then stop.
+
+    A stream keeps its id as long as its checkpoint; with a new checkpoint it reads all
+    pages again as another source, which changes nothing in the table.
+    """
     records = flatten(page_stream(store.spark, path, files_per_batch))
+
+    def append(rows: DataFrame, batch: int) -> None:
+        stream = store.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        append_changes(store, rows, batch, stream, fanout)
+
     return (
-        records.writeStream.foreachBatch(lambda df, batch: append_changes(store, df, batch))
+        records.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def _changes(store: TableStore) -> tuple[DataFrame, DataFrame]:
-    """The changes no snapshot holds yet, with the snapshot; and the changes alone.
-
-    A snapshot names the last batch folded into it, so batches up to that are pruned and
-    the cost of a reading follows what is new and not the history.
-    """
-    changes, snapshot = store.read_all("feed", "changes", "batch"), store.latest("feed", "snapshot")
-    mark = None if snapshot is None else snapshot.select("folded").first()
-    if mark is None:
-        return changes, changes
-    newer = changes.where(F.col("batch") > mark["folded"])
-    return newer.unionByName(snapshot.drop("folded").withColumn("batch", F.lit(_SNAPSHOT))), newer
-
-
-def current_state(store: TableStore) -> DataFrame:
-    """The delivery table as of now.
+def current_state(store: TableStore, low: str | None = None, high: str | None = None) -> DataFrame:
+    """The delivery table as of now, or its deliveries with ids from ``low`` to ``high``.
 
     Status, fee and update time come from the newest record, the later batch on equal
     times; everything else from the batch a delivery was first seen in.
     """
-    return _state(_changes(store)[0])
-
-
-def _state(changes: DataFrame) -> DataFrame:
-    first = F.min_by(F.struct(*_KEPT), F.col("batch")).alias("_kept")
-    last = F.max_by(F.struct(*FEED_UPDATES), F.struct("updated_at", "batch")).alias("_latest")
-    state = changes.groupBy("delivery_id").agg(first, last)
-    return state.select("delivery_id", "_kept.*", "_latest.*").select(*FEED_TABLE_COLUMNS)
+    found = change_log(store).read(low, high)
+    if found is None:
+        raise ValueError(f"no changes have been kept below {store.root}")
+    return found
 
 
 def compact(store: TableStore) -> DataFrame:
-    """Fold the changes into a new snapshot, with the last batch in it; does nothing without new ones."""
-    everything, newer = _changes(store)
-    reached = newer.agg(F.max("batch")).first()[0]
-    if reached is not None:
-        store.advance("feed", "snapshot", _state(everything).withColumn("folded", F.lit(reached)))
-    return store.read("feed", "snapshot").drop("folded")
+    """Fold all changes into one run; does nothing if they are one."""
+    change_log(store).compact()
+    return current_state(store)

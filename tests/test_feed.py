@@ -10,7 +10,7 @@ from galley.functions import json_field, parse_utc, remap, utc_literal
 from galley.plans import feed
 from galley.sources.contracts import FEED_RECORD
 from galley.sources.feed_pages import flatten, read_pages
-from galley.streaming.feed_stream import append_changes, compact, current_state, start_feed
+from galley.streaming.feed_stream import append_changes, change_log, compact, current_state, start_feed
 
 
 def record(number, updated, **changes):
@@ -93,8 +93,11 @@ def test_stream_equals_batch_also_after_replays_and_compaction(spark, store, pag
     compact(store)
     assert state(current_state(store)) == EXPECTED
     again = spark.read.json([f"file://{pages}/p2.json"], schema=read_pages(spark, path).schema)
-    append_changes(store, flatten(again), 1)  # the batch is repeated
-    append_changes(store, flatten(again), 2)  # and its records come once more
+    append_changes(store, flatten(again), 1)  # the records come again
+    append_changes(store, flatten(again), 1)  # in a batch that is repeated
+    start_feed(store, path, f"{checkpoint}-lost").awaitTermination()  # and from a new stream
+    sources = change_log(store).log.newest()[1]["sources"]
+    assert sorted(sources.values()) == [0, 1, 1] and "None" not in sources and len(sources) == 3
     assert state(current_state(store)) == EXPECTED
     assert state(compact(store)) == EXPECTED
 
