@@ -24,11 +24,13 @@ from galley.operators.joins import remap_from
 from galley.operators.pages import latest_version, matching, next_cursor, page
 from galley.plans import feed as plan
 from galley.sources.contracts import FEED_TABLE_COLUMNS, FEED_UPDATES
+from galley.sources.feed_pages import land_pages, pages_glob
 from galley.sources.store import TableStore
 from galley.streaming.feed_stream import compact, current_state, start_feed
 
 CUT = dt.datetime.fromisoformat(mapping.FEED_CUT)
 NOW = dt.datetime(2024, 1, 29)
+STREAM_FILES = 6
 
 
 def _own_store(spark, sf, name) -> TableStore:
@@ -85,16 +87,19 @@ def newer(spark, sf):
     return plan.newer_than(records(spark, sf), mapping.FEED_CUT.replace(" ", "T") + "Z")
 
 
-_LATEST = "SELECT delivery_id, delivery_status, delivery_fee, updated_at FROM feed_latest"
-
-
-@query("inc5_6_stream_upsert", _LATEST)
+@query("inc5_6_stream_upsert", "SELECT * FROM feed_table")
 def streamed(spark, sf):
-    """One file per micro-batch; compacted half way through the reading."""
+    """The records up to the cut, a file per micro-batch, compacted; then all others likewise."""
     store = _own_store(spark, sf, "stream")
-    start_feed(store, pages_path(spark, sf), store.path("state", "checkpoint"), 1).awaitTermination()
-    compact(store)
-    return current_state(store).select("delivery_id", "delivery_status", "delivery_fee", "updated_at")
+    root, updated = store.path("landing", "pages"), F.col("updated_at")
+    cut = f"{mapping.FEED_CUT.replace(' ', 'T')}.000000Z"
+    for request, where in (("early", updated < cut), ("late", updated >= cut)):
+        pages = mapping.feed_pages(spark, sf, STREAM_FILES, where)
+        land_pages(pages, root, PROVIDER, SOURCE, LANDED, request)
+        start_feed(store, pages_glob(root, PROVIDER), store.path("state", "checkpoint"), 1, fanout=3).awaitTermination()
+        if request == "early":
+            compact(store)
+    return current_state(store)
 
 
 @query(

@@ -216,13 +216,20 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records in response envelopes of one hundred."""
+def feed_pages(spark: SparkSession, sf_dir: str, groups: int = 1, where: Column | None = None) -> DataFrame:
+    """The records in response envelopes of about one hundred.
+
+    With ``groups``, all records of a delivery are in envelopes of the same ``_group``.
+    """
     records = feed_records(spark, sf_dir)
+    if where is not None:
+        records = records.where(where)
     columns = [c for c in records.columns if c != "_event"]
-    pages = records.groupBy((F.col("_event") / 100).cast("bigint").alias("_page")).agg(
-        F.collect_list(F.struct(*columns)).alias("data")
-    )
+    group = F.pmod(F.xxhash64("delivery_id"), F.lit(groups)).alias("_group")
+    page = (F.col("_event") / (100 * groups)).cast("bigint").alias("_page")
+    pages = records.groupBy(group, page).agg(F.collect_list(F.struct(*columns)).alias("data"))
+    if groups > 1:
+        pages = pages.repartition(groups, "_group")
     return pages.select(
         "data",
         F.struct(
