@@ -126,23 +126,33 @@ def after_success(spark, sf):
     return spark.createDataFrame(rows, "run string, watermark string")
 
 
-@query(
-    "inc8_replay_chunks",
-    """SELECT s AS chunk_start, least(s + INTERVAL 60 MINUTE, TIMESTAMP '2024-01-20') AS chunk_end, count(ts) AS records
+_CHUNKS = """SELECT s AS chunk_start, least(s + INTERVAL 60 MINUTE, TIMESTAMP '2024-01-20') AS chunk_end, count(ts) AS records
        FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-09 23:50:00', TIMESTAMP '2024-01-19 23:59:59', INTERVAL 60 MINUTE)) AS s)
-       LEFT JOIN events ON ts >= s AND ts < least(s + INTERVAL 60 MINUTE, TIMESTAMP '2024-01-20') GROUP BY s""",
-)
-def chunks(spark, sf):
-    start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)
-    per_chunk = plan.in_chunks(records(spark, sf), start, end).groupBy("chunk_start").agg(
-        F.count("*").alias("_records")
-    )
-    planned = spark.range(1).select(F.inline(plan.interval_plan(utc_literal(start), utc_literal(end))))
+       LEFT JOIN events ON ts >= s AND ts < least(s + INTERVAL 60 MINUTE, TIMESTAMP '2024-01-20') GROUP BY s"""
+REPLAYED = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)
+
+
+def _per_chunk(spark, found):
+    per_chunk = plan.in_chunks(found, *REPLAYED).groupBy("chunk_start").agg(F.count("*").alias("_records"))
+    planned = spark.range(1).select(F.inline(plan.interval_plan(*[utc_literal(t) for t in REPLAYED])))
     return planned.join(per_chunk, "chunk_start", "left").select(
         "chunk_start", "chunk_end", F.coalesce("_records", F.lit(0)).alias("records")
     )
 
 
+@query("inc8_replay_chunks", _CHUNKS)
+def chunks(spark, sf):
+    return _per_chunk(spark, records(spark, sf))
+
+
+@query("inc8_replay_pages", _CHUNKS)
+def replayed(spark, sf):
+    """The same of pages that a run has taken in: only files whose zone meets the interval are read."""
+    store, path = _own_store(spark, sf, "replay"), pages_path(spark, sf)
+    plan.ingest_pages(store, path, "riders")
+    return _per_chunk(spark, plan.replay_records(store, path, "riders", *REPLAYED))
+
+
 @query(
     "inc10_late_updates_win",
     """SELECT l.delivery_id, f.created_at, l.updated_at, l.delivery_fee FROM feed_latest l JOIN feed_table f USING (delivery_id)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,21 @@ def pin(df: DataFrame) -> DataFrame:
     often later stages read them or are retried.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/pinned/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return _written(df, f"{shared_folder(spark)}/pinned/{spark.sparkContext.applicationId}")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A ``pin`` for jobs that write their results before the block ends: then its folders go."""
+    folder = f"{shared_folder(spark)}/scratch/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    try:
+        yield lambda df: _written(df, folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def _written(df: DataFrame, folder: str) -> DataFrame:
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galley.functions import iso_utc, minutes_between, utc_literal
+from galley.operators.durable import scratch
 from galley.operators.latest import latest_per_key
 from galley.operators.pages import matching
 from galley.operators.upsert import upsert
 from galley.sources.buckets import BucketTable
 from galley.sources.contracts import FEED_TABLE_COLUMNS, FEED_UPDATES
-from galley.sources.feed_pages import flatten, read_pages
+from galley.sources.page_zones import PageZones
 from galley.sources.store import TableStore
 
 FIRST_WATERMARK = "2026-05-01T00:00:00Z"
@@ -209,12 +210,16 @@ def ingest_pages(
     now: dt.datetime | None = None,
     provider: DataFrame | None = None,
 ) -> str:
-    """Load all landed pages, reconcile, and only then move the watermark.
+    """Load landed pages, reconcile, and only then move the watermark.
 
-    What is newer than the watermark is also kept in the columns of the deliveries source
-    and, where the known ``brands`` are given, held against the rules of `violations` (by
-    default as of the present time). Both are kept by the watermark that the run starts
-    from, so a run that is tried again replaces its own.
+    Only files that no run of this ``name`` has taken in are opened, and known ones that
+    hold something newer than the watermark (`PageZones`); they are parsed once. A late file,
+    whose records are all older than the watermark, is taken in like any other.
+
+    What the opened files hold is also kept in the columns of the deliveries source and,
+    where the known ``brands`` are given, held against the rules of `violations` (by default
+    as of the present time). Both are kept by the number of the run, and a run that fails
+    keeps its number, so a run that is tried again replaces its own.
 
     ``provider`` is the provider's own list of deliveries, one row each with status, fee and
     update time. Where it is given, its totals are what the table is reconciled with, and
@@ -223,15 +228,30 @@ def ingest_pages(
     The watermark is the newest update time seen, so records changed while the job ran
     are not skipped. Returns the watermark in force afterwards.
     """
+    with scratch(store.spark) as keep_rows:
+        zones = PageZones(store, name, pages_path, keep_rows)
+        return _ingest(store, zones, name, reconcile, brands, now, provider)
+
+
+def _ingest(
+    store: TableStore,
+    zones: PageZones,
+    name: str,
+    reconcile: Callable[[DataFrame, DataFrame], DataFrame],
+    brands: Sequence[str] | None,
+    now: dt.datetime | None,
+    provider: DataFrame | None,
+) -> str:
     watermark = read_watermark(store, name)
-    records = flatten(read_pages(store.spark, pages_path))
-    fresh = newer_than(records, watermark)
-    if fresh.isEmpty():
+    files = zones.listed().where(zones.newer(_naive_utc(watermark)))
+    if files.isEmpty():
         return watermark
-    store.write_partition("feed", "normalised", as_deliveries(fresh), "since", watermark)
+    run, fresh = f"{zones.next_run():012d}", zones.records(files)
+    records = fresh.drop("_file")
+    store.write_partition("feed", "normalised", as_deliveries(records), "run", run)
     if brands is not None:
         now = now or dt.datetime.now(dt.UTC).replace(tzinfo=None)
-        store.write_partition("feed", "violations", violations(fresh, brands, now), "since", watermark)
+        store.write_partition("feed", "violations", violations(records, brands, now), "run", run)
     deliveries = delivery_table(store)
     deliveries.upsert(latest_records(records).select(*FEED_TABLE_COLUMNS), FEED_UPDATES, version="updated_at")
     if provider is None:
@@ -239,15 +259,36 @@ def ingest_pages(
     else:
         totals = listed_totals(provider)
         differing = deliveries.differences(provider, FEED_UPDATES)
-        store.write_partition("feed", "differences", differing, "since", watermark)
-    check = reconcile(deliveries.read(), totals)
+        store.write_partition("feed", "differences", differing, "run", run)
+    table = deliveries.read()
+    if table is None:  # pages without any delivery
+        table = empty_table(records)
+    check = reconcile(table, totals)
     failed = check.where("status = 'FAIL'").collect()  # at most two rows
     if failed:
         raise FeedReconciliationFailed(str([r.asDict() for r in failed]))
+    # if the job ends between these two, the files are opened again: they are newer than the mark
+    zones.keep(files, fresh)
+    reached = records.agg(F.max("updated_at")).first()[0]
+    if reached is None or reached <= _naive_utc(watermark):
+        return watermark
     # to the microsecond: a mark cut to seconds would make its newest record newer for ever
-    reached = records.agg(F.max("updated_at")).first()[0].isoformat() + "Z"
-    write_watermark(store, name, reached)
-    return reached
+    write_watermark(store, name, reached.isoformat() + "Z")
+    return reached.isoformat() + "Z"
+
+
+def replay_records(
+    store: TableStore, pages_path: str, name: str, start: dt.datetime, end: dt.datetime, rewind_minutes: int = 10
+) -> DataFrame:
+    """All landed records updated in ``[start - rewind, end)``.
+
+    Of the files that runs of this ``name`` have taken in, only those that can hold such
+    records are opened.
+    """
+    begin = start - dt.timedelta(minutes=rewind_minutes)
+    zones = PageZones(store, name, pages_path)
+    found = zones.records(zones.listed().where(zones.meets(begin, end))).drop("_file")
+    return found.where((F.col("updated_at") >= utc_literal(begin)) & (F.col("updated_at") < utc_literal(end)))
 
 
 # contract, validity, replay ----------------------------------------------------------

@@ -12,13 +12,13 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from galley.operators.durable import pin
+from galley.operators.durable import scratch
 from galley.operators.upsert import upsert
 from galley.sources.digests import LIMBS, LIMBS_DDL, content_digest
 from galley.sources.store import TableStore
@@ -103,6 +103,16 @@ class BucketTable:
         ``changes`` has one row per key and all columns. Rows without a key, and rows that
         would leave the table as it is, touch no bucket.
         """
+        with scratch(self.store.spark) as pin:
+            return self._upsert(changes, updates, version, pin)
+
+    def _upsert(
+        self,
+        changes: DataFrame,
+        updates: Sequence[str],
+        version: str | None,
+        pin: Callable[[DataFrame], DataFrame],
+    ) -> list[int]:
         before = self._manifest()
         changes = pin(changes.where(F.col(self.key).isNotNull()).withColumn(_BUCKET, self._bucket()))
         if not before:

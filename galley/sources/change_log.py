@@ -174,6 +174,10 @@ class ChangeLog:
             rows = rows.where(F.col(self.key) <= high)
         return self._fold(rows, state["schema"]).select(*self._names(state["schema"]))
 
+    def taken_in(self, source: str) -> int:
+        """The last batch of a source that counts; -1 if none does."""
+        return self._state()[1]["sources"].get(source, -1)
+
     def parts(self) -> list[dict[str, Any]]:
         """Level, folder, key range and rows of each part of the table as of now."""
         return self._state()[1]["parts"]

@@ -31,7 +31,10 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEED_PAGE).json(path)
 
 
-def flatten(pages: DataFrame) -> DataFrame:
-    """One row per record, times as zone-less UTC. Works on batches and streams alike."""
-    records = pages.select(F.explode("data").alias("payload")).select("payload.*")
+def flatten(pages: DataFrame, *kept: str) -> DataFrame:
+    """One row per record, times as zone-less UTC, with columns of its page that are to be kept.
+
+    Works on batches and streams alike.
+    """
+    records = pages.select(F.explode("data").alias("payload"), *kept).select("payload.*", *kept)
     return records.withColumns({c: parse_utc(F.col(c)) for c in FEED_TIMES})

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from galley.functions import json_field, parse_utc, remap, utc_literal
+from galley.operators.durable import shared_folder
 from galley.plans import feed
 from galley.sources.contracts import FEED_RECORD
 from galley.sources.feed_pages import flatten, read_pages
+from galley.sources.page_zones import PageZones
 from galley.streaming.feed_stream import append_changes, change_log, compact, current_state, start_feed
 
 
@@ -75,6 +77,12 @@ def test_batch_ingest_moves_the_watermark_and_keeps_first_columns(store, pages):
     assert feed.read_watermark(store, "other") == feed.FIRST_WATERMARK
 
 
+def test_rows_kept_for_a_run_go_with_it(spark, store, pages):
+    feed.ingest_pages(store, f"file://{pages}", "riders")
+    root = f"{shared_folder(spark)}/scratch/{spark.sparkContext.applicationId}"
+    assert not store._found(root, "*/*")
+
+
 def test_watermark_stays_when_reconciliation_fails(store, pages):
     def short(table, summary):
         return feed.reconcile_feed(table.where("delivery_id <> 'D1'"), summary)
@@ -175,14 +183,14 @@ def test_a_run_keeps_violations_and_normalised_deliveries(store, pages):
         with pytest.raises(feed.FeedReconciliationFailed):
             feed.ingest_pages(store, path, "riders", failing, brands[1:], now)
     feed.ingest_pages(store, path, "riders", brands=brands[1:], now=now)
-    kept = store.read_all("feed", "violations", "since")
+    kept = store.read_all("feed", "violations", "run")
     assert sorted((tuple(r)[:4] for r in kept.select("rule", "delivery_id", "order_id", "updated_at").collect()), key=str) == expected and expected
-    assert {r["since"] for r in kept.collect()} == {feed.FIRST_WATERMARK}
-    normalised = store.read_all("feed", "normalised", "since").drop("since")
+    assert {r["run"] for r in kept.collect()} == {"000000000000"}
+    normalised = store.read_all("feed", "normalised", "run").drop("run")
     assert sorted(map(str, normalised.collect())) == sorted(map(str, feed.as_deliveries(found).collect()))
     write_page(pages, "p2", SECOND[:-1])
     feed.ingest_pages(store, path, "riders", brands=brands, now=now)
-    assert store.read_all("feed", "normalised", "since").select("since").distinct().count() == 2
+    assert store.read_all("feed", "normalised", "run").select("run").distinct().count() == 2
 
 
 def test_a_delivery_more_at_the_provider_fails_and_is_named(store, pages):
@@ -191,9 +199,71 @@ def test_a_delivery_more_at_the_provider_fails_and_is_named(store, pages):
     more = listed.limit(1).withColumn("delivery_id", F.lit("lost"))
     with pytest.raises(feed.FeedReconciliationFailed):
         feed.ingest_pages(store, path, "riders", provider=listed.unionByName(more))
-    named = store.read_all("feed", "differences", "since").select("delivery_id", "difference").collect()
+    named = store.read_all("feed", "differences", "run").select("delivery_id", "difference").collect()
     assert [tuple(r) for r in named] == [("lost", "missing here")]
     assert feed.read_watermark(store, "riders") == feed.FIRST_WATERMARK
     feed.ingest_pages(store, path, "riders", provider=listed)
-    assert store.read_all("feed", "differences", "since").isEmpty()
+    assert store.read_all("feed", "differences", "run").isEmpty()
     assert feed.read_watermark(store, "riders") != feed.FIRST_WATERMARK
+
+
+def test_a_run_opens_new_files_only(store, pages, monkeypatch):
+    opened = []
+    parse = PageZones.records
+
+    def watched(self, files):
+        opened.append(sorted(r["path"].rpartition("/")[2] for r in files.collect()))
+        return parse(self, files)
+
+    monkeypatch.setattr(PageZones, "records", watched)
+    path = f"file://{pages}"
+    write_page(pages, "empty", [])
+    feed.ingest_pages(store, path, "riders")
+    write_page(pages, "p2", SECOND[:-1])
+    mark = feed.ingest_pages(store, path, "riders")
+    write_page(pages, "late", [record(20, "2026-05-02T09:00:00Z")])  # nothing newer than the watermark
+    assert feed.ingest_pages(store, path, "riders") == mark == feed.ingest_pages(store, path, "riders")
+    assert opened == [["empty.json", "p1.json"], ["p2.json"], ["late.json"]]
+    expected = EXPECTED | {"D20": ("assigned", 50000, "Jos", "2026-05-02 09:00:00")}
+    assert state(feed.delivery_table(store).read()) == expected
+    write_page(pages, "late", [record(20, "2026-05-02T09:00:00Z"), record(21, "2026-05-02T09:00:00Z")])  # landed again
+    feed.ingest_pages(store, path, "riders")
+    feed.write_watermark(store, "riders", "2026-05-03T00:00:00Z")  # set back by hand
+    assert feed.ingest_pages(store, path, "riders") == mark
+    assert opened[3:] == [["late.json"], ["p2.json"]]
+    assert set(state(feed.delivery_table(store).read())) == set(expected) | {"D21"}
+    assert store.read_all("feed", "normalised", "run").groupBy("run").count().count() == 5
+    assert feed.ingest_pages(store, path, "others") == mark and opened[5] == ["empty.json", "late.json", "p1.json", "p2.json"]
+
+
+def test_a_replay_opens_files_that_can_hold_its_interval(store, pages):
+    path = f"file://{pages}"
+    write_page(pages, "p2", SECOND)
+    feed.ingest_pages(store, path, "riders")
+    zones = PageZones(store, "riders", path)
+
+    def opened(start, end):
+        return sorted(r["path"].rpartition("/")[2] for r in zones.listed().where(zones.meets(start, end)).collect())
+
+    at = dt.datetime
+    assert opened(at(2026, 5, 2, 10, 3), at(2026, 5, 2, 10, 4)) == ["p1.json", "p2.json"]
+    assert opened(at(2026, 5, 3), at(2026, 5, 6)) == ["p2.json"]
+    assert opened(at(2026, 5, 1), at(2026, 5, 1, 12)) == []
+    write_page(pages, "p3", [record(30, "2026-05-05T11:00:00Z")])  # known to no run yet
+    assert opened(at(2026, 5, 3), at(2026, 5, 6)) == ["p2.json", "p3.json"]
+    found = feed.replay_records(store, path, "riders", at(2026, 5, 5, 10, 5), at(2026, 5, 5, 12))
+    assert sorted(r["delivery_id"] for r in found.collect()) == ["D30", "D9"]  # one of them by the rewind
+    assert feed.replay_records(store, path, "riders", at(2020, 1, 1), at(2020, 1, 2)).where("updated_at IS NOT NULL").isEmpty()
+
+
+def test_a_run_that_ended_before_its_watermark_is_made_good(store, pages, monkeypatch):
+    def ends(*_):
+        raise RuntimeError("driver lost")
+
+    path = f"file://{pages}"
+    with monkeypatch.context() as m:
+        m.setattr(feed, "write_watermark", ends)
+        with pytest.raises(RuntimeError):
+            feed.ingest_pages(store, path, "riders")
+    assert feed.read_watermark(store, "riders") == feed.FIRST_WATERMARK
+    assert feed.ingest_pages(store, path, "riders") == "2026-05-02T10:06:00Z"
