@@ -1,7 +1,8 @@
 """One run over a source drop: land, convert, stage, model, audit, and mark as done.
 
 Tables are stored at the end of every layer, so a failed run can be repeated from the
-start at any time: each step replaces what an earlier attempt has written.
+start at any time: each step replaces what an earlier attempt has written. Staging, marts
+and audit tables of a run are published at once, so readers never meet tables of two runs.
 """
 
 from __future__ import annotations
@@ -138,9 +139,10 @@ def process_drop(
     copies = drops.landed_folder(store, day)
     paths = {entity: f"{copies}/{entity}.json" for entity in ENTITIES}
     convert.convert_drop(store, paths, day, staging.run_batch_id("raw", day), arrays)
-    tables = build_staging(store, run)
-    tables |= build_marts(store, tables, run, partition_facts)
-    found = audit(store, tables, run)
+    with store.release() as release:
+        tables = build_staging(release, run)
+        tables |= build_marts(release, tables, run, partition_facts)
+        found = audit(release, tables, run)
     assert_audit_passed(
         found["data_quality_results"],
         found["reconciliation_summary"],

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from galley.sources.entry_log import EntryLog
+
+_FAILED_AFTER = 86_400  # seconds after which an unpublished folder is taken for a failed run's
+
 
 class TableStore:
     """Tables below one root folder on any Hadoop file system.
@@ -15,6 +21,9 @@ class TableStore:
     A write adds a version, which counts once Spark has committed it (``_SUCCESS``). A
     write that fails leaves the version before it in force, and no version is touched
     while it is read: the one before the newest is kept for readers that have begun.
+
+    Tables replaced within a ``release`` count together, by one entry of a log; from then on
+    that entry says which folder a table is.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -28,8 +37,12 @@ class TableStore:
         """Write the next version of a table.
 
         With partitions, rows are first brought together by them, and Spark sizes the
-        tasks, so that no task writes a file to every partition.
+        tasks, so that no task writes a file to every partition. A table that has been
+        released is released by itself.
         """
+        if f"{layer}/{name}" in self._released():
+            with self.release() as alone:
+                return alone.replace(layer, name, df, partition_by)
         if partition_by:
             df = df.hint("rebalance", *partition_by)
         self._add_version(self.path(layer, name), df, partition_by)
@@ -41,8 +54,7 @@ class TableStore:
 
     def read(self, layer: str, name: str) -> DataFrame:
         """The newest version; an error if there is none."""
-        path = self.path(layer, name)
-        return self.spark.read.parquet(self._newest(path) or path)
+        return self.spark.read.parquet(self._current(layer, name) or self.path(layer, name))
 
     def latest(self, layer: str, name: str) -> DataFrame | None:
         """The newest version, or None."""
@@ -50,8 +62,8 @@ class TableStore:
 
     def exists(self, layer: str, name: str) -> bool:
         """Whether a table, or any partition of one, has been written."""
-        folder = self.path(layer, name)
-        return self._newest(folder) is not None or bool(self._found(folder, "*=*/version=*/_SUCCESS"))
+        partitions = "*=*/version=*/_SUCCESS"
+        return self._current(layer, name) is not None or bool(self._found(self.path(layer, name), partitions))
 
     def write_partition(self, layer: str, name: str, df: DataFrame, column: str, value: str) -> None:
         """Write one partition (a run, a date, a batch); writing it again replaces it.
@@ -121,6 +133,31 @@ class TableStore:
     def discard(self, path: str) -> None:
         self._files(path).delete(self._path(path), True)
 
+    # releases ------------------------------------------------------------------------
+
+    @contextmanager
+    def release(self) -> Iterator[Release]:
+        """A store whose replaced tables count together when the block ends, or not at all.
+
+        `WriterConflict` if another release has been published in the meantime.
+        """
+        release = Release(self)
+        yield release
+        release.publish()
+
+    def snapshot(self) -> Snapshot:
+        """A store for readers: its released tables stay those of one release."""
+        return Snapshot(self)
+
+    def _log(self) -> EntryLog:
+        return EntryLog(self, f"{self.root}/_releases")
+
+    def _released(self) -> dict[str, str]:
+        return self._log().newest()[1].get("tables", {})
+
+    def _current(self, layer: str, name: str) -> str | None:
+        return self._released().get(f"{layer}/{name}") or self._newest(self.path(layer, name))
+
     # versions ------------------------------------------------------------------------
 
     def _path(self, path: str):
@@ -155,3 +192,54 @@ class TableStore:
         for number in self._numbers(folder):
             if number < newest - 1:
                 self.discard(f"{folder}/version={number}")
+
+
+class Snapshot(TableStore):
+    """The released tables as of one entry."""
+
+    def __init__(self, store: TableStore):
+        super().__init__(store.spark, store.root)
+        self.number, entry = self._log().newest()
+        self.before: dict[str, str] = entry.get("tables", {})
+
+    def _released(self) -> dict[str, str]:
+        return self.before
+
+    def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        raise TypeError("a snapshot is for reading; replace tables in a release")
+
+
+class Release(Snapshot):
+    """Tables written aside until `publish`. It reads its own, and others as of its begin."""
+
+    def __init__(self, store: TableStore):
+        super().__init__(store)
+        self.written: dict[str, str] = {}
+
+    def _released(self) -> dict[str, str]:
+        return self.before | self.written
+
+    def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        folder = f"{self.path(layer, name)}/release={int(time.time())}-{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(folder)
+        self.written[f"{layer}/{name}"] = folder
+        return self.read(layer, name)
+
+    def publish(self) -> None:
+        if not self.written:
+            return
+        log, tables = self._log(), self._released()
+        log.publish(self.number, {"tables": tables})
+        kept = {*tables.values(), *self.before.values()}
+        older = log.read(self.number - 1)["tables"] if self.number - 1 in log.numbers() else {}
+        for folder in {*older.values()} - kept:
+            self.discard(folder)
+        names = {f.rpartition("/")[2] for f in kept}
+        for table in self.written:  # what failed runs have left
+            for folder in self._found(f"{self.root}/{table}", "release=*"):
+                name = folder.rpartition("/")[2]
+                begun = int(name.removeprefix("release=").partition("-")[0])
+                if name not in names and time.time() - begun > _FAILED_AFTER:
+                    self.discard(folder)
