@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from galley.functions import exact_ratio
 from galley.operators.joins import lookup
 from galley.operators.latest import latest_per_key
-from galley.operators.numbering import dense_number
+from galley.operators.quantiles import exact_quantiles
 
 
 def _money(column: str) -> Column:
@@ -99,19 +99,8 @@ def frequency_distribution(summary: DataFrame) -> DataFrame:
 def spend_quantiles(
     summary: DataFrame, percents: Sequence[int] = (25, 50, 75, 90)
 ) -> DataFrame:
-    """Exact spend percentiles: the customer at each rank, found without a one-task sort."""
-    spenders = summary.where(F.col("lifetime_revenue").isNotNull())
-    order = [F.col("lifetime_revenue").asc(), F.col("customer_id").asc()]
-    ranked = dense_number(spenders.select("customer_id", "lifetime_revenue"), order, "_rank")
-    size = ranked.agg(F.count("*").alias("_size"))
-    ranks = [
-        F.struct(F.lit(p).alias("percentile"), F.ceil(F.col("_size") * p / 100).alias("_wanted"))
-        for p in percents
-    ]
-    wanted = size.select(F.inline(F.array(*ranks)))
-    return ranked.join(F.broadcast(wanted), F.col("_rank") == F.col("_wanted")).select(
-        "percentile", F.col("lifetime_revenue").alias("spend")
-    )
+    """Exact spend percentiles: the spend of the customer at each rank, found by narrowing ranges."""
+    return exact_quantiles(summary, "lifetime_revenue", percents, "spend")
 
 
 def channel_mix(sales: DataFrame, customers: DataFrame, channels: DataFrame) -> DataFrame:
