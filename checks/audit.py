@@ -13,9 +13,9 @@ from galley.plans import monitoring, profiling
 from galley.plans.quality import (
     AuditFailed,
     QualityAudit,
-    assert_audit_passed,
     exception_summary,
     manual_run,
+    require_passed,
     rulebook,
 )
 from galley.plans.quality_texts import CHECKS, RULEBOOK
@@ -306,17 +306,13 @@ def run_summary(spark, sf):
        WHERE severity = 'ERROR' GROUP BY check_name""",
 )
 def gate(spark, sf):
-    details = {}
+    kinds = {"check": "quality_checks", "metric": "reconciliation_metrics", "exception": "error_exception_counts"}
+    found = []
     try:
-        assert_audit_passed(
-            _stored_results(spark, sf), _stored_recon(spark, sf), _stored_exceptions(spark, sf)
-        )
+        require_passed(_stored_results(spark, sf), _stored_recon(spark, sf), _stored_exceptions(spark, sf))
     except AuditFailed as failure:
-        details = failure.details
-    rows = [("quality_checks", name, 1) for name in details.get("quality_checks", [])]
-    for kind in ("reconciliation_metrics", "error_exception_counts"):
-        rows += [(kind, name, count) for name, count in details.get(kind, {}).items()]
-    return spark.createDataFrame(rows, "kind string, name string, failures bigint")
+        found = [(kinds[b["kind"]], b["name"], b["failures"]) for b in failure.blockers]
+    return spark.createDataFrame(found, "kind string, name string, failures bigint")
 
 
 @query("rec1_14_reconciliation", "SELECT * FROM recon")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from galley.operators.together import together
 from galley.plans import marts, staging
-from galley.plans.quality import AuditRun, QualityAudit, assert_audit_passed, rulebook
+from galley.plans.quality import AuditRun, QualityAudit, require_passed, rulebook
 from galley.plans.reconcile import reconciliation
 from galley.sources import convert, drops
 from galley.sources.contracts import ENTITIES
@@ -143,7 +143,7 @@ def process_drop(
         tables = build_staging(release, run)
         tables |= build_marts(release, tables, run, partition_facts)
         found = audit(release, tables, run)
-    assert_audit_passed(
+    require_passed(
         found["data_quality_results"],
         found["reconciliation_summary"],
         found["data_quality_exceptions"],

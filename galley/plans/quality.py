@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -372,25 +372,30 @@ def exception_summary(exceptions: DataFrame) -> DataFrame:
 
 
 class AuditFailed(RuntimeError):
-    def __init__(self, details: dict):
-        super().__init__(f"Audit validation failed: {details}")
-        self.details = details
+    """``blockers`` are the rows of `blocking` that stopped the run."""
 
+    def __init__(self, blockers: Sequence[Row]):
+        named = ", ".join(f"{b['name']} ({b['kind']}, {b['failures']})" for b in blockers)
+        super().__init__(f"stopped by {named}")
+        self.blockers = list(blockers)
 
-def assert_audit_passed(
-    results: DataFrame, reconciliation: DataFrame, exceptions: DataFrame
-) -> None:
-    """Raise with what failed. Warnings never block.
 
-    Only names and counts per check or metric come to the driver.
+def blocking(results: DataFrame, reconciliation: DataFrame, exceptions: DataFrame) -> DataFrame:
+    """``kind, name, failures``: every failed check and metric, and exceptions that are errors.
+
+    Warnings never block.
     """
-    quality = results.where("status = 'FAIL'").select("check_name").orderBy("check_name")
-    metrics = reconciliation.where("status = 'FAIL'").groupBy("metric").count().orderBy("metric")
-    errors = exceptions.where("severity = 'ERROR'").groupBy("check_name").count().orderBy("check_name")
-    details = {
-        "quality_checks": [r[0] for r in quality.collect()],
-        "reconciliation_metrics": {r[0]: r[1] for r in metrics.collect()},
-        "error_exception_counts": {r[0]: r[1] for r in errors.collect()},
+    failed, error = F.col("status") == "FAIL", F.col("severity") == "ERROR"
+    kinds = {
+        "check": results.where(failed).select(F.col("check_name").alias("name")),
+        "metric": reconciliation.where(failed).select(F.col("metric").alias("name")),
+        "exception": exceptions.where(error).select(F.col("check_name").alias("name")),
     }
-    if any(details.values()):
-        raise AuditFailed(details)
+    tagged = [rows.select(F.lit(kind).alias("kind"), "name") for kind, rows in kinds.items()]
+    return reduce(DataFrame.union, tagged).groupBy("kind", "name").agg(F.count("*").alias("failures"))
+
+
+def require_passed(results: DataFrame, reconciliation: DataFrame, exceptions: DataFrame) -> None:
+    """Raise `AuditFailed` if anything blocks; a row per check or metric comes to the driver."""
+    if found := blocking(results, reconciliation, exceptions).orderBy("kind", "name").collect():
+        raise AuditFailed(found)

@@ -135,16 +135,16 @@ def gate_frames(spark, result="PASS", recon="PASS", severity="WARN"):
 
 
 def test_gate_passes_on_warnings(spark):
-    quality.assert_audit_passed(*gate_frames(spark, result="WARN"))
+    quality.require_passed(*gate_frames(spark, result="WARN"))
 
 
 @pytest.mark.parametrize(
-    "change, key", [({"result": "FAIL"}, "quality_checks"), ({"recon": "FAIL"}, "reconciliation_metrics"), ({"severity": "ERROR"}, "error_exception_counts")]
+    "change, blocker", [({"result": "FAIL"}, ("check", "c1", 1)), ({"recon": "FAIL"}, ("metric", "m1", 2)), ({"severity": "ERROR"}, ("exception", "c1", 1))]
 )
-def test_gate_raises_with_details(spark, change, key):
+def test_gate_names_what_blocks(spark, change, blocker):
     with pytest.raises(quality.AuditFailed) as failure:
-        quality.assert_audit_passed(*gate_frames(spark, **change))
-    assert failure.value.details[key]
+        quality.require_passed(*gate_frames(spark, **change))
+    assert [tuple(b) for b in failure.value.blockers] == [blocker] and blocker[1] in str(failure.value)
 
 
 def test_history_replaces_a_run_even_by_nothing(spark, store):

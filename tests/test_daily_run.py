@@ -81,4 +81,4 @@ def test_two_days_and_a_bad_drop(store, tmp_path):
     for _ in range(2):
         with pytest.raises(AuditFailed) as failure:
             daily_run.process_drop(store, url, run_on(12))
-        assert failure.value.details["quality_checks"] == ["invalid_channel"]
+        assert [b["name"] for b in failure.value.blockers if b["kind"] == "check"] == ["invalid_channel"]
