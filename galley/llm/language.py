@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 
 from galley.llm.common import as_text, distinct_words, slices, stored, white_space_words
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# numerals that are no digits, such as superscripts and fractions: \w takes them for letters
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not (c.isalpha() or c.isdecimal()))
+LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 UNDETERMINED = "und"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 

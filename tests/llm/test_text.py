@@ -54,6 +54,15 @@ def test_language_held_out_accuracy(spark):
     assert both.score.between(0, 1).all()
 
 
+def test_numerals_are_no_letters(spark):
+    train = spark.createDataFrame([(1, "ein Wort", "de"), (2, "a word", "en")], "doc_id long, text string, lang string")
+    model = language.fit(train, F.col("doc_id"))
+    asked = spark.createDataFrame([(1, "\u00b2"), (2, "\u00bd 12 \u2167 \u2462"), (3, "\u00b2 word"), (4, "\u4e00")], "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(asked, model, ["doc_id"]).collect()}
+    assert found[1] == found[2] == ("und", 0.0)
+    assert found[3][0] == "en" and found[4][0] != "und"
+
+
 def test_language_edges(spark):
     train = documents(spark, [(1, "the cat and the dog"), (2, "der hund und die katze"), (3, None)], {1: "en", 2: "de", 3: "en"})
     model = language.fit(train, F.col("doc_id"))
