@@ -21,7 +21,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     model = language.fit(docs, F.col("doc_id"))
     if not model.languages:
-        return docs.filter(F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]"))
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     answers = language.identify(docs.withColumn("__llm_copy", F.col("text")), model, [*docs.columns], "__llm_copy")
     return answers.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
 
