@@ -33,4 +33,4 @@ def query(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from checks import audit, business, feed, ingest, models, operators  # noqa: F401
+    from checks import audit, business, feed, ingest, models, operators, refreshed  # noqa: F401

@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from galley.operators.together import together
 from galley.plans import marts, staging
 from galley.plans.quality import AuditRun, QualityAudit, require_passed, rulebook
 from galley.plans.reconcile import reconciliation
+from galley.plans.refresh import MONTH, by_month, refresh_marts
 from galley.sources import convert, drops
 from galley.sources.contracts import ENTITIES
 from galley.sources.store import TableStore
@@ -23,14 +23,20 @@ from galley.sources.store import TableStore
 Tables = dict[str, DataFrame]
 
 
-def build_staging(store: TableStore, run: AuditRun) -> Tables:
-    """Stage all loads of every source; lines come last, as they take over order columns."""
+def build_staging(store: TableStore, run: AuditRun, partition_facts: bool = False) -> Tables:
+    """Stage all loads of every source; lines come last, as they take over order columns.
+
+    ``partition_facts`` lays orders, lines and deliveries out by month.
+    """
     batch = staging.run_batch_id("staging", run.execution_date)
 
     def stage(entity: str, *parents: DataFrame) -> DataFrame:
         name = f"int_{entity}"
         build = getattr(staging, name)
-        return store.replace("staging", name, build(store.read_loads(entity), *parents, batch))
+        rows = build(store.read_loads(entity), *parents, batch)
+        if partition_facts and "order_timestamp" in rows.columns:
+            return store.replace("staging", name, by_month(rows), [MONTH])
+        return store.replace("staging", name, rows)
 
     staged = together(
         {f"int_{e}": lambda e=e: stage(e) for e in ENTITIES if e != "order_items"}
@@ -44,18 +50,15 @@ def build_marts(
 ) -> Tables:
     """Bring the store versions up to date and rebuild all other dimensions and facts.
 
-    ``partition_facts`` lays the facts out by month, which is meant for large warehouses.
+    ``partition_facts`` lays the facts out by month and rebuilds months that have changed
+    only, which is meant for large warehouses.
     """
+    if partition_facts:
+        return refresh_marts(store, t, run)[0]
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         return store.replace("marts", name, df)
 
-    def keep_fact(name: str, df: DataFrame) -> DataFrame:
-        if not partition_facts:
-            return keep(name, df)
-        by_month = df.withColumn("date_month", F.trunc("date_sk", "month"))
-        return store.replace("marts", name, by_month, ["date_month"])
-
     def stores() -> DataFrame:
         before = store.latest("marts", "dim_store")
         after = marts.dim_store(t["int_stores"], before, run.execution_date)
@@ -74,7 +77,7 @@ def build_marts(
     places, channels = dims["dim_store"], dims["dim_channel"]
     built |= together(
         {
-            "fact_orders": lambda: keep_fact(
+            "fact_orders": lambda: keep(
                 "fact_orders",
                 marts.fact_orders(
                     t["int_orders"],
@@ -85,17 +88,17 @@ def build_marts(
                     dims["dim_promo"],
                 ),
             ),
-            "fact_order_items": lambda: keep_fact(
+            "fact_order_items": lambda: keep(
                 "fact_order_items",
                 marts.fact_order_items(t["int_order_items"], dims["dim_product"], places, channels),
             ),
-            "fact_deliveries": lambda: keep_fact(
+            "fact_deliveries": lambda: keep(
                 "fact_deliveries", marts.fact_deliveries(t["int_deliveries"], places)
             ),
         }
     )
     sales = marts.order_sales(built["fact_orders"], built["fact_order_items"])
-    built["order_sales"] = keep_fact("order_sales", sales)
+    built["order_sales"] = keep("order_sales", sales)
     return built
 
 
@@ -140,7 +143,7 @@ def process_drop(
     paths = {entity: f"{copies}/{entity}.json" for entity in ENTITIES}
     convert.convert_drop(store, paths, day, staging.run_batch_id("raw", day), arrays)
     with store.release() as release:
-        tables = build_staging(release, run)
+        tables = build_staging(release, run, partition_facts)
         tables |= build_marts(release, tables, run, partition_facts)
         found = audit(release, tables, run)
     require_passed(

@@ -4,6 +4,9 @@ Facts are summed by their surrogate keys first and named afterwards, so only the
 rows meet the dimensions. A surrogate key has one name, and on one day a store has one
 version, so no second grouping is needed. ``sales`` is ``marts.order_sales``, which holds
 an order once; counting orders therefore needs no distinct.
+
+Each view is its sums and their names, so that sums may be stored by month and only the
+months that have changed are summed again (`plans.refresh`).
 """
 
 from __future__ import annotations
@@ -31,13 +34,11 @@ def _named_day(summed: DataFrame, dates: DataFrame, *parts: str) -> DataFrame:
     return lookup(summed, dates.select("date_sk", "full_date", *parts), ["date_sk"], "inner")
 
 
-def vw_sales_performance(
-    sales: DataFrame, dates: DataFrame, stores: DataFrame, channels: DataFrame
-) -> DataFrame:
-    """Sales per day, store and channel. Orders with an unresolved key are left out."""
+def sales_sums(sales: DataFrame) -> DataFrame:
+    """Orders, revenue and items per day, store and channel, by key."""
     keys = ["date_sk", "store_sk", "channel_sk"]
     customer = F.col("new_vs_returning_customer_flag")
-    summed = _resolved(sales, *keys).groupBy(*keys).agg(
+    return _resolved(sales, *keys).groupBy(*keys).agg(
         F.count("order_id").alias("order_count"),
         F.sum("order_revenue").alias("_revenue"),
         F.sum("items_per_order").alias("total_items"),
@@ -45,6 +46,18 @@ def vw_sales_performance(
         F.count_if(customer == "New").alias("new_customer_orders"),
         F.count_if(customer == "Returning").alias("returning_customer_orders"),
     )
+
+
+def vw_sales_performance(
+    sales: DataFrame, dates: DataFrame, stores: DataFrame, channels: DataFrame
+) -> DataFrame:
+    """Sales per day, store and channel. Orders with an unresolved key are left out."""
+    return named_sales(sales_sums(sales), dates, stores, channels)
+
+
+def named_sales(
+    summed: DataFrame, dates: DataFrame, stores: DataFrame, channels: DataFrame
+) -> DataFrame:
     named = _named_day(summed, dates, "year", "month", "week", "day_name", "is_weekend")
     named = lookup(_named_store(named, stores), channels, ["channel_sk"], "inner")
     orders_n = F.col("order_count")
@@ -69,13 +82,11 @@ def vw_sales_performance(
     )
 
 
-def vw_delivery_performance(
-    deliveries: DataFrame, dates: DataFrame, stores: DataFrame
-) -> DataFrame:
-    """Deliveries per day and store."""
+def delivery_sums(deliveries: DataFrame) -> DataFrame:
+    """Deliveries and minutes per day and store, by key."""
     keys = ["date_sk", "store_sk"]
     actual, delay = "actual_delivery_minutes", "delay_minutes"
-    summed = _resolved(deliveries, *keys).groupBy(*keys).agg(
+    return _resolved(deliveries, *keys).groupBy(*keys).agg(
         F.count("*").alias("delivery_count"),
         F.sum("delivery_sla_met_flag").alias("sla_met_count"),
         F.sum(actual).alias("_actual"),
@@ -83,6 +94,16 @@ def vw_delivery_performance(
         F.sum(delay).alias("_delay"),
         F.count(delay).alias("_delay_n"),
     )
+
+
+def vw_delivery_performance(
+    deliveries: DataFrame, dates: DataFrame, stores: DataFrame
+) -> DataFrame:
+    """Deliveries per day and store."""
+    return named_deliveries(delivery_sums(deliveries), dates, stores)
+
+
+def named_deliveries(summed: DataFrame, dates: DataFrame, stores: DataFrame) -> DataFrame:
     named = _named_store(_named_day(summed, dates, "year", "month"), stores)
     met = F.col("sla_met_count")
     return named.select(
@@ -99,14 +120,24 @@ def vw_delivery_performance(
     )
 
 
+def product_sums(items: DataFrame) -> DataFrame:
+    """Units and revenue per day, store, channel and product, by key."""
+    keys = ["date_sk", "store_sk", "channel_sk", "product_sk"]
+    return _resolved(items, *keys).groupBy(*keys).agg(
+        F.sum("quantity").alias("units_sold"), F.sum("product_revenue").alias("_revenue")
+    )
+
+
 def vw_product_performance(
     items: DataFrame, dates: DataFrame, stores: DataFrame, channels: DataFrame, products: DataFrame
 ) -> DataFrame:
     """Units and revenue per day, store, channel and product, at line grain."""
-    keys = ["date_sk", "store_sk", "channel_sk", "product_sk"]
-    summed = _resolved(items, *keys).groupBy(*keys).agg(
-        F.sum("quantity").alias("units_sold"), F.sum("product_revenue").alias("_revenue")
-    )
+    return named_products(product_sums(items), dates, stores, channels, products)
+
+
+def named_products(
+    summed: DataFrame, dates: DataFrame, stores: DataFrame, channels: DataFrame, products: DataFrame
+) -> DataFrame:
     named = _named_store(_named_day(summed, dates, "year", "month"), stores)
     named = lookup(named, channels, ["channel_sk"], "inner")
     goods = products.select(
@@ -126,17 +157,27 @@ def vw_product_performance(
     )
 
 
-def vw_customer_summary(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """Lifetime totals per customer. The type is the alphabetically last one."""
-    # by type first: the text maximum is then taken over two rows per customer at most,
-    # and the pass over all orders stays a hash aggregation
-    by_type = _resolved(sales, "customer_sk").groupBy("customer_sk", "customer_type").agg(
+def customer_sums(sales: DataFrame, *by: str) -> DataFrame:
+    """Orders, revenue and times per customer and type (and ``by``), by key.
+
+    By type, as the text maximum is then taken over few rows per customer and the pass over
+    all orders stays a hash aggregation.
+    """
+    return _resolved(sales, "customer_sk").groupBy("customer_sk", "customer_type", *by).agg(
         F.count("order_id").alias("_orders"),
         F.sum("order_revenue").alias("_revenue"),
         F.min("order_timestamp").alias("_first"),
         F.max("order_timestamp").alias("_last"),
     )
-    totals = by_type.groupBy("customer_sk").agg(
+
+
+def vw_customer_summary(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Lifetime totals per customer. The type is the alphabetically last one."""
+    return named_customers(customer_sums(sales), customers)
+
+
+def named_customers(summed: DataFrame, customers: DataFrame) -> DataFrame:
+    totals = summed.groupBy("customer_sk").agg(
         F.sum("_orders").alias("lifetime_order_count"),
         F.sum("_revenue").cast("double").alias("lifetime_revenue"),
         F.min("_first").alias("first_order_at"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -23,7 +25,8 @@ class TableStore:
     while it is read: the one before the newest is kept for readers that have begun.
 
     Tables replaced within a ``release`` count together, by one entry of a log; from then on
-    that entry says which folder a table is.
+    that entry says which folder a table is. Of a partitioned table it names the folder of
+    every partition and the schema, so a release may write some of them and keep the others.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -54,7 +57,31 @@ class TableStore:
 
     def read(self, layer: str, name: str) -> DataFrame:
         """The newest version; an error if there is none."""
-        return self.spark.read.parquet(self._current(layer, name) or self.path(layer, name))
+        current = self._current(layer, name)
+        if not isinstance(current, dict):
+            return self.spark.read.parquet(current or self.path(layer, name))
+        schema = T.StructType.fromJson(current["schema"])
+        leaves = sorted(current["leaves"].values())
+        if not leaves:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.path(layer, name))
+        return reader.parquet(*leaves).drop("release")
+
+    def partitions(self, layer: str, name: str) -> dict[str, str] | None:
+        """Folders of a released table's partitions, by ``column=value``; None if it has none."""
+        current = self._current(layer, name)
+        return dict(current["leaves"]) if isinstance(current, dict) else None
+
+    def replace_partitions(
+        self, layer: str, name: str, df: DataFrame, column: str, values: Iterable[Any]
+    ) -> DataFrame:
+        """Write ``df`` in place of the partitions of ``values``; the other ones stay.
+
+        The table has been released with partitions. A value without rows in ``df`` has no
+        partition afterwards; rows of other values are an error.
+        """
+        with self.release() as alone:
+            return alone.replace_partitions(layer, name, df, column, values)
 
     def latest(self, layer: str, name: str) -> DataFrame | None:
         """The newest version, or None."""
@@ -152,10 +179,10 @@ class TableStore:
     def _log(self) -> EntryLog:
         return EntryLog(self, f"{self.root}/_releases")
 
-    def _released(self) -> dict[str, str]:
+    def _released(self) -> dict[str, Any]:
         return self._log().newest()[1].get("tables", {})
 
-    def _current(self, layer: str, name: str) -> str | None:
+    def _current(self, layer: str, name: str) -> str | dict[str, Any] | None:
         return self._released().get(f"{layer}/{name}") or self._newest(self.path(layer, name))
 
     # versions ------------------------------------------------------------------------
@@ -200,46 +227,81 @@ class Snapshot(TableStore):
     def __init__(self, store: TableStore):
         super().__init__(store.spark, store.root)
         self.number, entry = self._log().newest()
-        self.before: dict[str, str] = entry.get("tables", {})
+        self.before: dict[str, Any] = entry.get("tables", {})
 
-    def _released(self) -> dict[str, str]:
+    def _released(self) -> dict[str, Any]:
         return self.before
 
     def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         raise TypeError("a snapshot is for reading; replace tables in a release")
 
+    def replace_partitions(self, layer, name, df, column, values) -> DataFrame:
+        raise TypeError("a snapshot is for reading; replace partitions in a release")
+
+
+def _folders(tables: dict[str, Any]) -> set[str]:
+    """All folders that an entry names."""
+    return {f for t in tables.values() for f in (t["leaves"].values() if isinstance(t, dict) else [t])}
+
 
 class Release(Snapshot):
     """Tables written aside until `publish`. It reads its own, and others as of its begin."""
 
     def __init__(self, store: TableStore):
         super().__init__(store)
-        self.written: dict[str, str] = {}
+        self.written: dict[str, Any] = {}
 
-    def _released(self) -> dict[str, str]:
+    def _released(self) -> dict[str, Any]:
         return self.before | self.written
 
     def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        folder, leaves = self._write(layer, name, df, partition_by)
+        named = {"leaves": leaves, "schema": _laid_out(df, partition_by)} if partition_by else folder
+        self.written[f"{layer}/{name}"] = named
+        return self.read(layer, name)
+
+    def replace_partitions(self, layer, name, df, column, values) -> DataFrame:
+        before = self.partitions(layer, name)
+        if before is None:
+            raise ValueError(f"{layer}/{name} has not been released with partitions")
+        name_of = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        replaced = {name_of(column, None if v is None else str(v)) for v in values}
+        _, leaves = self._write(layer, name, df, [column])
+        if strange := leaves.keys() - replaced:
+            raise ValueError(f"{layer}/{name}: rows of partitions that are not replaced: {sorted(strange)}")
+        stay = {part: leaf for part, leaf in before.items() if part not in replaced}
+        self.written[f"{layer}/{name}"] = {"leaves": stay | leaves, "schema": _laid_out(df, [column])}
+        return self.read(layer, name)
+
+    def _write(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str]) -> tuple[str, dict[str, str]]:
+        """A new folder, and the folders of its partitions."""
         if partition_by:
             df = df.hint("rebalance", *partition_by)
         folder = f"{self.path(layer, name)}/release={int(time.time())}-{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(folder)
-        self.written[f"{layer}/{name}"] = folder
-        return self.read(layer, name)
+        depth = len(partition_by)
+        found = self._found(folder, "/".join(f"{c}=*" for c in partition_by)) if depth else []
+        return folder, {"/".join(leaf.split("/")[-depth:]): leaf for leaf in found}
 
     def publish(self) -> None:
         if not self.written:
             return
         log, tables = self._log(), self._released()
         log.publish(self.number, {"tables": tables})
-        kept = {*tables.values(), *self.before.values()}
+        kept = _folders(tables) | _folders(self.before)
         older = log.read(self.number - 1)["tables"] if self.number - 1 in log.numbers() else {}
-        for folder in {*older.values()} - kept:
+        for folder in _folders(older) - kept:
             self.discard(folder)
-        names = {f.rpartition("/")[2] for f in kept}
+        names = {part for f in kept for part in f.split("/") if part.startswith("release=")}
         for table in self.written:  # what failed runs have left
             for folder in self._found(f"{self.root}/{table}", "release=*"):
                 name = folder.rpartition("/")[2]
                 begun = int(name.removeprefix("release=").partition("-")[0])
                 if name not in names and time.time() - begun > _FAILED_AFTER:
                     self.discard(folder)
+
+
+def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> dict[str, Any]:
+    """Schema of a partitioned table as it is read: partition columns last."""
+    fields = [f for f in df.schema if f.name not in partition_by]
+    return json.loads(T.StructType([*fields, *[df.schema[c] for c in partition_by]]).json())
