@@ -23,6 +23,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -67,7 +68,8 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins what it parts, so a text's ids are its
     words' ids one after another; full stops and commas at the end of a word are split off
-    by it too, and A-Z are lower-cased. Words are therefore encoded once per task.
+    by it too, and A-Z are lower-cased. Words are therefore encoded once per task, and a word
+    seen before costs one look-up for each slice of text that holds it.
     """
 
     def __init__(self, tokenizer_json: str, remembered: int = 800_000):
@@ -112,10 +114,7 @@ class WordEncoder:
                 rest += [one.ids for one in found]
             ids.append(np.array([k for one in rest for k in one], np.uint32))
             lengths = np.concatenate((lengths, [len(one) for one in rest])).astype(np.int64)
-        self.memo.update(zip(plain + others, range(len(self.memo), len(self.memo) + len(words)), strict=True))
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.ids = np.concatenate((self.ids, *ids))
+        self._remember(plain + others, np.concatenate(ids), lengths)
 
     @staticmethod
     def _parts(word: str) -> tuple[str, str]:
@@ -131,21 +130,33 @@ class WordEncoder:
         offsets, words = white_space_words(texts)
         special = pc.match_substring(words, "<|")  # special tokens are told by their case
         numbers, names = distinct_words(pc.if_else(special, words, pc.ascii_lower(words)))
-        parts = [self._parts(name) for name in names]
+        at = np.fromiter(map(self.memo.get, names, repeat(-1)), np.int64, len(names))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            at[unknown] = self._whole([names[k] for k in unknown])
+        lengths = self.lengths[at][numbers]
+        before = np.concatenate(([0], np.cumsum(lengths)))
+        return before[offsets], self.ids[ranges(self.starts[at][numbers], lengths)]
+
+    def _whole(self, words: list[str]) -> list[int]:
+        """Places of words not seen before, after learning their parts and themselves."""
+        parts = [self._parts(word) for word in words]
         fresh = dict.fromkeys(p for pair in parts for p in pair if p and p not in self.memo)
         if fresh:
             self._learn(list(fresh))
-        # ids of each distinct word, tail included
-        flat = np.array([self.memo[p] for pair in parts for p in pair if p], np.int64)
-        count = np.array([1 + bool(tail) for _, tail in parts], np.int64)
+        joined = [(word, pair) for word, pair in zip(words, parts, strict=True) if pair[1]]
+        flat = np.array([self.memo[p] for _, pair in joined for p in pair], np.int64)
         lengths = self.lengths[flat]
         ids = self.ids[ranges(self.starts[flat], lengths)]
-        owner = np.repeat(np.arange(len(names)), count)
-        sizes = np.bincount(owner, lengths, len(names)).astype(np.int64)
-        starts = np.cumsum(sizes) - sizes
-        per_word = sizes[numbers]
-        before = np.concatenate(([0], np.cumsum(per_word)))
-        return before[offsets], ids[ranges(starts[numbers], per_word)]
+        self._remember([word for word, _ in joined], ids, lengths.reshape(-1, 2).sum(axis=1))
+        return [self.memo[word] for word in words]
+
+    def _remember(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Words with their ids one after another, ``lengths`` of them each."""
+        self.memo.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words)), strict=True))
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
+        self.ids = np.concatenate((self.ids, ids))
 
 
 def _cut(tokenizer_json: str, settings: Settings, with_ids: bool):
