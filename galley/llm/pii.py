@@ -2,7 +2,7 @@
 
 Emails, addresses, card and phone numbers found by fixed rules are the seeds. The words
 around them induce lexical patterns; Spark scores the graph of patterns and instances in
-rounds (a pattern by the share of its distinct instances that are believed, an instance by
+rounds until no score rises any more (a pattern by the share of its distinct instances that are believed, an instance by
 the patterns it occurs in), and instances of high-confidence patterns that no fixed rule
 found become spans of the pattern's kind.
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.common import as_text, numbered, stored
+from galley.llm.common import as_text, distinct_words, numbered, slices, stored, white_space_words
 from galley.llm.graph import BITS, bit_set
 
 # fixed values of the contract: kinds in order of output, and their patterns
@@ -47,8 +47,6 @@ LEXICAL = re.compile(r"\w+|[^\w\s]")
 GROUPS = re.compile(r"(?<![\w.+@-])\(?[0-9]++(?:[\x20().\/-]{1,2}+[0-9]++)++(?![\w@])")
 RUN_CHARACTERS = frozenset(".+@-_")
 SHORTEST_CANDIDATE = 5
-#: Words of which ``contexts`` may see a part only, or whose window they may fill.
-LONG_WORD = 40
 REMEMBERED_WORDS = 1 << 18
 ROW = "__llm_row"
 
@@ -58,7 +56,8 @@ CANDIDATE = "struct<instance:long,kind:int,patterns:array<string>,start:int,stop
 
 @dataclass(frozen=True)
 class Settings:
-    rounds: int = 3
+    #: Rounds end when no pattern's score rises by more than this.
+    tolerance: float = 1e-3
     least_instances: int = 3
     smoothing: float = 1.0
     confidence: float = 0.75
@@ -112,12 +111,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return [(k, *span) for k, find in enumerate(finders) if find for span in find(text)]
 
 
+def words_before(text: str, stop: int, n: int) -> list[str]:
+    """The last ``n`` words that end at or before ``stop``, whole however long they are."""
+    reach = 80
+    while True:
+        start = max(0, stop - reach)
+        words = LEXICAL.findall(text, start, stop)
+        if len(words) > n or not start:
+            return words[-n:]
+        reach *= 4
+
+
+def lexical(word: str) -> str:
+    """A word as patterns hold it: in lower case, digits as one 0."""
+    return DIGITS.sub("0", word.lower())
+
+
 def contexts(text: str, start: int, stop: int) -> list[str]:
     """Lexical patterns of a place: two words before it, and one word on either side."""
-    before = LEXICAL.findall(text[max(0, start - 80) : start].lower())[-2:]
-    after = LEXICAL.findall(text[stop : stop + 40].lower())[:1]
-    before = [DIGITS.sub("0", w) for w in before]
-    after = [DIGITS.sub("0", w) for w in after]
+    before = [lexical(w) for w in words_before(text, start, 2)]
+    following = LEXICAL.search(text, stop)
+    after = [lexical(following[0])] if following else []
     out = []
     if len(before) == 2:
         out.append(f"{before[0]} {before[1]} _")
@@ -229,7 +243,11 @@ def place_of(x: int) -> int:
 
 
 def _standing(openers: np.ndarray, strong: np.ndarray):
-    """Fillers in slots of patterns that may be strong, a row for each pattern."""
+    """Fillers in slots of patterns that may be strong, a row for each pattern.
+
+    Distinct words of a slice of texts are tested first; only texts that hold a word before
+    a slot are walked.
+    """
 
     first, whole = openers.tobytes(), strong.tobytes()
 
@@ -238,6 +256,8 @@ def _standing(openers: np.ndarray, strong: np.ndarray):
         return bool(bits[at >> 3] >> (at & 7) & 1)
 
     def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # words between blanks that hold an opener, and openers: both by their text
+        holds: dict[str, bool] = {}
         known: dict[str, bool] = {}
 
         def opens(word: str) -> bool:
@@ -245,19 +265,32 @@ def _standing(openers: np.ndarray, strong: np.ndarray):
             if found is None:
                 if len(known) >= REMEMBERED_WORDS:
                     known.clear()
-                found = len(word) >= LONG_WORD or has(first, DIGITS.sub("0", word.lower()))
-                known[word] = found
+                found = known[word] = has(first, lexical(word))
             return found
 
-        for batch in batches:
+        def walked(texts: pa.Array) -> np.ndarray:
+            """Places of texts that hold an opener."""
+            offsets, words = white_space_words(texts)
+            numbers, names = distinct_words(words)
+            if len(holds) >= REMEMBERED_WORDS:
+                holds.clear()
+            fresh = [w for w in names if w not in holds]
+            holds.update((w, any(has(first, lexical(x)) for x in LEXICAL.findall(w))) for w in fresh)
+            opening = np.fromiter(map(holds.__getitem__, names), bool, len(names))
+            before = np.concatenate(([0], np.cumsum(opening[numbers])))
+            return np.flatnonzero(np.diff(before[offsets]))
+
+        for batch in slices(batches, "__llm_text"):
             rows = []
-            for row, text, base in zip(*(batch.column(c) for c in (ROW, "__llm_text", "__llm_base")), strict=True):
-                text = text.as_py() or ""
-                spans = [(s["kind"], s["start"], s["stop"]) for s in base.as_py()]
+            texts = as_text(batch.column("__llm_text"))
+            ids, bases = batch.column(ROW), batch.column("__llm_base")
+            for k in walked(texts).tolist():
+                text = texts[k].as_py()
+                spans = [(s["kind"], s["start"], s["stop"]) for s in bases[k].as_py()]
                 for a, b in free(fillers(text, spans, opens), spans):
                     for pattern in contexts(text, a, b):
                         if has(whole, pattern):
-                            rows.append((row.as_py(), instance(text[a:b]), pattern, a, b))
+                            rows.append((ids[k].as_py(), instance(text[a:b]), pattern, a, b))
             if rows:
                 types = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -315,17 +348,23 @@ def learned(candidates: DataFrame, settings: Settings) -> tuple[DataFrame, DataF
         .agg(F.count("*").cast("double").alias("belief"))
     )
     believed = spark.createDataFrame([], "instance long, kind int, belief double")
-    for _ in range(settings.rounds):
+    patterns = spark.createDataFrame([], "pattern string, kind int, instances long, score double")
+    # scores only rise from round to round and stay below 1, so the rounds end
+    while True:
         more = (
             unseen.join(believed, "instance")
             .groupBy("pattern", "kind", "instances")
             .agg(F.sum("belief").alias("belief"))
         )
-        patterns = (
+        earlier, patterns = patterns.select("pattern", "kind", F.col("score").alias("earlier")), stored(
             seeds.unionByName(more)
             .groupBy("pattern", "kind", "instances")
-            .agg((F.sum("belief") / (F.col("instances") + F.lit(settings.smoothing))).alias("score"))
+            .agg((F.sum("belief") / (F.col("instances") + F.lit(settings.smoothing))).alias("score")),
+            "pii-patterns",
         )
+        rise = F.col("score") - F.coalesce("earlier", F.lit(0.0))
+        if patterns.join(earlier, ["pattern", "kind"], "left").filter(rise > settings.tolerance).isEmpty():
+            break
         believed = stored(
             unseen.join(patterns.select("pattern", "kind", "score"), "pattern")
             .groupBy("instance", "kind")

@@ -171,6 +171,33 @@ def test_digit_groups_take_linear_time():
     assert len(pii.identifiers("1 " * 100_000, [])) == 1
 
 
+def _letters(n):
+    return "q" + "".join("abcdefghij"[int(d)] for d in str(n))
+
+
+def test_pii_belief_spreads_until_nothing_changes(spark):
+    sizes = [40, 20, 10, 6, 4, 3]  # seeds, then identifiers each of which stands in two contexts
+    groups = [[f"user{k}@mail{_letters(k)}.org" for k in range(40)]]
+    groups += [[f"id{g}{k:03d}zz" for k in range(n)] for g, n in enumerate(sizes[1:], 1)]
+    texts = []
+    for context, (before, after) in enumerate(zip(groups, groups[1:])):
+        for value in before + after:
+            texts.append(f"the first{_letters(context)} second{_letters(context)} {value} {_letters(len(texts))}")
+    docs = documents(spark, list(enumerate(texts)))
+    found = pii.find(docs, ["doc_id"], settings=pii.Settings(confidence=0.3)).collect()
+    got = {texts[r.doc_id][s.start : s.stop] for r in found for s in r.added}
+    assert got >= {v for group in groups[1:] for v in group}
+
+
+def test_pii_contexts_hold_whole_words():
+    long = "x" * 120
+    text = f"{long} {long} ab12345 {long}z"
+    assert pii.contexts(text, 242, 249) == [f"{long} {long} _", f"{long} _ {long}z"]
+    assert pii.words_before("a b" + " " * 5000, 5003, 2) == ["a", "b"]
+    assert pii.words_before("", 0, 2) == [] and pii.contexts("12345", 0, 5) == []
+
+
+
 def test_pii_query_digest(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     for r in QUERIES["op2_pii"](spark, SF_DIR).collect():
