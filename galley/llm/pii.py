@@ -24,6 +24,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -176,10 +178,10 @@ def identifiers(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     return sorted({*free(runs(text), taken), *free(groups, taken)})
 
 
-def fillers(text: str, taken: list[tuple[int, int, int]], opens) -> Iterator[tuple[int, int]]:
-    """Runs that are no ``identifiers``, after words for which ``opens`` holds."""
-    before, done = None, 0
-    for m in LEXICAL.finditer(text):
+def fillers(text: str, opens, begin: int = 0, end: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs that are no ``identifiers``, after words for which ``opens`` holds, in a part of a text."""
+    before, done = None, begin
+    for m in LEXICAL.finditer(text, begin, len(text) if end is None else end):
         start = m.start()
         if start >= done and before is not None and opens(before) and (run := RUN.match(text, start)).end() > start:
             done = stop = run.end()
@@ -191,6 +193,21 @@ def fillers(text: str, taken: list[tuple[int, int, int]], opens) -> Iterator[tup
         before = m[0]
 
 
+def word_places(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends, in code points of their text, of what ``white_space_words`` gives."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.zeros(len(data), bool)  # a text's first byte begins a word of its own
+    edge[offsets[:-1][offsets[:-1] < len(data)]] = True
+    starts = np.flatnonzero(~blank & (edge | np.concatenate(([True], blank[:-1]))))
+    stops = np.flatnonzero(~blank & np.concatenate((edge[1:] | blank[1:], [True]))) + 1
+    points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    base = points[offsets[np.searchsorted(offsets, starts, "right") - 1]]
+    return points[starts] - base, points[stops] - base
+
+
 def instance(value: str) -> int:
     digest = hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest()
     return int.from_bytes(digest, "little", signed=True)
@@ -245,8 +262,8 @@ def place_of(x: int) -> int:
 def _standing(openers: np.ndarray, strong: np.ndarray):
     """Fillers in slots of patterns that may be strong, a row for each pattern.
 
-    Distinct words of a slice of texts are tested first; only texts that hold a word before
-    a slot are walked.
+    Distinct words of a slice of texts are tested first; only stretches of words of which one
+    opens a slot are walked.
     """
 
     first, whole = openers.tobytes(), strong.tobytes()
@@ -268,26 +285,42 @@ def _standing(openers: np.ndarray, strong: np.ndarray):
                 found = known[word] = has(first, lexical(word))
             return found
 
-        def walked(texts: pa.Array) -> np.ndarray:
-            """Places of texts that hold an opener."""
+        def stretches(texts: pa.Array) -> Iterator[tuple[int, int, int]]:
+            """Text, begin and end of words that hold an opener, each with the word after it.
+
+            A word without any lexical part carries on what stands before it.
+            """
             offsets, words = white_space_words(texts)
             numbers, names = distinct_words(words)
             if len(holds) >= REMEMBERED_WORDS:
                 holds.clear()
-            fresh = [w for w in names if w not in holds]
-            holds.update((w, any(has(first, lexical(x)) for x in LEXICAL.findall(w))) for w in fresh)
-            opening = np.fromiter(map(holds.__getitem__, names), bool, len(names))
-            before = np.concatenate(([0], np.cumsum(opening[numbers])))
-            return np.flatnonzero(np.diff(before[offsets]))
+            for word in names:
+                if word not in holds:
+                    parts = LEXICAL.findall(word)
+                    holds[word] = not parts or any(has(first, lexical(x)) for x in parts)
+            opening = np.fromiter(map(holds.__getitem__, names), bool, len(names))[numbers]
+            begins = np.zeros(len(opening), bool)
+            begins[offsets[:-1][offsets[:-1] < len(opening)]] = True
+            # also words after those, within a text
+            walked = opening | (np.concatenate(([False], opening[:-1])) & ~begins)
+            earlier = np.concatenate(([False], walked[:-1])) & ~begins
+            heads = np.flatnonzero(walked & ~earlier)
+            tails = np.flatnonzero(walked & ~np.concatenate((earlier[1:] & walked[1:], [False])))
+            starts, stops = word_places(texts)
+            owners = np.searchsorted(offsets, heads, "right") - 1
+            return zip(owners.tolist(), starts[heads].tolist(), stops[tails].tolist(), strict=True)
 
         for batch in slices(batches, "__llm_text"):
             rows = []
             texts = as_text(batch.column("__llm_text"))
             ids, bases = batch.column(ROW), batch.column("__llm_base")
-            for k in walked(texts).tolist():
+            for k, parts in groupby(stretches(texts), itemgetter(0)):
                 text = texts[k].as_py()
+                places = [place for _, begin, end in parts for place in fillers(text, opens, begin, end)]
+                if not places:
+                    continue
                 spans = [(s["kind"], s["start"], s["stop"]) for s in bases[k].as_py()]
-                for a, b in free(fillers(text, spans, opens), spans):
+                for a, b in free(places, spans):
                     for pattern in contexts(text, a, b):
                         if has(whole, pattern):
                             rows.append((ids[k].as_py(), instance(text[a:b]), pattern, a, b))

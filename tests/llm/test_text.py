@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from galley.llm import jaccard, language, lattice, packing, pii, unigram
 from galley.llm.common import as_text, slices
+from galley.llm.graph import BITS
 from galley.llm.queries import QUERIES, tokenizer_file
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -189,6 +190,31 @@ def test_pii_belief_spreads_until_nothing_changes(spark):
     assert got >= {v for group in groups[1:] for v in group}
 
 
+def test_slots_of_stretches_are_those_of_whole_texts():
+    rng = random.Random(5)
+    parts = ["mail", "to", "box", "a.b", "x1", "\u00a0", "é", "to-day", "(box", "box:", "𝒳", "12345", "@", "no."]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", "  ", "\n", ""]) for _ in range(rng.randrange(25))) for _ in range(400)]
+
+    def bits(*words):
+        found = np.zeros(1 << (BITS - 3), np.uint8)
+        for word in words:
+            at = pii.place_of(pii.crc(word))
+            found[at >> 3] |= 1 << (at & 7)
+        return found
+
+    strong = {p for t in texts[:200] for a, b in pii.fillers(t, lambda w: w in ("box", "mail")) for p in pii.contexts(t, a, b)}
+    batch = pa.RecordBatch.from_pydict(
+        {pii.ROW: list(range(400)), "__llm_text": texts, "__llm_base": [[] for _ in texts]}
+    )
+    run = pii._standing(bits("box", "mail"), bits(*strong))
+    got = {(r["__llm_row"], r["pattern"], r["start"], r["stop"]) for out in run([batch]) for r in out.to_pylist()}
+    want = {
+        (k, p, a, b) for k, t in enumerate(texts) for a, b in pii.fillers(t, lambda w: w in ("box", "mail"))
+        for p in pii.contexts(t, a, b) if p in strong
+    }
+    assert got == want and len(want) > 100
+
+
 def test_pii_contexts_hold_whole_words():
     long = "x" * 120
     text = f"{long} {long} ab12345 {long}z"
