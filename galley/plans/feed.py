@@ -70,6 +70,12 @@ def write_watermark(store: TableStore, name: str, value: str) -> None:
     )
 
 
+def mark_text(reached: dt.datetime) -> str:
+    """A time as a watermark: to the microsecond, without zeros that end its fraction."""
+    text = reached.isoformat()
+    return (text.rstrip("0") if reached.microsecond else text) + "Z"
+
+
 def newer_than(records: DataFrame, watermark: str) -> DataFrame:
     """Records updated after the watermark."""
     return matching(records, updated_after=_naive_utc(watermark))
@@ -273,8 +279,8 @@ def _ingest(
     if reached is None or reached <= _naive_utc(watermark):
         return watermark
     # to the microsecond: a mark cut to seconds would make its newest record newer for ever
-    write_watermark(store, name, reached.isoformat() + "Z")
-    return reached.isoformat() + "Z"
+    write_watermark(store, name, mark_text(reached))
+    return mark_text(reached)
 
 
 def replay_records(

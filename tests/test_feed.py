@@ -77,6 +77,17 @@ def test_batch_ingest_moves_the_watermark_and_keeps_first_columns(store, pages):
     assert feed.read_watermark(store, "other") == feed.FIRST_WATERMARK
 
 
+def test_a_watermark_has_no_zeros_at_the_end_of_its_fraction(store, pages):
+    path = f"file://{pages}"
+    write_page(pages, "p2", [record(30, "2026-05-14T10:00:00.120000Z")])
+    assert feed.ingest_pages(store, path, "riders") == "2026-05-14T10:00:00.12Z"
+    assert feed.read_watermark(store, "riders") == "2026-05-14T10:00:00.12Z"
+    write_page(pages, "p3", [record(31, "2026-05-14T10:00:00.120001Z")])
+    assert feed.ingest_pages(store, path, "riders") == "2026-05-14T10:00:00.120001Z"
+    write_page(pages, "p4", [record(32, "2026-05-14T10:00:10Z")])
+    assert feed.ingest_pages(store, path, "riders") == "2026-05-14T10:00:10Z"
+
+
 def test_rows_kept_for_a_run_go_with_it(spark, store, pages):
     feed.ingest_pages(store, f"file://{pages}", "riders")
     root = f"{shared_folder(spark)}/scratch/{spark.sparkContext.applicationId}"
