@@ -22,33 +22,38 @@ from galley.sources.entity_json import (
     with_lineage,
 )
 
-_DROPS: dict[str, str] = {}
+_DROPS: dict[str, set[str]] = {}
 LINEAGE = ("_source_file", "_loaded_at", "_batch_id")
 
 
 def as_json(spark, sf, entity):
     """A mapped source in the form a drop has it: no lineage, times as text."""
-    rows = lake(spark, sf).typed(entity).drop(*LINEAGE)
-    if entity == "stores":
-        rows = mapping.stores(spark, sf, 2).drop(*LINEAGE)
+    rows = mapping.stores(spark, sf, 2) if entity == "stores" else lake(spark, sf).source(entity)
+    rows = rows.drop(*LINEAGE)
     if "order_ts" in rows.columns:
         rows = rows.withColumn("order_ts", iso_utc(F.col("order_ts")))
     return rows
 
 
-def drop_folder(spark, sf) -> str:
-    """The mapped sources as JSON lines, one folder of parts per file name."""
+def write_drop(rows, path) -> None:
+    """JSON lines in compressed parts; one part is read by one task, so its rows are bounded."""
+    writer = rows.write.mode("overwrite").option("ignoreNullFields", False).option("maxRecordsPerFile", 500_000)
+    writer.json(path, compression="gzip")
+
+
+def drop_folder(spark, sf, entities=ENTITIES) -> str:
+    """The mapped sources as JSON lines, one folder of parts per file name, each written when first asked for."""
     store = lake(spark, sf).store
-    if store.root not in _DROPS:
-        for entity in ENTITIES:
-            path = f"{store.path('drop', entity)}.json"
-            as_json(spark, sf, entity).write.mode("overwrite").option("ignoreNullFields", False).json(path)
-        _DROPS[store.root] = store.path("drop", "").rstrip("/")
-    return _DROPS[store.root]
+    written = _DROPS.setdefault(store.root, set())
+    for entity in entities:
+        if entity not in written:
+            write_drop(as_json(spark, sf, entity), f"{store.path('drop', entity)}.json")
+            written.add(entity)
+    return store.path("drop", "").rstrip("/")
 
 
 def _path(spark, sf, entity):
-    return f"{drop_folder(spark, sf)}/{entity}.json"
+    return f"{drop_folder(spark, sf, [entity])}/{entity}.json"
 
 
 def _contract_sql(entity):
@@ -183,10 +188,10 @@ def landing_manifest(spark, sf):
 def _converted(spark, sf, name, **changed):
     """Convert the drop; ``changed`` replaces the frames of some entities."""
     store = _own_store(spark, sf, name)
-    paths = {e: _path(spark, sf, e) for e in ENTITIES}
+    paths = {e: _path(spark, sf, e) for e in ENTITIES if e not in changed}
     for entity, rows in changed.items():
         paths[entity] = f"{store.path('drop', entity)}.json"
-        rows.write.option("ignoreNullFields", False).json(paths[entity])
+        write_drop(rows, paths[entity])
     try:
         convert.convert_drop(store, paths, "2001-08-02", "batch", arrays=False)
     except convert.ConversionFailed:
@@ -286,7 +291,7 @@ def _changed_orders(spark, sf):
 
 def _changed_path(spark, sf, name):
     path = f"{_own_store(spark, sf, name).root}/orders.json"
-    _changed_orders(spark, sf).write.option("ignoreNullFields", False).json(path)
+    write_drop(_changed_orders(spark, sf), path)
     return path
 
 
@@ -374,7 +379,7 @@ def drop_states(spark, sf):
     folder = store.path("drop", "").rstrip("/")
     seen = [drops.inspect_drop(spark, folder).status]
     for entity in ENTITIES:
-        as_json(spark, sf, entity).write.json(f"{folder}/{entity}.json")
+        as_json(spark, sf, entity).write.json(f"{folder}/{entity}.json", compression="gzip")
     ready = drops.inspect_drop(spark, folder, drops.last_fingerprint(store))
     seen.append(ready.status)
     drops.mark_processed(store, ready, "2001-08-02", "run")

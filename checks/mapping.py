@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.operators.latest import latest_per_key
+from galley.operators.latest import LINEAGE, latest_per_key
 
 FIRST_LOAD = dt.date(1995, 1, 1)
 SECOND_LOAD = dt.date(1998, 6, 1)
@@ -88,9 +88,14 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_order_items(table(spark, sf_dir, "lineitem"))
+
+
+def _as_order_items(lines: DataFrame, *kept: str) -> DataFrame:
+    """Lines as the source has them, with columns of the table that are to be kept."""
     quantity = F.col("l_quantity").cast("bigint")
     total = F.col("l_extendedprice").cast("decimal(18,2)").cast("double")
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = lines.select(
         _id("O", "l_orderkey").alias("order_id"),
         _id("P", "l_partkey").alias("product_id"),
         F.lit(None).cast("string").alias("product_name"),
@@ -100,13 +105,20 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         total.alias("line_total_ngn"),
         F.col("l_shipdate").alias("_loaded_at"),
         F.col("l_suppkey").alias("_supplier"),
+        *kept,
     )
     return _lineage(rows, "order_items", F.col("_loaded_at"), "b1")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = latest_per_key(order_items(spark, sf_dir), ["order_id", "product_id"])
-    totals = lines.groupBy("order_id").agg(
+    # the lines are shuffled once, as the table has them and by order: their latest versions,
+    # the totals and the join with the heads all follow that layout
+    keys = ["l_orderkey", "l_partkey"]
+    needed = [*keys, "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+    items = _as_order_items(table(spark, sf_dir, "lineitem").select(*needed).repartition("l_orderkey"), *keys)
+    tie = F.xxhash64(*[F.col(c) for c in items.columns if c not in keys])
+    lines = latest_per_key(items, keys, [*LINEAGE, tie])
+    totals = lines.groupBy("l_orderkey").agg(
         F.min(_id("S", "_supplier")).alias("store_id"),
         F.count("*").alias("_lines"),
         F.sum("qty").alias("qty_total"),
@@ -124,10 +136,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     promo = (
         F.when(k % 10 == 0, "WKND20").when(k % 10 == 1, "MIDWEEK15").when(k % 10 == 2, "")
     )
-    heads = table(spark, sf_dir, "orders").withColumn("order_id", _id("O", "o_orderkey"))
+    heads = table(spark, sf_dir, "orders")
     extra = F.when(k % 101 == 0, 1).otherwise(0)
-    rows = heads.join(totals, "order_id", "left").select(
-        "order_id",
+    rows = heads.join(totals, heads.o_orderkey == totals.l_orderkey, "left").select(
+        _id("O", "o_orderkey").alias("order_id"),
         (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"))).alias("order_ts"),
         "store_id",
         _id("C", "o_custkey").alias("customer_id"),
@@ -177,7 +189,10 @@ def deliveries(placed: DataFrame) -> DataFrame:
 
 def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provider records: many versions per delivery, times as ISO text."""
-    events = table(spark, sf_dir, "events")
+    return _as_feed_records(table(spark, sf_dir, "events"))
+
+
+def _as_feed_records(events: DataFrame, *kept: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
 
     def iso(when: Column) -> Column:
@@ -212,24 +227,28 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("distance_km"),
         iso(plus(F.lit(-65))).alias("created_at"),
         iso(F.col("ts")).alias("updated_at"),
-        F.col("event_id").alias("_event"),
+        *kept,
     )
 
 
 def feed_pages(spark: SparkSession, sf_dir: str, groups: int = 1, where: Column | None = None) -> DataFrame:
     """The records in response envelopes of about one hundred.
 
-    With ``groups``, all records of a delivery are in envelopes of the same ``_group``.
+    With ``groups``, all records of a delivery are in envelopes of the same ``_group``, and
+    in the same file. The events are shuffled once and before their times become text.
     """
-    records = feed_records(spark, sf_dir)
+    events = table(spark, sf_dir, "events").withColumns(
+        {
+            "_group": F.pmod(F.xxhash64(_id("D", "user_id")), F.lit(groups)),
+            "_page": (F.col("event_id") / (100 * groups)).cast("bigint"),
+        }
+    )
+    events = events.repartition(groups, "_group") if groups > 1 else events.repartition("_page")
+    records = _as_feed_records(events, "_group", "_page")
     if where is not None:
         records = records.where(where)
-    columns = [c for c in records.columns if c != "_event"]
-    group = F.pmod(F.xxhash64("delivery_id"), F.lit(groups)).alias("_group")
-    page = (F.col("_event") / (100 * groups)).cast("bigint").alias("_page")
-    pages = records.groupBy(group, page).agg(F.collect_list(F.struct(*columns)).alias("data"))
-    if groups > 1:
-        pages = pages.repartition(groups, "_group")
+    columns = [c for c in records.columns if c not in ("_group", "_page")]
+    pages = records.groupBy("_group", "_page").agg(F.collect_list(F.struct(*columns)).alias("data"))
     return pages.select(
         "data",
         F.struct(
