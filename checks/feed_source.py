@@ -18,11 +18,8 @@ _LANDED: dict[str, str] = {}
 def landed_root(spark, sf) -> str:
     store = lake(spark, sf).store
     if store.root not in _LANDED:
-        pages = mapping.feed_pages(spark, sf).repartition(4)
-        for _ in range(2):  # a landing that is tried again changes nothing
-            _LANDED[store.root] = land_pages(
-                pages, store.path("landing", "pages"), PROVIDER, SOURCE, LANDED
-            )
+        root = store.path("landing", "pages")
+        _LANDED[store.root] = land_pages(mapping.feed_pages(spark, sf), root, PROVIDER, SOURCE, LANDED, pages_per_file=250)
     return _LANDED[store.root]
 
 
