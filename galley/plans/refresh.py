@@ -16,7 +16,7 @@ lineage of the run that wrote them.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -53,6 +53,7 @@ _SUMS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "product_sums": ("fact_order_items", views.product_sums),
     "customer_sums": ("order_sales", lambda sales: views.customer_sums(sales, MONTH)),
 }
+_SALES_FACTS = ("fact_orders", "fact_order_items")
 
 
 def by_month(df: DataFrame) -> DataFrame:
@@ -133,8 +134,9 @@ def touched_months(
     staged: Mapping[str, DataFrame], digests: DataFrame, before: Mapping[str, DataFrame | None], dims: Tables
 ) -> dict[str, Months]:
     """The months of each fact that a full rebuild would make otherwise; None for all."""
+    facts = [fact for fact in _STAGED if _STAGED[fact] in staged]
     if any(before[n] is None for n in ("month_digests", "dim_store", "dim_customer", "dim_product")):
-        return dict.fromkeys(_STAGED)
+        return dict.fromkeys(facts)
     differing = _differing(digests, before["month_digests"].select(digests.columns))
     by_rows = differing.select("staged", MONTH).distinct().collect()  # a row per calendar month
     spans = shifted_spans(before["dim_store"], dims["dim_store"])
@@ -154,7 +156,7 @@ def touched_months(
             months |= _set(lookup(dated, spans, {"store_id": "_store"}, "left_semi", residual=inside))
         return months
 
-    return together({fact: lambda fact=fact: of(fact) for fact in _STAGED})
+    return together({fact: lambda fact=fact: of(fact) for fact in facts})
 
 
 def _dimensions(store: TableStore, t: Mapping[str, DataFrame], before: Mapping[str, DataFrame | None], run: AuditRun) -> Tables:
@@ -189,15 +191,27 @@ def _dimensions(store: TableStore, t: Mapping[str, DataFrame], before: Mapping[s
     return together({n: lambda n=n, b=b: store.replace("marts", n, b()) for n, b in builds.items()})
 
 
-def refresh_marts(store: TableStore, t: Mapping[str, DataFrame], run: AuditRun) -> tuple[Tables, dict[str, Months]]:
+def _facts_of(sums: Collection[str]) -> list[str]:
+    """The facts that sums are made from."""
+    sources = {_SUMS[name][0] for name in sums}
+    return [fact for fact in _STAGED if fact in sources or (fact in _SALES_FACTS and "order_sales" in sources)]
+
+
+def refresh_marts(
+    store: TableStore, t: Mapping[str, DataFrame], run: AuditRun, sums: Collection[str] = tuple(_SUMS)
+) -> tuple[Tables, dict[str, Months]]:
     """Bring all marts and the sums of the views up to the staged tables.
 
+    A store that serves some views only names their ``sums``, the same ones on every run:
+    facts that none of them is made from are not built, and their staged tables not needed.
+
     Returns the marts and the months written of each table laid out by month (None: all, as
     on the first run). Run it in a release, so that all tables count together.
     """
     names = ("dim_store", "dim_customer", "dim_product", "dim_channel", "dim_payment_method", "dim_promo")
     before = {n: store.latest("marts", n) for n in (*names, "month_digests")}
-    staged = {n: by_month(t[n]) for n in _STAGED.values()}
+    facts = _facts_of(sums)
+    staged = {_STAGED[fact]: by_month(t[_STAGED[fact]]) for fact in facts}
     built = _dimensions(store, t, before, run)
     digests = store.replace("marts", "month_digests", month_digests(staged).coalesce(1))
     months = touched_months(staged, digests, before, built)
@@ -229,29 +243,33 @@ def refresh_marts(store: TableStore, t: Mapping[str, DataFrame], run: AuditRun)
         rows = only(staged[_STAGED[name]], touched)
         return put(name, lambda: getattr(marts, name)(rows, *extra[name]), touched)
 
-    built |= together({name: lambda name=name: fact(name) for name in _STAGED})
+    built |= together({name: lambda name=name: fact(name) for name in facts})
 
-    # an order and its lines share the order's time, so they lie in the same month
-    touched = due("order_sales", "fact_orders", "fact_order_items")
-    parts = [only(built[n], touched) for n in ("fact_orders", "fact_order_items")]
-    built["order_sales"] = put("order_sales", lambda: marts.order_sales(*parts), touched)
+    if any(_SUMS[name][0] == "order_sales" for name in sums):
+        # an order and its lines share the order's time, so they lie in the same month
+        touched = due("order_sales", *_SALES_FACTS)
+        parts = [only(built[n], touched) for n in _SALES_FACTS]
+        built["order_sales"] = put("order_sales", lambda: marts.order_sales(*parts), touched)
 
     def summed(name: str) -> DataFrame:
         source, build = _SUMS[name]
         touched = due(name, source)
         return put(name, lambda: build(only(built[source], touched)), touched)
 
-    built |= together({name: lambda name=name: summed(name) for name in _SUMS})
+    built |= together({name: lambda name=name: summed(name) for name in sums})
     return built, months
 
 
-def stored_views(store: TableStore) -> Tables:
+VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "vw_sales_performance": (views.named_sales, ("sales_sums", "dim_date", "dim_store", "dim_channel")),
+    "vw_delivery_performance": (views.named_deliveries, ("delivery_sums", "dim_date", "dim_store")),
+    "vw_product_performance": (
+        views.named_products, ("product_sums", "dim_date", "dim_store", "dim_channel", "dim_product")
+    ),
+    "vw_customer_summary": (views.named_customers, ("customer_sums", "dim_customer")),
+}
+
+
+def stored_views(store: TableStore, names: Collection[str] = tuple(VIEWS)) -> Tables:
     """The report views from their stored sums. Give it a snapshot for one release."""
-    t = {n: store.read("marts", n) for n in (*_SUMS, "dim_date", "dim_store", "dim_channel", "dim_product", "dim_customer")}
-    days, stores, channels = t["dim_date"], t["dim_store"], t["dim_channel"]
-    return {
-        "vw_sales_performance": views.named_sales(t["sales_sums"], days, stores, channels),
-        "vw_delivery_performance": views.named_deliveries(t["delivery_sums"], days, stores),
-        "vw_product_performance": views.named_products(t["product_sums"], days, stores, channels, t["dim_product"]),
-        "vw_customer_summary": views.named_customers(t["customer_sums"], t["dim_customer"]),
-    }
+    return {name: VIEWS[name][0](*[store.read("marts", table) for table in VIEWS[name][1]]) for name in names}

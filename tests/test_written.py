@@ -42,3 +42,40 @@ def test_lines_and_events_are_shuffled_once(spark):
     plan = str(orders._jdf.queryExecution().executedPlan())
     assert plan.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(order_id" not in plan
     assert shuffles(mapping.feed_pages(spark, SF_DIR)) == shuffles(mapping.feed_pages(spark, SF_DIR, 6)) == 1
+
+
+def test_a_store_of_one_view_has_only_what_the_view_is_made_from(spark):
+    from checks.refreshed import refreshed
+
+    store = refreshed(spark, SF_DIR, "vw_delivery_performance")
+    assert store.exists("marts", "delivery_sums") and store.exists("marts", "fact_deliveries")
+    for table in ("fact_orders", "fact_order_items", "order_sales", "sales_sums", "product_sums", "customer_sums"):
+        assert not store.exists("marts", table)
+
+
+def test_without_hot_orders_lines_are_shuffled_once(spark, monkeypatch):
+    from galley.operators import joins
+    from galley.plans import staging
+
+    own = Lake(spark, SF_DIR)
+    lines, orders = own.source("order_items"), own.staged("int_orders")
+    small = staging.int_order_items(lines, orders, "b").collect()
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    plain = staging.int_order_items(lines, orders, "b")
+    plan = str(plain._jdf.queryExecution().executedPlan())
+    assert plan.count("hashpartitioning(") == 2 and "_salt" not in plan  # lines, orders
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    monkeypatch.setattr(joins, "may_have_hot_keys", lambda *_: True)
+    salted = staging.int_order_items(lines, orders, "b")
+    assert "_salt" in str(salted._jdf.queryExecution().executedPlan())
+    assert sorted(map(str, small)) == sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
+
+
+def test_hot_keys_are_ruled_out_by_shares(spark):
+    from galley.operators.joins import may_have_hot_keys
+
+    rows = spark.range(1000).selectExpr("id AS k", "IF(id < 30, NULL, id) AS n")
+    assert not may_have_hot_keys(rows, ["k"], 20) and may_have_hot_keys(rows, ["n"], 20)
