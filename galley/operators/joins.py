@@ -13,6 +13,8 @@ HOT_ROWS = 2_000_000
 NULL_KEY_SALTS = 1 << 20
 # compressed columns take so many times their size as rows
 EXPANSION = 4
+# parts of the hash range in which rows are counted to rule hot keys out
+SHARES = 1 << 16
 LOOKUP_KINDS = ("left", "inner", "left_semi", "left_anti")
 
 
@@ -22,6 +24,15 @@ def planned_bytes(df: DataFrame) -> int:
     return EXPANSION * int(str(stats.sizeInBytes()))
 
 
+def may_have_hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether some key can have more than ``hot_rows`` rows, NULL included.
+
+    Rows are counted by shares of the hash range, so what is shuffled does not grow with them.
+    """
+    share = F.pmod(F.xxhash64(*keys), F.lit(SHARES)).alias("_share")
+    return not rows.groupBy(share).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).isEmpty()
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
@@ -45,7 +56,8 @@ def lookup(
     key with more than ``hot_rows`` rows on the left is spread over as many salts as it
     takes to get back to that size; only the right rows of such keys are repeated. Rows
     with a NULL key match nothing and are spread as well. ``hot_from`` names a cheaper
-    frame to count the keys on, such as the stored table ``left`` was derived from.
+    frame to count the keys on, such as the stored table ``left`` was derived from. If that
+    rules hot keys out, the join is a plain one, which follows a layout of ``left`` by the keys.
     """
     if how not in LOOKUP_KINDS:
         raise ValueError(f"a lookup is one of {LOOKUP_KINDS}, not {how}: others would repeat right rows per salt")
@@ -60,6 +72,8 @@ def lookup(
 
     if planned_bytes(right) <= limit:
         return left.join(F.broadcast(right), _all(conditions), how).drop(*inner_names)
+    if hot_from is not None and not may_have_hot_keys(hot_from, [*pairs], many):
+        return left.join(right, _all(conditions), how).drop(*inner_names)
 
     # at most rows / hot_rows keys, so this side is small by construction
     hot = F.broadcast(

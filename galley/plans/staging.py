@@ -19,7 +19,7 @@ from galley.functions import (
     year_of,
 )
 from galley.operators.durable import pin
-from galley.operators.joins import lookup
+from galley.operators.joins import lookup, may_have_hot_keys
 from galley.operators.latest import latest_per_key
 
 # Stands for a missing order id while orders are matched with themselves.
@@ -134,8 +134,11 @@ def int_deliveries(raw: DataFrame, batch_id: str) -> DataFrame:
 def int_order_items(raw: DataFrame, orders: DataFrame, batch_id: str) -> DataFrame:
     """Current lines with the store, channel, time and promotion flag of their order.
 
-    ``orders`` is the staged order table.
+    ``orders`` is the staged order table. Without hot orders the lines are shuffled once, by
+    order: their current versions and the join with the orders follow that layout.
     """
+    if not may_have_hot_keys(raw, ["order_id"]):
+        raw = raw.repartition("order_id")
     lines = _current(raw, "order_id", "product_id").select(
         "order_id",
         "product_id",
