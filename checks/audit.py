@@ -46,6 +46,17 @@ def audit(spark, sf) -> QualityAudit:
     return QualityAudit(tables(spark, sf), RUN)
 
 
+def _shared_audit(spark, sf) -> QualityAudit:
+    """The one audit behind the stored results and exceptions, so that tables are tagged once."""
+
+    def prepared() -> QualityAudit:
+        found = audit(spark, sf)
+        found.prepare()
+        return found
+
+    return lake(spark, sf).shared("audit", prepared)
+
+
 # oracles -----------------------------------------------------------------------------
 
 _EARLIEST, _TODAY = mapping.EARLIEST_ORDER, mapping.RUN_DATE
@@ -193,11 +204,11 @@ TABLES["recon"] = f"""
 
 
 def _stored_results(spark, sf):
-    return lake(spark, sf).audited("data_quality_results", lambda: audit(spark, sf).results())
+    return lake(spark, sf).audited("data_quality_results", lambda: _shared_audit(spark, sf).results())
 
 
 def _stored_exceptions(spark, sf):
-    return lake(spark, sf).audited("data_quality_exceptions", lambda: audit(spark, sf).exceptions())
+    return lake(spark, sf).audited("data_quality_exceptions", lambda: _shared_audit(spark, sf).exceptions())
 
 
 def _stored_recon(spark, sf):

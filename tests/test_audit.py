@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from checks import audit as stored_audits
 from galley.plans import quality
 from galley.plans.quality_texts import CHECKS
 
@@ -155,3 +156,15 @@ def test_history_replaces_a_run_even_by_nothing(spark, store):
     assert sorted((r["run_id"], r["n"]) for r in kept) == [
         ("manual__2024-05-01T00:00:00+00:00", 1), ("manual__2024-05-01T00:00:00+00:00", 2),
     ]
+
+
+def test_stored_results_and_exceptions_share_one_audit(spark, tmp_path, monkeypatch):
+    (tmp_path / "sf").symlink_to("/root/testdata/sf0.001")  # a warehouse of its own
+    runs, original = [], quality.tag_items
+    monkeypatch.setattr(quality, "tag_items", lambda *tables: (runs.append(1), original(*tables))[1])
+    sf = f"{tmp_path}/sf"
+    results, exceptions = stored_audits._stored_results(spark, sf), stored_audits._stored_exceptions(spark, sf)
+    counts = {r["check_name"]: r["n"] for r in exceptions.groupBy("check_name").agg(F.count("*").alias("n")).collect()}
+    observed = {r["check_name"]: r["observed_value"] for r in results.collect()}
+    assert counts and all(observed[name] == n for name, n in counts.items() if not name.startswith("duplicate"))
+    assert len(runs) == 1
