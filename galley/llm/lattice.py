@@ -1,8 +1,8 @@
 """Encoding with a piece vocabulary as a relational lattice, and decoding.
 
 Distinct words explode into their substrings up to the longest piece; an equal join with
-the piece table leaves the lattice's edges, which are grouped by word, sorted by their ends
-and folded by ``aggregate`` into the best path. Documents then take their words' ids from
+the piece table leaves the lattice's edges, which are sorted by word and end and folded,
+many words side by side, into the best paths. Documents then take their words' ids from
 dictionaries, one for each part of the input, which hold what the lattice found for the
 words of that part. A word that a dictionary lacks (one longer than ``longest_word``, or
 one of a part that was cut differently when it was read again) is solved where it is met
@@ -32,7 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.common import as_text, distinct_words, ranges, schema_of, shared_path, slices, small_batches
+from galley.llm.common import as_text, ranges, schema_of, shared_path, slices
+from galley.llm.jaccard import word_hashes
 from galley.llm.unigram import SPACE, Vocabulary
 
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -93,145 +94,200 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 def _words_by_part(longest: int):
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), set()
+        # hashes of the words given out: one that shares its hash is solved where it is met
+        part, seen = TaskContext.get().partitionId(), np.zeros(0, np.uint64)
         for batch in slices(batches, "__llm_text"):
-            _, names = distinct_words(words_of(as_text(batch.column("__llm_text")))[1])
-            fresh = [n for n in names if len(n) < longest and n not in seen]
-            seen.update(fresh)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(fresh), pa.int32()), pa.array([SPACE + n for n in fresh], pa.string())], names=["part", "word"]
-            )
+            names = pc.unique(words_of(as_text(batch.column("__llm_text")))[1])
+            names = names.filter(pc.less(pc.utf8_length(names), longest)).cast(pa.string())
+            if not len(names):
+                continue
+            words = pc.binary_join_element_wise(pa.scalar(SPACE), names, "")
+            hashes = word_hashes(words.cast(pa.large_string()))
+            words = words.filter(pa.array(~np.isin(hashes, seen)))
+            seen = np.union1d(seen, hashes)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), part, np.int32)), words], names=["part", "word"])
 
     return collect
 
 
 def piece_table(spark, words: Vocabulary) -> DataFrame:
-    rows = [(p, k, float(s)) for k, (p, s) in enumerate(zip(words.pieces, words.scores, strict=True)) if p]
-    return spark.createDataFrame(rows, "piece string, id int, piece_score double")
+    return spark.createDataFrame([(p, k) for k, p in enumerate(words.pieces) if p], "piece string, id int")
 
 
-def solved(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``word`` and its ``ids``; ``words`` has distinct words of bounded length.
+def edges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary, longest_word: int) -> DataFrame:
+    """``key`` and ``id`` of the edges of words, sorted by key; ``words`` has distinct ones of bounded length.
 
-    An edge is one number (end, start, piece), so that sorting edges is sorting numbers,
-    and its score. The piece of an unknown character is one past the vocabulary until the
-    path is known.
+    A key is a number (word in its partition, end, start). Every word's first edge, the one
+    that ends after a character, has the ``word`` and its ``parts``. The piece of an unknown
+    character is one past the vocabulary.
     """
-    longest, unknown = max(map(len, vocabulary.pieces)), len(vocabulary.pieces)
-    starts = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    longest, unknown, bits = max(map(len, vocabulary.pieces)), len(vocabulary.pieces), longest_word.bit_length()
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    starts = words.select(number.alias("number"), "word", "parts").select(
+        "*", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start")
+    )
+    starts = starts.select("number", "start", F.when(F.col("start") == 0, F.col("parts")).alias("parts"), "word")
     last = F.least(F.length("word"), F.col("start") + longest)
-    spans = starts.select("word", "start", F.explode(F.sequence(F.col("start") + 1, last)).alias("stop"))
+    spans = starts.select("*", F.explode(F.sequence(F.col("start") + 1, last)).alias("stop"))
     spans = spans.withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("stop") - F.col("start")))
-    key = F.shiftleft(F.col("stop").cast("long"), 42) + F.shiftleft(F.col("start").cast("long"), 21)
+    key = F.shiftleft("number", 2 * bits) + F.shiftleft(F.col("stop").cast("long"), bits) + F.col("start")
+    first = F.col("stop") == 1
     # the piece table is a tokenizer's vocabulary, whatever the corpus
-    edges = (
+    return (
         spans.join(F.broadcast(pieces), "piece", "left")
         .filter(F.col("id").isNotNull() | (F.col("stop") - F.col("start") == 1))
         .select(
-            "word",
-            (key + F.coalesce("id", F.lit(unknown))).alias("key"),
-            F.coalesce("piece_score", F.lit(vocabulary.unknown_score)).alias("score"),
+            key.alias("key"),
+            F.coalesce("id", F.lit(unknown)).alias("id"),
+            F.when(first, F.col("word")).alias("word"),
+            F.when(first, F.col("parts")).alias("parts"),
         )
+        .sortWithinPartitions("key")
     )
-    state = "array<struct<score:double,path:array<bigint>>>"
-    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<bigint>").alias("path"))).cast(state)
-    field = (1 << 21) - 1
-
-    def step(found, edge):
-        stop = F.shiftright(edge["key"], 42).cast("int")
-        before = found[F.shiftright(edge["key"], 21).bitwiseAND(field).cast("int")]
-        score = before["score"] + edge["score"]
-        path = F.array(F.struct(score.alias("score"), F.array_append(before["path"], edge["key"]).alias("path"))).cast(state)
-        return (
-            F.when(F.size(found) <= stop, F.concat(found, path))
-            .when(score > found[stop]["score"], F.concat(F.slice(found, F.lit(1), stop), path))
-            .otherwise(found)
-        )
-
-    of_byte = F.array(*(F.lit(k) for k in byte_ids(vocabulary)))
-
-    def ids_of(edge):
-        piece = edge.bitwiseAND(field).cast("int")
-        start = F.shiftright(edge, 21).bitwiseAND(field).cast("int")
-        character = F.col("word").substr(start + 1, F.lit(1))
-        in_bytes = F.transform(
-            F.sequence(F.lit(0), F.octet_length(character) - 1),
-            lambda k: of_byte[F.conv(F.substring(F.hex(character), 2 * k + 1, F.lit(2)), 16, 10).cast("int")],
-        )
-        return F.when(piece == unknown, in_bytes).otherwise(F.array(piece))
-
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("key", "score"))).alias("edges"))
-    folded = grouped.select("word", F.aggregate("edges", begin, step, lambda found: F.element_at(found, -1)["path"]).alias("path"))
-    return folded.select("word", F.flatten(F.transform("path", ids_of)).alias("ids"))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (part, word, ids) as one compressed dictionary per batch and part."""
-    press = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        part = batch.column("part").to_numpy()
-        order = np.argsort(part, kind="stable")
-        cuts = [0, *(np.flatnonzero(np.diff(part[order])) + 1), len(order)]
+class Folder:
+    """Best paths of words from their edges."""
+
+    def __init__(self, vocabulary: Vocabulary, longest_word: int):
+        self.bits, self.unknown = longest_word.bit_length(), len(vocabulary.pieces)
+        self.scores = np.array([*vocabulary.scores, vocabulary.unknown_score])
+        self.bytes = byte_ids(vocabulary)
+
+    def paths(self, keys: np.ndarray, ids: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and the ids; edges are sorted and ``words`` in their order."""
+        mask = (1 << self.bits) - 1
+        start, stop = keys & mask, (keys >> self.bits) & mask
+        new = np.concatenate(([True], np.diff(keys >> 2 * self.bits) != 0))
+        word = np.cumsum(new) - 1
+        size = stop[np.concatenate((np.flatnonzero(new)[1:], [len(keys)])) - 1]
+        base = np.cumsum(size + 1) - (size + 1)
+        best, through = np.zeros(int((size + 1).sum())), np.zeros(int((size + 1).sum()), np.int64)
+        score, source, target = self.scores[ids], base[word] + start, base[word] + stop
+        by_stop = np.argsort(stop, kind="stable")
+        cuts = np.searchsorted(stop[by_stop], np.arange(1, int(size.max()) + 2))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # all edges that end at the same place of their words
+            mine = by_stop[a:b]
+            total, group = best[source[mine]] + score[mine], target[mine]
+            heads = np.flatnonzero(np.concatenate(([True], np.diff(group) != 0)))
+            top = np.maximum.reduceat(total, heads)
+            best[group[heads]] = top
+            winners = np.flatnonzero(total == np.repeat(top, np.diff(np.concatenate((heads, [len(mine)])))))
+            # of equal scores the edge that starts first, which is the longest one
+            ends, at = np.unique(group[winners], return_index=True)
+            through[ends] = mine[winners[at]]
+        steps, place = [], base + size
+        while len(place := place[place > base[self._owner(base, place)]]):
+            steps.append(through[place])
+            place = source[steps[-1]]
+        taken = np.sort(np.concatenate(steps))  # edges of a path ascend with its ends
+        found, counts = ids[taken], np.ones(len(taken), np.int64)
+        odd = np.flatnonzero(found == self.unknown)
+        own = [[self.bytes[b] for b in words[int(word[e])].as_py()[int(start[e])].encode("utf-8", "surrogatepass")] for e in taken[odd]]
+        counts[odd] = [len(x) for x in own]
+        out = np.repeat(found, counts)
+        out[np.repeat(found == self.unknown, counts)] = [k for x in own for k in x]
+        return np.bincount(word[taken], counts, len(size)).astype(np.int64), out
+
+    @staticmethod
+    def _owner(base: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(base, place, "right") - 1
+
+
+def id_type(vocabulary: Vocabulary) -> type:
+    return np.uint16 if len(vocabulary.pieces) <= 1 << 16 else np.int32
+
+
+def _packed(vocabulary: Vocabulary, longest_word: int, at_once: int = 1 << 19):
+    """Sorted edges as one compressed dictionary for each part and ``at_once`` edges or so."""
+    folder, dtype = Folder(vocabulary, longest_word), id_type(vocabulary)
+    schema = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary())])
+
+    def pack(edges: pa.Table, press: zstandard.ZstdCompressor) -> pa.RecordBatch:
+        edges = edges.combine_chunks()
+        named = edges.filter(pc.is_valid(edges.column("word"))).combine_chunks()
+        words, parts = (named.column(c).combine_chunks() for c in ("word", "parts"))
+        lengths, ids = folder.paths(edges.column("key").to_numpy(), edges.column("id").to_numpy(), words)
+        starts = np.cumsum(lengths) - lengths
+        words = pc.utf8_slice_codeunits(words, 1)
+        rank = np.empty(len(words), np.int64)
+        rank[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
+        owner = np.repeat(np.arange(len(words)), pc.list_value_length(parts).to_numpy())
+        part = parts.flatten().to_numpy()
+        order = np.lexsort((rank[owner], part))
+        cuts = [*np.flatnonzero(np.concatenate(([True], np.diff(part[order]) != 0))), len(order)]
         rows: dict[str, list] = {"part": [], "words": [], "lengths": [], "ids": []}
         for a, b in zip(cuts, cuts[1:], strict=False):
-            if b > a:
-                mine = pa.array(order[a:b])
-                ids = batch.column("ids").take(mine)
-                rows["part"].append(int(part[order[a]]))
-                rows["words"].append(press.compress(" ".join(batch.column("word").take(mine).to_pylist()).encode("utf-8", "surrogatepass")))
-                rows["lengths"].append(press.compress(pc.list_value_length(ids).to_numpy().astype(np.int32).tobytes()))
-                rows["ids"].append(press.compress(ids.flatten().to_numpy().astype(np.int32).tobytes()))
-        yield pa.RecordBatch.from_pydict(
-            rows, pa.schema([("part", pa.int32()), ("words", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary())])
-        )
+            mine = owner[order[a:b]]
+            rows["part"].append(int(part[order[a]]))
+            rows["words"].append(press.compress(" ".join(words.take(pa.array(mine)).to_pylist()).encode("utf-8", "surrogatepass")))
+            rows["lengths"].append(press.compress(lengths[mine].astype(np.uint16).tobytes()))
+            rows["ids"].append(press.compress(ids[ranges(starts[mine], lengths[mine])].astype(dtype).tobytes()))
+        return pa.RecordBatch.from_pydict(rows, schema)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=5)
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= at_once:
+                rows = pa.Table.from_batches(held)
+                number = rows.column("key").to_numpy() >> 2 * folder.bits
+                cut = int(np.searchsorted(number, number[-1], "left"))
+                held = rows.slice(cut).to_batches()
+                if cut:
+                    yield pack(rows.slice(0, cut), press)
+        if sum(map(len, held)):
+            yield pack(pa.Table.from_batches(held), press)
+
+    return packed
 
 
 class Dictionary:
-    """Ids of words; those it lacks are solved and kept."""
+    """Ids of words; those it lacks are solved."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.solver = vocabulary, None
-        self.memo: dict[str, int] = {}
-        self.ids, self.lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.starts = self.lengths
 
     def load(self, folder: str, part: int) -> None:
         from pyarrow import fs
 
         system, root = fs.FileSystem.from_uri(folder)
         there = system.get_file_info(fs.FileSelector(f"{root}/part={part}", allow_not_found=True))
+        words, lengths, ids = [self.words], [self.lengths], [self.ids]
         for info in there:
             if info.path.endswith(".parquet"):
                 with system.open_input_file(info.path) as file:
                     table = pq.read_table(file, columns=["words", "lengths", "ids"])
                 for row in table.to_pylist():
-                    words, lengths, ids = (zstandard.decompress(row[k]) for k in ("words", "lengths", "ids"))
-                    self._add(words.decode("utf-8", "surrogatepass").split(" "), np.frombuffer(lengths, np.int32), np.frombuffer(ids, np.int32))
-        self._settle()
-
-    def _add(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        at = len(self.memo)
-        self.memo.update(zip(words, range(at, at + len(words)), strict=True))
-        self.ids.append(ids)
-        self.lengths.append(lengths.astype(np.int64))
-
-    def _settle(self) -> None:
-        self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
-        self.starts = np.cumsum(self.lengths[0]) - self.lengths[0]
+                    text = pa.array([zstandard.decompress(row["words"])], pa.large_binary()).cast(pa.large_string())
+                    words.append(pc.split_pattern(text, " ").flatten())
+                    lengths.append(np.frombuffer(zstandard.decompress(row["lengths"]), np.uint16).astype(np.int64))
+                    ids.append(np.frombuffer(zstandard.decompress(row["ids"]), id_type(self.vocabulary)).astype(np.int32))
+        self.words = pa.concat_arrays(words)
+        self.lengths, self.ids = np.concatenate(lengths), np.concatenate(ids)
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of texts into the ids, and the ids."""
         offsets, words = words_of(texts)
-        numbers, names = distinct_words(words)
-        names = [SPACE + n for n in names]
-        missing = [n for n in names if n not in self.memo]
-        if missing:
+        coded = words.dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        at = pc.fill_null(pc.index_in(coded.dictionary, self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = np.flatnonzero(at < 0)
+        starts, lengths, ids = self.starts, self.lengths, self.ids
+        if len(missing):
             self.solver = self.solver or Solver(self.vocabulary)
-            found = [self.solver.ids(n) for n in missing]
-            self._add(missing, np.array([len(f) for f in found]), np.array([k for f in found for k in f], np.int32))
-            self._settle()
-        at = np.array([self.memo[n] for n in names], np.int64)[numbers]
-        lengths = self.lengths[0][at]
-        return np.concatenate(([0], np.cumsum(lengths)))[offsets], self.ids[0][ranges(self.starts[at], lengths)]
+            found = [self.solver.ids(SPACE + coded.dictionary[int(k)].as_py()) for k in missing]
+            at[missing] = len(lengths) + np.arange(len(missing))
+            more = np.array([len(f) for f in found], np.int64)
+            starts = np.concatenate((starts, len(ids) + np.cumsum(more) - more))
+            lengths, ids = np.concatenate((lengths, more)), np.concatenate((ids, np.array([k for f in found for k in f], np.int32)))
+        at = at[numbers]
+        return np.concatenate(([0], np.cumsum(lengths[at])))[offsets], ids[ranges(starts[at], lengths[at])]
 
 
 def _encoded(folder: str, vocabulary: Vocabulary):
@@ -247,21 +303,29 @@ def _encoded(folder: str, vocabulary: Vocabulary):
     return encode
 
 
-def encode(docs: DataFrame, keep: list[str], vocabulary: Vocabulary, text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """The columns ``keep`` of every document with the ``ids`` of its pieces."""
+def _with_texts(folder: str, vocabulary: Vocabulary):
+    encode, decode = _encoded(folder, vocabulary), _decoded(vocabulary)
+    return lambda batches: decode(encode(batches))
+
+
+def encode(
+    docs: DataFrame, keep: list[str], vocabulary: Vocabulary, text: str = "text", settings: Settings = Settings(), with_decoded: bool = False
+) -> DataFrame:
+    """The columns ``keep`` of every document with the ``ids`` of its pieces.
+
+    ``with_decoded`` adds what ``decode`` would, in the same pass over the documents.
+    """
     spark = docs.sparkSession
     source = docs.select(*keep, F.col(f"`{text}`").cast("string").alias("__llm_text"))
-    # rows of a word stay together from here on: one shuffle serves lattice and join
-    uses = source.select("__llm_text").mapInArrow(_words_by_part(settings.longest_word), "part int, word string").repartition("word")
-    distinct = uses.groupBy("word").agg(F.min("part").alias("part")).select("word")  # needs both columns, so the shuffle is shared
-    found = solved(distinct, piece_table(spark, vocabulary), vocabulary)
+    uses = source.select("__llm_text").mapInArrow(_words_by_part(settings.longest_word), "part int, word string")
+    words = uses.groupBy("word").agg(F.collect_list("part").alias("parts"))
+    found = edges(words, piece_table(spark, vocabulary), vocabulary, settings.longest_word)
     folder = shared_path(spark, "lattice-dictionaries")
     folder = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
-    packed = uses.join(found, "word").select("part", "word", "ids").mapInArrow(_packed, "part int, words binary, lengths binary, ids binary")
-    with small_batches(spark):
-        packed.repartition("part").write.partitionBy("part").parquet(folder)
-    head = ", ".join([schema_of(source, keep)] * bool(keep) + ["ids array<int>"])
-    return source.mapInArrow(_encoded(folder, vocabulary), head)
+    packed = found.mapInArrow(_packed(vocabulary, settings.longest_word), "part int, words binary, lengths binary, ids binary")
+    packed.repartition("part").write.partitionBy("part").parquet(folder)
+    head = ", ".join([schema_of(source, keep)] * bool(keep) + ["ids array<int>"] + ["decoded string"] * with_decoded)
+    return source.mapInArrow((_with_texts if with_decoded else _encoded)(folder, vocabulary), head)
 
 
 def decoded(ids: np.ndarray, pieces: np.ndarray, bytes_of: np.ndarray) -> str:

@@ -152,8 +152,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = unigram.vocabulary(tokenizer_file("piece_bpe_32k.model"))
-    encoded = lattice.encode(table(spark, sf_dir, "documents"), ["doc_id"], words)
-    return lattice.decode(encoded, words).select(
+    return lattice.encode(table(spark, sf_dir, "documents"), ["doc_id"], words, with_decoded=True).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from galley.llm import jaccard, language, lattice, packing, pii, unigram
@@ -415,3 +416,41 @@ def test_lattice_encodes_as_the_tokenizer_and_decodes_back(spark, pieces, exact)
         assert r.ids == exact.encode(opened, add_special_tokens=False).ids, text
         assert r.decoded == spaced
     assert lattice.encode(docs.filter("false"), ["doc_id"], pieces).isEmpty()
+
+
+def test_lattice_folds_many_words_at_once_into_their_best_paths(spark, pieces):
+    solver = lattice.Solver(pieces)
+    words = sorted({"▁" + w for t in some_texts() for w in t.replace("▁", " ").split(" ") if len(w) < 64})
+    table = spark.createDataFrame([(w, [0, 1]) for w in words], "word string, parts array<int>")
+    rows = lattice.edges(table.repartition(2), lattice.piece_table(spark, pieces), pieces, 64).mapInArrow(
+        lattice._packed(pieces, 64, at_once=50), "part int, words binary, lengths binary, ids binary"
+    ).collect()
+    found = {0: {}, 1: {}}
+    for r in rows:
+        names = zstandard.decompress(r.words).decode().split(" ")
+        lengths = np.frombuffer(zstandard.decompress(r.lengths), np.uint16)
+        ids = np.frombuffer(zstandard.decompress(r.ids), lattice.id_type(pieces)).tolist()
+        for name, n in zip(names, lengths.tolist(), strict=True):
+            found[r.part][name], ids = ids[:n], ids[n:]
+    assert found[0] == found[1] == {w[1:]: solver.ids(w) for w in words}
+
+
+def test_lattice_decodes_in_the_pass_that_encodes(spark, pieces):
+    docs = documents(spark, [*enumerate(some_texts()[:40]), (None, None)])
+    both = lattice.encode(docs, ["doc_id"], pieces, with_decoded=True).collect()
+    assert both == lattice.decode(lattice.encode(docs, ["doc_id"], pieces), pieces).collect()
+
+
+def test_dictionaries_hold_no_python_strings(pieces):
+    # some 150 bytes a word as a dictionary of strings
+    import tracemalloc
+
+    names = pa.array([f"word{k}" for k in range(20_000)], pa.large_string())
+    known = lattice.Dictionary(pieces)
+    known.words, known.lengths, known.starts = names, np.ones(20_000, np.int64), np.arange(20_000)
+    known.ids = np.arange(20_000, dtype=np.int32)
+    tracemalloc.start()
+    offsets, ids = known.encode(pa.array(["word7 word19999 word7", ""], pa.large_string()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (offsets.tolist(), ids.tolist()) == ([0, 3, 3], [7, 19999, 7]) and peak < 200_000
