@@ -36,6 +36,8 @@ from galley.llm.common import as_text, ranges, schema_of, shared_path, slices
 from galley.llm.jaccard import word_hashes
 from galley.llm.unigram import SPACE, Vocabulary
 
+#: Bytes of text that are cut into words at once; words and ids take some 40 times that.
+SLICE = 1 << 20
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -92,19 +94,27 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.concatenate(([0], np.cumsum(keep)))[offsets], words.filter(pa.array(keep))
 
 
+def hashed(words: pa.Array, at_once: int = 1 << 15) -> np.ndarray:
+    """Hashes of words that stand without their space, empty ones too."""
+    space, none = pa.scalar(SPACE, pa.large_string()), pa.scalar("", pa.large_string())
+    parts = (words.slice(k, at_once) for k in range(0, len(words), at_once))
+    return np.concatenate([np.zeros(0, np.uint64), *(word_hashes(pc.binary_join_element_wise(space, p, none)) for p in parts)])
+
+
 def _words_by_part(longest: int):
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # hashes of the words given out: one that shares its hash is solved where it is met
         part, seen = TaskContext.get().partitionId(), np.zeros(0, np.uint64)
-        for batch in slices(batches, "__llm_text"):
+        for batch in slices(batches, "__llm_text", SLICE):
             names = pc.unique(words_of(as_text(batch.column("__llm_text")))[1])
-            names = names.filter(pc.less(pc.utf8_length(names), longest)).cast(pa.string())
+            names = names.filter(pc.less(pc.utf8_length(names), longest))
             if not len(names):
                 continue
-            words = pc.binary_join_element_wise(pa.scalar(SPACE), names, "")
-            hashes = word_hashes(words.cast(pa.large_string()))
-            words = words.filter(pa.array(~np.isin(hashes, seen)))
-            seen = np.union1d(seen, hashes)
+            hashes, words = hashed(names), pc.binary_join_element_wise(pa.scalar(SPACE), names.cast(pa.string()), "")
+            fresh = np.ones(len(hashes), bool)
+            if len(seen):
+                fresh = seen[np.minimum(np.searchsorted(seen, hashes), len(seen) - 1)] != hashes
+            words, seen = words.filter(pa.array(fresh)), np.sort(np.concatenate((seen, hashes[fresh])))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), part, np.int32)), words], names=["part", "word"])
 
     return collect
@@ -198,7 +208,7 @@ def id_type(vocabulary: Vocabulary) -> type:
     return np.uint16 if len(vocabulary.pieces) <= 1 << 16 else np.int32
 
 
-def _packed(vocabulary: Vocabulary, longest_word: int, at_once: int = 1 << 19):
+def _packed(vocabulary: Vocabulary, longest_word: int, at_once: int = 1 << 18):
     """Sorted edges as one compressed dictionary for each part and ``at_once`` edges or so."""
     folder, dtype = Folder(vocabulary, longest_word), id_type(vocabulary)
     schema = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary())])
@@ -248,16 +258,28 @@ class Dictionary:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.solver = vocabulary, None
-        self.words = pa.array([], pa.large_string())
-        self.ids, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
-        self.starts = self.lengths
+        self.keep(pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(0, np.int32))
+
+    def keep(self, words: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Know these words only, in the order of their hashes."""
+        hashes = hashed(words)
+        order = np.argsort(hashes)
+        self.hashes, self.words = hashes[order], words.take(pa.array(order))
+        self.lengths, self.starts, self.ids = lengths[order], (np.cumsum(lengths) - lengths)[order], ids
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where distinct words are kept, or -1; a hash finds a word, its text decides."""
+        if not len(self.words) or not len(words):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashed(words)), len(self.words) - 1)
+        return np.where(pc.equal(self.words.take(pa.array(at)), words).to_numpy(zero_copy_only=False), at, -1)
 
     def load(self, folder: str, part: int) -> None:
         from pyarrow import fs
 
         system, root = fs.FileSystem.from_uri(folder)
         there = system.get_file_info(fs.FileSelector(f"{root}/part={part}", allow_not_found=True))
-        words, lengths, ids = [self.words], [self.lengths], [self.ids]
+        words, lengths, ids = [self.words], [self.lengths], [self.ids]  # none yet
         for info in there:
             if info.path.endswith(".parquet"):
                 with system.open_input_file(info.path) as file:
@@ -267,16 +289,14 @@ class Dictionary:
                     words.append(pc.split_pattern(text, " ").flatten())
                     lengths.append(np.frombuffer(zstandard.decompress(row["lengths"]), np.uint16).astype(np.int64))
                     ids.append(np.frombuffer(zstandard.decompress(row["ids"]), id_type(self.vocabulary)).astype(np.int32))
-        self.words = pa.concat_arrays(words)
-        self.lengths, self.ids = np.concatenate(lengths), np.concatenate(ids)
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.keep(pa.concat_arrays(words), np.concatenate(lengths), np.concatenate(ids))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of texts into the ids, and the ids."""
         offsets, words = words_of(texts)
         coded = words.dictionary_encode()
         numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        at = pc.fill_null(pc.index_in(coded.dictionary, self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = self.places(coded.dictionary)
         missing = np.flatnonzero(at < 0)
         starts, lengths, ids = self.starts, self.lengths, self.ids
         if len(missing):
@@ -294,7 +314,7 @@ def _encoded(folder: str, vocabulary: Vocabulary):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary = Dictionary(vocabulary)
         dictionary.load(folder, TaskContext.get().partitionId())
-        for batch in slices(batches, "__llm_text"):
+        for batch in slices(batches, "__llm_text", SLICE):
             offsets, ids = dictionary.encode(as_text(batch.column("__llm_text")))
             kept = [n for n in batch.schema.names if n != "__llm_text"]
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))

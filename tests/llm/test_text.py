@@ -447,8 +447,7 @@ def test_dictionaries_hold_no_python_strings(pieces):
 
     names = pa.array([f"word{k}" for k in range(20_000)], pa.large_string())
     known = lattice.Dictionary(pieces)
-    known.words, known.lengths, known.starts = names, np.ones(20_000, np.int64), np.arange(20_000)
-    known.ids = np.arange(20_000, dtype=np.int32)
+    known.keep(names, np.ones(20_000, np.int64), np.arange(20_000, dtype=np.int32))
     tracemalloc.start()
     offsets, ids = known.encode(pa.array(["word7 word19999 word7", ""], pa.large_string()))
     peak = tracemalloc.get_traced_memory()[1]
