@@ -9,7 +9,10 @@ by intersecting the sorted arrays.
 Equal sets are one node. Tokens in more than ``light`` nodes are moved to the end of the
 order and only the documents that used them are tiled again, so common passages make no
 pairs. Nodes are first linked to one pivot each, and afterwards a tile only looks at pairs
-from different components; what it gives out are pairs that passed their bitmaps.
+from different components. What passes its bitmaps there connects nodes to groups, and a tile
+gives out a row for each node at most, not its pairs; the sorted arrays of a group's nodes
+then decide, in tiles as well, which give out as many links as connect its components. Tiles
+are two chunks of bounded size each, however large a run or group is.
 
 Shingles are known by 64-bit hashes, sets by 56 bits and their band: two shingles of a
 document share a hash with a chance of 10^-11, any two of 10^8 sets in one band with 0.1.
@@ -49,6 +52,8 @@ BAND_BITS = 8
 #: A little above 4/3 to the power 1/4: sizes at the threshold are at most four bands apart.
 BAND_RATIO = 1.34**0.25
 BANDS_APART = 4
+#: A chunk of a common token's nodes, and one of nodes whose sets are compared; a tile has two.
+TILE_USES, TILE_NODES, TILE_BYTES = 2048, 512, 4 << 20
 
 
 @dataclass(frozen=True)
@@ -285,12 +290,11 @@ def _with_both(pairs: DataFrame, of: DataFrame, columns: list[str]) -> DataFrame
     return pairs
 
 
-class Run:
-    """The nodes of one token with their components and bitmaps."""
+class Tile:
+    """Nodes with their components and bitmaps, in ascending order; pairs are those of different chunks, if it has two."""
 
-    def __init__(self, rows: pa.Table):
-        self.nodes, self.roots, self.n = (rows.column(c).to_numpy() for c in ("node", "root", "n"))
-        bits = rows.column("bits").to_pylist()
+    def __init__(self, nodes: np.ndarray, roots: np.ndarray, chunks: np.ndarray, n: np.ndarray, bits: list[bytes]):
+        self.nodes, self.roots, self.chunks, self.n = nodes, roots, chunks, n
         self.words = np.array([len(x) // 8 for x in bits])
         self.place = np.zeros(len(bits), np.int64)
         self.maps: dict[int, np.ndarray] = {}
@@ -319,39 +323,107 @@ class Run:
                 flips[part] = np.bitwise_count(differ).sum(axis=1)
         return (self.n[i] + self.n[j] - flips) // 2
 
-    def crossing(self, percent: int) -> Iterator[pa.RecordBatch]:
-        """Pairs of different components that may link, a block of rows at a time."""
-        for at in range(0, len(self.nodes), 256):
-            a, root = self.nodes[at : at + 256, None], self.roots[at : at + 256, None]
-            i, j = np.nonzero((root != self.roots) & (a < self.nodes) & near_bands(a, self.nodes))
+    def possible(self, percent: int, label: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Rows with later rows of other components and labels that may link; labels may be joined meanwhile."""
+        rows, two = np.arange(len(self.nodes)), len(np.unique(self.chunks)) > 1
+        for at in range(0, len(rows), 256):
+            own = rows[at : at + 256, None]
+            apart = (own < rows) & (label[own] != label) & (self.roots[own] != self.roots) & near_bands(self.nodes[own], self.nodes)
+            if two:
+                apart &= self.chunks[own] != self.chunks
+            i, j = np.nonzero(apart)
             i = i + at
             most = self.most_common(i, j)
             ok = 100 * most >= percent * (self.n[i] + self.n[j] - most)
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(self.nodes[i[ok]]), pa.array(self.nodes[j[ok]])], names=["a", "b"])
+            i, j = i[ok], j[ok]
+            heads = np.flatnonzero(np.concatenate(([True], np.diff(i) != 0))) if len(i) else []
+            for row, partners in zip(i[heads].tolist(), np.split(j, heads[1:]), strict=False):
+                partners = partners[label[partners] != label[row]]
+                if len(partners):
+                    yield row, partners
+
+
+def _joined(label: np.ndarray, row: int, others: np.ndarray) -> None:
+    """Give a row, others and all that have their labels the smallest of these."""
+    these = np.unique(label[np.append(others, row)])
+    label[np.isin(label, these)] = these[0]
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of equal ``group`` and ``tile`` from rows sorted by them."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(last: bool) -> Iterator[pa.Table]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        new = [np.diff(rows.column(c).to_numpy()) != 0 for c in ("group", "tile")]
+        cuts = [0, *(np.flatnonzero(new[0] | new[1]) + 1), *[len(rows)] * last]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield rows.slice(a, b - a).combine_chunks()
+        held[:] = rows.slice(cuts[-1]).to_batches()
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            if any(held[0].column(c)[0] != batch.column(c)[-1] for c in ("group", "tile")):
+                yield from cut(False)
+    if held:
+        yield from cut(True)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if len(a):
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def _crossing(percent: int):
-    """Possible pairs of different components in runs of equal tokens."""
+    """What possible pairs of different components connect in a tile: each node with the smallest one it is connected to."""
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        for rows in _tiles(batches):
+            tile = Tile(*(rows.column(c).to_numpy() for c in ("node", "root", "chunk", "n")), rows.column("bits").to_pylist())
+            label = np.arange(len(rows))
+            for row, partners in tile.possible(percent, label):
+                _joined(label, row, partners)
+            others = np.flatnonzero(label != np.arange(len(rows)))
+            yield from _pairs(tile.nodes[label[others]], tile.nodes[others])
 
-        def runs(last: bool) -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            cuts = [0, *(np.flatnonzero(np.diff(rows.column("token").to_numpy())) + 1), *[len(rows)] * last]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                yield from Run(rows.slice(a, b - a)).crossing(percent)
-            held[:] = rows.slice(cuts[-1]).to_batches()
+    return cross
 
-        for batch in batches:
-            held.append(batch)
-            if held[0].column("token")[0].as_py() != batch.column("token")[-1].as_py():
-                yield from runs(False)
-        if held:
-            yield from runs(True)
 
-    return cross
+def _linking(percent: int):
+    """Links of a tile's nodes, found by their arrays, as many as connect its components."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _tiles(batches):
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("tokens").chunk(0)]
+            n = np.array([len(x) for x in sets])
+            tile = Tile(*(rows.column(c).to_numpy() for c in ("node", "root", "chunk")), n, [signature(x) for x in sets])
+            names, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+            starts, own = np.cumsum(n) - n, np.zeros(len(names), bool)
+            label = np.unique(tile.roots, return_inverse=True)[1]
+            found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for row, partners in tile.possible(percent, label):
+                mine, theirs = tokens[starts[row] : starts[row] + n[row]], n[partners]
+                own[mine] = True
+                common = np.add.reduceat(own[tokens[ranges(starts[partners], theirs)]], np.cumsum(theirs) - theirs, dtype=np.int64)
+                own[mine] = False
+                linked = partners[100 * common >= percent * (n[row] + theirs - common)]
+                if len(linked):
+                    linked = linked[np.unique(label[linked], return_index=True)[1]]
+                    found.append((np.full(len(linked), tile.nodes[row]), tile.nodes[linked]))
+                    _joined(label, row, linked)
+            yield from _pairs(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    return link
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a group in ``chunks`` chunks by their nodes, each once in every tile of two chunks, sorted by group and tile."""
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other"))
+    tile = F.least("chunk", "other") * F.col("chunks") + F.greatest("chunk", "other")
+    rows = rows.withColumn("tile", tile).drop("other", "chunks")
+    return rows.repartition("group", "tile").sortWithinPartitions("group", "tile", "node")
 
 
 def node_components(features: DataFrame, settings: Settings) -> DataFrame:
@@ -403,22 +475,30 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
     first = stored(first, "jaccard-first")
     links = stored(verified(first), "jaccard-links")
     known = stored(components(links), "jaccard-components")
-    # then every other pair, where it could still join two components
+    # then what other pairs could still join, as groups of nodes
     rest = pairs.join(first, ["a", "b"], "left_anti")
-    if not uses.isEmpty():
-        labelled = uses.join(known, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
-        mixed_ = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        runs = labelled.join(mixed_.select("token"), "token", "left_semi").distinct().join(signed, "node")
-        runs = runs.select("token", "node", "root", "n", "bits").repartition("token").sortWithinPartitions("token")
-        crossing = runs.mapInArrow(_crossing(settings.percent), "a long, b long").distinct()
-        rest = rest.unionByName(crossing.join(first, ["a", "b"], "left_anti")).distinct()
     for side in ("a", "b"):
         rest = rest.join(known.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
     roots = [F.coalesce(f"root_{side}", side) for side in ("a", "b")]
-    rest = stored(rest.filter(roots[0] != roots[1]).select("a", "b"), "jaccard-rest")
+    rest = rest.filter(roots[0] != roots[1]).select("a", "b")
+    if not uses.isEmpty():
+        labelled = uses.join(known, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
+        mixed_ = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("uses"))
+        mixed_ = mixed_.filter("low <> high").select("token", F.ceil(F.col("uses") / TILE_USES).alias("chunks"))
+        runs = labelled.join(mixed_, "token").distinct().join(signed, "node").withColumnRenamed("token", "group")
+        rest = rest.unionByName(dealt(runs).mapInArrow(_crossing(settings.percent), "a long, b long"))
+    rest = stored(rest.distinct(), "jaccard-rest")
     if rest.isEmpty():
         return known
-    return components(links.unionByName(verified(rest)))
+    groups = stored(components(rest).withColumnRenamed("root", "group"), "jaccard-groups")
+    arrays = maybe_in(sets, "node", bit_set(groups.select("node"))).groupBy("node").agg(F.first("tokens").alias("tokens"))
+    members = groups.join(known, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
+    members = stored(members.join(arrays, "node"), "jaccard-sets")
+    sizes = members.groupBy("group").agg(F.count("*").alias("nodes"), F.sum(F.octet_length("tokens")).alias("bytes"))
+    chunks = F.greatest(F.ceil(F.col("nodes") / TILE_NODES), F.ceil(F.col("bytes") / TILE_BYTES))
+    tiles = dealt(members.join(sizes.select("group", chunks.alias("chunks")), "group"))
+    more = stored(tiles.mapInArrow(_linking(settings.percent), "a long, b long"), "jaccard-links")
+    return known if more.isEmpty() else components(links.unionByName(more))
 
 
 def join(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:

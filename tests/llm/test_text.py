@@ -216,6 +216,23 @@ def test_slots_of_stretches_are_those_of_whole_texts():
     assert got == want and len(want) > 100
 
 
+def test_only_words_near_both_words_of_a_pattern_are_walked(spark, monkeypatch):
+    texts = ["mail in the box " * 50, "than the x1 than\u00a0the y", "see: a THE, b are", "than é the z", None] * 4
+    patterns = ["than the _", ", _ are", "_ _ x"]
+    marks = pii._pattern_marks(spark.createDataFrame([(p,) for p in patterns], "pattern string"))
+    bits = {kind: np.zeros(1 << (BITS - 3), np.uint8) for kind in ("openers", "whole")}
+    for kind, words in (("openers", ["than", "the", ",", "_"]), ("whole", patterns)):
+        for at in (pii.place_of(pii.crc(w)) for w in words):
+            bits[kind][at >> 3] |= 1 << (at & 7)
+    batch = pa.RecordBatch.from_pydict({pii.ROW: list(range(len(texts))), "__llm_text": texts, "__llm_base": [[] for _ in texts]})
+    got = [[r for out in pii._standing(bits["openers"], bits["whole"], m)([batch]) for r in out.to_pylist()] for m in (None, marks)]
+    assert got[0] == got[1] and {r["pattern"] for r in got[1]} == {"than the _", ", _ are"}
+    walked, plain = [], pii.fillers
+    monkeypatch.setattr(pii, "fillers", lambda text, *rest: walked.append(text) or plain(text, *rest))
+    list(pii._standing(bits["openers"], bits["whole"], marks)([batch]))
+    assert walked and texts[0] not in walked  # it opens slots a hundred times, none of a pattern
+
+
 def test_pii_contexts_hold_whole_words():
     long = "x" * 120
     text = f"{long} {long} ab12345 {long}z"
@@ -348,6 +365,40 @@ def test_jaccard_equals_brute_force(spark, groups, group, shared):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(docs)
 
 
+@pytest.mark.parametrize(("groups", "group", "shared"), [(3, 45, 0), (2, 40, 60)])
+def test_jaccard_tiles_of_bounded_size_lose_nothing(spark, monkeypatch, groups, group, shared):
+    for name, size in (("TILE_USES", 8), ("TILE_NODES", 8), ("TILE_BYTES", 4096)):
+        monkeypatch.setattr(jaccard, name, size)
+    docs = near_copies(groups, group, groups, shared)
+    found = jaccard.join(documents(spark, docs), ["doc_id"], settings=jaccard.Settings(light=4)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(docs)
+
+
+def test_jaccard_tiles_give_a_row_for_a_node_and_no_pairs():
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2**63, 100, dtype=np.uint64))
+    sets = [np.unique(np.concatenate((base[rng.permutation(len(base))[:88]], rng.integers(0, 2**63, 12, dtype=np.uint64)))) for _ in range(300)]
+    nodes = np.sort([jaccard.node_of(x) for x in sets])
+    sets = sorted(sets, key=jaccard.node_of)
+    rows = {"group": [1] * 300, "tile": [0] * 300, "chunk": [0] * 300, "node": nodes, "root": nodes}
+    shown = pa.RecordBatch.from_pydict(rows | {"n": [len(x) for x in sets], "bits": [jaccard.signature(x) for x in sets]})
+    whole = pa.RecordBatch.from_pydict(rows | {"tokens": [x.tobytes() for x in sets]})
+    some = {(int(a), int(b)) for out in jaccard._crossing(75)([shown]) for a, b in zip(out["a"].to_numpy(), out["b"].to_numpy())}
+    links = {(int(a), int(b)) for out in jaccard._linking(75)([whole]) for a, b in zip(out["a"].to_numpy(), out["b"].to_numpy())}
+    assert 200 < len(some) < 300 and len(links) < 300
+    known = dict(zip(nodes.tolist(), sets))
+    linked = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+    assert all(linked(known[a], known[b]) for a, b in links)
+    together = [{n} for n in nodes.tolist()]
+    for a, b in links:
+        x, y = (next(g for g in together if n in g) for n in (a, b))
+        if x is not y:
+            together.remove(y)
+            x |= y
+    group = {n: k for k, g in enumerate(together) for n in g}
+    assert all(group[a] == group[b] or not linked(known[a], known[b]) for a in known for b in known if a < b)
+
+
 def test_jaccard_edges(spark):
     long = " ".join(f"w{k}" for k in range(30_000))
     texts = [(5, "A b C d E f"), (3, "a B c D e f"), (3, "a b c d e f"), (7, None), (8, ""), (9, " \t "), (10, "one two"), (11, "ONE two"), (None, "one two"), (12, long), (13, long + " x")]
