@@ -180,7 +180,7 @@ def identifiers(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
 
 def fillers(text: str, opens, begin: int = 0, end: int | None = None) -> Iterator[tuple[int, int]]:
     """Runs that are no ``identifiers``, after words for which ``opens`` holds, in a part of a text."""
-    before, done = None, begin
+    done, before = begin, (words_before(text, begin, 1) or [None])[0]
     for m in LEXICAL.finditer(text, begin, len(text) if end is None else end):
         start = m.start()
         if start >= done and before is not None and opens(before) and (run := RUN.match(text, start)).end() > start:
@@ -259,13 +259,59 @@ def place_of(x: int) -> int:
     return (x ^ (x >> 31)) >> (64 - BITS)
 
 
-def _standing(openers: np.ndarray, strong: np.ndarray):
+#: Parts of a pattern, in the order of ``_pattern_marks``: of "a b _" the first and second, of "a _ b" the left and right.
+ROLES = range(4)
+MARKS = 16
+
+
+def _pattern_marks(patterns: DataFrame) -> np.ndarray:
+    """For each role and place of a word's crc, the patterns that have such a word there, as bits of their hashes.
+
+    512 kB a role, whatever the number of patterns.
+    """
+    part = F.split("pattern", " ")
+    two, around = part[2] == "_", part[1] == "_"  # both if "_" is a word of the text as well
+    roles = [(two, part[0]), (two, part[1]), (around, part[0]), (around, part[2])]
+    words = F.explode(F.array(*(F.struct(F.lit(k).alias("role"), F.when(when, word).alias("word")) for k, (when, word) in zip(ROLES, roles, strict=True))))
+    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(pattern), 64) as int))")
+    rows = patterns.select(words.alias("w"), bit.alias("bit")).filter("w.word is not null")
+    place = F.crc32(F.col("w.word").cast("binary")) % (1 << MARKS)
+    found = rows.groupBy(F.col("w.role").alias("role"), place.alias("place")).agg(F.bit_or("bit").alias("bits")).collect()
+    marks = np.zeros((len(ROLES), 1 << MARKS), np.int64)
+    for r in found:
+        marks[r["role"], r["place"]] = r["bits"]
+    return marks.view(np.uint64)
+
+
+def _word_marks(marks: np.ndarray, names: list[str]) -> np.ndarray:
+    """``_pattern_marks`` of all lexical parts of each word, by role; every bit of a word without any."""
+    plain = np.fromiter((w.isascii() and "\0" not in w for w in names), bool, len(names))
+    # one pass over all words of plain characters; the character between them is a part by itself
+    parts = LEXICAL.findall(DIGITS.sub("0", "\0".join(w for w, ok in zip(names, plain, strict=True) if ok).lower()))
+    between = np.fromiter((x == "\0" for x in parts), bool, len(parts))
+    owners = np.flatnonzero(plain)[np.cumsum(between)[~between]] if len(parts) else np.zeros(0, np.int64)
+    codes = np.fromiter((zlib.crc32(x.encode()) for x in parts), np.int64, len(parts))[~between]
+    others = [(k, crc(lexical(x))) for k in np.flatnonzero(~plain).tolist() for x in LEXICAL.findall(names[k])]
+    if others:
+        more = np.array(others, np.int64)
+        owners, codes = np.concatenate((owners, more[:, 0])), np.concatenate((codes, more[:, 1]))
+    found = np.zeros((len(ROLES), len(names)), np.uint64)
+    for role in ROLES:
+        bits = marks[role, codes & ((1 << MARKS) - 1)]
+        there = np.flatnonzero(bits)
+        np.bitwise_or.at(found[role], owners[there], bits[there])
+    found[:, np.bincount(owners, minlength=len(names)) == 0] = ~np.uint64(0)
+    return found
+
+
+def _standing(openers: np.ndarray, strong: np.ndarray, marks: np.ndarray | None = None):
     """Fillers in slots of patterns that may be strong, a row for each pattern.
 
-    Distinct words of a slice of texts are tested first; only stretches of words of which one
-    opens a slot are walked.
+    Distinct words of a slice of texts are tested first; only stretches of words are walked
+    where the other word of an opener's pattern stands near enough (all without ``marks``).
     """
 
+    marks = np.full((len(ROLES), 1 << MARKS), ~np.uint64(0)) if marks is None else marks
     first, whole = openers.tobytes(), strong.tobytes()
 
     def has(bits: bytes, word: str) -> bool:
@@ -273,8 +319,6 @@ def _standing(openers: np.ndarray, strong: np.ndarray):
         return bool(bits[at >> 3] >> (at & 7) & 1)
 
     def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # words between blanks that hold an opener, and openers: both by their text
-        holds: dict[str, bool] = {}
         known: dict[str, bool] = {}
 
         def opens(word: str) -> bool:
@@ -286,19 +330,20 @@ def _standing(openers: np.ndarray, strong: np.ndarray):
             return found
 
         def stretches(texts: pa.Array) -> Iterator[tuple[int, int, int]]:
-            """Text, begin and end of words that hold an opener, each with the word after it.
+            """Text, begin and end of words in which a slot may open, each with the word after it.
 
-            A word without any lexical part carries on what stands before it.
+            What is filled stands in the opener's word or the next one, a pattern's word before
+            the opener in its word or the one before, a word after the slot two words on at
+            most. A word without any lexical part carries on what stands before it, and words
+            of other texts may only add to what is walked.
             """
             offsets, words = white_space_words(texts)
             numbers, names = distinct_words(words)
-            if len(holds) >= REMEMBERED_WORDS:
-                holds.clear()
-            for word in names:
-                if word not in holds:
-                    parts = LEXICAL.findall(word)
-                    holds[word] = not parts or any(has(first, lexical(x)) for x in parts)
-            opening = np.fromiter(map(holds.__getitem__, names), bool, len(names))[numbers]
+            before, opener, left, right = _word_marks(marks, names)[:, numbers]
+            none = np.zeros(2, np.uint64)
+            before |= np.concatenate((none[:1], before[:-1]))
+            right = right | np.concatenate((right[1:], none))[: len(right)] | np.concatenate((right[2:], none))[: len(right)]
+            opening = (opener & before | left & right) != 0
             begins = np.zeros(len(opening), bool)
             begins[offsets[:-1][offsets[:-1] < len(opening)]] = True
             # also words after those, within a text
@@ -340,8 +385,9 @@ def standing_in(found: DataFrame, strong: DataFrame, settings: Settings) -> Data
     # one of the first two parts is the word before the slot, as "_" is a word as well
     openers = bit_set(strong.select(F.explode(F.array(parts[0], parts[1])).alias("w")).select(F.crc32(F.col("w").cast("binary"))))
     patterns = bit_set(strong.select(F.crc32(F.col("pattern").cast("binary"))))
+    marks = _pattern_marks(strong.select("pattern").distinct())
     schema = f"{ROW} long, instance long, pattern string, start int, stop int"
-    slots = found.select(ROW, "__llm_text", "__llm_base").mapInArrow(_standing(openers, patterns), schema)
+    slots = found.select(ROW, "__llm_text", "__llm_base").mapInArrow(_standing(openers, patterns, marks), schema)
     slots = stored(slots.join(strong.select("pattern").distinct(), "pattern", "left_semi"), "pii-slots")
     more = slots.select("pattern", "instance").distinct().groupBy("pattern").agg(F.count("*").alias("fillers"))
     smoothed = F.col("instances") + F.lit(settings.smoothing)
