@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -53,6 +54,33 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shelf:
+    """Stored intermediates, removed once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession, kind: str):
+        self.spark, self.kind, self.paths = spark, kind, {}
+
+    def put(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+        path = shared_path(self.spark, f"{self.kind}-{name}")
+        with small_batches(self.spark):
+            df.write.option("compression", compression).parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(back)] = (back, path)
+        return back
+
+    def drop(self, *frames: DataFrame) -> None:
+        for frame in frames:
+            _, path = self.paths.pop(id(frame))
+            where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()  # shuffle files go with the plans that wrote them
+
+    def clear(self, *but: DataFrame) -> None:
+        """Drop all that is left, but for some."""
+        self.drop(*(frame for frame, _ in list(self.paths.values()) if all(frame is not b for b in but)))
+
+
 def numbered(df: DataFrame, row_id: str) -> DataFrame:
     """Give rows a number that is theirs alone, also where ids are null or repeated."""
     return df.withColumn(row_id, F.monotonically_increasing_id())

@@ -36,13 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galley.llm.common import (
+    Shelf,
     as_text,
     mixed,
     numbered,
     ranges,
     schema_of,
     slices,
-    stored,
     white_space_words,
 )
 from galley.llm.graph import bit_set, components, in_set, maybe_in
@@ -231,11 +231,13 @@ def _runs(light: int):
     return runs
 
 
-def tiled(sets: DataFrame, settings: Settings, late: np.ndarray | None = None, only: np.ndarray | None = None) -> DataFrame:
+def tiled(shelf: Shelf, sets: DataFrame, settings: Settings, late: np.ndarray | None = None, only: np.ndarray | None = None) -> DataFrame:
     """Pairs of nodes (kind 0), uses of common (kind 1) and of light tokens (kind 2), as ``_pairs_of``."""
     posted = sets.mapInArrow(_postings(settings, late, only), "token long, node long")
     ordered = posted.repartition("token").sortWithinPartitions("token", "node")
-    return stored(ordered.mapInArrow(_runs(settings.light), "kind int, a long, b long"), "jaccard-runs")
+    runs = shelf.put(ordered.mapInArrow(_runs(settings.light), "kind int, a long, b long"), "runs")
+    shelf.drop()  # the shuffled tokens, before those of a next round
+    return runs
 
 
 def signature(tokens: np.ndarray) -> bytes:
@@ -426,13 +428,13 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition("group", "tile").sortWithinPartitions("group", "tile", "node")
 
 
-def node_components(features: DataFrame, settings: Settings) -> DataFrame:
+def node_components(shelf: Shelf, features: DataFrame, settings: Settings) -> DataFrame:
     """``node``, ``root`` of all nodes that link with another one."""
     sets = features.filter(F.col("__llm_set").isNotNull()).select(
         F.col("__llm_node").alias("node"), F.col("__llm_set").alias("tokens")
     )
-    runs = tiled(sets, settings)
-    light, late = [runs.filter("kind <> 1")], None
+    runs = tiled(shelf, sets, settings)
+    made, light, late = [runs], [runs.filter("kind <> 1")], None
     heavy = runs.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"))
     left = heavy.select("node").distinct().count()
     for _ in range(settings.rounds - 1):
@@ -440,14 +442,15 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
             break
         more = bit_set(heavy.select("token"))
         late = more if late is None else more | late
-        runs = tiled(sets, settings, late, bit_set(heavy.select("node")))
+        runs = tiled(shelf, sets, settings, late, bit_set(heavy.select("node")))
+        made.append(runs)
         light.append(runs.filter("kind <> 1"))
         heavy = runs.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"))
         before, left = left, heavy.select("node").distinct().count()
         if left > 0.9 * before:
             break
     signed = features.filter(F.col("__llm_set").isNotNull()).groupBy(F.col("__llm_node").alias("node"))
-    signed = stored(signed.agg(F.first("__llm_n").alias("n"), F.first("__llm_bits").alias("bits")), "jaccard-signatures")
+    signed = shelf.put(signed.agg(F.first("__llm_n").alias("n"), F.first("__llm_bits").alias("bits")), "signatures")
     found = light[0]
     for more in light[1:]:
         found = found.unionByName(more)
@@ -458,13 +461,15 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
         return _with_both(some, signed, ["bits", "n"]).mapInArrow(_possible(settings.percent), "a long, b long")
 
     def verified(some: DataFrame) -> DataFrame:
-        """Pairs (stored ones) that link; only the arrays of their nodes are moved, each once."""
+        """Pairs (stored ones) that link, stored; only the arrays of their nodes are moved, each once."""
         nodes = bit_set(some.select("a").unionByName(some.select(F.col("b").alias("a"))))
         arrays = maybe_in(sets, "node", nodes).groupBy("node").agg(F.first("tokens").alias("tokens"))
-        arrays = stored(arrays, "jaccard-sets")
-        return _with_both(some, arrays, ["tokens"]).mapInArrow(_linked(settings.percent), "a long, b long")
+        arrays = shelf.put(arrays, "sets")
+        linked = shelf.put(_with_both(some, arrays, ["tokens"]).mapInArrow(_linked(settings.percent), "a long, b long"), "links")
+        shelf.drop(arrays)
+        return linked
 
-    pairs = stored(passing(pairs.distinct()), "jaccard-pairs")
+    pairs = shelf.put(passing(pairs.distinct()), "pairs")
     # first one partner for each node: its smallest, or the pivot it shares most tokens with
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     if left:
@@ -472,9 +477,9 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
         shared = heavy.join(pivots, "token").filter("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
         star = shared.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("a"))
         first = first.unionByName(star.select("a", F.col("node").alias("b"))).distinct()
-    first = stored(first, "jaccard-first")
-    links = stored(verified(first), "jaccard-links")
-    known = stored(components(links), "jaccard-components")
+    first = shelf.put(first, "first")
+    links = verified(first)
+    known = shelf.put(components(links), "components")
     # then what other pairs could still join, as groups of nodes
     rest = pairs.join(first, ["a", "b"], "left_anti")
     for side in ("a", "b"):
@@ -487,17 +492,18 @@ def node_components(features: DataFrame, settings: Settings) -> DataFrame:
         mixed_ = mixed_.filter("low <> high").select("token", F.ceil(F.col("uses") / TILE_USES).alias("chunks"))
         runs = labelled.join(mixed_, "token").distinct().join(signed, "node").withColumnRenamed("token", "group")
         rest = rest.unionByName(dealt(runs).mapInArrow(_crossing(settings.percent), "a long, b long"))
-    rest = stored(rest.distinct(), "jaccard-rest")
+    rest = shelf.put(rest.distinct(), "rest")
+    shelf.drop(pairs, first, signed, *made)
     if rest.isEmpty():
         return known
-    groups = stored(components(rest).withColumnRenamed("root", "group"), "jaccard-groups")
+    groups = shelf.put(components(rest).withColumnRenamed("root", "group"), "groups")
     arrays = maybe_in(sets, "node", bit_set(groups.select("node"))).groupBy("node").agg(F.first("tokens").alias("tokens"))
     members = groups.join(known, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
-    members = stored(members.join(arrays, "node"), "jaccard-sets")
+    members = shelf.put(members.join(arrays, "node"), "sets")
     sizes = members.groupBy("group").agg(F.count("*").alias("nodes"), F.sum(F.octet_length("tokens")).alias("bytes"))
     chunks = F.greatest(F.ceil(F.col("nodes") / TILE_NODES), F.ceil(F.col("bytes") / TILE_BYTES))
     tiles = dealt(members.join(sizes.select("group", chunks.alias("chunks")), "group"))
-    more = stored(tiles.mapInArrow(_linking(settings.percent), "a long, b long"), "jaccard-links")
+    more = shelf.put(tiles.mapInArrow(_linking(settings.percent), "a long, b long"), "links")
     return known if more.isEmpty() else components(links.unionByName(more))
 
 
@@ -507,21 +513,25 @@ def join(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "
     ``kept`` is true for one row of each component: its smallest id, its first row. The
     result also has the row numbers of ``numbered(docs)`` where ``keep`` names them.
     """
+    return _join(Shelf(docs.sparkSession, "jaccard"), docs, keep, doc_id, text, settings)
+
+
+def _join(shelf: Shelf, docs: DataFrame, keep: list[str], doc_id: str, text: str, settings: Settings) -> DataFrame:
     source = docs if ROW in docs.columns else numbered(docs, ROW)
     source = source.select(
         *keep, *[ROW] * (ROW not in keep), F.col(f"`{doc_id}`").alias("__llm_id"), F.col(f"`{text}`").cast("string").alias("__llm_text")
     )
     head = schema_of(source, [c for c in source.columns if c != "__llm_text"])
-    features = stored(
-        source.mapInArrow(_features(settings), f"{head}, __llm_n long, __llm_node long, __llm_bits binary, __llm_set binary"), "jaccard-features"
+    features = shelf.put(  # hashes, which hardly shrink
+        source.mapInArrow(_features(settings), f"{head}, __llm_n long, __llm_node long, __llm_bits binary, __llm_set binary"), "features", "snappy"
     )
-    roots = node_components(features, settings)
+    roots = node_components(shelf, features, settings)
     first = F.min(F.struct(F.col("__llm_id").isNull().alias("no_id"), "__llm_id", ROW))
     nodes = features.filter(F.col("__llm_node").isNotNull()).groupBy("__llm_node").agg(first.alias("first"))
     nodes = nodes.join(roots, nodes["__llm_node"] == roots["node"], "left").select(
         "__llm_node", "first", F.coalesce("root", "__llm_node").alias("root")
     )
-    nodes = stored(nodes, "jaccard-nodes")
+    nodes = shelf.put(nodes, "nodes")
     best = nodes.groupBy("root").agg(F.min("first").alias("best"))
     named = nodes.join(best, "root").select("__llm_node", "best")
     return features.drop("__llm_set", "__llm_bits").join(named, "__llm_node", "left").select(
@@ -536,10 +546,13 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", se
     """The rows of ``docs`` that ``join`` keeps, with all their columns.
 
     Rows are written with their numbers first. Those that may be among the dropped ones go
-    through a join; all others pass without a shuffle of their texts.
+    through a join; all others pass without a shuffle of their texts. Of what is stored, only
+    the rows and the numbers of the dropped ones are left then.
     """
-    rows = stored(numbered(docs, ROW), "jaccard-documents")
-    dropped = stored(join(rows, [ROW], doc_id, text, settings).filter(~F.col("kept")).select(ROW), "jaccard-dropped")
+    shelf = Shelf(docs.sparkSession, "jaccard")
+    rows = shelf.put(numbered(docs, ROW), "documents")
+    dropped = shelf.put(_join(shelf, rows, [ROW], doc_id, text, settings).filter(~F.col("kept")).select(ROW), "dropped")
+    shelf.clear(rows, dropped)
     bits = bit_set(dropped)
     doubtful = maybe_in(rows, ROW, bits).join(dropped, ROW, "left_anti")
     sure = maybe_in(rows, ROW, bits, inside=False)

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.common import as_text, distinct_words, numbered, slices, stored, white_space_words
-from galley.llm.graph import BITS, bit_set
+from galley.llm.common import Shelf, as_text, distinct_words, numbered, schema_of, slices, stored, white_space_words
+from galley.llm.graph import BITS, bit_set, maybe_in
 
 # fixed values of the contract: kinds in order of output, and their patterns
 KINDS = ("email", "ip", "card", "phone")
@@ -464,10 +464,20 @@ def find(docs: DataFrame, keep: list[str], text: str = "text", settings: Setting
 
     Kinds are places in ``KINDS``.
     """
-    source = numbered(docs.select(*keep, F.col(text).cast("string").alias("__llm_text")), ROW)
+    found, added = _searched(docs, keep, text, settings)
+    return (
+        found.join(added, ROW, "left")
+        .withColumn("added", F.coalesce("added", F.array().cast(f"array<{SPAN}>")))
+        .select(*(F.col(f"`{c}`") for c in keep), F.col("__llm_base").alias("base"), "added")
+    )
+
+
+def _searched(docs: DataFrame, keep: list[str], text: str, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """Numbered rows with ``keep``, ``__llm_text`` and ``__llm_base``; ``added`` spans of the numbers that have any."""
+    source = numbered(docs.select(*keep, F.col(f"`{text}`").cast("string").alias("__llm_text")), ROW)
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema]
     schema = ", ".join([*names, f"__llm_base array<{SPAN}>", f"__llm_candidates array<{CANDIDATE}>"])
-    found = stored(source.mapInArrow(_found, schema), "pii-found")
+    found = Shelf(docs.sparkSession, "pii").put(source.mapInArrow(_found, schema), "found")
     places = found.select(ROW, F.explode("__llm_candidates").alias("c")).select(ROW, "c.*")
     new, strong = learned(places, settings)
     spans = places.filter(F.col("kind").isNull()).drop("kind").join(new, "instance").select(ROW, "kind", "start", "stop")
@@ -477,11 +487,7 @@ def find(docs: DataFrame, keep: list[str], text: str = "text", settings: Setting
         spans.groupBy(ROW)
         .agg(F.sort_array(F.collect_list(F.struct("kind", "start", "stop"))).alias("added"))
     )
-    return (
-        found.join(added, ROW, "left")
-        .withColumn("added", F.coalesce("added", F.array().cast(f"array<{SPAN}>")))
-        .select(*(F.col(f"`{c}`") for c in keep), F.col("__llm_base").alias("base"), "added")
-    )
+    return found, added
 
 
 def written(spans):
@@ -495,7 +501,7 @@ def written(spans):
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for text, spans in zip(batch.column("__llm_plain").to_pylist(), batch.column("__llm_spans").to_pylist(), strict=True):
+        for text, spans in zip(batch.column("__llm_text").to_pylist(), batch.column("__llm_spans").to_pylist(), strict=True):
             if spans:
                 parts, done = [], 0
                 for s in sorted(spans, key=lambda s: (s["start"], s["stop"])):
@@ -504,7 +510,7 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     done = max(done, s["stop"])
                 text = "".join([*parts, text[done:]])
             out.append(text)
-        kept = [n for n in batch.schema.names if n not in ("__llm_plain", "__llm_spans")]
+        kept = [n for n in batch.schema.names if n not in ("__llm_text", "__llm_spans")]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(n) for n in kept), pa.array(out, pa.string())], names=[*kept, "__llm_text"]
         )
@@ -513,13 +519,17 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redact(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """All columns, with every span in the text replaced by its kind in brackets.
 
-    Overlapping spans become one mark, named after the first.
+    Overlapping spans become one mark, named after the first. Texts are stored once, and only
+    rows that may have added spans go through a join.
     """
-    plain = docs.withColumn("__llm_plain", F.col(f"`{text}`").cast("string"))
     others = [c for c in docs.columns if c != text]
-    found = find(plain, [*others, "__llm_plain"], "__llm_plain", settings).withColumn("__llm_spans", F.concat("base", "added"))
-    found = found.select(*(F.col(f"`{c}`") for c in others), "__llm_plain", "__llm_spans")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text]
-    return found.mapInArrow(_redacted, ", ".join([*fields, "__llm_text string"])).select(
+    found, added = _searched(docs, others, text, settings)
+    added = stored(added.withColumnRenamed("added", "__llm_added"), "pii-added")
+    bits, rows = bit_set(added.select(ROW)), found.drop("__llm_candidates")
+    none = F.array().cast(f"array<{SPAN}>")
+    some = maybe_in(rows, ROW, bits).join(added, ROW, "left").withColumn("__llm_added", F.coalesce("__llm_added", none))
+    spans = some.unionByName(maybe_in(rows, ROW, bits, inside=False).withColumn("__llm_added", none))
+    spans = spans.select(*(F.col(f"`{c}`") for c in others), "__llm_text", F.concat("__llm_base", "__llm_added").alias("__llm_spans"))
+    return spans.mapInArrow(_redacted, ", ".join([*([schema_of(docs, others)] if others else []), "__llm_text string"])).select(
         *(F.col("__llm_text").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns)
     )

@@ -32,17 +32,16 @@ the result does not depend on which of equal contexts stands for the others.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.common import kept_names, map_rows, numbered, quoted, ranges, shared_path, slices, small_batches
+from galley.llm.common import Shelf, kept_names, map_rows, numbered, quoted, ranges, slices
 
 RESULTS = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary"}
 MARK = "row long, start int, stop int"
@@ -64,32 +63,6 @@ class Settings:
         return self.length - self.gram
 
 
-# ---- intermediates
-
-
-class Shelf:
-    """Stored intermediates, removed once nothing reads them any more."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, {}
-
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        path = shared_path(self.spark, f"repeats-{name}")
-        with small_batches(self.spark):
-            df.write.option("compression", "zstd").parquet(path)
-        back = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(back)] = (back, path)
-        return back
-
-    def drop(self, *frames: DataFrame) -> None:
-        for frame in frames:
-            _, path = self.paths.pop(id(frame))
-            where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()  # shuffle files go with the plans that wrote them
-
-
 # ---- anchors
 
 
@@ -348,7 +321,7 @@ def without_repeats(docs: DataFrame, keep: list[str], text: str = "text", settin
     if clashes:
         raise ValueError(f"names of results: {clashes}")
     settings, spark = settings or Settings(), docs.sparkSession
-    shelf = Shelf(spark)
+    shelf = Shelf(spark, "repeats")
     source = docs.select(
         *(F.col(quoted(c)).alias(f"__kept_{k}") for k, c in enumerate(keep)),
         F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).cast("binary").alias("text"),

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from galley.llm import jaccard, language, lattice, packing, pii, unigram
 from galley.llm.common import as_text, slices
 from galley.llm.graph import BITS
 from galley.llm.queries import QUERIES, tokenizer_file
+from galley.operators.durable import shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, component_id string"
@@ -413,6 +415,24 @@ def test_jaccard_edges(spark):
     assert jaccard.join(docs.filter("false"), ["doc_id"]).isEmpty()
 
 
+def test_deduplicated_and_redacted_rows_keep_texts_stored_once(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:")) / "llm" / spark.sparkContext.applicationId
+
+    def kinds():
+        return {p for p in folder.glob("*-*")}
+
+    texts = [(k, f"mail box u{k % 7}@x.example.com of a b c d e f g h {k % 7}") for k in range(20)]
+    before = kinds()
+    kept = jaccard.deduplicated(documents(spark, texts))
+    left = {p.name.rpartition("-")[0] for p in kinds() - before}
+    assert left <= {"jaccard-documents", "jaccard-dropped", "links"} and len(kept.collect()) == 7
+    before = kinds()
+    clean = pii.redact(documents(spark, texts).withColumn("added", F.lit(1)))
+    [stored] = [p for p in kinds() - before if p.name.startswith("pii-found-")]
+    assert "__llm_plain" not in spark.read.parquet(str(stored)).columns
+    assert {(r.added, r.text[:16]) for r in clean.collect()} == {(1, "mail box [EMAIL]")}
+
+
 def test_bitmap_bound_is_never_below_the_overlap():
     rng = np.random.default_rng(2)
     for _ in range(300):
