@@ -368,13 +368,28 @@ def decoded(ids: np.ndarray, pieces: np.ndarray, bytes_of: np.ndarray) -> str:
 def _decoded(vocabulary: Vocabulary):
     pieces, bytes_of = np.array(vocabulary.pieces, object), np.full(len(vocabulary.pieces), -1)
     bytes_of[byte_ids(vocabulary)] = np.arange(256)
+    raw = pa.array([bytes([b]) if b >= 0 else p.encode() for p, b in zip(vocabulary.pieces, bytes_of.tolist(), strict=True)], pa.large_binary())
+
+    def texts_of(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """Texts of all rows together: the bytes of their pieces, one after another, cut where rows end."""
+        if (flat < 0).any():
+            raise IndexError("ids outside the vocabulary")
+        joined = raw.take(pa.array(flat))
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[: len(flat) + 1]
+        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(ends[offsets]), joined.buffers()[2]])
+        try:
+            texts = texts.cast(pa.large_string())
+        except pa.ArrowInvalid:  # bytes that are no text
+            return pa.array([decoded(flat[a:b], pieces, bytes_of) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.string())
+        return pc.utf8_slice_codeunits(pc.replace_substring(texts, SPACE, " "), 1).cast(pa.string())
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("ids")
-            flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-            texts = [decoded(flat[a:b], pieces, bytes_of) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            offsets = column.offsets.to_numpy().astype(np.int64)
+            flat = column.values.to_numpy()[offsets[0] : offsets[-1]] if len(offsets) else np.zeros(0, np.int32)
+            texts = texts_of(flat, offsets - offsets[:1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "decoded"])
 
     return decode
 

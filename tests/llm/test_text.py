@@ -512,6 +512,24 @@ def test_lattice_decodes_in_the_pass_that_encodes(spark, pieces):
     assert both == lattice.decode(lattice.encode(docs, ["doc_id"], pieces), pieces).collect()
 
 
+def test_rows_are_decoded_together_unless_bytes_are_no_text(pieces, monkeypatch):
+    rng, calls, plain = np.random.default_rng(1), [], lattice.decoded
+    names, bytes_of = np.array(pieces.pieces, object), np.full(len(pieces.pieces), -1)
+    bytes_of[lattice.byte_ids(pieces)] = np.arange(256)
+    monkeypatch.setattr(lattice, "decoded", lambda *x: calls.append(x) or plain(*x))
+    solver = lattice.Solver(pieces)
+    whole = [solver.ids("▁" + t.replace(" ", "▁")) for t in some_texts()[:60]]
+    broken = [rng.choice([*lattice.byte_ids(pieces), *range(300, 500)], rng.integers(0, 20)).tolist() for _ in range(60)]
+    for rows, slow in ((whole, False), (broken, True), ([[], []], False)):
+        batch = pa.RecordBatch.from_pydict({"ids": pa.array([[5], *rows], pa.list_(pa.int32()))}).slice(1)
+        calls.clear()
+        [out] = lattice._decoded(pieces)([batch])
+        assert out.column("decoded").to_pylist() == [plain(np.array(r, np.int32), names, bytes_of) for r in rows]
+        assert bool(calls) == slow
+    with pytest.raises(IndexError):
+        list(lattice._decoded(pieces)([pa.RecordBatch.from_pydict({"ids": pa.array([[-1]], pa.list_(pa.int32()))})]))
+
+
 def test_dictionaries_hold_no_python_strings(pieces):
     # some 150 bytes a word as a dictionary of strings
     import tracemalloc
