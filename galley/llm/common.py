@@ -54,6 +54,12 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediates."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class Shelf:
     """Stored intermediates, removed once nothing reads them any more."""
 
@@ -71,8 +77,7 @@ class Shelf:
     def drop(self, *frames: DataFrame) -> None:
         for frame in frames:
             _, path = self.paths.pop(id(frame))
-            where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            discard(self.spark, path)
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()  # shuffle files go with the plans that wrote them
 

@@ -8,12 +8,14 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 from checks import compare
 from galley.llm import forest, graph, neardup, unigram, url_lists, warc
+from galley.llm import vectors as vector_rows
 from galley.llm.queries import ORACLES, QUERIES, tokenizer_file
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -144,6 +146,36 @@ def test_neardup_repeated_and_null_ids(spark):
     assert neardup.link(vectors(spark, []), ["vec_id"]).isEmpty()
 
 
+def test_neardup_keeps_each_vector_in_one_chunk(spark, monkeypatch):
+    """What is stored grows with the vectors and not with the tiles they are compared in."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate((rng.standard_normal((300, 12)), rng.standard_normal((1, 12)) + rng.standard_normal((100, 12)) / 20))
+    x[:50] = x[:50].astype(np.float32)
+    stored, remove = [], neardup.discard
+    monkeypatch.setattr(neardup, "discard", lambda s, path: (stored.append(s.read.parquet(path).select("node", "chunk").collect()), remove(s, path)))
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    links, label = brute_links(x)
+    found = neardup.link(rows, ["vec_id"], settings=neardup.Settings(tile_rows=30, step=4)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {k: (links[k], label[k]) for k in range(len(x))} and links.sum() > 1000
+    assert len(stored) == 1 and len(stored[0]) == len({r.node for r in stored[0]}) == len(x)
+    assert len({r.chunk for r in stored[0]}) >= len(x) / 30
+
+
+def test_neardup_compares_neighbouring_chunks_once():
+    sizes = {(0, 0): 95, (0, 1): 10, (1, 1): 41, (2, 2): 30, (5, 5): 20}
+    chunks = neardup.chunks_of(sizes, 10)
+    found = sorted(tuple(sorted((k, other))) for k in range(len(chunks.cells)) for other in chunks.partners(k))
+    near = lambda a, b: max(abs(p - q) for p, q in zip(chunks.cells[a], chunks.cells[b], strict=True)) < 2
+    assert found == [(a, b) for a in range(len(chunks.cells)) for b in range(a, len(chunks.cells)) if near(a, b)]
+    assert len(chunks.cells) == 10 + 1 + 5 + 3 + 2
+
+
+def test_packed_vectors_come_back():
+    for v in ([0.5, -0.0, 3.0], [0.1, 1e300, 2.0], [float(np.float32(0.1)), 0.25, 1.0]):
+        assert vector_rows.unpacked(pa.array([vector_rows.packed(np.array(v))] * 2, pa.binary()), 3).tolist() == [v, v]
+    assert len(vector_rows.packed(np.array([0.5, 0.25]))) == 8 and len(vector_rows.packed(np.array([0.5, 0.1]))) == 16
+
+
 # ---- archives
 
 PAGES = "page_id long, url string, html string, digest string, bytes int"
