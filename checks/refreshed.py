@@ -66,7 +66,8 @@ def refreshed(spark, sf_dir, view) -> TableStore:
     key = (spark.sparkContext.applicationId, sf_dir, view)
     if key not in _STORES:
         whole = lake(spark, sf_dir)
-        tables = {n: whole.staged(n) for n in _NEEDED[view]}
+        # deliveries are made from the orders as they come
+        tables = {n: whole.staged(n, again="int_deliveries" in _NEEDED[view]) for n in _NEEDED[view]}
         store = TableStore(
             spark, f"{shared_folder(spark)}/refreshed/{key[0]}/{sf_dir.strip('/').replace('/', '_')}/{view}"
         )

@@ -29,9 +29,11 @@ from galley.operators.together import together
 from galley.plans import marts, views
 from galley.plans.quality import AuditRun
 from galley.sources.digests import content_digest
-from galley.sources.store import TableStore
+from galley.sources.store import TableStore, open_files
 
 MONTH = "date_month"
+# less than one of so many months is few: their rows are brought together before they are written
+FEW = 4
 Tables = dict[str, DataFrame]
 # None stands for all months, for a table that is not laid out by month yet
 Months = set[dt.date | None] | None
@@ -216,12 +218,12 @@ def refresh_marts(
     digests = store.replace("marts", "month_digests", month_digests(staged).coalesce(1))
     months = touched_months(staged, digests, before, built)
 
-    def put(name: str, build: Callable[[], DataFrame], touched: Months) -> DataFrame:
+    def put(name: str, build: Callable[[], DataFrame], touched: Months, gather: bool = True) -> DataFrame:
         months[name] = touched
         if touched is None:
-            return store.replace("marts", name, by_month(build()), [MONTH])
+            return store.replace("marts", name, by_month(build()), [MONTH], gather)
         if touched:
-            return store.replace_partitions("marts", name, by_month(build()), MONTH, touched)
+            return store.replace_partitions("marts", name, by_month(build()), MONTH, touched, gather)
         return store.read("marts", name)
 
     def due(name: str, *sources: str) -> Months:
@@ -241,9 +243,12 @@ def refresh_marts(
     def fact(name: str) -> DataFrame:
         touched = due(name, name)
         rows = only(staged[_STAGED[name]], touched)
-        return put(name, lambda: getattr(marts, name)(rows, *extra[name]), touched)
+        # a task's rows of a few months make small files and little to shuffle; those of most months do neither
+        few = touched is not None and FEW * len(touched) < len(store.partitions("marts", name))
+        return put(name, lambda: getattr(marts, name)(rows, *extra[name]), touched, gather=few)
 
-    built |= together({name: lambda name=name: fact(name) for name in facts})
+    with open_files(store.spark):
+        built |= together({name: lambda name=name: fact(name) for name in facts})
 
     if any(_SUMS[name][0] == "order_sales" for name in sums):
         # an order and its lines share the order's time, so they lie in the same month

@@ -137,9 +137,8 @@ def int_order_items(raw: DataFrame, orders: DataFrame, batch_id: str) -> DataFra
     ``orders`` is the staged order table. Without hot orders the lines are shuffled once, by
     order: their current versions and the join with the orders follow that layout.
     """
-    if not may_have_hot_keys(raw, ["order_id"]):
-        raw = raw.repartition("order_id")
-    lines = _current(raw, "order_id", "product_id").select(
+    laid_out = raw if may_have_hot_keys(raw, ["order_id"]) else raw.repartition("order_id")
+    lines = _current(laid_out, "order_id", "product_id").select(
         "order_id",
         "product_id",
         "product_name",

@@ -36,17 +36,21 @@ class TableStore:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    def replace(
+        self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = (), gather: bool = True
+    ) -> DataFrame:
         """Write the next version of a table.
 
         With partitions, rows are first brought together by them, and Spark sizes the
-        tasks, so that no task writes a file to every partition. A table that has been
-        released is released by itself.
+        tasks, so that no task writes a file to every partition. Without ``gather`` rows are
+        not shuffled, and each task writes a file to every partition it has rows of, which
+        suits a table of which most is written. A table that has been released is released
+        by itself.
         """
         if f"{layer}/{name}" in self._released():
             with self.release() as alone:
-                return alone.replace(layer, name, df, partition_by)
-        if partition_by:
+                return alone.replace(layer, name, df, partition_by, gather)
+        if partition_by and gather:
             df = df.hint("rebalance", *partition_by)
         self._add_version(self.path(layer, name), df, partition_by)
         return self.read(layer, name)
@@ -73,7 +77,7 @@ class TableStore:
         return dict(current["leaves"]) if isinstance(current, dict) else None
 
     def replace_partitions(
-        self, layer: str, name: str, df: DataFrame, column: str, values: Iterable[Any]
+        self, layer: str, name: str, df: DataFrame, column: str, values: Iterable[Any], gather: bool = True
     ) -> DataFrame:
         """Write ``df`` in place of the partitions of ``values``; the other ones stay.
 
@@ -81,7 +85,7 @@ class TableStore:
         partition afterwards; rows of other values are an error.
         """
         with self.release() as alone:
-            return alone.replace_partitions(layer, name, df, column, values)
+            return alone.replace_partitions(layer, name, df, column, values, gather)
 
     def latest(self, layer: str, name: str) -> DataFrame | None:
         """The newest version, or None."""
@@ -221,6 +225,22 @@ class TableStore:
                 self.discard(f"{folder}/version={number}")
 
 
+#: Files a task writes at a time before it sorts what is left.
+OPEN_FILES = "256"
+
+
+@contextmanager
+def open_files(spark: SparkSession) -> Iterator[None]:
+    """Tasks write to the files of many partitions side by side, and need not sort rows by them."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Snapshot(TableStore):
     """The released tables as of one entry."""
 
@@ -232,10 +252,10 @@ class Snapshot(TableStore):
     def _released(self) -> dict[str, Any]:
         return self.before
 
-    def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    def replace(self, layer, name, df, partition_by=(), gather=True) -> DataFrame:
         raise TypeError("a snapshot is for reading; replace tables in a release")
 
-    def replace_partitions(self, layer, name, df, column, values) -> DataFrame:
+    def replace_partitions(self, layer, name, df, column, values, gather=True) -> DataFrame:
         raise TypeError("a snapshot is for reading; replace partitions in a release")
 
 
@@ -254,28 +274,30 @@ class Release(Snapshot):
     def _released(self) -> dict[str, Any]:
         return self.before | self.written
 
-    def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        folder, leaves = self._write(layer, name, df, partition_by)
+    def replace(self, layer, name, df, partition_by=(), gather=True) -> DataFrame:
+        folder, leaves = self._write(layer, name, df, partition_by, gather)
         named = {"leaves": leaves, "schema": _laid_out(df, partition_by)} if partition_by else folder
         self.written[f"{layer}/{name}"] = named
         return self.read(layer, name)
 
-    def replace_partitions(self, layer, name, df, column, values) -> DataFrame:
+    def replace_partitions(self, layer, name, df, column, values, gather=True) -> DataFrame:
         before = self.partitions(layer, name)
         if before is None:
             raise ValueError(f"{layer}/{name} has not been released with partitions")
         name_of = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
         replaced = {name_of(column, None if v is None else str(v)) for v in values}
-        _, leaves = self._write(layer, name, df, [column])
+        _, leaves = self._write(layer, name, df, [column], gather)
         if strange := leaves.keys() - replaced:
             raise ValueError(f"{layer}/{name}: rows of partitions that are not replaced: {sorted(strange)}")
         stay = {part: leaf for part, leaf in before.items() if part not in replaced}
         self.written[f"{layer}/{name}"] = {"leaves": stay | leaves, "schema": _laid_out(df, [column])}
         return self.read(layer, name)
 
-    def _write(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str]) -> tuple[str, dict[str, str]]:
+    def _write(
+        self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str], gather: bool
+    ) -> tuple[str, dict[str, str]]:
         """A new folder, and the folders of its partitions."""
-        if partition_by:
+        if partition_by and gather:
             df = df.hint("rebalance", *partition_by)
         folder = f"{self.path(layer, name)}/release={int(time.time())}-{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(folder)

@@ -79,3 +79,16 @@ def test_hot_keys_are_ruled_out_by_shares(spark):
 
     rows = spark.range(1000).selectExpr("id AS k", "IF(id < 30, NULL, id) AS n")
     assert not may_have_hot_keys(rows, ["k"], 20) and may_have_hot_keys(rows, ["n"], 20)
+
+
+def test_lines_are_counted_where_they_lie(spark, monkeypatch):
+    """Hot orders are looked for before the lines are shuffled by order."""
+    from galley.operators import joins
+    from galley.plans import staging
+
+    own, asked = Lake(spark, SF_DIR), []
+    lines, orders = own.source("order_items"), own.staged("int_orders", again=False)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(joins, "may_have_hot_keys", lambda rows, *_: asked.append(rows))
+    staging.int_order_items(lines, orders, "b")
+    assert len(asked) == 1 and "Repartition" not in asked[0]._jdf.queryExecution().optimizedPlan().toString()
