@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from galley.operators.durable import pin
-from galley.operators.joins import mark_known
+from galley.operators.joins import lookup, mark_known
 from galley.operators.together import together
 from galley.plans.quality_texts import CHECKS, RULEBOOK
 from galley.sources.contracts import CHANNELS, DELIVERED_CHANNELS
@@ -188,7 +188,9 @@ def failing_rows(df: DataFrame, rules: Rules, key: str) -> DataFrame:
 def repeated_keys(keyed: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """One row per check and key that occurs more than once or has a NULL; keys have one or two columns.
 
-    All tables share one aggregation, in which rows are counted per key before the shuffle.
+    Rows are first counted by a hash of their key, for all tables in one aggregation and
+    before the shuffle. Text and lineage are then taken only of rows whose hash occurs more
+    than once or stands for a NULL, so the texts of unique keys are not shuffled or sorted.
     """
     lineage = {"_source_file": "STRING", "_loaded_at": "TIMESTAMP_NTZ"}
     rows = []
@@ -199,12 +201,15 @@ def repeated_keys(keyed: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataF
         rows.append(
             df.selectExpr(f"'{name}' AS check_name", f"{first} AS key_1", f"{second} AS key_2", f"{len(keys)} AS parts", *known)
         )
-    per_key = reduce(DataFrame.union, rows).groupBy("check_name", "key_1", "key_2", "parts").agg(
+    has_null = F.expr("key_1 IS NULL OR (parts = 2 AND key_2 IS NULL)")
+    hashed = reduce(DataFrame.union, rows).withColumn("_hash", F.xxhash64("check_name", "key_1", "key_2"))
+    counted = hashed.groupBy("_hash").agg(F.count("*").alias("n"), F.max(has_null).alias("has_null"))
+    suspects = pin(counted.where("n > 1 OR has_null").select("_hash"))
+    per_key = lookup(hashed, suspects, ["_hash"], "left_semi").groupBy("check_name", "key_1", "key_2", "parts").agg(
         F.count("*").alias("n"),
         F.min("_source_file").alias("source_file"),
         F.max("_loaded_at").alias("loaded_at"),
     )
-    has_null = F.expr("key_1 IS NULL OR (parts = 2 AND key_2 IS NULL)")
     return per_key.withColumn("has_null", has_null).where("n > 1 OR has_null")
 
 

@@ -100,6 +100,17 @@ def test_line_and_delivery_rules(spark):
     assert counts == {"orphan_delivery_order": 1, "invalid_delivery_sla_flag": 2, "invalid_delivery_time": 1}
 
 
+def test_texts_of_unique_keys_are_not_grouped(spark, monkeypatch):
+    pins, pin = [], quality.pin
+    monkeypatch.setattr(quality, "pin", lambda df: pins.append(pin(df)) or pins[-1])
+    df = spark.range(100).selectExpr("IF(id < 3, 'twice', CAST(id AS STRING)) AS k", "IF(id = 9, NULL, 'p') AS l", "CAST(id AS STRING) AS _source_file")
+    found = quality.repeated_keys({"x": (df, ["k", "l"]), "y": (df, ["k"])}).collect()
+    assert pins[0].columns == ["_hash"] and pins[0].count() == 3
+    assert {(r["check_name"], r["key_1"], r["key_2"], r["n"], r["source_file"], r["has_null"]) for r in found} == {
+        ("x", "twice", "p", 3, "0", False), ("x", "9", None, 1, "9", True), ("y", "twice", None, 3, "0", False)
+    }
+
+
 def test_duplicates_count_null_keys_like_rows_minus_distinct(spark):
     df = spark.createDataFrame([("a", "f", LOADED), ("a", "e", LOADED), ("b", "f", LOADED), (None, "f", LOADED), (None, "f", LOADED)],
                                "k string, _source_file string, _loaded_at timestamp_ntz")
