@@ -24,7 +24,7 @@ _KEPT = f"leaf string, n bigint, {LIMBS_DDL}"
 
 def row_text(columns: list[str]) -> Column:
     def part(c: str) -> Column:
-        value = F.col(f"`{c}`").cast("string")
+        value = F.col(f"`{c}`").cast("string")  # costs nothing where it is text already
         named = F.concat(F.lit(f"{c}="), F.length(value).cast("string"), F.lit(":"), value, F.lit(";"))
         return F.coalesce(named, F.lit(""))
 
@@ -33,13 +33,18 @@ def row_text(columns: list[str]) -> Column:
 
 def content_digest(df: DataFrame, *by: str) -> DataFrame:
     """``n`` and the sums ``limb0`` to ``limb7``, as one row, or one for each value of ``by``."""
-    hashed = df.select(*by, F.sha2(row_text([c for c in df.columns if c not in by]), 256).alias("h"))
+    content = [c for c in df.columns if c not in by and not c.startswith("_")]
+    # text is used twice, by length and value, and made once
+    texts = df.select(*by, *[F.col(f"`{c}`").cast("string").alias(c) for c in content])
+    hashed = texts.select(*by, F.sha2(row_text(content), 256).alias("h"), F.spark_partition_id().alias("_task"))
 
     def limb(k: int) -> Column:
-        return F.conv(F.substring("h", 8 * k + 1, 8), 16, 10).cast("decimal(20,0)")
+        return F.conv(F.substring("h", 8 * k + 1, 8), 16, 10).cast("bigint")
 
-    sums = [F.coalesce(F.sum(limb(k)), F.lit(0)).cast("decimal(38,0)").alias(name) for k, name in enumerate(LIMBS)]
-    return hashed.groupBy(*by).agg(F.count("*").alias("n"), *sums)
+    # a task has fewer than 2^31 rows, so its sums are whole numbers of 64 bits; those of tasks are added as decimals
+    tasks = hashed.groupBy(*by, "_task").agg(F.count("*").alias("n"), *[F.sum(limb(k)).alias(name) for k, name in enumerate(LIMBS)])
+    sums = [F.coalesce(F.sum(F.col(c).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias(c) for c in LIMBS]
+    return tasks.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *sums)
 
 
 def added(digests: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 import pytest
 
 from galley.sources import digests
@@ -47,3 +50,14 @@ def test_only_loads_without_a_digest_are_read(spark, store):
     assert len(digests.load_digests(store, "stores")[1]) == 1
     assert digests.loads_fingerprint(store, "stores") == of(df.limit(2).union(df.limit(1)))
     assert digests.load_digests(store, "stores")[1] == []
+
+
+def test_limbs_are_added_as_whole_numbers_within_a_task(spark):
+    df = spark.range(50).selectExpr("id % 3 AS k", "id AS v", "IF(id = 4, NULL, 'x') AS w", "id AS _seen").repartition(4)
+    found = {r["k"]: r for r in digests.content_digest(df, "k").collect()}
+    for k in range(3):
+        texts = [f"v={len(str(n))}:{n};" + ("" if n == 4 else "w=1:x;") for n in range(50) if n % 3 == k]
+        sums = [sum(int(hashlib.sha256(t.encode()).hexdigest()[8 * i : 8 * i + 8], 16) for t in texts) for i in range(8)]
+        assert found[k]["n"] == len(texts) and [int(found[k][limb]) for limb in digests.LIMBS] == sums
+    plan = digests.content_digest(df, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "conv(" in plan and not re.search(r"conv\([^()]*(\([^()]*\))?[^()]*\) as decimal", plan)
